@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: module -> query
 _MODULES = {
+    "quality": "op2_quality_cascade",
     "sharding": "op8_hilbert_sharding",
 }
 
