@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: module -> query
 _MODULES = {
+    "decontamination": "op1_decontamination",
     "quality": "op2_quality_cascade",
+    "toxicity": "op3_toxicity_fm",
+    "language": "op6_language_mixture",
     "sharding": "op8_hilbert_sharding",
+    "secrets": "op9_secret_scan",
 }
 
 
