@@ -1,13 +1,16 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A text is the set of its hashed words.  score = sigmoid(b + sum w_i + 1/2 sum_f ((sum v_if)^2 - sum v_if^2)): the
+A text is the set of its hashed terms: words, lower-cased A-Z without surrounding punctuation, and the first bytes of
+longer words. score = sigmoid(b + sum w_i + 1/2 sum_f ((sum v_if)^2 - sum v_if^2)): the
 factors v give every pair of terms a weight of its own, so an insult together with a group mention can count more than
-both alone.  Terms are words of the whole text, lower-cased A-Z, without surrounding punctuation.
+both alone.
 
 The model is fitted in numpy on a bounded sample of labelled rows (TRAIN_ROWS, the rows with the smallest hash of
-doc_id, which is no input of a score): linear weights by FTRL-proximal steps with an L1 penalty, which leaves most terms at
-zero; factors only for terms whose linear weight is not zero, by Adagrad.  Scoring is one pass over all rows without
-shuffle; the model has 2**BITS terms at most and is broadcast.
+doc_id, which is no input of a score), over terms whose chi-square with the label
+reaches LEAST_CHI2: linear weights by FTRL-proximal steps
+with an L1 penalty, which leaves most terms at zero; factors only for terms whose linear weight is not zero, by
+Adagrad.  Scoring is one pass over all rows without shuffle; what is broadcast are the terms with a weight, fewer than
+the terms of the sample.
 
 Defined cases: null and empty texts have no term and score sigmoid(b); without labelled rows of both classes every score
 is the share of toxic labels, or 0; repeated words count once; repeated rows are scored each by itself; an empty table
@@ -24,11 +27,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framespan.llm._common import read_documents, read_table, remainder
-from framespan.llm._vec import buffers, chunks, words
+from framespan.llm._vec import LOWER, buffers, chunks, mix, words
 
-BITS = 18
+BITS = 22
 FACTORS = 8
 TRAIN_ROWS = 12_000
+#: chi-square that a term needs, with one degree of freedom
+LEAST_CHI2 = 15.0
+#: bytes of the prefix of a longer word that is a term of its own
+PREFIX = 4
 _EDGE = np.zeros(256, bool)
 _EDGE[[ord(c) for c in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"]] = True
 
@@ -40,7 +47,11 @@ def terms(raw: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[np.nd
     clean = np.where(_EDGE[raw], np.uint8(32), raw)
     w = words(clean, offsets)
     doc = w.doc
-    key = np.unique((doc.astype(np.uint64) << np.uint64(bits)) | (w.hash >> np.uint64(64 - bits)))
+    long = np.flatnonzero(w.end - w.start > PREFIX)
+    letters = LOWER[clean[w.start[long][:, None] + np.arange(PREFIX)]].astype(np.uint64)
+    prefix = mix((letters << (np.arange(PREFIX, dtype=np.uint64) * np.uint64(8))).sum(1, dtype=np.uint64) + np.uint64(0xABCDEF01))
+    value = np.concatenate([w.hash, prefix]) >> np.uint64(64 - bits)
+    key = np.unique((np.concatenate([doc, doc[long]]).astype(np.uint64) << np.uint64(bits)) | value)
     of = (key >> np.uint64(bits)).astype(np.int64)
     return (key & np.uint64((1 << bits) - 1)).astype(np.int64), np.searchsorted(of, np.arange(len(offsets)))
 
@@ -62,29 +73,39 @@ def term_arrays(docs: DataFrame, *keep: str) -> DataFrame:
 
 
 class FactorizationMachine:
-    def __init__(self, size: int = 1 << BITS, factors: int = FACTORS, seed: int = 11):
-        self.bias, self.w = 0.0, np.zeros(size)
-        self.v = np.zeros((size, factors), np.float32)
-        self.seed = seed
+    """Terms in order (hashes), their linear weights and factors; other terms have none."""
+
+    def __init__(self, known: np.ndarray, factors: int = FACTORS, seed: int = 11):
+        self.known, self.bias, self.seed = known, 0.0, seed
+        self.w, self.v = np.zeros(len(known)), np.zeros((len(known), factors), np.float32)
+
+    def places(self, x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the known terms among x, and the documents' offsets among them."""
+        if not len(self.known):
+            return np.zeros(0, np.int64), np.zeros(len(at), np.int64)
+        place = np.minimum(np.searchsorted(self.known, x), len(self.known) - 1)
+        kept = np.flatnonzero(self.known[place] == x)
+        return place[kept], np.searchsorted(kept, at)
+
+    def pruned(self) -> FactorizationMachine:
+        live = self.w != 0
+        small = FactorizationMachine(self.known[live], self.v.shape[1], self.seed)
+        small.bias, small.w, small.v = self.bias, self.w[live], self.v[live]
+        return small
 
     def margin(self, x: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """b + linear part + pairs, of the documents x[at[d]:at[d + 1]]."""
+        """b + linear part + pairs, of the documents whose places are x[at[d]:at[d + 1]]."""
         sums = np.concatenate([[0.0], np.cumsum(self.w[x])])
-        out = self.bias + sums[at[1:]] - sums[at[:-1]]
-        live = np.flatnonzero(self.v[x, 0] != 0)
-        if len(live):
-            rows = self.v[x[live]].astype(np.float64)
-            at = np.searchsorted(live, at)
-            first = np.concatenate([np.zeros((1, rows.shape[1])), np.cumsum(rows, 0)])
-            second = np.concatenate([[0.0], np.cumsum((rows**2).sum(1))])
-            total = first[at[1:]] - first[at[:-1]]
-            out = out + 0.5 * ((total**2).sum(1) - (second[at[1:]] - second[at[:-1]]))
-        return out
+        rows = self.v[x].astype(np.float64)
+        first = np.concatenate([np.zeros((1, rows.shape[1])), np.cumsum(rows, 0)])
+        second = np.concatenate([[0.0], np.cumsum((rows**2).sum(1))])
+        total = first[at[1:]] - first[at[:-1]]
+        return self.bias + sums[at[1:]] - sums[at[:-1]] + 0.5 * ((total**2).sum(1) - (second[at[1:]] - second[at[:-1]]))
 
     def score(self, x: np.ndarray, at: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.margin(x, at), -30, 30)))
 
-    def fit(self, x: np.ndarray, at: np.ndarray, y: np.ndarray, *, epochs: int = 6, batch: int = 128, l1: float = 0.3, l2: float = 1.0, rate: float = 0.3, factor_rate: float = 0.05, factor_l2: float = 0.01) -> FactorizationMachine:
+    def fit(self, x: np.ndarray, at: np.ndarray, y: np.ndarray, *, epochs: int = 12, batch: int = 64, l1: float = 2.0, l2: float = 1.0, rate: float = 0.5, factor_rate: float = 0.02, factor_l2: float = 0.05) -> FactorizationMachine:
         rng = np.random.default_rng(self.seed)
         z, n = np.zeros_like(self.w), np.zeros_like(self.w)
         g2 = np.full(self.v.shape, 1e-2, np.float32)
@@ -131,28 +152,40 @@ class FactorizationMachine:
         self.v[used] -= rate * g / np.sqrt(g2[used])
 
 
+def screened(x: np.ndarray, at: np.ndarray, y: np.ndarray, least: float = LEAST_CHI2) -> np.ndarray:
+    """Terms whose presence depends on the label."""
+    known, inverse = np.unique(x, return_inverse=True)
+    n = np.bincount(inverse, minlength=len(known)).astype(float)
+    hit = np.bincount(inverse, np.repeat(y, np.diff(at)), len(known))
+    total, rate = len(y), y.mean()
+    spread = n * rate * (1 - rate) * (1 - n / total)
+    return known[(hit - n * rate) ** 2 >= least * np.maximum(spread, 1e-9)]
+
+
 def train_on(sample: DataFrame, label: str) -> FactorizationMachine:
     found = sample.toArrow()  # bounded by the sample
     lists = found["terms"].combine_chunks()
     y = found[label].to_numpy().astype(float)
-    machine = FactorizationMachine()
     if not len(y) or y.min() == y.max():
+        machine = FactorizationMachine(np.zeros(0, np.int64))
         machine.bias = 30.0 if len(y) and y[0] else -30.0
         return machine
-    at = lists.offsets.to_numpy().astype(np.int64)
-    return machine.fit(lists.values.to_numpy().astype(np.int64), at, y)
+    x, at = lists.values.to_numpy().astype(np.int64), lists.offsets.to_numpy().astype(np.int64)
+    machine = FactorizationMachine(screened(x, at, y))
+    return machine.fit(*machine.places(x, at), y).pruned()
 
 
 def score(docs: DataFrame, machine: FactorizationMachine) -> DataFrame:
     """doc_id and score of every text."""
-    shared = docs.sparkSession.sparkContext.broadcast(machine)  # bounded: 2**BITS terms
+    shared = docs.sparkSession.sparkContext.broadcast(machine)  # bounded by the sample's terms
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in it:
             raw, offsets = buffers(batch.column(1))
             found = [np.zeros(0)]
             for a, b in chunks(offsets):
-                found.append(shared.value.score(*terms(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])))
+                found.append(model.score(*model.places(*terms(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(found))], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(batches, "doc_id long, score double")
