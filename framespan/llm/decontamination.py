@@ -6,9 +6,10 @@ hit fixes a document region, an item and an offset, and the words around it are
 document is contaminated when `share` of the words of a stretch of `stretch` words (or of the whole item, if shorter)
 are the item's words.
 
-Words are lower-cased A-Z and hashed in bulk from the UTF-8 bytes.  Before the join a bitmap of fixed size drops
-windows that no benchmark window can equal; its size does not depend on either table.  What is joined then are the
-hits alone, on both sides by hash, so neither side has to fit in one place.
+Words are lower-cased A-Z and hashed in bulk from the UTF-8 bytes.  Before the join a Bloom filter drops windows that
+no benchmark window can equal; it has 32 places a seed within fixed bounds (FILTER_BITS), so a very large benchmark
+makes it let more pass but not grow.  What is joined then are the hits alone, on both sides by hash, so neither side
+has to fit in one place.
 
 Defined cases: null and empty texts and items have no words and meet nothing; items of fewer than 5 words are not
 searched; equal items under several ids are all reported; repeated documents get equal results; an empty benchmark or
@@ -31,8 +32,9 @@ from framespan.llm._vec import buffers, chunks, mix, words
 MASKS = ("11111", "1101011", "110010011", "101100101", "10010110001")
 STRETCH = 20
 SHARE = 0.7
-#: places of the bitmap in front of the join
-PLACES = 1 << 22
+#: bits of a place in the Bloom filter in front of the join: least, most (2**28 places are 32 MB)
+FILTER_BITS = (22, 28)
+PROBES = 3
 
 
 def seed_hashes(hashes: np.ndarray, at: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
@@ -67,14 +69,43 @@ def benchmark_seeds(benchmark: DataFrame, masks: tuple[str, ...]) -> DataFrame:
     return benchmark.select("item_id", "text").mapInArrow(batches, "seed long, item_id long, item_pos int, item array<long>")
 
 
-def document_hits(docs: DataFrame, bitmap: np.ndarray, masks: tuple[str, ...], reach: int) -> DataFrame:
-    """Windows of the documents that the bitmap lets pass.
+def probe(seeds: np.ndarray, k: int, bits: int) -> np.ndarray:
+    """Places of the seeds in the filter at its k-th probe."""
+    return (mix(seeds + np.uint64(k)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def passes(packed: np.ndarray, bits: int, seeds: np.ndarray) -> np.ndarray:
+    """Positions of the seeds that the filter lets pass."""
+    left = np.arange(len(seeds))
+    for k in range(PROBES):
+        place = probe(seeds[left], k, bits)
+        left = left[(packed[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1]
+    return left
+
+
+def bloom(seeds: DataFrame) -> tuple[np.ndarray, int]:
+    """Packed filter over the column seed, and its bits a place; what reaches the driver are set places, bounded."""
+    n = seeds.count()
+    bits = min(max(int(np.ceil(np.log2(32 * n + 1))), FILTER_BITS[0]), FILTER_BITS[1])
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            found = np.unique(np.concatenate([probe(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), k, bits) for k in range(PROBES)]))
+            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32))], names=["place"])
+
+    set_places = seeds.select("seed").mapInArrow(batches, "place int").distinct().toArrow()["place"].to_numpy()
+    full = np.zeros(1 << bits, bool)
+    full[set_places] = True
+    return np.packbits(full), bits
+
+
+def document_hits(docs: DataFrame, bitmap: np.ndarray, bits: int, masks: tuple[str, ...], reach: int) -> DataFrame:
+    """Windows of the documents that the filter lets pass.
 
     Hits that lie within `reach` words of each other form a region.  A region gives one row with the hashes of its
     words and `reach` more on both sides (seed null), and one row for each hit (words null)."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(bitmap).view(bool)
         for batch in it:
             raw, offsets = buffers(batch.column(1))
             ids = batch.column(0)
@@ -83,7 +114,7 @@ def document_hits(docs: DataFrame, bitmap: np.ndarray, masks: tuple[str, ...], r
                 seeds, places = [], []
                 for mask in masks:
                     s, first = seed_hashes(w.hash, w.at, mask)
-                    hit = bits[(s >> np.uint64(42)).astype(np.int64)]
+                    hit = passes(bitmap, bits, s)
                     seeds.append(s[hit])
                     places.append(first[hit])
                 seed, place = np.concatenate(seeds), np.concatenate(places)
@@ -139,11 +170,7 @@ def overlaps(candidates: DataFrame, stretch: int, share: float) -> DataFrame:
 def contaminated_passages(docs: DataFrame, benchmark: DataFrame, *, masks: tuple[str, ...] = MASKS, stretch: int = STRETCH, share: float = SHARE) -> DataFrame:
     """doc_id, item_id, first word in the document (offset + region), equal and compared words of each verified overlap."""
     seeds = written(benchmark_seeds(benchmark, masks))
-    # at most PLACES numbers, whatever the benchmark's size
-    places = seeds.select(F.shiftrightunsigned("seed", 42).cast("int").alias("p")).distinct().toPandas()["p"].to_numpy()
-    bits = np.zeros(PLACES, bool)
-    bits[places] = True
-    hits = written(document_hits(docs, np.packbits(bits), masks, stretch))
+    hits = written(document_hits(docs, *bloom(seeds), masks, stretch))
     pairs = hits.where("seed IS NOT NULL").join(seeds.select("seed", "item_id", "item_pos", F.xxhash64("item").alias("item_key")), "seed")
     pairs = pairs.select("doc_id", "region", "item_id", "item_key", (F.col("pos") - F.col("item_pos")).alias("offset")).distinct()
     items = seeds.select("item_id", F.xxhash64("item").alias("item_key"), "item").distinct()
