@@ -16,6 +16,7 @@ _MODULES = {
     "language": "op6_language_mixture",
     "sharding": "op8_hilbert_sharding",
     "secrets": "op9_secret_scan",
+    "jaccard": "op10_jaccard_join",
 }
 
 
