@@ -12,6 +12,7 @@ _MODULES = {
     "decontamination": "op1_decontamination",
     "quality": "op2_quality_cascade",
     "toxicity": "op3_toxicity_fm",
+    "suffix_dedup": "op4_suffix_dedup",
     "bpe": "op5_byte_bpe",
     "language": "op6_language_mixture",
     "sharding": "op8_hilbert_sharding",
