@@ -1,8 +1,10 @@
 """Exact n-gram Jaccard join by prefix trees.
 
 A document's set is its distinct word n-grams as 64-bit tokens in one global order.  Documents with equal sets are one
-class.  Two classes can reach the similarity only when the first tokens of their sets meet (as many as may be missing,
-plus one); classes that meet so, directly or by others, form a bundle.  Inside a bundle the sets are stored in a trie,
+class.  Of two sets that reach the similarity the first p + k - 1 tokens share k at least, p being the tokens that may
+be missing, plus one; k is about half of p.  A set of whose first tokens fewer than k occur elsewhere has no link.  Among
+the first tokens, rarest first, the same bound leaves a second prefix, of which one token at least is shared; classes
+that meet there, directly or by others, form a bundle.  Inside a bundle the sets are stored in a trie,
 the most common token first, so that sets share their beginnings; a set is looked up by walking the trie with the
 overlap so far, and a subtree is left when the tokens that remain on either side cannot raise the overlap far enough
 for its set sizes.  What comes out are links of a spanning forest, whose components are joined with the classes.
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framespan.llm._common import cut, read_documents, written
@@ -63,9 +65,36 @@ def token_sets(raw: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[np.
             yield np.zeros(0, np.uint64)
 
 
+def missing(n: str, percent: int) -> str:
+    """SQL of p: tokens that a set of n may have besides those shared, plus one."""
+    return f"({n} - ({n} * {percent} + 99) div 100 + 1)"
+
+
+def wanted(n: str, percent: int) -> str:
+    """SQL of k: tokens that the first p + k - 1 share at least.  Grows with n."""
+    return f"greatest(1L, {missing(n, percent)} div 2)"
+
+
 def prefix_size(n: int, percent: int) -> int:
-    """Tokens of which one at least is shared with any set that reaches the similarity."""
-    return n - -(-n * percent // 100) + 1
+    """p + k - 1."""
+    p = n - -(-n * percent // 100) + 1
+    return min(n, p + max(1, p // 2) - 1)
+
+
+def candidate_links(firsts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) whose components hold all pairs that can reach the similarity; firsts: rep, n and prefix.
+
+    What a set shares with another it shares with one of 85 % (`percent`) of its size at least, so k of that size is
+    the bound.  A token's sets are linked to the least of them: a minimum and a join, no list of sets."""
+    postings = firsts.select("rep", "n", F.size("prefix").alias("taken"), F.explode("prefix").alias("t"))
+    often = postings.groupBy("t").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = postings.join(often, "t")
+    own = Window.partitionBy("rep")  # bounded by the prefix
+    ranked = shared.select("*", F.count(F.lit(1)).over(own).alias("met"), F.row_number().over(own.orderBy("df", "t")).alias("rank"))
+    least = wanted(f"((n * {percent} + 99) div 100)", percent)
+    kept = ranked.where(f"met >= {least} AND taken - met + rank <= taken - {least} + 1").select("rep", "t")
+    hubs = kept.groupBy("t").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last").select("t", "hub")
+    return kept.join(hubs, "t").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
 
 
 def common_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -239,9 +268,7 @@ def similar_groups(docs: DataFrame, *, width: int = 5, percent: int = 80) -> Dat
     classes = table.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"))
     classes = written(classes)
     heads = table.where("n > 0").join(classes, key).where("doc_id = rep")
-    postings = heads.select("rep", F.explode("prefix").alias("t"))
-    met = postings.groupBy("t").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last").select("t", "hub")
-    edges = postings.join(met, "t").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
+    edges = candidate_links(heads.select("rep", "n", "prefix"), percent)
     bundles = components(edges).join(classes.select(F.col("rep").alias("node"), "n"), "node")
     roots = components(bundle_links(docs, bundles, width=width, percent=percent))
     named = classes.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select(*key, F.coalesce("root", "rep").alias("root"))
