@@ -1,9 +1,66 @@
-"""Corpus pipeline (stages follow)."""
+"""Corpus pipeline: toxicity, near duplicates, benchmark decontamination, secrets, tokens.
 
-STAGES = []
+Every stage takes (spark, docs, sf_dir) and works on all that the stage before it kept; each result is written as
+Parquet and read again.  Rows whose doc_id occurs twice in the input count as the same document."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from framespan.llm import bpe, decontamination, jaccard, secrets, toxicity
+from framespan.llm._common import read_table, shared_folder
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents whose toxicity score reaches 0.5; labels of all folds train here."""
+    machine = toxicity.fit_from_tables(docs, read_table(spark, sf_dir, "labels"))
+    rejected = toxicity.score(docs, machine).where("score >= 0.5").select("doc_id").distinct()
+    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the least doc_id of every group of similar ones (five words, 0.8)."""
+    kept = jaccard.similar_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents with a passage of the benchmark."""
+    found = decontamination.contaminated_passages(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps all documents; secrets in their texts become a mark."""
+    return secrets.redact(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, ids and number of tokens of what is left."""
+    encoded = bpe.encode(docs, *bpe.public_vocabulary(), "doc_id", "lang", "source")
+    return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("near duplicates", one_of_each_group),
+    ("benchmark", without_benchmark),
+    ("secrets", without_secrets),
+    ("tokens", tokens),
+]
+#: a trained model and the tokenizer have no SQL
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """Applies the stages to the documents."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            path = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+    return docs

@@ -15,6 +15,7 @@ _MODULES = {
     "suffix_dedup": "op4_suffix_dedup",
     "bpe": "op5_byte_bpe",
     "language": "op6_language_mixture",
+    "lm": "op7_lm_scores",
     "sharding": "op8_hilbert_sharding",
     "secrets": "op9_secret_scan",
     "jaccard": "op10_jaccard_join",
