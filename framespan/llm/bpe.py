@@ -20,7 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import pyarrow as pa
 import regex
@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from framespan.llm._common import read_documents
 
 #: states of the transducer and remembered matches, before they are dropped
-MOST_STATES = 150_000
-MOST_MATCHES = 200_000
+MOST_STATES = 320_000
+MOST_MATCHES = 400_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -153,19 +153,23 @@ class Encoder:
         self.most = most_matches
 
     def __call__(self, text: str) -> list[int]:
-        seen, ranks, parts = self.seen, self.transducer.ranks, []
-        get = seen.get
-        for match in self.split(text):
-            ids = get(match)
-            if ids is None:
-                data = match.encode()
-                whole = ranks.get(data)  # a token is itself, also if no merges lead to it
-                ids = self.transducer.encode(data) if whole is None else (whole,)
-                if len(seen) >= self.most:
-                    seen.clear()
-                if len(match) <= 64:
-                    seen[match] = ids
-            parts.append(ids)
+        matches = self.split(text)
+        parts = list(map(self.seen.get, matches))
+        if None in parts:
+            seen, ranks, encode = self.seen, self.transducer.ranks, self.transducer.encode
+            for k, ids in enumerate(parts):
+                if ids is None:
+                    match = matches[k]
+                    ids = seen.get(match)  # met before in this text
+                    if ids is None:
+                        data = match.encode()
+                        whole = ranks.get(data)  # a token is itself, also if no merges lead to it
+                        ids = encode(data) if whole is None else (whole,)
+                        if len(seen) >= self.most:
+                            seen.clear()
+                        if len(match) <= 64:
+                            seen[match] = ids
+                    parts[k] = ids
         return list(chain.from_iterable(parts))
 
 
@@ -203,13 +207,9 @@ class Utf8Stream:
 
 def decode_stream(ids: Iterable[int], tokens: dict[int, bytes], block: int = 4096) -> Iterator[str]:
     """Text of a stream of ids, piece by piece."""
-    stream, held = Utf8Stream(), []
-    for i in ids:
-        held.append(tokens[i])
-        if len(held) == block:
-            yield stream.feed(b"".join(held))
-            held = []
-    yield stream.feed(b"".join(held))
+    stream, ids = Utf8Stream(), iter(ids)
+    while held := b"".join(map(tokens.__getitem__, islice(ids, block))):
+        yield stream.feed(held)
     yield stream.close()
 
 
@@ -273,7 +273,7 @@ def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame
             for value in batch.column(1):
                 ids = encoder(value.as_py() or "")
                 counts.append(len(ids))
-                of_ids.append(hashlib.sha256(" ".join([text_of[i] for i in ids]).encode()).hexdigest())
+                of_ids.append(hashlib.sha256(" ".join(map(text_of.__getitem__, ids)).encode()).hexdigest())
                 decoded = hashlib.sha256()
                 for piece in decode_stream(ids, tokens):
                     decoded.update(piece.encode())
