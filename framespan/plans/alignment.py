@@ -1 +1,178 @@
-"""Queries."""
+"""Queries of time alignment and tracking."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from framespan.operators import timealign as T
+from framespan.operators import tracking as K
+from framespan.plans.registry import query
+
+_TARGETS = "t AS (SELECT user_id, event_id AS target_id, epoch_us(ts) AS t FROM events WHERE event_type = 'click'), f AS (SELECT user_id, min(event_id) AS frame_id, epoch_us(ts) AS t FROM events WHERE event_type = 'view' GROUP BY user_id, epoch_us(ts))"
+
+
+@query("jn_nearest_frame", f"""WITH {_TARGETS}, r AS (SELECT t.user_id, t.target_id, f.frame_id, f.t - t.t AS delta, row_number() OVER (PARTITION BY t.target_id ORDER BY abs(f.t - t.t), f.t) AS k FROM t LEFT JOIN f USING (user_id))
+SELECT user_id, target_id, frame_id, delta FROM r WHERE k = 1""")
+def nearest_frame(v):
+    e = v.events.withColumn("t", F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts")))
+    targets = e.where("event_type = 'click'").select("user_id", F.col("event_id").alias("target_id"), "t")
+    frames = e.where("event_type = 'view'").select("user_id", F.col("event_id").alias("frame_id"), "t")
+    return T.nearest_frames(targets, frames, by="user_id").select("user_id", "target_id", "frame_id", "delta")
+
+
+@query("flt_frames_between", """WITH b AS (SELECT sequence_id, end_s - 86400 AS low, start_s + 86400 AS high FROM fx_models), n AS (
+  SELECT b.sequence_id, arg_min(f.tiff_s, (abs(f.tiff_s - low), f.tiff_s)) AS x, arg_min(f.tiff_s, (abs(f.tiff_s - high), f.tiff_s)) AS y FROM b JOIN fx_frames f USING (sequence_id) GROUP BY b.sequence_id)
+SELECT f.sequence_id, f.frame_id, f.tiff_s AS t FROM fx_frames f JOIN n USING (sequence_id) WHERE f.tiff_s BETWEEN least(x, y) AND greatest(x, y)""")
+def frames_between(v):
+    bounds = v.fx_models.select("sequence_id", (F.col("end_s") - 86400).alias("low"), (F.col("start_s") + 86400).alias("high"))
+    return T.frames_between(v.fx_frames.select("sequence_id", "frame_id", F.col("tiff_s").alias("t")), bounds)
+
+
+_VIDEO = "video_start + (tiff_s - start_s) * ((video_end - video_start) / (end_s - start_s)) + offset_s"
+_INDEX = "CAST(greatest(0, least(round_even(greatest(0, least({v}, frame_count / fps)) * fps, 0), frame_count - 1)) AS BIGINT)"
+
+
+@query("jn_time_model", f"SELECT frame_id, round({_VIDEO}, 6) AS video_s, {_INDEX.format(v=_VIDEO)} AS video_frame, round(CAST(tiff_s AS DOUBLE), 4) AS tiff_back_s FROM fx_frames JOIN fx_models USING (sequence_id)")
+def time_model(v):
+    return T.to_video(v.fx_frames, v.fx_models).select("frame_id", F.round("video_s", 6).alias("video_s"), "video_frame", F.round("tiff_back_s", 4).alias("tiff_back_s"))
+
+
+@query("jn_segment", "SELECT frame_id, segment, seg_offset FROM fx_frames f JOIN fx_segments s ON f.sequence_id = s.sequence_id AND tiff_s >= from_s AND tiff_s < to_s")
+def segment(v):
+    return T.in_segments(v.fx_frames, v.fx_segments).select("frame_id", "segment", "seg_offset")
+
+
+@query("jn_frame_pair", f"""WITH t AS (SELECT sequence_id, frame_id, {_INDEX.format(v=_VIDEO)} AS video_frame FROM fx_frames JOIN fx_models USING (sequence_id))
+SELECT t.frame_id, t.video_frame, w.frame_id AS payload FROM t JOIN t w ON w.sequence_id = t.sequence_id AND w.video_frame = t.video_frame AND w.frame_id % 3 = 0""")
+def frame_pair(v):
+    thermal = T.to_video(v.fx_frames, v.fx_models)
+    video = thermal.where("frame_id % 3 = 0").select("sequence_id", F.col("video_frame").alias("frame_index"), F.col("frame_id").alias("payload"))
+    return T.frame_pairs(thermal, video).select("frame_id", "video_frame", "payload")
+
+
+_CAND = "SELECT o_orderkey AS candidate, o_orderkey % 300 AS frame_index FROM orders"
+
+
+@query("jn_window_offsets", f"SELECT candidate, o, i AS index FROM (SELECT *, count(*) OVER (PARTITION BY candidate) AS n FROM (SELECT candidate, CAST(o AS INT) AS o, CAST(frame_index + round_even(o * 30.0, 0) AS BIGINT) AS i FROM ({_CAND}), range(-2, 3) t(o)) WHERE i >= 0 AND i < 300) WHERE n = 5")
+def window_offsets(v):
+    candidates = v.orders.select(F.col("o_orderkey").alias("candidate"), (F.col("o_orderkey") % 300).alias("frame_index"))
+    return T.window_offsets(candidates, 2, F.lit(30.0), F.lit(300)).select("candidate", "o", "index")
+
+
+@query("set_scoring_indices", f"SELECT DISTINCT i AS index FROM (SELECT CAST(frame_index * 3 + round_even(o * 30.0, 0) AS BIGINT) AS i FROM ({_CAND}), range(-2, 3) t(o)) WHERE i >= 0 AND i < 900")
+def scoring_indices(v):
+    candidates = v.orders.select((F.col("o_orderkey") % 300 * 3).alias("frame_index"))
+    return T.scoring_indices(candidates, 2, F.lit(30.0), F.lit(900))
+
+
+@query("gen_anchor_window", "SELECT o_orderkey AS anchor, unnest(range(s, s + 90)) AS frame_index FROM (SELECT o_orderkey, greatest(0, least(greatest(0, least(CAST(round_even(o_totalprice / 1024 * 30, 0) AS BIGINT), 4999)) - 45, 5000 - 90)) AS s FROM orders WHERE o_orderkey % 50 = 0)")
+def anchor_window(v):
+    anchors = v.orders.where("o_orderkey % 50 = 0").select(F.col("o_orderkey").alias("anchor"), (F.col("o_totalprice") / 1024).alias("anchor_s"), F.lit(30.0).alias("fps"), F.lit(5000).cast("long").alias("frame_count"))
+    return T.anchor_window(anchors, 3.0).select("anchor", "frame_index")
+
+
+@query("set_calibration_frames", """WITH c AS (SELECT sequence_id, frame_id, row_number() OVER (PARTITION BY sequence_id ORDER BY tiff_s, frame_id) AS k FROM fx_frames)
+SELECT DISTINCT c.sequence_id, c.frame_id FROM c JOIN (SELECT sequence_id, k FROM c WHERE k IN (5, 8)) a ON a.sequence_id = c.sequence_id AND c.k BETWEEN a.k - 2 AND a.k + 2""")
+def calibration_frames(v):
+    around = T.neighbours(T.numbered(v.fx_frames), 2).where("place IN (5, 8)")
+    return around.select("sequence_id", F.explode("neighbours").alias("frame_id")).distinct()
+
+
+@query("win_aligned_id", "SELECT frame_id, lpad(CAST(row_number() OVER (PARTITION BY sequence_id ORDER BY tiff_s, frame_id) AS VARCHAR), 6, '0') || '_' || replace(tiff_name, '.tiff', '') AS aligned_id FROM fx_frames")
+def aligned_id(v):
+    return T.numbered(v.fx_frames).select("frame_id", "aligned_id")
+
+
+@query("win_neighbor_frames", "SELECT frame_id, count(*) OVER w = 5 AS is_full, array_to_string(list(frame_id) OVER w, ',') AS neighbours FROM fx_frames WINDOW w AS (PARTITION BY sequence_id ORDER BY tiff_s, frame_id ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)")
+def neighbor_frames(v):
+    return T.neighbours(v.fx_frames, 2).select("frame_id", F.col("full").alias("is_full"), F.array_join(F.col("neighbours").cast("array<string>"), ",").alias("neighbours"))
+
+
+_NEAR = """WITH m AS (SELECT t.anchor, t.frame_index, max(p.frame_index) FILTER (p.frame_index < t.frame_index) AS b, min(p.frame_index) FILTER (p.frame_index > t.frame_index) AS a
+  FROM fx_track t LEFT JOIN fx_track p ON p.anchor = t.anchor AND p.frame_index BETWEEN t.frame_index - {w} AND t.frame_index + {w} AND {good} GROUP BY t.anchor, t.frame_index),
+x AS (SELECT t.*, m.b, m.a, p.cx AS bx, p.cy AS by_, p.r AS br, p.confidence AS bc, q.cx AS ax, q.cy AS ay, q.r AS ar, q.confidence AS ac FROM fx_track t JOIN m ON m.anchor = t.anchor AND m.frame_index = t.frame_index
+  LEFT JOIN fx_track p ON p.anchor = m.anchor AND p.frame_index = m.b LEFT JOIN fx_track q ON q.anchor = m.anchor AND q.frame_index = m.a)"""
+
+
+def _mid(column: str, low: str, high: str, take: str) -> str:
+    return f"round(CASE WHEN {take} THEN CASE WHEN b IS NOT NULL AND a IS NOT NULL THEN {low} + (frame_index - b) / CAST(a - b AS DOUBLE) * ({high} - {low}) ELSE coalesce({low}, {high}) END ELSE {column} END, 6) AS {column}"
+
+
+@query("win_gap_fill", _NEAR.format(w=2, good="p.cx IS NOT NULL") + f" SELECT anchor, frame_index, {_mid('cx', 'bx', 'ax', 'cx IS NULL')}, {_mid('cy', 'by_', 'ay', 'cx IS NULL')}, {_mid('r', 'br', 'ar', 'cx IS NULL')}, cx IS NULL AND (a IS NOT NULL OR b IS NOT NULL) AS filled FROM x")
+def gap_fill(v):
+    return K.fill_gaps(v.fx_track, 2).select("anchor", "frame_index", *[F.round(n, 6).alias(n) for n in K.VALUES], "filled")
+
+
+@query("win_smooth_track", _NEAR.format(w=3, good="p.cx IS NOT NULL AND p.confidence >= CAST(0.72 AS DOUBLE)") + f" SELECT anchor, frame_index, {_mid('cx', 'bx', 'ax', '(cx IS NULL OR confidence < CAST(0.72 AS DOUBLE)) AND (a IS NOT NULL OR b IS NOT NULL)')}, (cx IS NULL OR confidence < CAST(0.72 AS DOUBLE)) AND (a IS NOT NULL OR b IS NOT NULL) AS smoothed, CASE WHEN (cx IS NULL OR confidence < CAST(0.72 AS DOUBLE)) AND (a IS NOT NULL OR b IS NOT NULL) THEN coalesce(confidence, 0) END AS raw_confidence FROM x")
+def smooth_track(v):
+    return K.smooth(v.fx_track, 3).select("anchor", "frame_index", F.round("cx", 6).alias("cx"), "smoothed", "raw_confidence")
+
+
+def _partial(circles):
+    return circles.withColumn("partial", F.col("cx") < 100)
+
+
+_COST = """2.8 * (sqrt(pow(c.cx - s.cx, 2) + pow(c.cy - s.cy, 2)) / greatest(s.r, 24)) + 1.8 * abs(ln(greatest(c.r, 1) / greatest(s.r, 24))) + CAST(0.7 AS DOUBLE) * (1 - c.confidence) + CASE WHEN c.source = 'hough_saturation' THEN 0 ELSE 0.35 END + CASE WHEN c.cx < 100 THEN 0.30 ELSE 0 END"""
+
+
+@query("trk_seed", f"""WITH s AS (SELECT frame_id, cx + 20 AS cx, cy + 5 AS cy, r + 4 AS r FROM fx_circles WHERE cand_no = 2), k AS (
+  SELECT s.frame_id, c.cx, c.cy, c.r, c.source, s.cx AS sx, s.cy AS sy, s.r AS sr, sqrt(pow(c.cx - s.cx, 2) + pow(c.cy - s.cy, 2)) / greatest(s.r, 24) AS center, abs(ln(greatest(c.r, 1) / greatest(s.r, 24))) AS radius,
+  row_number() OVER (PARTITION BY s.frame_id ORDER BY {_COST}, c.cand_no) AS n FROM s LEFT JOIN fx_circles c USING (frame_id)), m AS (SELECT *, center <= 0.55 AND radius <= ln(1.55) AS ok FROM k WHERE n = 1)
+SELECT frame_id, CASE WHEN ok THEN cx ELSE sx END AS cx, CASE WHEN ok THEN cy ELSE sy END AS cy, CASE WHEN ok THEN r ELSE sr END AS r, CASE WHEN NOT ok THEN 'manual_seed' WHEN source = 'hough_saturation' THEN 'seeded_hough' ELSE 'seeded_contour' END AS source FROM m""")
+def seed(v):
+    circles = _partial(v.fx_circles)
+    seeds = circles.where("cand_no = 2").select("frame_id", F.struct((F.col("cx") + 20).alias("cx"), (F.col("cy") + 5).alias("cy"), (F.col("r") + 4).alias("r")).alias("seed"))
+    return K.seed_circles(circles, seeds)
+
+
+@query("trk_propagate")
+def propagate(v):
+    c = v.fx_track.withColumns({"cand_no": F.lit(1), "hough": F.lit(True), "partial": F.lit(False)})
+    seeds = v.fx_track.where("cx IS NOT NULL").groupBy("anchor").agg(F.min(F.struct("frame_index", *K.VALUES)).alias("s")).select("anchor", F.col("s.frame_index").alias("seed_index"), *[F.col(f"s.{n}").alias(f"seed_{n}") for n in K.VALUES])
+    return K.fill_gaps(K.propagate(c, seeds).withColumn("confidence", F.lit(1.0)), 2)
+
+
+@query("trk_dedupe_circles")
+def dedupe_circles(v):
+    return K.dedupe(v.fx_circles)
+
+
+@query("trk_concentric")
+def concentric(v):
+    return K.concentric(v.fx_circles)
+
+
+@query("srt_video_candidates", "SELECT frame_id, cand_no, CAST(k AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY confidence DESC, source = 'hough_saturation' DESC, r DESC, cx < 100, cand_no) AS k FROM fx_circles) WHERE k <= 3")
+def video_candidates(v):
+    return K.top_circles(_partial(v.fx_circles), 3).select("frame_id", "cand_no", "rank")
+
+
+@query("srt_top_circles", "SELECT frame_id, cand_no, CAST(k AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY confidence DESC, cand_no) AS k FROM fx_circles) WHERE k <= 2")
+def top_circles(v):
+    from framespan.operators.ranking import best_rows
+
+    return best_rows(v.fx_circles, ["frame_id"], [F.desc("confidence"), F.asc("cand_no")], 2).select("frame_id", "cand_no", "rank")
+
+
+@query("jn_hough_overlap", "SELECT frame_id, cand_no FROM fx_circles c WHERE source <> 'hough_saturation' AND NOT EXISTS (SELECT 1 FROM fx_circles h WHERE h.frame_id = c.frame_id AND h.source = 'hough_saturation' AND sqrt(pow(c.cx - h.cx, 2) + pow(c.cy - h.cy, 2)) <= greatest(24, CAST(0.30 AS DOUBLE) * greatest(c.r, h.r)) AND least(c.r, h.r) / greatest(c.r, h.r) >= CAST(0.45 AS DOUBLE))")
+def hough_overlap(v):
+    c = v.fx_circles
+    return K.without_overlaps(c.where("source <> 'hough_saturation'"), c.where("source = 'hough_saturation'")).select("frame_id", "cand_no")
+
+
+@query("jn_seed_substitution", """WITH s AS (SELECT frame_id, cand_no + 100 AS cand_no, cx + 4 AS cx, cy, r + 2 AS r FROM fx_circles WHERE cand_no = 1), u AS (
+  SELECT frame_id, cand_no, 0 AS is_seed FROM fx_circles c WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.frame_id = c.frame_id AND sqrt(pow(c.cx - s.cx, 2) + pow(c.cy - s.cy, 2)) <= greatest(8, CAST(0.08 AS DOUBLE) * greatest(c.r, s.r)) AND abs(c.r - s.r) <= greatest(6, CAST(0.08 AS DOUBLE) * greatest(c.r, s.r))) UNION ALL SELECT frame_id, cand_no, 1 FROM s)
+SELECT frame_id, cand_no, is_seed, CAST(row_number() OVER (PARTITION BY frame_id ORDER BY is_seed DESC, cand_no) AS INT) AS rank FROM u""")
+def seed_substitution(v):
+    c = v.fx_circles
+    seeds = c.where("cand_no = 1").withColumns({"cand_no": F.col("cand_no") + 100, "cx": F.col("cx") + 4, "r": F.col("r") + 2})
+    return K.substitute_seeds(c, seeds).select("frame_id", "cand_no", "is_seed", "rank")
+
+
+@query("agg_circle_fit", """WITH p AS (SELECT l_orderkey AS frame_id, CAST(l_partkey AS DOUBLE) AS x, CAST(l_suppkey AS DOUBLE) AS y FROM lineitem), m AS (SELECT frame_id, count(*) AS n, avg(x) AS mx, avg(y) AS my FROM p GROUP BY 1),
+s AS (SELECT frame_id, n, mx, my, sum(u * u) AS uu, sum(u * v) AS uv, sum(v * v) AS vv, sum(u * z) AS uz, sum(v * z) AS vz, sum(z) AS z FROM (SELECT *, u * u + v * v AS z FROM (SELECT m.*, x - mx AS u, y - my AS v FROM p JOIN m USING (frame_id))) GROUP BY ALL),
+f AS (SELECT *, n >= 6 AND uu * vv - uv * uv > 1e-9 * uu * vv AS ok, (uz * vv - vz * uv) / (2 * (uu * vv - uv * uv)) AS a, (vz * uu - uz * uv) / (2 * (uu * vv - uv * uv)) AS b FROM s WHERE n >= 6)
+SELECT frame_id, n, round(CASE WHEN ok THEN mx + a END, 3) AS cx, round(CASE WHEN ok THEN my + b END, 3) AS cy, round(CASE WHEN ok THEN sqrt(a * a + b * b + z / n) END, 3) AS r FROM f""")
+def circle_fit(v):
+    points = v.lineitem.select(F.col("l_orderkey").alias("frame_id"), F.col("l_partkey").cast("double").alias("x"), F.col("l_suppkey").cast("double").alias("y"))
+    return K.fit_circles(points).where("n >= 6").select("frame_id", "n", *[F.round(n, 3).alias(n) for n in K.VALUES])
