@@ -1 +1,319 @@
-"""Queries."""
+"""Queries of sources, sinks, joins of manifests and listings, and release checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from framespan.operators import histogram as H
+from framespan.operators import releases as R
+from framespan.plans.registry import query
+from framespan.sources import files as S
+from framespan.sources import sinks
+from framespan.sources.shared import fresh_folder
+
+_N = "CAST({} AS VARCHAR)".format
+
+
+def _paths(v):
+    """Frames' files of three kinds in folders by sequence."""
+    kind = F.when(F.col("frame_id") % 5 == 0, ".TIF").when(F.col("frame_id") % 7 == 0, ".png").otherwise(".tiff")
+    stem = F.when(F.col("frame_id") % 11 == 0, F.concat(F.lit("image_"), F.col("frame_id").cast("string"))).otherwise(F.regexp_replace("tiff_name", r"\.tiff$", ""))
+    return v.fx_frames.select("frame_id", "sequence_id", F.concat(F.lit("/data/raw/"), "sequence_id", F.lit("/a/"), stem, kind).alias("path"))
+
+
+@query("src_frame_scan", "SELECT '/data/raw/' || sequence_id || '/a/' || replace(tiff_name, '.tiff', '') || CASE WHEN frame_id % 5 = 0 THEN '.TIF' ELSE '.tiff' END AS path, replace(tiff_name, '.tiff', '') || CASE WHEN frame_id % 5 = 0 THEN '.TIF' ELSE '.tiff' END AS tiff_name, strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(tiff_s), '%Y-%m-%d %H:%M:%S') AS tiff_time FROM fx_frames WHERE frame_id % 11 <> 0 AND (frame_id % 5 = 0 OR frame_id % 7 <> 0)")
+def frame_scan(v):
+    return S.scan_frames(_paths(v)).withColumn("tiff_time", F.date_format("tiff_time", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("src_discover_sequences", "SELECT frame_id, CASE WHEN frame_id % 3 = 0 THEN '.' ELSE sequence_id || '/a' END AS sequence FROM fx_frames")
+def discover_sequences(v):
+    path = F.when(F.col("frame_id") % 3 == 0, F.lit("/data/raw/x.tiff")).otherwise(F.col("path"))
+    return _paths(v).select("frame_id", S.sequence_of(path, "/data/raw").alias("sequence"))
+
+
+@query("src_thermal_decode", "SELECT sequence_id || '/' || CAST(frame_no AS VARCHAR) AS path, len(dn)::INT AS width, list_sum(list_transform(dn, lambda x: x::BIGINT))::BIGINT AS total FROM fx_dn_arrays WHERE frame_no % 10 = 0")
+def thermal_decode(v):
+    """TIFF bytes are put together from the pixel table: header, pixels, and a directory of seven entries."""
+    n = F.size("dn")
+    word = lambda c: F.unhex(F.concat(F.substring(F.lpad(F.hex(c), 4, "0"), 3, 2), F.substring(F.lpad(F.hex(c), 4, "0"), 1, 2)))
+    double = lambda c: F.concat(word(c % 65536), word(F.floor(c / 65536)))
+    entry = lambda tag, kind, c: F.concat(word(F.lit(tag)), word(F.lit(kind)), double(F.lit(1)), double(c))
+    pixels = F.unhex(F.array_join(F.transform("dn", lambda x: F.concat(F.substring(F.lpad(F.hex(x), 4, "0"), 3, 2), F.substring(F.lpad(F.hex(x), 4, "0"), 1, 2))), ""))
+    head = F.concat(F.lit(b"II*\x00"), double(8 + 2 * n), pixels, word(F.lit(7)))
+    body = [entry(256, 4, n), entry(257, 4, F.lit(1)), entry(258, 3, F.lit(16)), entry(259, 3, F.lit(1)), entry(273, 4, F.lit(8)), entry(277, 3, F.lit(1)), entry(279, 4, 2 * n)]
+    made = v.fx_dn_arrays.where("frame_no % 10 = 0").select(F.concat_ws("/", "sequence_id", F.col("frame_no").cast("string")).alias("path"), F.concat(head, *body, double(F.lit(0))).alias("content"))
+    return S.decode_thermal(made).select("path", "width", F.aggregate("dn", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
+
+
+@query("src_manifest", "SELECT aligned_no, sequence_id, path FROM fx_manifest")
+def src_manifest(v):
+    folder = fresh_folder(v.spark, "manifest")
+    sinks.write_both(v.fx_manifest, folder)
+    return v.spark.read.schema(v.fx_manifest.schema).option("header", "true").csv(f"{folder}/csv")
+
+
+_ENTRY = "named_struct('tiff_name', 'raw/thermal/f' || frame_id || '.tiff', 'tiff_path', 'raw/thermal/f' || frame_id || '.tiff', 'timestamp', '', 'selected_rank', IF(frame_id % 3 = 0, NULL, CAST(frame_id % 4 AS INT)), 'circle', IF(frame_id % 3 = 0, named_struct('cx', cx, 'cy', cy, 'r', r), NULL), 'candidates', candidates) AS entry"
+
+
+@query("src_pad_circles", """WITH f AS (SELECT frame_id, arg_min(cx, cand_no) AS cx, arg_min(r, cand_no) AS r FROM fx_circles GROUP BY 1)
+SELECT 'f' || CAST(f.frame_id AS VARCHAR) || '.tiff' AS tiff_name, CAST(CASE WHEN f.frame_id % 3 = 0 THEN -1 ELSE f.frame_id % 4 END AS INT) AS selected_rank, CASE WHEN f.frame_id % 3 = 0 THEN f.cx ELSE c.cx END AS cx, CASE WHEN f.frame_id % 3 = 0 THEN f.r ELSE c.r END AS r, f.frame_id % 3 <> 0 AND c.cx IS NULL AS bad
+FROM f LEFT JOIN fx_circles c ON c.frame_id = f.frame_id AND c.cand_no = f.frame_id % 4""")
+def pad_circles(v):
+    c = v.fx_circles.groupBy("frame_id").agg(F.min(F.struct("cand_no", "cx", "cy", "r")).alias("f"), F.collect_list(F.struct("cx", "cy", "r", F.col("cand_no").alias("rank"))).alias("candidates"))
+    entries = c.select("frame_id", "f.cx", "f.cy", "f.r", "candidates").selectExpr(_ENTRY)
+    return S.confirmed_circles(entries).select("tiff_name", "selected_rank", "cx", "r", F.col("issue").isNotNull().alias("bad"))
+
+
+@query("src_video_seeds", "SELECT frame_id, CASE WHEN cand_no = 1 THEN 'primary' ELSE 'secondary' END AS anchor, cx, CASE WHEN cx < 50 THEN 'frame_index' ELSE '' END AS issues FROM fx_circles WHERE cand_no <= 2")
+def video_seeds(v):
+    seed = F.struct(F.when(F.col("cx") < 50, -1).otherwise(5).alias("frame_index"), F.lit(1.0).alias("video_time_s"), F.struct("cx", "cy", "r").alias("circle"))
+    name = F.when(F.col("cand_no") == 1, "primary").when(F.col("cand_no") == 2, "secondary").otherwise("other")
+    rows = v.fx_circles.select(F.col("frame_id"), F.create_map(name, seed).alias("anchors"))
+    # the frame's id travels in the seed
+    rows = rows.withColumn("anchors", F.transform_values("anchors", lambda k, s: s.withField("video_time_s", F.col("frame_id").cast("double"))))
+    return S.seed_rows(rows).select(F.col("video_time_s").cast("long").alias("frame_id"), "anchor", "cx", F.array_join("issues", ",").alias("issues"))
+
+
+@query("src_sequence_config", "SELECT sequence_id AS dataset_id, CAST(anchor_no AS INT) AS anchor_no, CASE anchor_no WHEN 0 THEN 'primary' ELSE 'secondary' END AS anchor, expected AS raw_tiff, 8829 AS threshold_dn FROM fx_expected, range(2) t(anchor_no)")
+def sequence_config(v):
+    anchors = F.array(*[F.struct(F.lit(n).alias("name"), F.lit("00:01").alias("requested"), F.lit("00:02").alias("selected")) for n in ("primary", "secondary")])
+    mapping = F.struct(*[F.lit("").alias(n) for n in ("tiff_start", "tiff_end", "video_start", "video_end")], anchors.alias("anchors"))
+    configs = v.fx_expected.select(F.col("sequence_id").alias("dataset_id"), F.lit("").alias("source_sequence_id"), F.lit("dual").alias("strategy"), mapping.alias("time_mapping"), F.struct(F.lit(80.0).alias("threshold_celsius"), F.lit(8829).alias("threshold_dn")).alias("mask"), F.struct(F.col("expected").alias("raw_tiff"), F.col("expected").alias("aligned")).alias("counts"))
+    return S.config_rows(configs).select("dataset_id", "anchor_no", "anchor", "raw_tiff", "threshold_dn")
+
+
+@query("src_transform_bundle", "SELECT frame_id, CASE WHEN cand_no = 1 THEN 'primary' ELSE 'secondary' END AS segment, CAST(cx AS INT) AS crop_x, cand_no = 1 OR cx >= 50 AS complete FROM fx_circles WHERE cand_no = 1 OR (cand_no = 2 AND frame_id % 2 = 0)")
+def transform_bundle(v):
+    matrix = F.array(F.array(F.lit(1.0), F.lit(0.0), F.lit(0.0)), F.array(F.lit(0.0), F.lit(1.0), F.lit(0.0)))
+    crop = F.struct(F.col("cx").cast("int").alias("crop_x"), F.col("cy").cast("int").alias("crop_y"), F.lit(640).alias("crop_w"), F.lit(512).alias("crop_h"), F.when((F.col("cand_no") == 1) | (F.col("cx") >= 50), matrix).alias("matrix"))
+    none = F.lit(None).cast("struct<crop_x:int,crop_y:int,crop_w:int,crop_h:int,matrix:array<array<double>>>")
+    side = F.struct(F.lit(0.5).alias("offset_s"), F.when(F.col("cand_no") == 1, crop).alias("selected"), F.when(F.col("cand_no") == 1, none).otherwise(crop).alias("selected_candidate"))
+    rows = v.fx_circles.where("cand_no = 1 OR (cand_no = 2 AND frame_id % 2 = 0)").groupBy("frame_id").agg(F.max(F.when(F.col("cand_no") == 1, side)).alias("primary"), F.max(F.when(F.col("cand_no") == 2, side)).alias("secondary"))
+    bundles = rows.select("frame_id", F.lit("single").alias("strategy"), F.lit(0.0).alias("split_tiff_s"), "primary", "secondary")
+    return S.transform_segments(bundles).select("frame_id", "segment", "crop_x", "complete")
+
+
+@query("src_checksums", "SELECT sha256(text) AS digest, 'a  b/' || CAST(doc_id AS VARCHAR) AS path FROM documents")
+def src_checksums(v):
+    lines = v.documents.select(F.concat(F.sha2("text", 256), F.lit("  a  b/"), F.col("doc_id").cast("string")).alias("value"))
+    return S.checksum_lines(lines.union(lines.select(F.lit(" ")).limit(1)))
+
+
+@query("sink_table_outputs", "SELECT aligned_no, path, len(path)::INT AS tag FROM fx_manifest")
+def table_outputs(v):
+    folder = fresh_folder(v.spark, "outputs")
+    sinks.write_both(v.fx_manifest.withColumn("tags", F.array(F.length("path"))), folder)
+    csv = v.spark.read.schema(v.fx_manifest.schema).option("header", "true").csv(f"{folder}/csv").select("aligned_no", "path")
+    return csv.join(v.spark.read.schema("aligned_no long, tags array<int>").json(f"{folder}/jsonl"), "aligned_no").select("aligned_no", "path", F.col("tags")[0].alias("tag"))
+
+
+@query("sink_union_rows", "SELECT CAST(doc_id AS VARCHAR) AS id, lang, '' AS quality FROM documents UNION ALL SELECT CAST(doc_id AS VARCHAR), '', CAST(quality AS VARCHAR) FROM labels")
+def union_rows(v):
+    return sinks.union_rows(v.documents.select(F.col("doc_id").alias("id"), "lang"), v.labels.select(F.col("doc_id").alias("id"), "quality"))
+
+
+@query("sink_stats_csv", "SELECT sequence_id, count(*) AS n, printf('%.9f', sum(dn) / CAST(1024 AS DOUBLE)) AS total FROM fx_pixels GROUP BY 1")
+def stats_csv(v):
+    return sinks.stats_text(v.fx_pixels.groupBy("sequence_id").agg(F.count(F.lit(1)).alias("n"), (F.sum("dn") / F.lit(1024.0)).alias("total")))
+
+
+@query("sink_viewer_jsonl", "SELECT sequence_id, aligned_no, path FROM fx_manifest")
+def viewer_jsonl(v):
+    folder = fresh_folder(v.spark, "viewer")
+    sinks.write_viewer(v.fx_manifest, folder, ["sequence_id", "aligned_no", "path"], ["sequence_id", "aligned_no"])
+    return v.spark.read.schema(v.fx_manifest.select("sequence_id", "aligned_no", "path").schema).json(folder)
+
+
+_BOUNDS = "b AS (SELECT sequence_id, '20240105_000000' AS first_stem, '20240120_000000' AS last_stem FROM fx_expected), s AS (SELECT sequence_id, frame_id, replace(tiff_name, '.tiff', '') AS stem FROM fx_frames), k AS (SELECT s.* FROM s JOIN b USING (sequence_id) WHERE stem BETWEEN first_stem AND last_stem)"
+
+
+def _stems(v):
+    bounds = v.fx_expected.select("sequence_id", F.lit("20240105_000000").alias("first_stem"), F.lit("20240120_000000").alias("last_stem"), "expected")
+    return v.fx_frames.select("sequence_id", "frame_id", F.regexp_replace("tiff_name", r"\.tiff$", "").alias("stem")), bounds
+
+
+@query("flt_release_boundary", f"WITH {_BOUNDS} SELECT sequence_id, min(stem) AS first, max(stem) AS last, count(*) AS n, false AS ok FROM k GROUP BY 1")
+def release_boundary(v):
+    return R.boundary_report(*_stems(v)).select("sequence_id", "first", "last", "n", "ok")
+
+
+@query("flt_page_contract", "SELECT l_orderkey, l_linenumber, l_quantity, array_to_string(list_filter([CASE WHEN l_linenumber = 3 THEN 'height' END, CASE WHEN l_quantity > 40 THEN 'page_count' END, CASE WHEN l_linenumber = 2 OR l_discount <> CAST(0.04 AS DOUBLE) THEN 'gain' END], lambda x: x IS NOT NULL), ',') AS issues FROM lineitem")
+def page_contract(v):
+    xmp = F.when(F.col("l_linenumber") == 2, "").otherwise(F.concat(F.lit("<FLIR:TlinearGain>"), F.col("l_discount").cast("string"), F.lit("</FLIR:TlinearGain>")))
+    pages = v.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", F.when(F.col("l_linenumber") == 3, 480).otherwise(512).alias("height"), F.lit(640).alias("width"), F.lit(16).alias("bits"), F.lit(1).alias("samples"), F.when(F.col("l_quantity") > 40, 2).otherwise(1).alias("page_count"), xmp.alias("xmp"))
+    return R.page_issues(pages).select("l_orderkey", "l_linenumber", "l_quantity", F.array_join("issues", ",").alias("issues"))
+
+
+@query("flt_video_contract", "SELECT sequence_id, CASE WHEN sequence_id = 'error' THEN 'frame_count' WHEN sequence_id = 'view' THEN 'fps' ELSE '' END AS issues FROM fx_expected")
+def video_contract(v):
+    videos = v.fx_frames.groupBy("sequence_id").agg(F.count(F.lit(1)).alias("frame_count")).withColumns({"fps": F.when(F.col("sequence_id") == "view", 29.97).otherwise(30.0), "width": F.lit(3840), "height": F.lit(2160)})
+    return R.video_issues(videos, v.fx_expected).select("sequence_id", F.array_join("issues", ",").alias("issues"))
+
+
+@query("flt_circle_bounds", "SELECT frame_id, cand_no, array_to_string(list_filter([CASE WHEN cy >= 480 THEN 'center' END, CASE WHEN cx - r < 0 OR cy - r < 0 OR cx + r > 640 OR cy + r > 480 THEN 'border' END], lambda x: x IS NOT NULL), ',') AS issues FROM fx_circles")
+def circle_bounds(v):
+    return R.circle_issues(v.fx_circles, 640, 480).select("frame_id", "cand_no", F.array_join("issues", ",").alias("issues"))
+
+
+_LOOK = "c AS (SELECT doc_id, 'raw/' || CAST(doc_id AS VARCHAR) || '.tiff' AS path, quality FROM labels)"
+
+
+@query("jn_circle_lookup", f"WITH {_LOOK} SELECT d.doc_id, c.quality AS found, c.quality IS NULL AS missing FROM documents d LEFT JOIN c USING (doc_id)")
+def circle_lookup(v):
+    from framespan.functions.paths import base_name
+
+    frames = v.documents.select("doc_id", F.concat(F.lit("/x/"), F.col("doc_id").cast("string"), F.lit(".tiff")).alias("path")).withColumn("base", base_name(F.col("path")))
+    entries = v.labels.select(F.concat(F.lit("raw/"), F.col("doc_id").cast("string"), F.lit(".tiff")).alias("entry_path"), "quality")
+    by_name = entries.groupBy(base_name(F.col("entry_path")).alias("base")).agg(F.first("quality").alias("q1"))
+    by_path = entries.select(F.col("entry_path").alias("path"), F.col("quality").alias("q2"))
+    found = frames.join(by_name, "base", "left").join(by_path, "path", "left").withColumn("found", F.coalesce("q1", "q2"))
+    return found.select("doc_id", "found", F.col("found").isNull().alias("missing"))
+
+
+@query("jn_prior_review", "SELECT d.doc_id, coalesce(l.quality, -1) AS selected_rank FROM documents d LEFT JOIN labels l USING (doc_id)")
+def prior_review(v):
+    return v.documents.select("doc_id").join(v.labels.select("doc_id", F.col("quality").alias("prior")), "doc_id", "left").select("doc_id", F.coalesce("prior", F.lit(-1)).alias("selected_rank"))
+
+
+@query("jn_manifest_vs_dirs", "SELECT aligned_no, 'missing' AS state FROM fx_manifest WHERE aligned_no NOT IN (SELECT aligned_no FROM fx_listing) UNION ALL SELECT aligned_no, 'stale' FROM fx_listing WHERE aligned_no NOT IN (SELECT aligned_no FROM fx_manifest)")
+def manifest_vs_dirs(v):
+    return R.missing_and_stale(v.fx_manifest, v.fx_listing, ["aligned_no"])
+
+
+@query("jn_source_exists", "SELECT aligned_no, field, p AS path FROM (SELECT aligned_no, 'path' AS field, path AS p FROM fx_manifest UNION ALL SELECT aligned_no, 'video', path || 'x' FROM fx_manifest) WHERE p NOT IN (SELECT path FROM fx_listing)")
+def source_exists(v):
+    rows = v.fx_manifest.withColumn("video", F.concat("path", F.lit("x")))
+    return R.missing_paths(rows, ["path", "video"], v.fx_listing, ["aligned_no"]).select("aligned_no", "field", "path")
+
+
+@query("jn_manifest_identity", "SELECT doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing' ELSE 'stale' END AS state FROM (SELECT doc_id FROM documents WHERE doc_id % 2 = 0) d FULL JOIN (SELECT doc_id FROM documents WHERE doc_id % 3 = 0) l USING (doc_id) WHERE d.doc_id IS NULL OR l.doc_id IS NULL")
+def manifest_identity(v):
+    d = v.documents.select("doc_id")
+    return R.missing_and_stale(d.where("doc_id % 2 = 0"), d.where("doc_id % 3 = 0"), ["doc_id"])
+
+
+def _listed(v):
+    return v.documents.select(F.sha2("text", 256).alias("digest"), F.concat(F.lit("a/"), F.col("doc_id").cast("string")).alias("path"))
+
+
+@query("jn_checksum_verify", "SELECT 'a/' || CAST(doc_id AS VARCHAR) AS path, CASE WHEN doc_id % 89 = 0 THEN 'missing' ELSE 'changed' END AS state FROM documents WHERE doc_id % 89 = 0 OR doc_id % 97 = 0")
+def checksum_verify(v):
+    files = v.documents.where("doc_id % 89 <> 0").select(F.concat(F.lit("a/"), F.col("doc_id").cast("string")).alias("path"), F.when(F.col("doc_id") % 97 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).alias("content"))
+    return R.verified_checksums(_listed(v), files)
+
+
+@query("jn_catalog", "SELECT f.sequence_id AS dataset_id, count(*) AS raw_tiff_count, any_value(e.expected) AS aligned_count, min(tiff_s) AS tiff_start FROM fx_frames f JOIN fx_expected e USING (sequence_id) GROUP BY 1")
+def catalog(v):
+    summary = v.fx_frames.groupBy(F.col("sequence_id").alias("dataset_id")).agg(F.count(F.lit(1)).alias("raw_tiff_count"), F.min("tiff_s").alias("tiff_start"))
+    return summary.join(v.fx_expected.select(F.col("sequence_id").alias("dataset_id"), F.col("expected").alias("aligned_count")), "dataset_id").select("dataset_id", "raw_tiff_count", "aligned_count", "tiff_start")
+
+
+@query("agg_sequence_counts", "SELECT sequence_id, count(*) AS actual, any_value(expected) AS expected, count(*) = any_value(expected) AS ok FROM fx_frames JOIN fx_expected USING (sequence_id) GROUP BY 1")
+def sequence_counts(v):
+    return R.counts_report(v.fx_frames, v.fx_expected)
+
+
+@query("agg_duplicate_identity", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+def duplicate_identity(v):
+    return R.duplicates(v.lineitem, ["l_orderkey", "l_linenumber"])
+
+
+_VS = "video_start + (tiff_s - start_s) * ((video_end - video_start) / (end_s - start_s)) + offset_s"
+_MANIFEST = f"""n AS (SELECT *, lpad(CAST(row_number() OVER (PARTITION BY sequence_id ORDER BY tiff_s, frame_id) AS VARCHAR), 6, '0') || '_' || replace(tiff_name, '.tiff', '') AS aligned_id FROM fx_frames),
+m AS (SELECT n.*, {_VS} AS v, fps, frame_count, segment FROM n JOIN fx_models USING (sequence_id) JOIN fx_segments s ON s.sequence_id = n.sequence_id AND tiff_s >= from_s AND tiff_s < to_s)"""
+
+
+@query("rel_manifest", f"""WITH {_MANIFEST} SELECT frame_id, aligned_id, 'exported' AS status, tiff_name, round(v, 6) AS video_s, CAST(greatest(0, least(round_even(greatest(0, least(v, frame_count / fps)) * fps, 0), frame_count - 1)) AS BIGINT) AS video_frame, segment, 'raw/thermal/' || tiff_name AS thermal_source_path, 'processed/aligned/' || aligned_id || '/mask_80c.png' AS mask_80c_path FROM m""")
+def rel_manifest(v):
+    found = R.manifest(v.fx_frames, v.fx_models, v.fx_segments)
+    return found.select("frame_id", "aligned_id", "status", "tiff_name", F.round("video_s", 6).alias("video_s"), "video_frame", "segment", "thermal_source_path", "mask_80c_path")
+
+
+_ID = "CAST(frame_no AS VARCHAR) || sequence_id"
+_MASKS = f"k AS (SELECT {_ID} AS aligned_id, len(list_filter(dn, lambda x: x >= 8829))::BIGINT AS positive, len(dn)::BIGINT AS total FROM fx_dn_arrays)"
+
+
+def _masks(v):
+    return v.fx_dn_arrays.select(F.concat(F.col("frame_no").cast("string"), "sequence_id").alias("aligned_id"), F.size(F.filter("dn", lambda x: x >= 8829)).cast("long").alias("positive"), F.size("dn").cast("long").alias("total"))
+
+
+@query("rel_normalize_manifest", f"WITH {_MASKS} SELECT aligned_id, aligned_id || '.tiff' AS tiff_name, 'processed/aligned/' || aligned_id || '/mask_80c.png' AS mask_80c_path, positive AS mask_positive_pixels, positive / CAST(total AS DOUBLE) AS mask_positive_fraction FROM k")
+def normalize_manifest(v):
+    m = _masks(v)
+    rows = m.select(F.when(F.col("positive") > 0, F.col("aligned_id")).alias("aligned_id"), F.col("aligned_id").alias("pair_id"), F.concat("aligned_id", F.lit(".tiff")).alias("tiff_name"))
+    return R.normalized_manifest(rows, m).drop("thermal_source_path")
+
+
+@query("rel_update_masks", f"WITH {_MASKS} SELECT aligned_id, CASE WHEN total >= 2 THEN positive ELSE -1 END AS mask_positive_pixels, CASE WHEN total >= 2 THEN CASE WHEN positive = total THEN '1' ELSE regexp_replace(regexp_replace(printf('%.12f', positive / CAST(total AS DOUBLE)), '0+$', ''), '\\.$', '') END ELSE 'old' END AS mask_positive_fraction FROM k")
+def update_masks(v):
+    m = _masks(v)
+    rows = m.select("aligned_id", F.lit(-1).cast("long").alias("mask_positive_pixels"), F.lit("old").alias("mask_positive_fraction"))
+    return R.updated_masks(rows, m.where("total >= 2"))
+
+
+@query("rel_viewer_rows", "SELECT doc_id, source || '/p/' || CAST(doc_id AS VARCHAR) AS thermal_tiff_path, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE n_chars / CAST(4 AS DOUBLE) END AS video_time_s, n_chars AS video_frame_index FROM documents")
+def viewer_rows(v):
+    text = F.when(F.col("doc_id") % 4 == 0, "bad").otherwise((F.col("n_chars") / 4).cast("string"))
+    rows = v.documents.select(F.col("source").alias("sequence_id"), F.col("doc_id").cast("string").alias("aligned_id"), F.concat(F.lit("p/"), F.col("doc_id").cast("string")).alias("thermal_tiff_path"), F.lit("").alias("tiff_time_iso"), text.alias("video_time_s"), F.col("n_chars").cast("string").alias("video_frame_index"), F.lit("0.5").alias("mask_positive_fraction"))
+    return R.viewer_rows(rows).select(F.col("aligned_id").cast("long").alias("doc_id"), "thermal_tiff_path", "video_time_s", "video_frame_index")
+
+
+@query("rel_checksums", "SELECT sha256(text) AS digest, 'd/' || CAST(doc_id AS VARCHAR) AS path FROM documents WHERE doc_id % 10 <> 0")
+def rel_checksums(v):
+    bad = F.element_at(F.array(F.lit("checksums.sha256"), F.lit("x/.cache/a"), F.lit("x/.DS_Store")), (F.col("doc_id") % 3 + 1).cast("int"))
+    path = F.when(F.col("doc_id") % 10 == 0, bad).otherwise(F.concat(F.lit("d/"), F.col("doc_id").cast("string")))
+    return R.checksums(v.documents.select(path.alias("path"), F.col("text").alias("content")))
+
+
+@query("inc_missing_masks", "SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'preserved' ELSE 'created' END AS state FROM documents")
+def missing_masks(v):
+    return R.missing_masks(v.documents.select(F.col("doc_id").alias("aligned_id")), v.labels.select(F.col("doc_id").alias("aligned_id"))).select(F.col("aligned_id").alias("doc_id"), "state")
+
+
+@query("inc_checksum_upsert", "SELECT 'a/' || CAST(doc_id AS VARCHAR) AS path, CASE WHEN doc_id % 5 = 0 THEN 'new' ELSE sha256(text) END AS digest FROM documents UNION ALL SELECT 'b/' || CAST(doc_id AS VARCHAR), 'new' FROM labels")
+def checksum_upsert(v):
+    new = v.documents.where("doc_id % 5 = 0").select(F.concat(F.lit("a/"), F.col("doc_id").cast("string")).alias("path")).union(v.labels.select(F.concat(F.lit("b/"), F.col("doc_id").cast("string")))).withColumn("digest", F.lit("new"))
+    return R.upserted_checksums(_listed(v), new)
+
+
+@query("inc_refresh_manifest", f"WITH {_BOUNDS} SELECT frame_id, stem FROM k WHERE frame_id % 2 = 0")
+def refresh_manifest(v):
+    rows, bounds = _stems(v)
+    kept = R.within_boundary(rows, bounds)
+    return kept.join(v.fx_frames.where("frame_id % 2 = 0").select("frame_id"), "frame_id", "left_semi").select("frame_id", "stem")
+
+
+@query("val_mask", "SELECT sequence_id, frame_no, CAST(CASE WHEN frame_no % 9 = 0 THEN len(list_filter(dn, lambda x: x >= 8829)) ELSE 0 END AS INT) AS differing, 0 AS not_binary FROM fx_dn_arrays")
+def val_mask(v):
+    mask = F.transform("dn", lambda x: F.when((x >= 8829) & (F.col("frame_no") % 9 != 0), 1).otherwise(0))
+    return R.mask_differences(v.fx_dn_arrays.withColumn("mask", mask)).select("sequence_id", "frame_no", "differing", "not_binary")
+
+
+@query("val_aligned_sample", "SELECT aligned_no, f AS file FROM fx_manifest, (VALUES ('thermal.tiff'), ('thermal.png'), ('video.png'), ('overlay.png'), ('mask_80c.png')) t(f) WHERE sequence_id || '/' || CAST(aligned_no AS VARCHAR) || '/' || f NOT IN (SELECT path FROM fx_listing)")
+def aligned_sample(v):
+    return R.sample_gaps(v.fx_manifest, v.fx_listing).select("aligned_no", "file")
+
+
+@query("val_viewer_rows", "SELECT doc_id, array_to_string(list_filter([CASE WHEN lang = 'fr' THEN 'sequence' END, CASE WHEN doc_id % 4 = 0 THEN 'time' END, CASE WHEN doc_id % 9 = 0 THEN 'path' END], lambda x: x IS NOT NULL), ',') AS issues FROM documents")
+def val_viewer_rows(v):
+    rows = v.documents.select("doc_id", "lang", F.when(F.col("doc_id") % 4 == 0, "x").otherwise("2024-01-01T00:00:00").alias("time"), F.concat("source", F.lit("/"), F.when(F.col("doc_id") % 9 == 0, "y").otherwise(F.col("doc_id").cast("string"))).alias("path"), "source")
+    checks = R.issues((~F.col("lang").isin("en", "de", "es"), "sequence"), (F.try_to_timestamp("time").isNull(), "time"), (F.col("path") != F.concat_ws("/", "source", F.col("doc_id").cast("string")), "path"))
+    return rows.select("doc_id", F.array_join(checks, ",").alias("issues"))
+
+
+@query("val_manifest_paths", "SELECT aligned_no FROM fx_manifest WHERE aligned_no % 13 = 0")
+def manifest_paths(v):
+    rows = v.fx_manifest.withColumn("path", F.when(F.col("aligned_no") % 13 == 0, F.concat("path", F.lit("~"))).otherwise(F.col("path")))
+    return rows.where(F.col("path") != F.concat_ws("/", "sequence_id", F.col("aligned_no").cast("string"), F.lit("thermal.tiff"))).select("aligned_no")
+
+
+@query("val_release", """SELECT 'frames' AS check_name, sequence_id AS key, any_value(expected) AS expected, count(*) AS actual, any_value(expected) = count(*) AS ok FROM fx_frames JOIN fx_expected USING (sequence_id) GROUP BY sequence_id
+UNION ALL SELECT 'files', 'all', (SELECT count(*) FROM fx_manifest), (SELECT count(*) FROM fx_listing), (SELECT count(*) FROM fx_manifest) = (SELECT count(*) FROM fx_listing)
+UNION ALL SELECT 'pixels', sequence_id, count(*), count(*), true FROM fx_pixels GROUP BY sequence_id""")
+def val_release(v):
+    counts = R.counts_report(v.fx_frames, v.fx_expected).withColumnRenamed("sequence_id", "key")
+    files = v.fx_manifest.agg(F.count(F.lit(1)).alias("expected")).crossJoin(v.fx_listing.agg(F.count(F.lit(1)).alias("actual"))).withColumn("key", F.lit("all"))  # one row each
+    pixels = v.fx_pixels.groupBy(F.col("sequence_id").alias("key")).agg(F.count(F.lit(1)).alias("expected"))
+    binned = H.binned(H.dn_histogram(v.fx_pixels), 64).groupBy(F.col("sequence_id").alias("key")).agg(F.sum("pixel_count").alias("actual"))
+    return R.release_report([("frames", counts), ("files", files), ("pixels", pixels.join(binned, "key"))])
