@@ -247,7 +247,7 @@ def bundle_links(docs: DataFrame, bundles: DataFrame, *, width: int, percent: in
     tasks = sets.select("node", "root", "block", "tokens", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     tasks = tasks.select("node", "root", "block", "tokens", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
 
-    def links(key, group: pd.DataFrame) -> pd.DataFrame:
+    def links(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates("node").sort_values("node")
         tokens = [np.frombuffer(x, np.uint64) for x in group["tokens"]]
         side = [2] * len(group) if key[1] == key[2] else (group["block"] == key[2]).astype(int).tolist()

@@ -39,7 +39,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 ALLOWED = [
     re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),
     re.compile(r"(?i).*(example|sample|placeholder|changeme|xxxx|0123456789|abcdefgh).*"),
-    re.compile(r"(/?[A-Za-z_-]{2,}[0-9]{0,4}){2,}/?|/.*/.*/.*"),
+    re.compile(r"/?[A-Za-z_-]{2,}[0-9]{0,4}(/[A-Za-z_-]{2,}[0-9]{0,4})+/?|/.*/.*/.*"),
 ]
 _HEX, _ALNUM = frozenset("0123456789abcdefABCDEF"), re.compile(r"[A-Za-z0-9]+")
 _CLOG = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
