@@ -56,7 +56,7 @@ def _by_row(frames: DataFrame, needs: list[str], work: Callable[..., dict], sche
                 made = [pa.array([r[n] for r in rows], type=_ARROW[schema.split(", ")[k].split()[1]]) for k, n in enumerate(names)]
                 yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(c)) for c in keep], *made], names=[*keep, *names])
 
-    return frames.select(*keep, *needs).mapInArrow(batches, f"{kept}, {schema}")
+    return frames.select(*keep, *needs).mapInArrow(batches, f"{kept}, {schema}" if keep else schema)
 
 
 _ARROW = {"double": pa.float64(), "array<int>": pa.list_(pa.int32()), "int": pa.int32(), "string": pa.string()}
