@@ -10,7 +10,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framespan import constants as C
@@ -25,7 +26,7 @@ def dn_histogram(pixels: DataFrame) -> DataFrame:
 
 
 def array_histogram(frames: DataFrame) -> DataFrame:
-    """From frames (sequence_id, dn array): each task counts its frames, tasks' counts are summed.
+    """From frames (sequence_id not null, dn array): each task counts its frames, tasks' counts are summed.
 
     Pixels are never exploded to rows."""
 
@@ -33,10 +34,13 @@ def array_histogram(frames: DataFrame) -> DataFrame:
         totals: dict[str, np.ndarray] = {}
         for batch in it:
             lists = batch.column(1)
-            for k, name in enumerate(batch.column(0).to_pylist()):
-                if lists[k].is_valid:
-                    n = np.bincount(lists[k].values.to_numpy(zero_copy_only=False), minlength=65536)
-                    totals[name] = totals.get(name, 0) + n
+            values = lists.flatten().to_numpy(zero_copy_only=False)
+            sizes = np.diff(np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))))
+            names = batch.column(0).dictionary_encode()
+            of = np.repeat(names.indices.to_numpy(zero_copy_only=False), sizes)
+            for k, name in enumerate(names.dictionary.to_pylist()):
+                n = np.bincount(values[of == k], minlength=65536)
+                totals[name] = totals.get(name, 0) + n
         for name, n in totals.items():
             dn = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(dn)), pa.array(dn.astype(np.int32)), pa.array(n[dn])], names=["sequence_id", "dn", "pixel_count"])
@@ -51,34 +55,38 @@ def with_overall(histogram: DataFrame) -> DataFrame:
     return both.groupBy("sequence_id", "dn").agg(F.sum("pixel_count").alias("pixel_count"))
 
 
+def percentile_array(wanted: tuple[float, ...]) -> Column:
+    """Aggregate of a histogram: percentiles by linear interpolation on the frequencies."""
+    return F.percentile("dn", F.array(*[F.lit(p / 100) for p in wanted]), F.col("pixel_count"))
+
+
+def percentile_columns(wanted: tuple[float, ...]) -> list[Column]:
+    return [F.col("p")[k].alias(f"{name(p)}_dn") for k, p in enumerate(wanted)]
+
+
 def percentiles(histogram: DataFrame, wanted: tuple[float, ...] = C.PERCENTILES) -> DataFrame:
-    """One row a sequence with columns p50_dn and so on: linear interpolation on the frequencies."""
-    at = F.percentile("dn", F.array(*[F.lit(p / 100) for p in wanted]), F.col("pixel_count"))
-    found = histogram.groupBy("sequence_id").agg(at.alias("p"))
-    return found.select("sequence_id", *[F.col("p")[k].alias(f"{name(p)}_dn") for k, p in enumerate(wanted)])
+    """One row a sequence with columns p50_dn and so on."""
+    found = histogram.groupBy("sequence_id").agg(percentile_array(wanted).alias("p"))
+    return found.select("sequence_id", *percentile_columns(wanted))
 
 
 def name(percentile: float) -> str:
     return "p" + f"{percentile:g}".replace(".", "_")
 
 
-def moments(histogram: DataFrame) -> DataFrame:
-    """Pixels, extremes, mean, population standard deviation, and counts of saturated and hot pixels."""
+def distribution_stats(histogram: DataFrame, wanted: tuple[float, ...] = C.PERCENTILES) -> DataFrame:
+    """Statistics in DN and in degrees of every sequence and of all together, in one aggregation of the histogram:
+    pixels, extremes, mean, population deviation, percentiles, and counts of saturated and hot pixels."""
     n, dn = F.col("pixel_count"), F.col("dn").cast("long")
-    sums = histogram.groupBy("sequence_id").agg(
+    sums = with_overall(histogram).groupBy("sequence_id").agg(
         F.sum(n).alias("pixel_count"), F.min("dn").alias("min_dn"), F.max("dn").alias("max_dn"),
         F.sum(dn * n).cast("double").alias("s1"), F.sum((dn * dn * n).cast("decimal(38,0)")).cast("double").alias("s2"),
         F.sum(F.when(dn == C.SATURATION_DN, n).otherwise(0)).alias("saturation_count"),
-        F.sum(F.when(dn >= C.HOT_DN, n).otherwise(0)).alias("mask_positive_pixels"),
+        F.sum(F.when(dn >= C.HOT_DN, n).otherwise(0)).alias("mask_positive_pixels"), percentile_array(wanted).alias("p"),
     )
     mean = F.col("s1") / F.col("pixel_count")
-    return sums.select("sequence_id", "pixel_count", "min_dn", "max_dn", mean.alias("mean_dn"), F.sqrt(F.greatest(F.lit(0.0), F.col("s2") / F.col("pixel_count") - mean * mean)).alias("std_dn"), "saturation_count", "mask_positive_pixels")
-
-
-def distribution_stats(histogram: DataFrame, wanted: tuple[float, ...] = C.PERCENTILES) -> DataFrame:
-    """The full row of statistics in DN and in degrees of every sequence and of all together."""
-    h = with_overall(histogram)
-    row = moments(h).join(percentiles(h, wanted), "sequence_id")
+    std = F.sqrt(F.greatest(F.lit(0.0), F.col("s2") / F.col("pixel_count") - mean * mean))
+    row = sums.select("sequence_id", "pixel_count", "min_dn", "max_dn", mean.alias("mean_dn"), std.alias("std_dn"), "saturation_count", "mask_positive_pixels", *percentile_columns(wanted))
     degrees = [celsius(F.col(f"{k}_dn")).alias(f"{k}_celsius") for k in ("min", "max", "mean", *map(name, wanted))]
     return row.select("*", *degrees, (F.col("std_dn") * C.GAIN).alias("std_celsius"), (F.col("saturation_count") / F.col("pixel_count") * 100).alias("saturation_percent"))
 
