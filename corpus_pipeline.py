@@ -15,7 +15,7 @@ from framespan.llm._common import read_table, shared_folder
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose toxicity score reaches 0.5; labels of all folds train here."""
+    """Drops documents whose toxicity score reaches 0.5; learned as in the query, outside the held-out fold."""
     machine = toxicity.fit_from_tables(docs, read_table(spark, sf_dir, "labels"))
     rejected = toxicity.score(docs, machine).where("score >= 0.5").select("doc_id").distinct()
     return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)

@@ -127,18 +127,21 @@ def repeated_words(words: Column, width: int = 5) -> Column:
     )
 
 
-def default_rules(text: str = "text") -> list[Rule]:
-    """Rules on the whole text; bounds are shares of characters, words or lines in percent."""
+def default_rules(text: str = "text", measured: dict[str, Column] | None = None) -> list[Rule]:
+    """Rules on the whole text; bounds are shares of characters, words or lines in percent.
+
+    measured: columns that hold chars, symbols, words or dup_lines already; others are taken from the text."""
     t = F.coalesce(F.col(text), F.lit(""))
-    chars, symbols = non_blank_chars(F.col(text)), symbol_count(F.col(text))
-    letters, capitals, words = (F.regexp_count(t, F.lit(p)) for p in (r"\p{L}", r"\p{Lu}", WORD))
+    have = {"chars": lambda: non_blank_chars(F.col(text)), "symbols": lambda: symbol_count(F.col(text)), "words": lambda: F.regexp_count(t, F.lit(WORD)), "dup_lines": lambda: repeated_lines(F.col(text))}
+    chars, symbols, words, dup_lines = ((measured or {}).get(n, make()) for n, make in have.items())
+    letters, capitals = (F.length(t) - F.length(F.regexp_replace(t, p, "")) for p in (r"\p{L}+", r"\p{Lu}+"))
     bangs = F.length(t) - F.length(F.translate(t, "!", ""))
     lines = F.length(t) - F.length(F.translate(t, "\n", "")) + 1
     return [
         Rule("symbols", 100 * symbols > 5 * chars),
         Rule("capitals", 100 * capitals > 40 * letters),
         Rule("exclamations", 100 * bangs > 50 * words),
-        Rule("repeated_lines", let(repeated_lines(F.col(text)), lambda n: (n >= 3) & (100 * n > 30 * lines))),
+        Rule("repeated_lines", let(dup_lines, lambda n: (n >= 3) & (100 * n > 30 * lines))),
         Rule("few_letters", 100 * letters < 50 * chars),
         Rule("word_length", (chars < 2 * words) | (chars > 20 * words)),
     ]
@@ -153,7 +156,9 @@ def base_measures(docs: DataFrame) -> DataFrame:
 
 def op2_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir).select("doc_id", "text")
-    judged = apply_cascade(base_measures(docs), default_rules(), sample_rows(docs), before=F.col("base_failed"))
+    rules = default_rules(measured={"chars": F.col("word_chars"), "symbols": F.col("n_symbols"), "words": F.col("n_words"), "dup_lines": F.col("n_dup_lines")})
+    sample = cut(base_measures(sample_rows(docs)))
+    judged = apply_cascade(base_measures(docs), rules, sample, before=F.col("base_failed"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & F.col("rejected_by").isNull()).alias("kept"))
 
 
