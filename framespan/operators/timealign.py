@@ -1,7 +1,8 @@
 """Frames of two sensors brought together in time.
 
 Times are whole or fractional seconds on one axis.  Joins in time are one sort by (sequence, time): a union of both sides
-and a last/first value that is not null; there is no join on an inequality between large sides."""
+and a last/first value that is not null; there is no join on an inequality between large sides.  Sequences of very many
+rows are dealt over tasks by ranges of time (see ranges)."""
 
 from __future__ import annotations
 
@@ -9,9 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framespan.functions.timeparse import frame_index, tiff_seconds, video_seconds
+from framespan.operators.ranges import ONE_TASK, before_and_after, place
 
 
-def nearest_frames(targets: DataFrame, frames: DataFrame, *, by: str) -> DataFrame:
+def nearest_frames(targets: DataFrame, frames: DataFrame, *, by: str, most: int = ONE_TASK) -> DataFrame:
     """Each target (by, target_id, t) with the frame (by, frame_id, t) nearest in time; the earlier one on ties.
 
     Of frames at one time the least frame_id counts.  Without any frame of its key a target keeps null."""
@@ -20,8 +22,7 @@ def nearest_frames(targets: DataFrame, frames: DataFrame, *, by: str) -> DataFra
     both = firsts.select(by, "t", F.lit(None).cast("long").alias("target_id"), point.alias("frame"), F.lit(0).alias("side")).unionByName(
         targets.select(by, "t", "target_id", F.lit(None).cast(f"struct<t:{firsts.schema['t'].dataType.simpleString()},frame_id:bigint>").alias("frame"), F.lit(1).alias("side"))
     )
-    order = Window.partitionBy(by).orderBy("t", "side")
-    found = both.withColumn("before", F.last("frame", True).over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("after", F.first("frame", True).over(order.rowsBetween(0, Window.unboundedFollowing)))
+    found = before_and_after(both, by, ["t", "side"], F.col("frame"), most=most)
     t, b, a = F.col("t"), F.col("before"), F.col("after")
     best = F.when(b.isNull(), a).when(a.isNull(), b).when(a["t"] - t < t - b["t"], a).otherwise(b)
     return found.where("side = 1").select(by, "target_id", "t", best.alias("m")).select(by, "target_id", "t", F.col("m.frame_id").alias("frame_id"), (F.col("m.t") - F.col("t")).alias("delta"))
@@ -54,12 +55,11 @@ def split_time(anchors: DataFrame, models: DataFrame) -> DataFrame:
     return middle.join(models, "sequence_id").select("sequence_id", "split_video_s", tiff_seconds(F.col("split_video_s"), *model).alias("split_tiff_s"))
 
 
-def numbered(frames: DataFrame, *, most: int | None = None) -> DataFrame:
-    """aligned_id `000189_<stem>`: place by time in the sequence, from 1.  Only narrow columns are sorted."""
-    place = F.row_number().over(Window.partitionBy("sequence_id").orderBy("tiff_s", "frame_id"))
-    found = frames.withColumn("place", place)
+def numbered(frames: DataFrame, *, first: int | None = None, most: int = ONE_TASK) -> DataFrame:
+    """aligned_id `000189_<stem>`: place by time in the sequence, from 1; `first` keeps that many a sequence."""
+    found = place(frames, "sequence_id", ["tiff_s", "frame_id"], most=most)
     stem = F.regexp_replace("tiff_name", r"\.[^.]*$", "")
-    found = found.where(F.col("place") <= most) if most else found
+    found = found.where(F.col("place") <= first) if first else found
     return found.withColumn("aligned_id", F.concat(F.format_string("%06d", "place"), F.lit("_"), stem))
 
 

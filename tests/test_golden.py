@@ -97,6 +97,17 @@ def test_thermal_decode(spark, tmp_path):
     assert files.decode_thermal(spark.createDataFrame([("a", bytearray(contents["a"]))], "path string, content binary"), height=512).first().error
 
 
+def test_large_keys_are_dealt_by_ranges(spark):
+    """The same results as in one task, for a key that holds most rows."""
+    rows = spark.range(3000).select(F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("k"), F.col("id").alias("frame_id"), (F.col("id") * 7919 % 1000).alias("t"))
+    frames, targets = rows.where("frame_id % 3 = 0"), rows.where("frame_id % 3 > 0").withColumnRenamed("frame_id", "target_id")
+    one, many = (timealign.nearest_frames(targets, frames, by="k", most=n) for n in (10**6, 100))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+    named = rows.select(F.col("k").alias("sequence_id"), "frame_id", F.col("t").alias("tiff_s"), F.lit("x.tiff").alias("tiff_name"))
+    one, many = ({r.frame_id: r.place for r in timealign.numbered(named, most=n).collect()} for n in (10**6, 100))
+    assert one == many and timealign.numbered(named.limit(0), most=0).count() == 0
+
+
 def test_nearest_frame_ties_and_empty(spark):
     frames = spark.createDataFrame([("a", 1, 0), ("a", 2, 10), ("a", 3, 10)], "k string, frame_id long, t long")
     targets = spark.createDataFrame([("a", 1, 5), ("a", 2, 6), ("a", 3, -4), ("a", 4, 99), ("b", 5, 0)], "k string, target_id long, t long")
