@@ -39,7 +39,7 @@ ORDER_SAMPLE = 5000
 #: most tokens with a place of their own at the end of the order
 COMMON = 1 << 18
 #: sets and tokens of a block
-BLOCK_SETS, BLOCK_TOKENS = 1000, 1_000_000
+BLOCK_SETS, BLOCK_TOKENS = 100, 500_000
 #: bundles of at most so many classes in all are sent to every task, others are shuffled
 BROADCAST_ROWS = 1_000_000
 
