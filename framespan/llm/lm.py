@@ -112,9 +112,24 @@ class Vocabulary:
         return np.where(at >= 0, self.units[at], units), at
 
 
+def most_frequent(counts: DataFrame) -> DataFrame:
+    """Words whose count reaches a bound, the lowest of the sixteenths of octaves that leaves FREQUENT at most.
+
+    The bound comes from a table of some hundred rows, so no task sorts or gathers what all others found."""
+    step = F.floor(F.log2(F.col("n_all").cast("double")) * 16).cast("int")
+    sizes = sorted(((r["step"], r["count"]) for r in counts.groupBy(step.alias("step")).count().collect()), reverse=True)
+    bound, total = 1 << 30, 0
+    for at, size in sizes:
+        total += size
+        if total > FREQUENT:
+            break
+        bound = at
+    return counts.where(step >= bound)
+
+
 def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
     """From the count table; what reaches the driver are FREQUENT rows and one row a class."""
-    top = counts.orderBy(F.desc("n_all"), "h").limit(FREQUENT).toArrow()
+    top = most_frequent(counts).toArrow()
     h, unit, n = top["h"].to_numpy().view(np.uint64), top["unit"].to_numpy().astype(np.int64), top["n_train"].to_numpy()
     own = np.lexsort((h, -n))[:WORDS]
     own = own[n[own] > 0]
