@@ -1 +1 @@
-
+"""Operators: DataFrames in, DataFrames out."""

@@ -2,7 +2,6 @@
 
 import datetime as dt
 import glob
-import os
 import struct
 
 import numpy as np
