@@ -4,7 +4,8 @@ A candidate is a run of 20 or more token characters with a letter and a digit.
 it; the counts of its characters and the sum of c*log2(c) are updated by the character that leaves and the one that
 enters.  A window counts when its entropy reaches the bound of its character class (hexadecimal, alphanumeric, or with
 the marks of base64).  Windows that touch are joined to one span.  Allow-listed candidates (identifiers in the 8-4-4-4-12
-form, URLs and paths, placeholders, running sequences) and spans that touch a pattern's span are left out.
+form, URLs and paths, short values with a placeholder or running sequence) and the parts of a span that a pattern's span
+covers are left out.  A URL ends at a blank, quote, bracket, comma, semicolon, bar or backslash.
 
 Texts are worked on one at a time inside Arrow batches; nothing is shuffled.
 
@@ -38,9 +39,12 @@ BOUNDS = {"hex": 2.9, "alnum": 3.6, "base64": 3.8}
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 ALLOWED = [
     re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),
-    re.compile(r"(?i).*(example|sample|placeholder|changeme|xxxx|0123456789|abcdefgh).*"),
     re.compile(r"/?[A-Za-z_-]{2,}[0-9]{0,4}(/[A-Za-z_-]{2,}[0-9]{0,4})+/?|/.*/.*/.*"),
 ]
+PLACEHOLDER = re.compile(r"(?i)example|sample|placeholder|changeme|xxxx|0123456789|abcdefgh")
+#: characters of a value that a placeholder's word can excuse
+SHORT = 2 * WINDOW
+_URL = re.compile(r"""://[^\s"'`\u2018-\u201f\u00ab\u00bb()\[\]{}<>,;|\\]*\Z""")
 _HEX, _ALNUM = frozenset("0123456789abcdefABCDEF"), re.compile(r"[A-Za-z0-9]+")
 _CLOG = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
@@ -75,8 +79,14 @@ def windows_above(text: str, bound: float, width: int = WINDOW) -> Iterator[tupl
         yield first, last
 
 
+def placeholder(text: str) -> bool:
+    """Whether the value, what follows the last '=' before any padding, is short and holds a placeholder's word, and no long part before it is another value."""
+    *names, value = text.rstrip("=").split("=")
+    return all(len(p) <= SHORT and PLACEHOLDER.search(p) for p in [value, *(n for n in names if len(n) >= WINDOW)])
+
+
 def allowed(text: str, at: int, whole: str) -> bool:
-    return any(p.fullmatch(text) for p in ALLOWED) or whole[max(0, at - 3) : at] == "://" or "://" in whole[max(0, at - 200) : at].rpartition(" ")[2]
+    return any(p.fullmatch(text) for p in ALLOWED) or placeholder(text) or bool(_URL.search(whole, max(0, at - 200), at))
 
 
 def pattern_spans(text: str) -> list[tuple[int, int, int]]:
@@ -88,17 +98,26 @@ def pattern_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def uncovered(a: int, b: int, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of a span outside those taken, which are in order of start."""
+    for start, _, end in taken:
+        if a < end and start < b:
+            if a < start:
+                yield a, start
+            a = end
+    if a < b:
+        yield a, b
+
+
 def entropy_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of the entropy spans that touch none of those taken."""
+    """(start, kind, end) of the entropy spans, without what those taken cover."""
     found = []
     for m in CANDIDATE.finditer(text):
         s = m[0]
         if not any(map(str.isdigit, s)) or not any(map(str.isalpha, s)) or allowed(s, m.start(), text):
             continue
         for a, b in windows_above(s, BOUNDS[class_of(s)]):
-            a, b = a + m.start(), b + m.start()
-            if not any(a < end and start < b for start, _, end in taken):
-                found.append((a, KINDS.index("entropy"), b))
+            found += [(c, KINDS.index("entropy"), d) for c, d in uncovered(a + m.start(), b + m.start(), taken)]
     return found
 
 

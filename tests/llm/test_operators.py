@@ -396,6 +396,17 @@ def test_secret_spans(spark):
     assert clean[2].text is None and clean[3].text == "clean"
 
 
+def test_secret_allow_list_spares_no_secret():
+    key, digits = "Zx9Kq2Lm8Pw4Rt7Yv1Bn6", "0a1b2c3d" * 3
+    left = lambda t: "".join(c for i, c in enumerate(t) if not any(a <= i < b for a, _, b in secrets.pattern_spans(t) + secrets.entropy_spans(t, secrets.pattern_spans(t))))
+    for text in (f"https://ex.org\n{key}", f"https://ex.org\t{key}", f'{{"url":"https://ex.org","cred":"{key}"}}', f"(https://ex.org){key}", f"https://ex.org,{key}", f"SAMPLE_DB_PW={key}", f"{key}=example", f"{key * 3}xxxx{key}"):
+        assert key not in left(text), text
+    assert left(f"{key}{digits}{key}") == ""
+    assert list(secrets.uncovered(0, 9, [(0, 0, 2), (1, 1, 4), (3, 2, 4), (6, 0, 7)])) == [(4, 6), (7, 9)]
+    for text in (f"http://x.y/{key}", f"see http://x.y/a?b={key}", "DB_PW=changeme-Zx9Kq2Lm8Pw4", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "PW=Zx9Kq2Lm8EXAMPLEPw4Rt7=="):
+        assert left(text) == text
+
+
 def test_secret_digest(spark, folder, rows):
     found = {r.doc_id: r for r in Q.queries()["op9_secret_scan"](spark, folder[0]).collect()}
     for doc_id, text, *_ in rows:
