@@ -29,4 +29,8 @@ SIZE_SCALES = (0.92, 0.97, 1.0, 1.03, 1.08)
 ASPECT_SCALES = (0.98, 1.0, 1.02)
 CENTER_SHIFTS = (-0.12, 0.0, 0.12)
 
+#: path fields of a manifest and their file of a sample
+MANIFEST_PATHS = {"thermal_tiff_path": "thermal.tiff", "thermal_png_path": "thermal.png", "video_png_path": "video.png", "overlay_png_path": "overlay.png", "mask_80c_path": "mask_80c.png"}
+#: file names of a viewer row and the manifest's path field they come from
+VIEWER_FILES = {"thermal_file_name": "thermal_png_path", "thermal_tiff_file_name": "thermal_tiff_path", "rgb_file_name": "video_png_path", "overlay_file_name": "overlay_png_path", "mask_80c_file_name": "mask_80c_path"}
 SAMPLE_FILES = ("thermal.tiff", "thermal.png", "video.png", "overlay.png", "mask_80c.png")

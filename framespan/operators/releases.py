@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framespan import constants as C
+from framespan.functions.paths import repository_path
 from framespan.functions.radiometry import general_12, xmp_number
-from framespan.functions.timeparse import format_video_time
+from framespan.functions.timeparse import format_video_time, parse_frame_time
 from framespan.operators.timealign import in_segments, numbered, to_video
 
 
@@ -54,7 +55,7 @@ def manifest(frames: DataFrame, models: DataFrame, segments: DataFrame, *, folde
     """Manifest rows of all frames: id, times, video frame, segment and paths."""
     rows = in_segments(to_video(numbered(frames), models), segments)
     path = lambda name: F.concat_ws("/", F.lit(folder), "aligned_id", F.lit(name))
-    return rows.select("sequence_id", "frame_id", "aligned_id", F.lit("exported").alias("status"), "tiff_name", "video_s", format_video_time(F.col("video_s")).alias("video_time"), "video_frame", "segment", F.concat(F.lit("raw/thermal/"), "tiff_name").alias("thermal_source_path"), path("thermal.tiff").alias("thermal_tiff_path"), path("mask_80c.png").alias("mask_80c_path"))
+    return rows.select("sequence_id", "frame_id", "aligned_id", F.lit("exported").alias("status"), "tiff_name", parse_frame_time(F.col("tiff_name")).cast("string").alias("tiff_time_iso"), "video_s", format_video_time(F.col("video_s")).alias("video_time"), "video_frame", "segment", F.concat(F.lit("raw/thermal/"), "tiff_name").alias("thermal_source_path"), *[path(name).alias(field) for field, name in C.MANIFEST_PATHS.items()])
 
 
 def normalized_manifest(rows: DataFrame, masks: DataFrame) -> DataFrame:
@@ -71,9 +72,14 @@ def updated_masks(rows: DataFrame, masks: DataFrame) -> DataFrame:
 
 
 def viewer_rows(rows: DataFrame) -> DataFrame:
-    """Typed viewer rows of manifest rows whose values are text."""
-    path = lambda c: F.concat_ws("/", "sequence_id", c)
-    return rows.select("sequence_id", "aligned_id", path("thermal_tiff_path").alias("thermal_tiff_file_name"), "tiff_time_iso", F.col("video_time_s").try_cast("double").alias("video_time_s"), F.col("video_frame_index").try_cast("long").alias("video_frame_index"), F.col("mask_positive_fraction").try_cast("double").alias("mask_positive_fraction"), path("thermal_tiff_path").alias("thermal_tiff_path"))
+    """The typed viewer rows, their fields in the release's order, of manifest rows whose values are text; an unsafe path is null."""
+    path = lambda c: repository_path(F.col("sequence_id"), F.col(c))
+    typed = lambda c, kind: F.col(c).try_cast(kind).alias(c)
+    return rows.select(
+        "sequence_id", "aligned_id", *[path(c).alias(field) for field, c in C.VIEWER_FILES.items()], "tiff_time_iso", "video_time",
+        typed("video_time_s", "double"), typed("video_frame_index", "long"), typed("visual_score", "double"), typed("mask_positive_pixels", "long"),
+        typed("mask_positive_fraction", "double"), *[path(c).alias(c) for c in ("thermal_tiff_path", "thermal_source_path")],
+    )
 
 
 def checksums(files: DataFrame) -> DataFrame:

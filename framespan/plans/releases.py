@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from framespan import constants as C
 from framespan.operators import histogram as H
 from framespan.operators import releases as R
 from framespan.plans.registry import query
@@ -118,11 +119,20 @@ def stats_csv(v):
     return sinks.stats_text(v.fx_pixels.groupBy("sequence_id").agg(F.count(F.lit(1)).alias("n"), (F.sum("dn") / F.lit(1024.0)).alias("total")))
 
 
+def _texts(rows, **own):
+    """Manifest rows as text for rows with sequence_id, aligned_id and folder; own columns replace the fixed values."""
+    paths = {field: F.concat_ws("/", "folder", F.lit(name)) for field, name in C.MANIFEST_PATHS.items()}
+    fixed = {"tiff_time_iso": "2024-01-01 00:00:00", "video_time": "00:01:18", "video_time_s": "78.0", "video_frame_index": "2340", "visual_score": "0.5", "mask_positive_pixels": "4", "mask_positive_fraction": "0.5", "thermal_source_path": "raw/thermal/a.tiff"}
+    return rows.withColumns({**{c: F.lit(t) for c, t in fixed.items()}, **paths, **own})
+
+
 @query("sink_viewer_jsonl", "SELECT sequence_id, aligned_no, path FROM fx_manifest")
 def viewer_jsonl(v):
     folder = fresh_folder(v.spark, "viewer")
-    sinks.write_viewer(v.fx_manifest, folder, ["sequence_id", "aligned_no", "path"], ["sequence_id", "aligned_no"])
-    return v.spark.read.schema(v.fx_manifest.select("sequence_id", "aligned_no", "path").schema).json(folder)
+    number = F.col("aligned_no").cast("string")
+    rows = R.viewer_rows(_texts(v.fx_manifest.select("sequence_id", F.lpad(number, 12, "0").alias("aligned_id"), number.alias("folder"))))
+    sinks.write_viewer(rows, folder, rows.columns, ["sequence_id", "aligned_id"])
+    return v.spark.read.schema(rows.schema).json(folder).select("sequence_id", F.col("aligned_id").cast("long").alias("aligned_no"), F.col("thermal_tiff_path").alias("path"))
 
 
 _BOUNDS = "b AS (SELECT sequence_id, '20240105_000000' AS first_stem, '20240120_000000' AS last_stem FROM fx_expected), s AS (SELECT sequence_id, frame_id, replace(tiff_name, '.tiff', '') AS stem FROM fx_frames), k AS (SELECT s.* FROM s JOIN b USING (sequence_id) WHERE stem BETWEEN first_stem AND last_stem)"
@@ -255,7 +265,9 @@ def update_masks(v):
 @query("rel_viewer_rows", "SELECT doc_id, source || '/p/' || CAST(doc_id AS VARCHAR) AS thermal_tiff_path, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE n_chars / CAST(4 AS DOUBLE) END AS video_time_s, n_chars AS video_frame_index FROM documents")
 def viewer_rows(v):
     text = F.when(F.col("doc_id") % 4 == 0, "bad").otherwise((F.col("n_chars") / 4).cast("string"))
-    rows = v.documents.select(F.col("source").alias("sequence_id"), F.col("doc_id").cast("string").alias("aligned_id"), F.concat(F.lit("p/"), F.col("doc_id").cast("string")).alias("thermal_tiff_path"), F.lit("").alias("tiff_time_iso"), text.alias("video_time_s"), F.col("n_chars").cast("string").alias("video_frame_index"), F.lit("0.5").alias("mask_positive_fraction"))
+    number = F.col("doc_id").cast("string")
+    rows = v.documents.select(F.col("source").alias("sequence_id"), number.alias("aligned_id"), F.concat(F.lit("p/"), number).alias("folder"), text.alias("time"), F.col("n_chars").cast("string").alias("frame"))
+    rows = _texts(rows, thermal_tiff_path=F.col("folder"), video_time_s=F.col("time"), video_frame_index=F.col("frame"))
     return R.viewer_rows(rows).select(F.col("aligned_id").cast("long").alias("doc_id"), "thermal_tiff_path", "video_time_s", "video_frame_index")
 
 
