@@ -10,6 +10,7 @@ PERCENTILES = (0.1, 1.0, 5.0, 25.0, 50.0, 75.0, 95.0, 99.0, 99.9)
 
 #: thermal frames
 HEIGHT, WIDTH, BITS = 512, 640, 16
+DTYPE, MAKE, MODEL, NORMALIZED = "uint16", "FLIR", "Vue Pro R 640 13mm", 1
 #: video
 FPS, VIDEO_WIDTH, VIDEO_HEIGHT = 30.0, 3840, 2160
 
@@ -33,4 +34,7 @@ CENTER_SHIFTS = (-0.12, 0.0, 0.12)
 MANIFEST_PATHS = {"thermal_tiff_path": "thermal.tiff", "thermal_png_path": "thermal.png", "video_png_path": "video.png", "overlay_png_path": "overlay.png", "mask_80c_path": "mask_80c.png"}
 #: file names of a viewer row and the manifest's path field they come from
 VIEWER_FILES = {"thermal_file_name": "thermal_png_path", "thermal_tiff_file_name": "thermal_tiff_path", "rgb_file_name": "video_png_path", "overlay_file_name": "overlay_png_path", "mask_80c_file_name": "mask_80c_path"}
+VIEWER_TEXTS = ("sequence_id", "aligned_id", "tiff_time_iso", "video_time", "thermal_tiff_path", "thermal_source_path")
+VIEWER_NUMBERS = {"video_time_s": "double", "video_frame_index": "bigint", "visual_score": "double", "mask_positive_pixels": "bigint", "mask_positive_fraction": "double"}
+VIEWER_FIELDS = ("sequence_id", "aligned_id", *VIEWER_FILES, "tiff_time_iso", "video_time", *VIEWER_NUMBERS, "thermal_tiff_path", "thermal_source_path")
 SAMPLE_FILES = ("thermal.tiff", "thermal.png", "video.png", "overlay.png", "mask_80c.png")

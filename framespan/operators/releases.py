@@ -25,7 +25,9 @@ def page_issues(pages: DataFrame) -> DataFrame:
     return pages.withColumn("issues", issues(
         (F.col("height") != C.HEIGHT, "height"), (F.col("width") != C.WIDTH, "width"), (F.col("bits") != C.BITS, "bits"),
         (F.col("samples") != 1, "samples"), (F.col("page_count") != 1, "page_count"),
-        (~near(xmp_number(F.col("xmp"), "TlinearGain"), C.GAIN), "gain"),
+        (F.col("dtype") != C.DTYPE, "dtype"), (F.col("make") != C.MAKE, "make"), (F.col("model") != C.MODEL, "model"), (F.col("xmp").isNull(), "xmp"),
+        (F.col("xmp").isNotNull() & ~near(xmp_number(F.col("xmp"), "TlinearGain"), C.GAIN), "gain"),
+        (F.col("xmp").isNotNull() & ~near(xmp_number(F.col("xmp"), "IsNormalized"), C.NORMALIZED), "normalized"),
     ))
 
 
@@ -82,6 +84,28 @@ def viewer_rows(rows: DataFrame) -> DataFrame:
     )
 
 
+def viewer_issues(rows: DataFrame, sequences: list[str]) -> DataFrame:
+    """Violations of viewer rows: fields and their order, empty texts, types of numbers, unknown sequence, time, templated paths."""
+    kinds = dict(rows.dtypes)
+    own = lambda c: F.col(c) if c in kinds else F.lit(None)
+    bad_text = [own(c).isNull() | F.lit(kinds.get(c) != "string") | (own(c).cast("string") == "") for c in C.VIEWER_TEXTS]
+    bad_number = [own(c).isNull() | F.lit(kinds.get(c) != kind) for c, kind in C.VIEWER_NUMBERS.items()]
+    paths = {**{field: C.MANIFEST_PATHS[c] for field, c in C.VIEWER_FILES.items()}, "thermal_tiff_path": "thermal.tiff"}
+    bad_path = [~own(field).eqNullSafe(F.concat_ws("/", own("sequence_id"), F.lit("processed/aligned"), own("aligned_id"), F.lit(name))) for field, name in paths.items()]
+    fields = tuple(c for c in rows.columns if c in C.VIEWER_FIELDS)
+    either = lambda checks: reduce(Column.__or__, checks)
+    return rows.withColumn("issues", issues(
+        (F.lit(fields != C.VIEWER_FIELDS), "fields"), (either(bad_text), "text"), (either(bad_number), "number"),
+        (~own("sequence_id").isin(*sequences), "sequence"), (F.try_to_timestamp(own("tiff_time_iso").cast("string")).isNull(), "time"), (either(bad_path), "path"),
+    ))
+
+
+def manifest_path_issues(rows: DataFrame, *, folder: str = "processed/aligned") -> DataFrame:
+    """The path fields of manifest rows that differ from their template."""
+    templates = {"thermal_source_path": F.concat(F.lit("raw/thermal/"), "tiff_name"), **{field: F.concat(F.lit(f"{folder}/"), "aligned_id", F.lit(f"/{name}")) for field, name in C.MANIFEST_PATHS.items()}}
+    return rows.withColumn("issues", issues(*[(F.col(field) != template, field) for field, template in templates.items()]))
+
+
 def checksums(files: DataFrame) -> DataFrame:
     """digest and path of files (path, content), without the list itself, caches and system files."""
     kept = files.where(~F.col("path").rlike(r"(^|/)(checksums\.sha256|\.DS_Store)$|(^|/)\.cache/"))

@@ -150,8 +150,9 @@ def release_boundary(v):
 
 @query("flt_page_contract", "SELECT l_orderkey, l_linenumber, l_quantity, array_to_string(list_filter([CASE WHEN l_linenumber = 3 THEN 'height' END, CASE WHEN l_quantity > 40 THEN 'page_count' END, CASE WHEN l_linenumber = 2 OR l_discount <> CAST(0.04 AS DOUBLE) THEN 'gain' END], lambda x: x IS NOT NULL), ',') AS issues FROM lineitem")
 def page_contract(v):
-    xmp = F.when(F.col("l_linenumber") == 2, "").otherwise(F.concat(F.lit("<FLIR:TlinearGain>"), F.col("l_discount").cast("string"), F.lit("</FLIR:TlinearGain>")))
-    pages = v.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", F.when(F.col("l_linenumber") == 3, 480).otherwise(512).alias("height"), F.lit(640).alias("width"), F.lit(16).alias("bits"), F.lit(1).alias("samples"), F.when(F.col("l_quantity") > 40, 2).otherwise(1).alias("page_count"), xmp.alias("xmp"))
+    gain = F.when(F.col("l_linenumber") == 2, "").otherwise(F.concat(F.lit("<FLIR:TlinearGain>"), F.col("l_discount").cast("string"), F.lit("</FLIR:TlinearGain>")))
+    xmp = F.concat(gain, F.lit("<FLIR:IsNormalized>1</FLIR:IsNormalized>"))
+    pages = v.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", F.when(F.col("l_linenumber") == 3, 480).otherwise(512).alias("height"), F.lit(640).alias("width"), F.lit(16).alias("bits"), F.lit(1).alias("samples"), F.when(F.col("l_quantity") > 40, 2).otherwise(1).alias("page_count"), xmp.alias("xmp"), F.lit("uint16").alias("dtype"), F.lit("FLIR").alias("make"), F.lit("Vue Pro R 640 13mm").alias("model"))
     return R.page_issues(pages).select("l_orderkey", "l_linenumber", "l_quantity", F.array_join("issues", ",").alias("issues"))
 
 
@@ -309,15 +310,21 @@ def aligned_sample(v):
 
 @query("val_viewer_rows", "SELECT doc_id, array_to_string(list_filter([CASE WHEN lang = 'fr' THEN 'sequence' END, CASE WHEN doc_id % 4 = 0 THEN 'time' END, CASE WHEN doc_id % 9 = 0 THEN 'path' END], lambda x: x IS NOT NULL), ',') AS issues FROM documents")
 def val_viewer_rows(v):
-    rows = v.documents.select("doc_id", "lang", F.when(F.col("doc_id") % 4 == 0, "x").otherwise("2024-01-01T00:00:00").alias("time"), F.concat("source", F.lit("/"), F.when(F.col("doc_id") % 9 == 0, "y").otherwise(F.col("doc_id").cast("string"))).alias("path"), "source")
-    checks = R.issues((~F.col("lang").isin("en", "de", "es"), "sequence"), (F.try_to_timestamp("time").isNull(), "time"), (F.col("path") != F.concat_ws("/", "source", F.col("doc_id").cast("string")), "path"))
-    return rows.select("doc_id", F.array_join(checks, ",").alias("issues"))
+    number = F.col("doc_id").cast("string")
+    rows = v.documents.select("doc_id", F.col("lang").alias("sequence_id"), number.alias("aligned_id"), F.concat(F.lit("processed/aligned/"), number).alias("folder"))
+    path = F.concat_ws("/", "folder", F.when(F.col("doc_id") % 9 == 0, "y").otherwise("thermal.tiff"))
+    rows = _texts(rows, thermal_tiff_path=path, tiff_time_iso=F.when(F.col("doc_id") % 4 == 0, "x").otherwise("2024-01-01T00:00:00"))
+    found = R.viewer_issues(R.viewer_rows(rows), ["en", "de", "es"])
+    return found.select(F.col("aligned_id").cast("long").alias("doc_id"), F.array_join("issues", ",").alias("issues"))
 
 
 @query("val_manifest_paths", "SELECT aligned_no FROM fx_manifest WHERE aligned_no % 13 = 0")
 def manifest_paths(v):
-    rows = v.fx_manifest.withColumn("path", F.when(F.col("aligned_no") % 13 == 0, F.concat("path", F.lit("~"))).otherwise(F.col("path")))
-    return rows.where(F.col("path") != F.concat_ws("/", "sequence_id", F.col("aligned_no").cast("string"), F.lit("thermal.tiff"))).select("aligned_no")
+    number = F.col("aligned_no").cast("string")
+    rows = v.fx_manifest.select("sequence_id", "aligned_no", number.alias("aligned_id"), F.concat(F.lit("processed/aligned/"), number).alias("folder"), F.lit("a.tiff").alias("tiff_name"))
+    fields = list(C.MANIFEST_PATHS)
+    wrong = {field: F.concat("folder", F.lit(f"/{C.MANIFEST_PATHS[field]}"), F.when((F.col("aligned_no") % 13 == 0) & (F.col("aligned_no") % len(fields) == k), "~").otherwise("")) for k, field in enumerate(fields)}
+    return R.manifest_path_issues(_texts(rows, **wrong)).where(F.size("issues") > 0).select("aligned_no")
 
 
 @query("val_release", """SELECT 'frames' AS check_name, sequence_id AS key, any_value(expected) AS expected, count(*) AS actual, any_value(expected) = count(*) AS ok FROM fx_frames JOIN fx_expected USING (sequence_id) GROUP BY sequence_id

@@ -204,6 +204,28 @@ def test_manifest_has_all_times_and_paths(spark):
     assert [row[c] for c in ("thermal_tiff_path", "thermal_png_path", "video_png_path", "overlay_png_path", "mask_80c_path")] == [folder + f for f in ("thermal.tiff", "thermal.png", "video.png", "overlay.png", "mask_80c.png")]
 
 
+def test_page_contract_of_all_tags(spark):
+    xmp = "<FLIR:TlinearGain>0.04</FLIR:TlinearGain><FLIR:IsNormalized>{}</FLIR:IsNormalized>"
+    good = {"height": 512, "width": 640, "bits": 16, "samples": 1, "page_count": 1, "dtype": "uint16", "make": "FLIR", "model": "Vue Pro R 640 13mm", "xmp": xmp.format(1)}
+    bad = {"dtype": "uint8", "make": "Other", "model": "Vue", "xmp": xmp.format(0)}
+    rows = [good, *[good | {c: x} for c, x in bad.items()], good | {"xmp": None}, good | {"xmp": "", "make": None}]
+    found = releases.page_issues(spark.createDataFrame(rows, "height int, width int, bits int, samples int, page_count int, dtype string, make string, model string, xmp string")).collect()
+    assert [r.issues for r in found] == [[], ["dtype"], ["make"], ["model"], ["normalized"], ["xmp"], ["make", "gain", "normalized"]]
+
+
+def test_viewer_and_manifest_issues(spark):
+    good = manifest_row(tiff_name="20260226_030803.tiff")
+    texts = [good, *[good | {c: x} for c, x in {"video_time": "", "visual_score": "x", "sequence_id": "9", "tiff_time_iso": "x", "overlay_png_path": "a.png", "video_png_path": "../b"}.items()]]
+    rows = spark.createDataFrame(texts)
+    viewer = releases.viewer_rows(rows)
+    assert [r.issues for r in releases.viewer_issues(viewer, ["0002"]).collect()] == [[], ["text"], ["number"], ["sequence"], ["time"], ["path"], ["path"]]
+    swapped = viewer.select(*reversed(viewer.columns)).withColumn("video_time_s", F.col("video_time_s").cast("string"))
+    assert releases.viewer_issues(swapped, ["0002"]).first().issues == ["fields", "number"]
+    assert "fields" in releases.viewer_issues(viewer.drop("video_time"), ["0002"]).first().issues
+    found = releases.manifest_path_issues(spark.createDataFrame([good, *[good | {c: f"{good[c]}~"} for c in good if c.endswith("_path")]])).collect()
+    assert [r.issues for r in found] == [[], *[[c] for c in good if c.endswith("_path")]]
+
+
 def test_diversify_keeps_short_lists(spark):
     rows = spark.createDataFrame([(1, 1, 0.9, 1), (1, 1, 0.8, 2), (1, 2, 0.1, 3)], "frame int, group int, score double, seq_no int")
     assert ranking.diversify(rows, "frame", 3).count() == 3
