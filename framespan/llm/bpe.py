@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain, islice
 
@@ -28,9 +29,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from framespan.llm._common import read_documents
 
-#: states of the transducer and remembered matches, before they are dropped
+#: states of the transducer and remembered matches (of each of two generations), before they are dropped; a state takes
+#: about 350 bytes, a match about 250
 MOST_STATES = 320_000
-MOST_MATCHES = 400_000
+MOST_MATCHES = 120_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -39,24 +41,37 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
-class State:
-    __slots__ = ("configs", "last", "next")
-
-    def __init__(self, configs: tuple):
-        self.configs = configs
-        self.next: dict[int, tuple[State, tuple[int, ...]]] = {}
-        # the configuration with no open token says how the text so far is encoded
-        self.last = next((rest for _, part, rest in configs if not part), None)
+class Transducer:
+    """States are numbers; what a state stands for, its configurations, is packed in 32-bit integers: last token,
+    node of the prefix tree of tokens, and the count and ids of the tokens not yet emitted.
 
+    The configuration without an open token (node 0) comes first; it says how the text so far is encoded."""
 
-class Transducer:
     def __init__(self, ranks: dict[bytes, int], most_states: int = MOST_STATES):
         self.ranks, self.most = ranks, most_states
         self.tokens = {i: t for t, i in ranks.items()}
-        self.inner = {t[:k] for t in ranks for k in range(1, len(t))}
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.states: dict[tuple, State] = {}
-        self.start = self._state(((-1, b"", ()),))
+        # the prefix tree: children by node * 256 + byte, the token of each node or -1, and whether it has children
+        self.child: dict[int, int] = {}
+        self.token, self.inner = [-1], [True]
+        for text, rank in ranks.items():
+            node = 0
+            for byte in text:
+                self.inner[node] = True
+                at = node << 8 | byte
+                node = self.child.setdefault(at, len(self.token))
+                if node == len(self.token):
+                    self.token.append(-1)
+                    self.inner.append(False)
+            self.token[node] = rank
+        self._forget()
+
+    def _forget(self) -> None:
+        self.states: dict[bytes, int] = {}
+        self.configs: list[bytes] = []
+        # by state * 256 + byte: the next state's number * 256, or that and what is emitted
+        self.next: dict[int, int | tuple[int, tuple[int, ...]]] = {}
+        self.start = self._state(array("i", (-1, 0, 0)).tobytes())
 
     def merged(self, data: bytes, below: float = float("inf")) -> list[bytes]:
         """What the merges of a rank below the bound make of the bytes: in order of rank, the leftmost first."""
@@ -97,80 +112,102 @@ class Transducer:
             else:  # of equal ranks the left one comes first, so a tie would be merged across the border
                 bound, right = right + 1, b[0]
 
-    def _state(self, configs: tuple) -> State:
+    def _state(self, configs: bytes) -> int:
         state = self.states.get(configs)
         if state is None:
-            if len(self.states) >= self.most:  # drop all; states in use stay usable by themselves
-                self.states.clear()
-                if hasattr(self, "start"):
-                    self.start = State(self.start.configs)
-                    self.states[self.start.configs] = self.start
-            state = self.states[configs] = State(configs)
+            state = self.states[configs] = len(self.configs) << 8
+            self.configs.append(configs)
         return state
 
-    def _step(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
+    def _step(self, state: int, byte: int) -> int | tuple[int, tuple[int, ...]]:
         """Determinises one transition."""
-        grown, letter = [], bytes((byte,))
-        inner, ranks = self.inner, self.ranks
-        for last, part, rest in state.configs:
-            part += letter
-            if part in inner:
-                grown.append((last, part, rest))
-            token = ranks.get(part)
-            if token is not None and self._suit(last, token):
-                grown.append((token, b"", (*rest, token)))
+        grown, packed, at = [], memoryview(self.configs[state >> 8]).cast("i"), 0
+        child, tokens, inner = self.child, self.token, self.inner
+        while at < len(packed):
+            last, part, n = packed[at : at + 3]
+            rest = packed[at + 3 : at + 3 + n].tolist()
+            at += 3 + n
+            part = child.get(part << 8 | byte)
+            if part is not None:
+                token = tokens[part]
+                if token >= 0 and self._suit(last, token):
+                    grown.append((0, token, [*rest, token]))
+                if inner[part]:
+                    grown.append((part, last, rest))
         first, shared = grown[0][2], 0
         for ids in zip(*(rest for _, _, rest in grown), strict=False):
             if ids.count(first[shared]) < len(ids):
                 break
             shared += 1
-        emitted = first[:shared]
-        made = (self._state(tuple(sorted((last, part, rest[shared:]) for last, part, rest in grown))), emitted)
-        state.next[byte] = made
+        out = array("i")
+        for part, last, rest in sorted(grown):
+            out.extend((last, part, len(rest) - shared))
+            out.extend(rest[shared:])
+        to = self._state(out.tobytes())
+        made = self.next[state | byte] = (to, tuple(first[:shared])) if shared else to
         return made
 
     def encode(self, data: bytes) -> tuple[int, ...]:
-        state, out = self.start, []
+        if len(self.configs) >= self.most:
+            self._forget()
+        state, out, found = self.start, [], self.next.get
         for byte in data:
-            step = state.next.get(byte)
+            step = found(state | byte)
             if step is None:
                 step = self._step(state, byte)
-            state = step[0]
-            if step[1]:
+            if step.__class__ is int:
+                state = step
+            else:
+                state = step[0]
                 out += step[1]
-        if state.last:
-            out += state.last
+        packed = memoryview(self.configs[state >> 8]).cast("i")
+        out += packed[3 : 3 + packed[2]]
         return tuple(out)
 
+    def feed(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+        """The state after one more byte, and the tokens that leave."""
+        step = self.next.get(state | byte)
+        step = self._step(state, byte) if step is None else step
+        return (step, ()) if step.__class__ is int else step
+
+    def waiting(self, state: int) -> list[int]:
+        """Tokens that are read but not yet emitted."""
+        packed = memoryview(self.configs[state >> 8]).cast("i")
+        return packed[3 : 3 + packed[2]].tolist()
+
 
 class Encoder:
-    """Splits a text by the pattern and encodes every match; a table remembers matches."""
+    """Splits a text by the pattern and encodes every match; two generations of a table remember matches."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, most_matches: int = MOST_MATCHES):
         self.transducer = Transducer(ranks)
         self.split = regex.compile(pattern).findall
         self.seen: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, tuple[int, ...]] = {}
         self.most = most_matches
 
+    def _ids(self, match: str) -> tuple[int, ...]:
+        ids = self.before.get(match)
+        if ids is None:
+            data = match.encode()
+            whole = self.transducer.ranks.get(data)  # a token is itself, also if no merges lead to it
+            ids = self.transducer.encode(data) if whole is None else (whole,)
+        if len(match) <= 64:
+            if len(self.seen) >= self.most:
+                self.before, self.seen = self.seen, {}
+            self.seen[match] = ids
+        return ids
+
     def __call__(self, text: str) -> list[int]:
         matches = self.split(text)
         parts = list(map(self.seen.get, matches))
-        if None in parts:
-            seen, ranks, encode = self.seen, self.transducer.ranks, self.transducer.encode
-            for k, ids in enumerate(parts):
-                if ids is None:
-                    match = matches[k]
-                    ids = seen.get(match)  # met before in this text
-                    if ids is None:
-                        data = match.encode()
-                        whole = ranks.get(data)  # a token is itself, also if no merges lead to it
-                        ids = encode(data) if whole is None else (whole,)
-                        if len(seen) >= self.most:
-                            seen.clear()
-                        if len(match) <= 64:
-                            seen[match] = ids
-                    parts[k] = ids
-        return list(chain.from_iterable(parts))
+        try:
+            at = -1
+            while True:
+                at = parts.index(None, at + 1)
+                parts[at] = self.seen.get(matches[at]) or self._ids(matches[at])
+        except ValueError:  # none is left
+            return list(chain.from_iterable(parts))
 
 
 #: classes of bytes in UTF-8: lead bytes say how many bytes follow
