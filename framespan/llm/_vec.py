@@ -25,7 +25,7 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of an odd radix modulo 2**64 and of its inverse."""
     if len(_powers[0]) < n:
-        n = max(n, CHUNK * 2)
+        n = max(n, CHUNK + 4096)
         for k, base in enumerate((_RADIX, pow(_RADIX, -1, 1 << 64))):
             steps = np.full(n, base, np.uint64)
             steps[0] = 1

@@ -175,22 +175,38 @@ def train_on(sample: DataFrame, label: str) -> FactorizationMachine:
     return machine.fit(*machine.places(x, at), y).pruned()
 
 
+def batch_scores(model: FactorizationMachine, texts: pa.Array) -> np.ndarray:
+    """Scores of a column of texts, in blocks of bounded size."""
+    raw, offsets = buffers(texts)
+    found = [np.zeros(0)]
+    for a, b in chunks(offsets):
+        found.append(model.score(*model.places(*terms(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))))
+    return np.concatenate(found)
+
+
 def score(docs: DataFrame, machine: FactorizationMachine) -> DataFrame:
     """doc_id and score of every text."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)  # bounded by the sample's terms
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in it:
-            raw, offsets = buffers(batch.column(1))
-            found = [np.zeros(0)]
-            for a, b in chunks(offsets):
-                found.append(model.score(*model.places(*terms(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(found))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(batch_scores(shared.value, batch.column(1)))], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(batches, "doc_id long, score double")
 
 
+def without_toxic(docs: DataFrame, machine: FactorizationMachine, bound: float = 0.5) -> DataFrame:
+    """The rows, with all columns, whose score is below the bound.  Every row is judged by its own text; no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    at = docs.columns.index("text")
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            yield batch.filter(pa.array(batch_scores(shared.value, batch.column(at)) < bound))
+
+    return docs.mapInArrow(batches, docs.schema)
+
+
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, text and toxic of labelled documents outside the held-out fold, one row a document and label."""
     wanted = labels.where(F.col("toxic").isNotNull() & (remainder("doc_id", 5) != 0)).select("doc_id", "toxic")
