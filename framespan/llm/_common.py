@@ -14,8 +14,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+#: a table of fewer bytes in fewer files than cores is dealt to all cores when it is read
+SPREAD_BYTES = 256 << 20
+
+
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The documents; a small table in one file or few, which Spark would read in one task, is dealt to all cores."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if len(docs.inputFiles()) < cores:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/documents.parquet")
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength() < SPREAD_BYTES:
+            return docs.repartition(cores)
+    return docs
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,32 +34,67 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); one of our own only where it is unset."""
+    """The folder that the cluster shares: spark.checkpoint.dir, or the checkpoint folder set on the context."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    found = spark.sparkContext._jsc.sc().getCheckpointDir()
     if not folder:
-        found = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = found.get() if found.isDefined() else None
-    if not folder:
-        import tempfile
-
-        folder = f"file://{tempfile.mkdtemp(prefix='framespan-')}"
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        if not found.isDefined():
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        return found.get()
+    if not found.isDefined():
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise in the shared folder; survives lost executors and is removed by Spark's cleaner."""
+    """Materialise in the shared folder; survives lost executors.  For small tables: Spark deletes checkpoints only where
+    spark.cleaner.referenceTracking.cleanCheckpoints is set."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def written(df: DataFrame) -> DataFrame:
-    """Write as a Parquet table in the shared folder and read it back, so that later scans prune columns."""
+    """Write as a Parquet table in the shared folder and read it back, so that later scans prune columns.
+
+    The table stays until `discard`; what a returned, lazy result reads must stay."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/framespan-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables once all that was made of them is written too."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: ids and hashes that are sent to every task; more are joined by shuffle
+BROADCAST_ROWS = 1_000_000
+
+
+def text_hash() -> Column:
+    """Tells rows with one doc_id and different texts apart."""
+    return F.xxhash64("text")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of docs, with all columns, whose doc_id and hash of the text are not in gone (doc_id, th)."""
+    own, other = free_name(docs, "gone_id"), free_name(docs, "gone_th")
+    gone = written(gone.select(F.col("doc_id").alias(own), F.col("th").alias(other)).distinct())
+    few = gone.count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(gone) if few else gone, (F.col("doc_id") == F.col(own)) & (text_hash() == F.col(other)), "left_anti")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

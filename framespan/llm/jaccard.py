@@ -3,21 +3,26 @@
 A document's set is its distinct word n-grams as 64-bit tokens in one global order.  Documents with equal sets are one
 class.  Of two sets that reach the similarity the first p + k - 1 tokens share k at least, p being the tokens that may
 be missing, plus one; k is about half of p.  A set of whose first tokens fewer than k occur elsewhere has no link.  Among
-the first tokens, rarest first, the same bound leaves a second prefix, of which one token at least is shared; classes
-that meet there, directly or by others, form a bundle.  Inside a bundle the sets are stored in a trie,
-the most common token first, so that sets share their beginnings; a set is looked up by walking the trie with the
-overlap so far, and a subtree is left when the tokens that remain on either side cannot raise the overlap far enough
-for its set sizes.  What comes out are links of a spanning forest, whose components are joined with the classes.
+the first tokens, rarest first, the same bound leaves a second prefix, of which one token at least is shared.
+
+Sets are compared in tries: the most common token first, so that sets share their beginnings; a set is looked up by
+walking the trie with the overlap so far, and a subtree is left when the tokens that remain on either side cannot raise
+the overlap far enough for its set sizes.  What comes out are links of a spanning forest.  Two rounds do this.  First
+every set is compared with the pivot it shares most second-prefix tokens with, the least class that holds them, in blocks
+of bounded size: near copies of one text become one component there, however many they are, and each set is moved once.
+Then only tokens that are held in two or more components are left.  The components that meet in them, or, where that moves
+fewer sets, the sets of each such token are compared, long lists by pairs of blocks, without pairs of blocks of one
+component.
 
 The global order puts tokens with many letters first and tokens that many documents of a sample hold last; any order
-gives the same links, this one makes bundles small.  Exact copies are reduced to classes before anything is joined.  A
-large bundle is cut into blocks of bounded size by hash and every pair of blocks is a task of its own; pairs of
-documents are never written, and no group is collected whole.  Work inside one bundle grows with the square of its
-different sets, apart from what the trie's bounds leave out.
+gives the same links, this one makes lists short.  Pairs of documents are never written, no group is collected whole.
+What stays quadratic, in blocks, are sets that share a rare token, more than BLOCK_SETS of them, without being similar.
 
 Defined cases: texts without words and nulls have empty sets and are linked with nothing; texts of fewer than n words
-have one token; equal rows are one class; an empty table gives no rows; only doc_id and text are read.  Tokens are 64-bit
-hashes: two different n-grams share one with a chance of about 2**-56.
+have one token; equal rows are one class; rows with one doc_id and different texts are told apart by the text's hash and
+take the least doc_id of their own component; very long texts are whole sets like all others; an empty table gives no
+rows; only doc_id and text are read.  Tokens are 64-bit hashes: two different n-grams share one with a chance of about
+2**-56.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from framespan.llm._common import cut, read_documents, written
+from framespan.llm._common import BROADCAST_ROWS, discard, free_name, read_documents, text_hash, without, written
 from framespan.llm._graph import components
 from framespan.llm._vec import buffers, chunks, mix, runs, words
 
@@ -39,9 +44,7 @@ ORDER_SAMPLE = 5000
 #: most tokens with a place of their own at the end of the order
 COMMON = 1 << 18
 #: sets and tokens of a block
-BLOCK_SETS, BLOCK_TOKENS = 100, 500_000
-#: bundles of at most so many classes in all are sent to every task, others are shuffled
-BROADCAST_ROWS = 1_000_000
+BLOCK_SETS, BLOCK_TOKENS = 100, 200_000
 
 
 def token_sets(raw: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[np.ndarray]:
@@ -81,20 +84,20 @@ def prefix_size(n: int, percent: int) -> int:
     return min(n, p + max(1, p // 2) - 1)
 
 
-def candidate_links(firsts: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) whose components hold all pairs that can reach the similarity; firsts: rep, n and prefix.
+def second_prefix(firsts: DataFrame, percent: int) -> DataFrame:
+    """cls and t: of two sets that can reach the similarity one token t at least is shared here; firsts: cls, n and prefix.
 
     What a set shares with another it shares with one of 85 % (`percent`) of its size at least, so k of that size is
-    the bound.  A token's sets are linked to the least of them: a minimum and a join, no list of sets."""
-    postings = firsts.select("rep", "n", F.size("prefix").alias("taken"), F.explode("prefix").alias("t"))
+    the bound."""
+    postings = firsts.select("cls", "n", F.size("prefix").alias("taken"), F.explode("prefix").alias("t"))
     often = postings.groupBy("t").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = postings.join(often, "t")
-    own = Window.partitionBy("rep")  # bounded by the prefix
+    own = Window.partitionBy("cls")  # bounded by the prefix
     ranked = shared.select("*", F.count(F.lit(1)).over(own).alias("met"), F.row_number().over(own.orderBy("df", "t")).alias("rank"))
     least = wanted(f"((n * {percent} + 99) div 100)", percent)
-    kept = ranked.where(f"met >= {least} AND taken - met + rank <= taken - {least} + 1").select("rep", "t")
-    hubs = kept.groupBy("t").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last").select("t", "hub")
-    return kept.join(hubs, "t").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
+    kept = ranked.where(f"met >= {least} AND taken - met + rank <= taken - {least} + 1").select("cls", "t")
+    held = kept.groupBy("t").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most").select("t", "least")
+    return kept.join(held, "t")
 
 
 def common_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,13 +119,13 @@ def common_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], *, width: int, percent: int) -> DataFrame:
-    """doc_id, size and 128-bit signature of the set, and its prefix in the global order."""
+    """doc_id, hash of the text, size and 128-bit signature of the set, and its prefix in the global order."""
     shared = docs.sparkSession.sparkContext.broadcast(common)  # bounded by COMMON
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, often = shared.value
         for batch in it:
-            raw, offsets = buffers(batch.column(1))
+            raw, offsets = buffers(batch.column(2))
             for a, b in chunks(offsets):
                 n, s1, s2, prefix = [], [], [], []
                 for t in token_sets(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width):
@@ -135,9 +138,9 @@ def signatures(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], *, width:
                         count = np.where(tokens[at] == t, often[at], 0)
                         t = t[np.argsort(count, kind="stable")]
                     prefix.append(t[: prefix_size(len(t), percent)].view(np.int64) if len(t) else np.zeros(0, np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "n", "s1", "s2", "prefix"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in (0, 1)), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "th", "n", "s1", "s2", "prefix"])
 
-    return docs.select("doc_id", "text").mapInArrow(batches, "doc_id long, n long, s1 long, s2 long, prefix array<long>")
+    return docs.select("doc_id", "th", "text").mapInArrow(batches, "doc_id long, th long, n long, s1 long, s2 long, prefix array<long>")
 
 
 class Node:
@@ -229,50 +232,153 @@ def trie_links(tokens: list[np.ndarray], sizes: list[int], side: list[int], perc
     return links
 
 
-def bundle_links(docs: DataFrame, bundles: DataFrame, *, width: int, percent: int) -> DataFrame:
-    """Links (a, b) between classes; bundles: node (doc_id of a class), root and n."""
-    sizes = bundles.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int").alias("blocks"))
-    placed = cut(bundles.join(sizes, "root").select("node", "root", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")))
-    few = placed.count() <= BROADCAST_ROWS
+def star(links: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
+    """Links from every one of n nodes to the least that it can reach."""
+    parent = list(range(n))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return [(k, find(k)) for k in range(n) if find(k) != k]
+
+
+def compared(docs: DataFrame, places: DataFrame, *, width: int, percent: int) -> DataFrame:
+    """Links (a, b) between classes, stars within each list; places: doc_id and th of a class's text, cls, the task and list it is compared in,
+    and side (0 and 1 are only compared with each other, 2 with all)."""
+    keys = ["cls", "task", "list", "side"]
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            raw, offsets = buffers(batch.column(4))
+            raw, offsets = buffers(batch.column(2))
             for a, b in chunks(offsets):
                 sets = pa.array([t.tobytes() for t in token_sets(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], width)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(a, b - a) for i in range(4)], sets], names=["node", "root", "blocks", "block", "tokens"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in (0, 1)), sets], names=["cls", "at", "tokens"])
+
+    # a class's places become one row, so that its text is cut into words once
+    texts = places.groupBy("doc_id", "th", "cls").agg(F.collect_list(F.struct("task", "list", "side")).alias("at"))
+    few = places.select("doc_id").count() <= BROADCAST_ROWS
+    found = docs.join(F.broadcast(texts) if few else texts, ["doc_id", "th"]).select("cls", "at", "text")
+    at = "at array<struct<task:long,list:long,side:int>>"
+    sets = found.mapInArrow(batches, f"cls long, {at}, tokens binary").select("cls", F.explode("at").alias("at"), "tokens")
+    sets = sets.select("cls", "at.task", "at.list", "at.side", "tokens")
+
+    def links(group: pd.DataFrame) -> pd.DataFrame:
+        a, b = [], []
+        for _, part in group.sort_values(["list", "cls"]).groupby("list", sort=False):
+            part = part.drop_duplicates("cls")  # repeated rows of one text
+            side = part["side"].tolist()
+            if len(part) > 1 and (2 in side or len(set(side)) > 1):
+                tokens, ids = [np.frombuffer(x, np.uint64) for x in part["tokens"]], part["cls"].to_numpy()
+                found = star(trie_links(tokens, [len(t) for t in tokens], side, percent), len(tokens))
+                a += [ids[i] for i, _ in found]
+                b += [ids[j] for _, j in found]
+        return pd.DataFrame({"a": a, "b": b}, dtype="int64")
+
+    assert sets.columns == [*keys, "tokens"]
+    return sets.groupBy("task").applyInPandas(links, "a long, b long")
+
+
+def pivot_places(kept: DataFrame, classes: DataFrame) -> DataFrame:
+    """First round: every class beside its pivot, in blocks; the pivot is in each block of its own."""
+    met = kept.where("cls <> least").groupBy("cls", "least").agg(F.count(F.lit(1)).alias("n"))
+    own = met.groupBy("cls").agg(F.max(F.struct("n", (-F.col("least")).alias("pivot"))).alias("m")).select("cls", (-F.col("m.pivot")).alias("pivot"))
+    own = own.join(classes.select("cls", "n", "doc_id", "th"), "cls")
+    sizes = own.groupBy("pivot").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int").alias("blocks"))
+    task = F.xxhash64("pivot", "block")
+    members = own.join(sizes, "pivot").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    members = members.select("cls", "doc_id", "th", task.alias("task"), "pivot")
+    pivots = sizes.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(classes.select(F.col("cls").alias("pivot"), "doc_id", "th"), "pivot")
+    pivots = pivots.select(F.col("pivot").alias("cls"), "doc_id", "th", task.alias("task"), "pivot")
+    return members.union(pivots).select("cls", "doc_id", "th", "task", F.col("pivot").alias("list"), F.lit(2).alias("side"))
+
+
+def open_places(kept: DataFrame, roots: DataFrame, classes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Second round: classes that share a token which two or more components hold.
+
+    Components that meet in such a token, directly or by others, are a bundle.  A bundle is compared as one list of its
+    classes or, where that moves fewer sets, as the lists of its tokens, equal lists once; so a bundle that chance has
+    chained together does not pay for its size.  Also gives the tables that the result reads.  Short lists are dealt to
+    tasks by hash, some at a time.  The classes of a long list are dealt to blocks, those of one large component to blocks
+    of its own, and blocks are paired."""
+    named = kept.select("cls", "t").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left").select("t", "cls", F.coalesce("root", "cls").alias("root"))
+    named = written(named)
+    lists = named.groupBy("t").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("h1"), F.sum(F.xxhash64(F.lit(3), "cls").cast("decimal(38,0)")).alias("h2")).where("r1 < r2")
+    lists = lists.groupBy("size", "h1", "h2").agg(F.min("t").alias("t"), F.min("r1").alias("r1"))
+    held = written(named.join(lists.select("t", "r1", "size"), "t"))
+    bundles = components(held.where("root <> r1").select(F.col("root").alias("a"), F.col("r1").alias("b")))
+    held = held.join(bundles.select(F.col("node").alias("root"), F.col("root").alias("bundle")), "root")
+    moved = lambda n: n * F.ceil(n / BLOCK_SETS)  # noqa: E731  sets that a list of n moves
+    together = held.select("bundle", "cls", "root").distinct()
+    sizes = together.groupBy("bundle").agg(F.count(F.lit(1)).alias("m"))
+    apart = held.groupBy("bundle", "t").agg(F.max("size").alias("size")).groupBy("bundle").agg(F.sum(moved(F.col("size"))).alias("apart"))
+    chosen = sizes.join(apart, "bundle").select("bundle", "m", (moved(F.col("m")) <= F.col("apart")).alias("whole"))
+    members = together.join(chosen.where("whole"), "bundle").select(F.col("bundle").alias("list"), F.col("m").alias("size"), "cls", "root")
+    members = members.union(held.join(chosen.where("NOT whole"), "bundle").select(F.col("t").alias("list"), "size", "cls", "root"))
+    members = written(members.join(classes.select("cls", "n", "doc_id", "th"), "cls"))
+    short = F.col("size") <= BLOCK_SETS
+    total = members.groupBy(short.alias("short")).agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n")).collect()
+    small = next((r for r in total if r["short"]), {"c": 0, "n": 0})
+    tasks = 1 + max(small["c"] // BLOCK_SETS, small["n"] // BLOCK_TOKENS)
+    whole = members.where(short).select("cls", "doc_id", "th", F.pmod(F.xxhash64("list"), F.lit(tasks)).alias("task"), "list", F.lit(2).alias("side"))
+    if all(r["short"] for r in total):
+        return whole, [named, members]
+    long = members.where(~short)
+    parts = long.groupBy("list", "root").agg(F.count(F.lit(1)).alias("own"), F.sum("n").alias("tokens"))
+    parts = parts.withColumn("owner", F.when(F.col("own") > BLOCK_SETS // 2, F.col("root")).otherwise(-1))  # -1: blocks of many
+    sizes = parts.groupBy("list", "owner").agg(F.greatest(F.ceil(F.sum("own") / BLOCK_SETS), F.ceil(F.sum("tokens") / BLOCK_TOKENS)).cast("int").alias("blocks"))
+    parts = parts.select("list", "root", "owner").join(sizes, ["list", "owner"])
+    block = F.xxhash64("list", "owner", "k")
+    placed = long.join(parts, ["list", "root"]).withColumn("k", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")).select("list", "cls", "doc_id", "th", block.alias("block"))
+    blocks = sizes.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("list", "owner", block.alias("block"))
+    x, y = blocks.alias("x"), blocks.alias("y")
+    pairs = x.join(y, "list").where("x.block <= y.block AND (x.owner < 0 OR x.owner <> y.owner)")
+    pairs = pairs.select("list", F.col("x.block").alias("i"), F.col("y.block").alias("j"), F.xxhash64("list", "x.block", "y.block").alias("task"))
+    sides = pairs.select("list", "task", F.explode(F.when(F.col("i") == F.col("j"), F.array(F.struct(F.col("i").alias("block"), F.lit(2).alias("side")))).otherwise(F.array(F.struct(F.col("i").alias("block"), F.lit(0).alias("side")), F.struct(F.col("j").alias("block"), F.lit(1).alias("side"))))).alias("s")).select("list", "task", "s.block", "s.side")
+    dealt = placed.join(sides, ["list", "block"]).select("cls", "doc_id", "th", "task", F.col("task").alias("list"), "side")
+    return whole.union(dealt), [named, members]
+
+
+def groups(docs: DataFrame, *, width: int, percent: int) -> DataFrame:
+    """doc_id, th (hash of the text), n, component_id, and head_th: (component_id, head_th) is the component's first row."""
+    docs = docs.select("doc_id", text_hash().alias("th"), "text")
+    made = signatures(docs, common_tokens(docs, width), width=width, percent=percent)
+    table = written(made.withColumn("rid", F.monotonically_increasing_id()))
+    key = ["n", "s1", "s2"]
+    classes = table.where("n > 0").groupBy(*key).agg(F.min(F.struct("doc_id", "th", "rid")).alias("head"))
+    classes = written(classes.select(*key, F.col("head.rid").alias("cls"), "head.doc_id", "head.th"))
+    firsts = table.join(classes.select(F.col("cls").alias("rid")), "rid").select(F.col("rid").alias("cls"), "n", "prefix")
+    kept = written(second_prefix(firsts, percent))
+    near = written(compared(docs, pivot_places(kept, classes), width=width, percent=percent))
+    places, read = open_places(kept, components(near), classes)
+    roots = components(near.union(compared(docs, places, width=width, percent=percent))).select(F.col("node").alias("cls"), "root")
+    discard(kept, near, *read)
+    named = written(classes.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")))
+    least = named.groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("first"))
+    named = named.join(least, "root").select(*key, F.col("first.doc_id").alias("component_id"), F.col("first.th").alias("head_th"))
+    found = table.select("doc_id", "th", *key).join(named, key, "left")
+    return found.select("doc_id", "th", "n", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("head_th", "th").alias("head_th"))
 
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(F.broadcast(placed) if few else placed, "node").select("node", "root", "blocks", "block", "text")
-    sets = texts.mapInArrow(batches, "node long, root long, blocks int, block int, tokens binary")
-    tasks = sets.select("node", "root", "block", "tokens", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    tasks = tasks.select("node", "root", "block", "tokens", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
 
-    def links(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("node").sort_values("node")
-        tokens = [np.frombuffer(x, np.uint64) for x in group["tokens"]]
-        side = [2] * len(group) if key[1] == key[2] else (group["block"] == key[2]).astype(int).tolist()
-        if len(group) < 2 or len(set(side)) == 1 and side[0] != 2:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        ids = group["node"].to_numpy()
-        found = trie_links(tokens, [len(t) for t in tokens], side, percent)
-        return pd.DataFrame({"a": [ids[a] for a, _ in found], "b": [ids[b] for _, b in found]}, dtype="int64")
+def similar_groups(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document: the least doc_id reachable by links, itself included."""
+    return groups(docs, width=width, percent=percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
-    return tasks.groupBy("root", "i", "j").applyInPandas(links, "a long, b long")
 
+def one_of_each_group(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, with all columns, that are the first of their component by (doc_id, hash of the text).
 
-def similar_groups(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document: the least doc_id reachable by links, itself included."""
-    docs = docs.select("doc_id", "text")
-    table = written(signatures(docs, common_tokens(docs, width), width=width, percent=percent))
-    key = ["n", "s1", "s2"]
-    classes = table.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"))
-    classes = written(classes)
-    heads = table.where("n > 0").join(classes, key).where("doc_id = rep")
-    edges = candidate_links(heads.select("rep", "n", "prefix"), percent)
-    bundles = components(edges).join(classes.select(F.col("rep").alias("node"), "n"), "node")
-    roots = components(bundle_links(docs, bundles, width=width, percent=percent))
-    named = classes.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select(*key, F.coalesce("root", "rep").alias("root"))
-    return table.join(named, key, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
+    Rows that are repeated with doc_id and text are one; texts without words are in no group and stay."""
+    found = written(groups(docs, width=width, percent=percent))
+    repeated = found.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("c")).where("c > 1").limit(1).count() > 0
+    left = without(docs, found.where("doc_id <> component_id OR th <> head_th"))
+    th = free_name(docs, "th")
+    return left.withColumn(th, text_hash()).dropDuplicates(["doc_id", th]).drop(th) if repeated else left
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
