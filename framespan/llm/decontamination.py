@@ -6,14 +6,18 @@ hit fixes a document region, an item and an offset, and the words around it are
 document is contaminated when `share` of the words of a stretch of `stretch` words (or of the whole item, if shorter)
 are the item's words.
 
-Words are lower-cased A-Z and hashed in bulk from the UTF-8 bytes.  Before the join a Bloom filter drops windows that
-no benchmark window can equal; it has 32 places a seed within fixed bounds (FILTER_BITS), so a very large benchmark
-makes it let more pass but not grow.  What is joined then are the hits alone, on both sides by hash, so neither side
-has to fit in one place.
-
-Defined cases: null and empty texts and items have no words and meet nothing; items of fewer than 5 words are not
-searched; equal items under several ids are all reported; repeated documents get equal results; an empty benchmark or
-table gives clean or no rows; only doc_id, item_id and text are read.
+Words are lower-cased A-Z and hashed in bulk from the UTF-8 bytes.  Items are written once, seeds are narrow rows that
+name them.  A seed of more than HOT windows of the benchmark is joined with a second one: the hash of two more words at
+fixed places around it.  In a stretch that holds the seed the places beside it make more pairs than words may differ, so
+one pair at least is equal, and no overlap that holds the seed is lost (`second_places`).  Before the join a Bloom filter
+drops windows that no benchmark window can equal; it has 32 places a seed within fixed bounds (FILTER_BITS), so a very
+large benchmark makes it let more pass but not grow.  What is joined then are the hits alone, on both sides by hash, so
+neither side has to fit in one place.
+
+Defined cases: null and empty texts and items have no words and meet nothing; an item of fewer than 5 words is met by a
+document that has its words and no others; equal items under several ids are all reported; rows with one doc_id and
+different texts are judged each by itself; repeated documents get equal results; a very long text is worked on alone; an
+empty benchmark or table gives clean or no rows; only doc_id, item_id and text are read.
 """
 
 from __future__ import annotations
@@ -25,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framespan.llm._common import read_documents, read_table, written
-from framespan.llm._vec import buffers, chunks, mix, words
+from framespan.llm._common import BROADCAST_ROWS, discard, read_documents, read_table, text_hash, without, written
+from framespan.llm._vec import Words, buffers, chunks, mix, words
 
 #: fixed seed masks: 1 is compared, 0 is ignored
 MASKS = ("11111", "1101011", "110010011", "101100101", "10010110001")
@@ -35,6 +39,8 @@ SHARE = 0.7
 #: bits of a place in the Bloom filter in front of the join: least, most (2**28 places are 32 MB)
 FILTER_BITS = (22, 28)
 PROBES = 3
+#: windows of the benchmark that a seed may have by itself
+HOT = 64
 
 
 def seed_hashes(hashes: np.ndarray, at: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
@@ -53,20 +59,90 @@ def seed_hashes(hashes: np.ndarray, at: np.ndarray, mask: str) -> tuple[np.ndarr
     return mix(value), first
 
 
-def benchmark_seeds(benchmark: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """seed, item_id, pos and the item's word hashes for every window of every mask."""
+def whole_hashes(w: Words, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """For texts of fewer words than any mask has ones: hash of all words, and the first one's place."""
+    n = np.diff(w.at)
+    short = np.flatnonzero((n > 0) & (n < below))
+    value, first = np.full(len(short), np.uint64(77)), w.at[short]
+    for k in range(below - 1):
+        more = n[short] > k
+        value[more] = mix(value[more] + w.hash[first[more] + k])
+    return mix(value + n[short].astype(np.uint64)), first
+
+
+def second_places(mask: str, stretch: int) -> list[tuple[int, int]]:
+    """Pairs of places, from the window's first word on, of which one pair is equal in every stretch that is an overlap.
+
+    All neighbours outside the window, left and right of it, and the zeros of the mask two by two: with an even number of
+    zeros any stretch has (stretch - ones) // 2 of them without a common place."""
+    zeros = [k for k, bit in enumerate(mask) if bit == "0"]
+    left = [(k, k + 1) for k in range(len(mask) - stretch, -1)]
+    right = [(k, k + 1) for k in range(len(mask), stretch - 1)]
+    return left + right + list(zip(zeros[::2], zeros[1::2], strict=False))
+
+
+def second_hashes(w: Words, seeds: np.ndarray, first: np.ndarray, mask: str, stretch: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the seeds with two more words each, where both are in the text, and the place in seeds of each."""
+    doc = np.searchsorted(w.at, first, "right") - 1
+    lo, hi = w.at[doc], w.at[doc + 1]
+    values, of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for k, (x, y) in enumerate(second_places(mask, stretch)):
+        ok = np.flatnonzero((first + x >= lo) & (first + y < hi))
+        values.append(mix(mix(seeds[ok] + np.uint64(k + 1)) + w.hash[first[ok] + x] * np.uint64(3) + w.hash[first[ok] + y]))
+        of.append(ok)
+    return np.concatenate(values), np.concatenate(of)
+
+
+def two_seeds(masks: tuple[str, ...], stretch: int, share: float) -> bool:
+    """Whether second seeds lose nothing: there are more pairs than words that may differ."""
+    return all(m.count("0") % 2 == 0 and (stretch - m.count("1")) // 2 > stretch - int(np.ceil(share * stretch - 1e-9)) for m in masks)
+
+
+def least_ones(masks: tuple[str, ...]) -> int:
+    return min(m.count("1") for m in masks)
+
+
+def benchmark_items(benchmark: DataFrame) -> DataFrame:
+    """item_key (a number of its own), item_id and the word hashes of every item."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            w = words(*buffers(batch.column(1)))
-            ids, of = batch.column(0).to_numpy(zero_copy_only=False), w.doc
+            raw, offsets = buffers(batch.column(1))
+            for a, b in chunks(offsets):
+                w = words(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                lists = pa.LargeListArray.from_arrays(pa.array(w.at, pa.int64()), pa.array(w.hash.view(np.int64))).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], names=["item_id", "item"])
+
+    found = benchmark.select("item_id", "text").mapInArrow(batches, "item_id long, item array<long>")
+    return found.where(F.size("item") > 0).withColumn("item_key", F.monotonically_increasing_id())
+
+
+def item_seeds(items: DataFrame, masks: tuple[str, ...], stretch: int, hot: tuple[np.ndarray, int] | None = None) -> DataFrame:
+    """seed, item_key and item_pos of every window of every mask; seeds in the filter `hot`, of items that have a whole
+    stretch, with two more words each."""
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            keys, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
+            at = lists.offsets.to_numpy().astype(np.int64)
+            w = Words(lists.values.to_numpy(zero_copy_only=False).view(np.uint64)[at[0] : at[-1]], None, None, at - at[0])
+            size = np.diff(w.at)
+            found = [whole_hashes(w, least_ones(masks))]
             for mask in masks:
                 seeds, first = seed_hashes(w.hash, w.at, mask)
-                d = of[first]
-                tokens = pa.array([w.hash[w.at[x] : w.at[x + 1]].view(np.int64) for x in d], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(seeds.view(np.int64)), pa.array(ids[d], pa.int64()), pa.array((first - w.at[d]).astype(np.int32)), tokens], names=["seed", "item_id", "item_pos", "item"])
+                if hot:
+                    doubled = np.zeros(len(seeds), bool)
+                    doubled[passes(*hot, seeds)] = True
+                    doubled &= size[np.searchsorted(w.at, first, "right") - 1] >= stretch
+                    more, of = second_hashes(w, seeds[doubled], first[doubled], mask, stretch)
+                    found.append((more, first[doubled][of]))
+                    seeds, first = seeds[~doubled], first[~doubled]
+                found.append((seeds, first))
+            for seeds, first in found:
+                d = np.searchsorted(w.at, first, "right") - 1
+                yield pa.RecordBatch.from_arrays([pa.array(seeds.view(np.int64)), pa.array(keys[d], pa.int64()), pa.array((first - w.at[d]).astype(np.int32))], names=["seed", "item_key", "item_pos"])
 
-    return benchmark.select("item_id", "text").mapInArrow(batches, "seed long, item_id long, item_pos int, item array<long>")
+    return items.select("item_key", "item").mapInArrow(batches, "seed long, item_key long, item_pos int")
 
 
 def probe(seeds: np.ndarray, k: int, bits: int) -> np.ndarray:
@@ -79,44 +155,56 @@ def passes(packed: np.ndarray, bits: int, seeds: np.ndarray) -> np.ndarray:
     left = np.arange(len(seeds))
     for k in range(PROBES):
         place = probe(seeds[left], k, bits)
-        left = left[(packed[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1]
+        left = left[(packed[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1]
     return left
 
 
 def bloom(seeds: DataFrame) -> tuple[np.ndarray, int]:
-    """Packed filter over the column seed, and its bits a place; what reaches the driver are set places, bounded."""
+    """Packed filter over the column seed, and its bits a place.
+
+    What reaches the driver are 64-bit words of it that are not empty, two numbers each: 64 MB at the upper bound."""
     n = seeds.count()
     bits = min(max(int(np.ceil(np.log2(32 * n + 1))), FILTER_BITS[0]), FILTER_BITS[1])
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             found = np.unique(np.concatenate([probe(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), k, bits) for k in range(PROBES)]))
-            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32))], names=["place"])
+            word, start = np.unique(found >> 6, return_index=True)
+            value = np.bitwise_or.reduceat(np.uint64(1) << (found & 63).astype(np.uint64), start) if len(found) else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int32)), pa.array(value.view(np.int64))], names=["word", "value"])
 
-    set_places = seeds.select("seed").mapInArrow(batches, "place int").distinct().toArrow()["place"].to_numpy()
-    full = np.zeros(1 << bits, bool)
-    full[set_places] = True
-    return np.packbits(full), bits
+    found = seeds.select("seed").mapInArrow(batches, "word int, value long").groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()
+    full = np.zeros(1 << (bits - 6), np.uint64)
+    full[found["word"].to_numpy()] = found["value"].to_numpy().view(np.uint64)
+    return full.view(np.uint8), bits
 
 
-def document_hits(docs: DataFrame, bitmap: np.ndarray, bits: int, masks: tuple[str, ...], reach: int) -> DataFrame:
-    """Windows of the documents that the filter lets pass.
+def document_hits(docs: DataFrame, keys: tuple[np.ndarray, int], hot: tuple[np.ndarray, int] | None, masks: tuple[str, ...], reach: int) -> DataFrame:
+    """Windows of the documents that the filter of keys lets pass; for seeds in the filter `hot` also those with two more words.
 
     Hits that lie within `reach` words of each other form a region.  A region gives one row with the hashes of its
     words and `reach` more on both sides (seed null), and one row for each hit (words null)."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            raw, offsets = buffers(batch.column(1))
-            ids = batch.column(0)
+            raw, offsets = buffers(batch.column(2))
+            ids, hashes = batch.column(0), batch.column(1)
             for a, b in chunks(offsets):
                 w = words(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                seeds, places = [], []
+                s, first = whole_hashes(w, least_ones(masks))
+                hit = passes(*keys, s)
+                seeds, places = [s[hit]], [first[hit]]
                 for mask in masks:
                     s, first = seed_hashes(w.hash, w.at, mask)
-                    hit = passes(bitmap, bits, s)
+                    hit = passes(*keys, s)
                     seeds.append(s[hit])
                     places.append(first[hit])
+                    if hot:
+                        hit = passes(*hot, s)
+                        more, of = second_hashes(w, s[hit], first[hit], mask, reach)
+                        met = passes(*keys, more)
+                        seeds.append(more[met])
+                        places.append(first[hit][of[met]])
                 seed, place = np.concatenate(seeds), np.concatenate(places)
                 if not len(seed):
                     continue
@@ -130,58 +218,70 @@ def document_hits(docs: DataFrame, bitmap: np.ndarray, bits: int, masks: tuple[s
                 lo = np.maximum(place[starts] - reach, w.at[doc[starts]])
                 hi = np.minimum(place[ends - 1] + 2 * reach, w.at[doc[starts] + 1])
                 tokens = [w.hash[x:y].view(np.int64) for x, y in zip(lo, hi, strict=True)]
-                doc_ids = ids.take(pa.array(a + doc[starts]))
+                of = pa.array(a + doc[starts])
                 base = pa.array(lo - w.at[doc[starts]], pa.int64())
                 n = len(starts)
-                yield pa.RecordBatch.from_arrays([doc_ids, base, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))], names=["doc_id", "region", "seed", "pos", "words"])
+                yield pa.RecordBatch.from_arrays([ids.take(of), hashes.take(of), base, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))], names=names)
                 m = len(seed)
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(a + doc)), base.take(pa.array(region)), pa.array(seed.view(np.int64)), pa.array(place - lo[region], pa.int64()), pa.nulls(m, pa.list_(pa.int64()))], names=["doc_id", "region", "seed", "pos", "words"])
+                of = pa.array(a + doc)
+                yield pa.RecordBatch.from_arrays([ids.take(of), hashes.take(of), base.take(pa.array(region)), pa.array(seed.view(np.int64)), pa.array(place - lo[region], pa.int64()), pa.nulls(m, pa.list_(pa.int64()))], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(batches, "doc_id long, region long, seed long, pos long, words array<long>")
+    names = ["doc_id", "th", "region", "seed", "pos", "words"]
+    return docs.select("doc_id", text_hash().alias("th"), "text").mapInArrow(batches, "doc_id long, th long, region long, seed long, pos long, words array<long>")
 
 
 def overlaps(candidates: DataFrame, stretch: int, share: float) -> DataFrame:
     """Compares region and item at their offset; keeps pairs whose best stretch has the share of equal words.
 
-    Regions hold at least `stretch` words around each hit, so every stretch that holds the hit is seen."""
+    Regions hold at least `stretch` words around each hit, so every stretch that holds the hit is seen.  Only the part of
+    an item that lies in the region is moved."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            doc, item_id, region, shift, equal, size = [], [], [], [], [], []
-            rows = zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3)), batch.column(4), batch.column(5), strict=True)
-            for d, r, i, off, mine, theirs in rows:
-                x, y = mine.values.to_numpy(), theirs.values.to_numpy()
-                n = min(stretch, len(y))
-                lo, hi = max(0, off), min(len(x), off + len(y))
-                if hi - lo < 1:
-                    continue
-                same = np.zeros(len(y), np.int64)
-                same[lo - off : hi - off] = x[lo:hi] == y[lo - off : hi - off]
+            kept, equal = [], []
+            for k, (n, mine, theirs) in enumerate(zip(batch.column(5).to_pylist(), batch.column(6), batch.column(7), strict=True)):
+                same = mine.values.to_numpy() == theirs.values.to_numpy()
                 sums = np.concatenate([[0], np.cumsum(same)])
-                best = int((sums[n:] - sums[:-n]).max())
+                n_here = min(n, len(same))
+                best = int((sums[n_here:] - sums[: len(sums) - n_here]).max())
                 if best >= share * n:
-                    for values, v in ((doc, d), (item_id, i), (region, r), (shift, off), (equal, best), (size, n)):
-                        values.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (doc, item_id, region, shift, equal, size)], names=["doc_id", "item_id", "region", "offset", "equal", "compared"])
+                    kept.append(k)
+                    equal.append(best)
+            part = batch.take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*part.columns[:5], pa.array(equal, pa.int64()), part.column(5)], names=["doc_id", "th", "item_id", "region", "offset", "equal", "compared"])
 
-    return candidates.select("doc_id", "region", "item_id", "offset", "words", "item").mapInArrow(batches, "doc_id long, item_id long, region long, offset long, equal long, compared long")
+    skip_mine, skip_theirs = F.greatest(F.lit(0), F.col("offset")), F.greatest(F.lit(0), -F.col("offset"))
+    common = F.least(F.size("words") - skip_mine, F.size("item") - skip_theirs)
+    cut_ = candidates.where(common > 0).select("doc_id", "th", "item_id", "region", "offset", F.least(F.lit(stretch), F.size("item")).cast("long").alias("n"), F.slice("words", (skip_mine + 1).cast("int"), common.cast("int")).alias("mine"), F.slice("item", (skip_theirs + 1).cast("int"), common.cast("int")).alias("theirs"))
+    return cut_.mapInArrow(batches, "doc_id long, th long, item_id long, region long, offset long, equal long, compared long")
 
 
 def contaminated_passages(docs: DataFrame, benchmark: DataFrame, *, masks: tuple[str, ...] = MASKS, stretch: int = STRETCH, share: float = SHARE) -> DataFrame:
-    """doc_id, item_id, first word in the document (offset + region), equal and compared words of each verified overlap."""
-    seeds = written(benchmark_seeds(benchmark, masks))
-    hits = written(document_hits(docs, *bloom(seeds), masks, stretch))
-    pairs = hits.where("seed IS NOT NULL").join(seeds.select("seed", "item_id", "item_pos", F.xxhash64("item").alias("item_key")), "seed")
-    pairs = pairs.select("doc_id", "region", "item_id", "item_key", (F.col("pos") - F.col("item_pos")).alias("offset")).distinct()
-    items = seeds.select("item_id", F.xxhash64("item").alias("item_key"), "item").distinct()
-    regions = hits.where("seed IS NULL").select("doc_id", "region", "words").distinct()
-    return overlaps(pairs.join(items, ["item_id", "item_key"]).join(regions, ["doc_id", "region"]), stretch, share)
+    """doc_id, th (hash of the text), item_id, first word in the document (offset + region), equal and compared words of
+    each verified overlap."""
+    items = written(benchmark_items(benchmark))
+    often = written(item_seeds(items, masks, stretch).groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("seed"))
+    hot = bloom(often) if two_seeds(masks, stretch, share) and often.limit(1).count() else None
+    seeds = written(item_seeds(items, masks, stretch, hot))
+    hits = written(document_hits(docs, bloom(seeds), hot, masks, stretch))
+    few = seeds.count() <= BROADCAST_ROWS
+    pairs = hits.where("seed IS NOT NULL").select("doc_id", "th", "region", "seed", "pos").join(F.broadcast(seeds) if few else seeds, "seed")
+    pairs = pairs.select("doc_id", "th", "region", "item_key", (F.col("pos") - F.col("item_pos")).alias("offset")).distinct()
+    regions = hits.where("seed IS NULL").select("doc_id", "th", "region", "words").distinct()
+    found = written(overlaps(pairs.join(regions, ["doc_id", "th", "region"]).join(items, "item_key"), stretch, share))
+    discard(items, often, seeds, hits)
+    return found
 
 
 def flag_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Per document: contaminated, the number of items met, their ids in order, and the best share of equal words."""
-    found = contaminated_passages(docs, benchmark, **options).groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.max(F.col("equal") / F.col("compared")).alias("best_share"))
-    return docs.select("doc_id").join(found, "doc_id", "left").select("doc_id", F.col("items").isNotNull().alias("contaminated"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce(F.array_join("items", ","), F.lit("")).alias("item_ids"), F.coalesce("best_share", F.lit(0.0)).alias("best_share"))
+    found = contaminated_passages(docs, benchmark, **options).groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.max(F.col("equal") / F.col("compared")).alias("best_share"))
+    return docs.select("doc_id", text_hash().alias("th")).join(found, ["doc_id", "th"], "left").select("doc_id", F.col("items").isNotNull().alias("contaminated"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce(F.array_join("items", ","), F.lit("")).alias("item_ids"), F.coalesce("best_share", F.lit(0.0)).alias("best_share"))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of docs, with all columns, that hold no passage of the benchmark."""
+    return without(docs, contaminated_passages(docs, benchmark, **options))
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
