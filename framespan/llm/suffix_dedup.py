@@ -11,33 +11,39 @@ over polynomial prefix hashes finds their common extension, the next byte decide
 verified byte by byte.  Windows are equal when they lie in one run of common extensions on both sides.
 
 Equal texts are known by their hashes (128 bits) and are one text in all this; all bytes of a text with a copy go.  An
-anchor with more than HOT different surroundings is not brought together: its windows' hashes are counted by Spark with
-partial sums instead.  Long texts are worked on in overlapping pieces.
-
-Defined cases: null is the empty text; texts shorter than `length` keep all; repeated rows count as other places; an
-empty table gives no rows; only doc_id and text are read.
+anchor with more than HOT surroundings is dealt again by longer strings: its windows are parted by where the anchor lies
+in them, into two parts, then four and so on, and the windows of a part have more bytes in common with the anchor, which
+become the key.  Surroundings that are equal byte by byte become one first, whose windows are all repeated.  With one
+place a part the key is the window, so every anchor ends in groups of at most HOT different surroundings, which all go
+through the same suffix sort.  Long texts are worked on in overlapping pieces.
+
+Defined cases: null is the empty text; texts shorter than `length` keep all; repeated rows count as other places; rows
+with one doc_id are worked on each by itself; an empty table gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framespan.llm._common import read_documents, written
+from framespan.llm._common import discard, read_documents, written
 from framespan.llm._vec import _BYTES, buffers, chunks, mix, powers
 
 LENGTH, GRAM = 200, 50
 #: bytes of a long text's piece
 PIECE = 1 << 21
 #: surroundings of one anchor that are compared in one task
-HOT = 20_000
+HOT = 2000
 #: repeated anchors that are broadcast; more are joined by shuffle
-BROADCAST_ROWS = 4_000_000
+BROADCAST_ROWS = 1_000_000
+#: texts whose surroundings a task remembers, to skip copies
+MET = 1_000_000
 
 
 class Prefix:
@@ -89,6 +95,8 @@ def surroundings(docs: DataFrame, *, length: int, gram: int, with_bytes: bool) -
             fresh = np.zeros(len(keys), bool)
             for d, key in enumerate(keys):
                 if key not in met and offsets[d + 1] - offsets[d] >= length:
+                    if len(met) >= MET:
+                        met.clear()
                     met.add(key)
                     fresh[d] = True
             for a, b in chunks(offsets):
@@ -240,13 +248,15 @@ def spans_of(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
 
 
 def grouped_spans(brought: DataFrame, length: int) -> DataFrame:
-    """k1, k2, first, last of the repeated windows; rows of an anchor must lie together in a partition, in order."""
+    """k1, k2, first, last of the repeated windows; rows of an anchor must lie together in a partition, in order.
+
+    many: all windows of the row are repeated, whatever the others are."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in it:
             h = batch.column(0).to_numpy()
-            held += zip(h.tolist(), *(batch.column(i).to_pylist() for i in range(1, 6)), strict=True)
+            held += zip(h.tolist(), *(batch.column(i).to_pylist() for i in range(1, 7)), strict=True)
             done = int(np.searchsorted(np.fromiter((r[0] for r in held), np.int64, len(held)), held[-1][0])) if held else 0
             if done > 2000:
                 yield work(held[:done])
@@ -262,33 +272,60 @@ def grouped_spans(brought: DataFrame, length: int) -> DataFrame:
                 seen.add(key)
                 kept.append(r)
         _, group = np.unique(np.array([r[0] for r in kept]), return_inverse=True)
-        windows = repeated_windows([r[5] for r in kept], np.array([r[4] for r in kept], np.int64), group, np.array([len(r[3]) > 1 for r in kept]), length)
+        multiple = np.array([r[6] or len(r[3]) > 1 for r in kept])
+        windows = repeated_windows([r[5] for r in kept], np.array([r[4] for r in kept], np.int64), group, multiple, length)
         out: list[tuple[int, int, int, int]] = []
         for r, w in zip(kept, windows, strict=True):
             out += [(r[1], r[2], s + a, s + b) for a, b in spans_of(w, length) for s in r[3]]
         columns = list(zip(*out, strict=True)) if out else [()] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["k1", "k2", "first", "last"])
 
-    return brought.select("h", "k1", "k2", "starts", "off", "around").mapInArrow(batches, "k1 long, k2 long, first long, last long")
+    dealt = brought.select("h", "k1", "k2", "starts", "off", "around", "many").repartition("h").sortWithinPartitions("h")
+    return dealt.mapInArrow(batches, "k1 long, k2 long, first long, last long")
 
 
-def counted_spans(hot: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many surroundings: windows are counted by two hashes, with partial sums."""
+def parted(around: DataFrame, parts: int, *, length: int, gram: int) -> DataFrame:
+    """The surroundings with their windows parted by the anchor's place in them; h is the hash of the bytes that all
+    windows of a part share, and of the old h."""
+    places = length - gram + 1
+    width = -(-places // parts)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            columns: list[list] = [[], [], [], [], []]
-            for k1, k2, starts, around in zip(*(batch.column(i).to_pylist() for i in range(1, 4)), batch.column(5).to_pylist(), strict=True):
-                for w in range(len(around) - length + 1):
-                    digest = hashlib.blake2b(around[w : w + length], digest_size=16).digest()
-                    for s in starts:
-                        for c, v in zip(columns, (int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), k1, k2, s + w), strict=True):
-                            c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["w1", "w2", "k1", "k2", "first"])
-
-    windows = hot.select("h", "k1", "k2", "starts", "off", "around").mapInArrow(batches, "w1 long, w2 long, k1 long, k2 long, first long").distinct()
-    repeated = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return windows.join(repeated, ["w1", "w2"]).select("k1", "k2", "first", (F.col("first") + length).alias("last"))
+            columns: list[list] = [[] for _ in names]
+            for h, k1, k2, starts, off, data, many in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+                for part in range((off + length - len(data)) // width, off // width + 1):
+                    low, high = part * width, min(part * width + width, places) - 1
+                    key = hashlib.blake2b(data[off - low : off + length - high], digest_size=8, salt=part.to_bytes(8, "little"), person=h.to_bytes(8, "little", signed=True))
+                    least, most = max(low, off + length - len(data)), min(high, off)  # bytes before the anchor in these windows
+                    row = (int.from_bytes(key.digest(), "little", signed=True), k1, k2, [s + off - most for s in starts], most, data[off - most : off + length - least], many)
+                    for column, value in zip(columns, row, strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+
+    names = ["h", "k1", "k2", "starts", "off", "around", "many"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.bool_()]
+    return around.select(*names).mapInArrow(batches, "h long, k1 long, k2 long, starts array<long>, off int, around binary, many boolean")
+
+
+def hot_spans(around: DataFrame, *, length: int, gram: int, hot: int) -> list[DataFrame]:
+    """Tables of k1, k2, first, last of the repeated windows of anchors with very many surroundings."""
+    found, parts = [], 2
+    while around.limit(1).count():
+        made = written(parted(around, parts, length=length, gram=gram))
+        # equal bytes are one: all windows of each are repeated, one stays for the others
+        equal = made.groupBy("h", "off", "around").agg(F.sum(F.size("starts")).alias("n"), F.min("k1").alias("k1"), F.max("many").alias("many"))
+        equal = written(equal.withColumn("many", F.col("many") | (F.col("n") > 1)))
+        whole = made.join(equal.where("many").select("h", "off", "around"), ["h", "off", "around"])
+        found.append(written(whole.select("k1", "k2", F.explode("starts").alias("first"), F.octet_length("around").alias("size")).select("k1", "k2", "first", (F.col("first") + F.col("size")).alias("last"))))
+        one = made.withColumn("place", F.struct("k2", "starts")).groupBy("h", "off", "around").agg(F.min(F.struct("k1", "place")).alias("p"))
+        one = one.join(equal.select("h", "off", "around", "many"), ["h", "off", "around"]).select("h", "p.k1", "p.place.k2", "p.place.starts", "off", "around", "many")
+        sizes = equal.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        left = written(one.join(sizes, "h"))
+        found.append(written(grouped_spans(left.where(F.col("n") <= hot), length)))
+        around, parts = left.where(F.col("n") > hot).drop("n"), parts * 2
+        discard(made, equal)
+    return found
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
@@ -324,11 +361,13 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, h
     repeated = written(repeated)
     few = repeated.count() <= BROADCAST_ROWS
     around = surroundings(keyed, length=length, gram=gram, with_bytes=True).join(F.broadcast(repeated) if few else repeated, "h")
-    around = written(around)
-    cool = grouped_spans(around.where(F.col("n") <= hot).repartition("h").sortWithinPartitions("h"), length)
-    found = cool.union(counted_spans(around.where(F.col("n") > hot), length))
+    around = written(around.withColumn("many", F.lit(False)))
+    tables = [grouped_spans(around.where(F.col("n") <= hot), length)]
+    if repeated.where(F.col("n") > hot).limit(1).count():
+        tables += hot_spans(around.where(F.col("n") > hot).drop("n"), length=length, gram=gram, hot=hot)
     copies = keyed.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).cast("long").alias("last")).where((F.col("n") > 1) & (F.col("last") >= length))
-    spans = found.union(copies.select("k1", "k2", F.lit(0).cast("long").alias("first"), "last")).groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    tables.append(copies.select("k1", "k2", F.lit(0).cast("long").alias("first"), "last"))
+    spans = reduce(DataFrame.union, tables).groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
     return remove_spans(keyed, spans)
 
 
