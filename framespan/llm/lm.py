@@ -1,23 +1,29 @@
 """Language-model scores: a log-bilinear neural model with classes, trained by noise-contrastive estimation.
 
-Tokens are words, lower-cased A-Z, and one end a text.  The model's output vocabulary are the WORDS most frequent training
-words, the end, and CLASSES classes that share the other words by their last two bytes: p(w | context) = p(unit | context)
-for a word of its own, times p(w | class) = (c + 0.1) / (N_class + 0.1 (V_class + 1)) for the others, so the
-probabilities of all words and of one unseen word a class add to one.  The score of a unit is linear in the vectors of
-the two units before it: s = (r1[u1] + r2[u2]) . q[u] + b[u].
+Tokens are words, lower-cased A-Z, and one end a text.  Own words are the training words with LEAST_COUNT occurrences or
+more, OWN at most, the most frequent first.  The model first chooses a unit: one of the SINGLES most frequent words, the
+end, or one of CLASSES classes that hold the other words by their last two bytes; then, inside a class, one of its own
+words or "rest", by vectors of their own; then a word of the rest by its count:
+p(w) = p(class | context) p(rest | class, context) (c + 0.1) / (N_rest + 0.1 (V_rest + 1)).  The probabilities of all
+words and of one unseen word a class add to one.
+
+A choice is linear in the context's vector: (r1[word before] + mean of r2[the WINDOW words before that]) . q[choice] +
+b[choice]; words that are not own ones have their class's vectors.  Normalisation is exact: a batched matrix product gives
+the scores of all units for a block of tokens, and one product a class those of its words.
 
 Counts of all words are summed by Spark from vectorised counts of each partition.  Training: a start from a bounded sample
 of texts on the driver, then one pass over all training texts in which every partition takes noise-contrastive steps
-from that start, and the average of the partitions' parameters weighted by their tokens.  Normalisation: with
-E1 = exp(r1 q') and E2 = exp(r2 q' + b) the normaliser of every pair of context units is one entry of the matrix product
-E1 E2', computed once; a token's log-probability is then three table entries.
+from that start, and the average of the partitions' parameters, each weighted by how often the partition used it.  Rows
+are dealt to partitions by Spark's reader: the same files and settings give the same model, others one that differs as
+training runs do.
 
 Scoring is one pass.  The FREQUENT most frequent words are resolved in it from a table of fixed size; what is left,
 pairs of a text and a rarer word, is joined with the counts by word and summed by text.  Words are told apart by 64-bit
 hashes.
 
-Defined cases: null and empty texts are one end; without training rows N and V are 0 and all words are unseen; repeated
-rows are scored each by itself; an empty table gives no rows; only doc_id and text are read.
+Defined cases: null and empty texts are one end; without training rows N and V are 0 and all words are unseen; very long
+texts are worked on alone, as a whole; repeated rows, and rows with one doc_id, are scored each by itself; an empty table
+gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -27,30 +33,35 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framespan.llm._common import read_documents, remainder, written
 from framespan.llm._vec import LOWER, buffers, chunks, mix, words
 
-WORDS, CLASSES, FREQUENT = 895, 128, 1 << 17
-END = WORDS  # unit of the end, also of what is before a text
-UNITS = WORDS + 1 + CLASSES
-SIZE, NOISE, BATCH = 16, 16, 4096
+#: own words with vectors: most of them, and the occurrences that one needs
+OWN, LEAST_COUNT = 1 << 15, 10
+SINGLES, CLASSES, FREQUENT = 63, 128, 1 << 17
+END = SINGLES  # the unit of the end; classes come after it
+UNITS = SINGLES + 1 + CLASSES
+SIZE, WINDOW = 16, 16
+#: noise units that a batch shares, noise words of each token in a class, tokens of a batch and of a block
+NOISE, INNER_NOISE, BATCH, BLOCK = 16, 1, 4096, 1 << 15
 #: tokens of the start on the driver
 START_TOKENS, START_ROUNDS = 300_000, 4
 SMOOTH = 0.1
 
 
 def class_of(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Unit of the class of each word, from its last two bytes."""
+    """Class of each word, from its last two bytes."""
     last = LOWER[raw[end - 1]].astype(np.uint64)
     other = np.where(end - start > 1, LOWER[raw[np.maximum(end - 2, 0)]], 0).astype(np.uint64)
-    return (mix(last * np.uint64(256) + other + np.uint64(1)) % np.uint64(CLASSES)).astype(np.int64) + WORDS + 1
+    return (mix(last * np.uint64(256) + other + np.uint64(1)) % np.uint64(CLASSES)).astype(np.int64)
 
 
 def count_words(docs: DataFrame, train: Column) -> DataFrame:
-    """h, unit (its class), n_train and n_all of every word."""
+    """h, class, n_train and n_all of every word."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -73,43 +84,53 @@ def count_words(docs: DataFrame, train: Column) -> DataFrame:
             yield merged(held)
 
     def merged(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        h, unit, train_n, all_n = (np.concatenate(x) for x in zip(*held, strict=True))
+        h, kind, train_n, all_n = (np.concatenate(x) for x in zip(*held, strict=True))
         h, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(unit[first].astype(np.int32)), pa.array(np.bincount(inverse, train_n, len(h)).astype(np.int64)), pa.array(np.bincount(inverse, all_n, len(h)).astype(np.int64))], names=["h", "unit", "n_train", "n_all"])
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(kind[first].astype(np.int32)), pa.array(np.bincount(inverse, train_n, len(h)).astype(np.int64)), pa.array(np.bincount(inverse, all_n, len(h)).astype(np.int64))], names=["h", "class", "n_train", "n_all"])
 
-    counted = docs.select(train.cast("int").alias("t"), "text").mapInArrow(batches, "h long, unit int, n_train long, n_all long")
-    return counted.groupBy("h", "unit").agg(F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all"))
+    counted = docs.select(train.cast("int").alias("t"), "text").mapInArrow(batches, "h long, class int, n_train long, n_all long")
+    return counted.groupBy("h", "class").agg(F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all"))
 
 
 @dataclass
 class Vocabulary:
-    """Frequent words in order of hash: unit and training count; and the totals of the training tokens."""
+    """Frequent words in order of hash: training count, place among the own words or -1, class; and totals.
+
+    Own words are numbered: singles first, then class by class; `slots` is the first slot of each class among the inner
+    choices, whose last slot is its rest."""
 
     hashes: np.ndarray
-    units: np.ndarray
     counts: np.ndarray
+    own: np.ndarray
     tokens: int
     distinct: int
     texts: int
-    class_tokens: np.ndarray
-    class_distinct: np.ndarray
+    rest_tokens: np.ndarray
+    rest_distinct: np.ndarray
     unit_counts: np.ndarray
+    slots: np.ndarray
+    slot_of: np.ndarray
+    slot_counts: np.ndarray
+    unit_of: np.ndarray
 
     @property
     def base_total(self) -> float:
         return self.tokens + SMOOTH * (self.distinct + 1)
 
-    def class_total(self) -> np.ndarray:
-        return self.class_tokens + SMOOTH * (self.class_distinct + 1)
+    @property
+    def contexts(self) -> int:
+        """Own words, the end, and the classes of all others."""
+        return len(self.unit_of) + 1 + CLASSES
 
-    def ids(self, h: np.ndarray, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Unit of each word, and its place among the frequent words or -1."""
+    def rest_total(self) -> np.ndarray:
+        return self.rest_tokens + SMOOTH * (self.rest_distinct + 1)
+
+    def place(self, h: np.ndarray) -> np.ndarray:
+        """Place of each word among the frequent ones, or -1."""
         if not len(self.hashes):
-            return class_of(raw, start, end), np.full(len(h), -1)
+            return np.full(len(h), -1)
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        at = np.where(self.hashes[at] == h, at, -1)
-        units = class_of(raw, start, end)
-        return np.where(at >= 0, self.units[at], units), at
+        return np.where(self.hashes[at] == h, at, -1)
 
 
 def most_frequent(counts: DataFrame) -> DataFrame:
@@ -130,168 +151,317 @@ def most_frequent(counts: DataFrame) -> DataFrame:
 def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
     """From the count table; what reaches the driver are FREQUENT rows and one row a class."""
     top = most_frequent(counts).toArrow()
-    h, unit, n = top["h"].to_numpy().view(np.uint64), top["unit"].to_numpy().astype(np.int64), top["n_train"].to_numpy()
-    own = np.lexsort((h, -n))[:WORDS]
-    own = own[n[own] > 0]
+    h, kind, n = top["h"].to_numpy().view(np.uint64), top["class"].to_numpy().astype(np.int64), top["n_train"].to_numpy()
+    order = np.lexsort((h, -n))
+    order = order[n[order] >= LEAST_COUNT][:OWN]
+    singles, others = order[:SINGLES], order[SINGLES:]
+    others = others[np.argsort(kind[others], kind="stable")]
+    sums = counts.where("n_train > 0").groupBy("class").agg(F.sum("n_train").alias("n"), F.count(F.lit(1)).alias("v")).toArrow()
+    rest_tokens, rest_distinct = np.zeros(CLASSES), np.zeros(CLASSES)
+    rest_tokens[sums["class"].to_numpy()], rest_distinct[sums["class"].to_numpy()] = sums["n"].to_numpy(), sums["v"].to_numpy()
+    tokens, distinct = int(rest_tokens.sum()) + texts, int(rest_distinct.sum()) + (texts > 0)
     unit_counts = np.zeros(UNITS)
-    unit_counts[: len(own)], unit_counts[END] = n[own], texts
-    sums = counts.where("n_train > 0").groupBy("unit").agg(F.sum("n_train").alias("n"), F.count(F.lit(1)).alias("v")).toArrow()
-    class_tokens, class_distinct = np.zeros(UNITS), np.zeros(UNITS)
-    class_tokens[sums["unit"].to_numpy()], class_distinct[sums["unit"].to_numpy()] = sums["n"].to_numpy(), sums["v"].to_numpy()
-    tokens, distinct = int(class_tokens.sum()) + texts, int(class_distinct.sum()) + (texts > 0)
-    np.subtract.at(class_tokens, unit[own], n[own])
-    np.subtract.at(class_distinct, unit[own], 1)
-    unit_counts[WORDS + 1 :] = class_tokens[WORDS + 1 :]
-    unit = unit.copy()
-    unit[own] = np.arange(len(own))
-    order = np.argsort(h)
-    return Vocabulary(h[order], unit[order], n[order], tokens, distinct, texts, class_tokens, class_distinct, unit_counts)
-
-
-def sequences(raw: np.ndarray, offsets: np.ndarray, voc: Vocabulary) -> tuple[np.ndarray, ...]:
-    """Units of the documents' tokens, ends included, the two units before each, and the documents' first tokens."""
+    unit_counts[: len(singles)], unit_counts[END] = n[singles], texts
+    np.subtract.at(rest_tokens, kind[singles], n[singles])
+    np.subtract.at(rest_distinct, kind[singles], 1)
+    unit_counts[END + 1 :] = rest_tokens
+    np.subtract.at(rest_tokens, kind[others], n[others])
+    np.subtract.at(rest_distinct, kind[others], 1)
+    sizes = np.bincount(kind[others], minlength=CLASSES) + 1
+    slots = np.concatenate([[0], np.cumsum(sizes)])
+    # own words of class c stand before its rest, so c rests come before its first slot
+    slot_of = np.concatenate([np.full(len(singles), -1), np.arange(len(others)) + kind[others]])
+    slot_counts = np.zeros(slots[-1])
+    slot_counts[slot_of[len(singles) :]], slot_counts[slots[1:] - 1] = n[others], rest_tokens
+    number = np.full(len(h), -1)
+    number[np.concatenate([singles, others])] = np.arange(len(order))
+    unit_of = np.concatenate([np.arange(len(singles)), END + 1 + kind[others]])
+    by_hash = np.argsort(h)
+    return Vocabulary(h[by_hash], n[by_hash], number[by_hash], tokens, distinct, texts, rest_tokens, rest_distinct, unit_counts, slots, slot_of, slot_counts, unit_of)
+
+
+@dataclass
+class Tokens:
+    """Tokens of some texts, ends included: unit, inner slot (-1: none), context number of each, the token before it and
+    how many tokens of the text come before; first: the texts' first tokens; place: among frequent words (-2: an end)."""
+
+    unit: np.ndarray
+    slot: np.ndarray
+    context: np.ndarray
+    before: np.ndarray
+    depth: np.ndarray
+    first: np.ndarray
+    place: np.ndarray
+
+
+def tokens_of(raw: np.ndarray, offsets: np.ndarray, voc: Vocabulary):
+    """Tokens of the documents, and their words."""
     w = words(raw, offsets)
-    units, at = voc.ids(w.hash, raw, w.start, w.end)
+    at = voc.place(w.hash)
+    number = voc.own[at] if len(voc.own) else np.full(len(at), -1)
+    number = np.where(at >= 0, number, -1)
+    kind = class_of(raw, w.start, w.end)
+    own = number >= 0
+    unit, slot = END + 1 + kind, voc.slots[kind + 1] - 1
+    unit[own], slot[own] = voc.unit_of[number[own]], voc.slot_of[number[own]]
+    n_own = len(voc.unit_of)
     docs = len(offsets) - 1
-    flat = np.full(len(units) + docs, END)
-    flat[np.arange(len(units)) + w.doc] = units
+    flat = np.arange(len(unit)) + w.doc
+    total = len(unit) + docs
+    out = [np.full(total, x) for x in (END, -1, n_own, -2)]
+    for target, values in zip(out, (unit, slot, np.where(own, number, n_own + 1 + kind), at), strict=True):
+        target[flat] = values
     first = w.at[:-1] + np.arange(docs)
-    one, two = np.full(len(flat), END), np.full(len(flat), END)
-    one[1:], two[2:] = flat[:-1], flat[:-2]
-    one[first] = END
-    two[first] = END
-    second = first + 1
-    two[second[second < len(flat)]] = END
-    return flat, one, two, first, w, at
+    depth = np.arange(total) - np.repeat(first, np.diff(np.append(first, total)))
+    before = np.full(total, n_own)
+    before[1:] = out[2][:-1]
+    before[first] = n_own
+    return Tokens(out[0], out[1], out[2], before, depth, first, out[3]), w
+
+
+def _sums(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The indices in order and the sum of the rows of each."""
+    order = np.argsort(index, kind="stable")
+    at = index[order]
+    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, np.int64)
+    return at[starts], np.add.reduceat(rows[order], starts, 0) if len(at) else rows[:0]
 
 
 class LogBilinear:
-    """r1, r2: vectors of the units one and two before; q, b: of the unit that follows."""
+    """r1, r2: vectors of contexts; q, b: of units; q2, b2: of the inner slots."""
+
+    PARTS = ("r1", "r2", "q", "q2")
 
-    def __init__(self, noise: np.ndarray, seed: int = 3):
+    def __init__(self, voc: Vocabulary, seed: int = 3):
         rng = np.random.default_rng(seed)
+        self.voc = voc
+        noise = voc.unit_counts + 1.0
         self.noise = noise / noise.sum()
-        self.r1, self.r2, self.q = (rng.normal(0, 0.1, (UNITS, SIZE)) for _ in range(3))
-        self.b = np.log(self.noise)
-        self.g = [np.full((UNITS, SIZE), 0.1) for _ in range(3)] + [np.full(UNITS, 0.1)]
-
-    def flat(self) -> np.ndarray:
-        return np.concatenate([self.r1, self.r2, self.q, self.b[:, None]], 1)
-
-    def load(self, flat: np.ndarray) -> LogBilinear:
-        self.r1, self.r2, self.q = (np.ascontiguousarray(flat[:, k * SIZE : (k + 1) * SIZE]) for k in range(3))
-        self.b = flat[:, 3 * SIZE].copy()
-        return self
-
-    def step(self, unit: np.ndarray, one: np.ndarray, two: np.ndarray, rng: np.random.Generator, rate: float) -> None:
-        """One Adagrad step on the noise-contrastive loss of a batch; the batch shares its noise units."""
-        drawn = np.searchsorted(np.cumsum(self.noise), rng.random(NOISE)).clip(max=UNITS - 1)
-        log_kn = np.log(NOISE * self.noise)
-        h = self.r1[one] + self.r2[two]
-        q_unit, q_drawn = self.q[unit], self.q[drawn]
-        miss = 1 / (1 + np.exp(-np.clip(np.einsum("ij,ij->i", h, q_unit) + self.b[unit] - log_kn[unit], -30, 30))) - 1
-        wrong = 1 / (1 + np.exp(-np.clip(h @ q_drawn.T + self.b[drawn] - log_kn[drawn], -30, 30)))
-        dh = miss[:, None] * q_unit + wrong @ q_drawn
-        dq = _sums(np.concatenate([unit, drawn]), np.concatenate([miss[:, None] * h, wrong.T @ h]))
-        db = np.bincount(np.concatenate([unit, drawn]), np.concatenate([miss, wrong.sum(0)]), UNITS)
-        for value, seen, grad in zip((self.r1, self.r2, self.q, self.b), self.g, (_sums(one, dh), _sums(two, dh), dq, db), strict=True):
-            grad = grad / np.sqrt(len(unit))
-            seen += grad * grad
-            value -= rate * grad / np.sqrt(seen)
-
-    def fit(self, unit: np.ndarray, one: np.ndarray, two: np.ndarray, rng: np.random.Generator, rate: float) -> LogBilinear:
-        for a in range(0, len(unit), BATCH):
-            self.step(unit[a : a + BATCH], one[a : a + BATCH], two[a : a + BATCH], rng, rate)
-        return self
-
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Scores by (unit before, unit), by (unit two before, unit), and the log normaliser by (unit before, two before)."""
-        s1, s2 = self.r1 @ self.q.T, self.r2 @ self.q.T + self.b
-        m1, m2 = s1.max(1, keepdims=True), s2.max(1, keepdims=True)
-        z = np.log(np.maximum(np.exp(s1 - m1) @ np.exp(s2 - m2).T, 1e-300)) + m1 + m2.T
-        return s1.astype(np.float32), s2.astype(np.float32), z.astype(np.float32)
-
-
-def _sums(index: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sum of the rows by index."""
-    order = np.argsort(index, kind="stable")
-    at = index[order]
-    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    out = np.zeros((UNITS, rows.shape[1]))
-    out[at[starts]] = np.add.reduceat(rows[order], starts, 0)
-    return out
+        inner = voc.slot_counts + 1.0
+        self.inner_edges = np.concatenate([[0.0], np.cumsum(inner)])
+        per_class = np.add.reduceat(inner, voc.slots[:-1])
+        self.inner = inner / np.repeat(per_class, np.diff(voc.slots))
+        # the last column of q and q2 is the bias
+        sizes = {"r1": (voc.contexts, SIZE), "r2": (voc.contexts, SIZE), "q": (UNITS, SIZE + 1), "q2": (len(inner), SIZE + 1)}
+        for name, shape in sizes.items():
+            setattr(self, name, rng.normal(0, 0.1, shape).astype(np.float32))
+        self.q[:, SIZE], self.q2[:, SIZE] = np.log(self.noise), np.log(self.inner)
+        self.g = {name: np.full(shape, 0.1, np.float32) for name, shape in sizes.items()}
+        self.used = {name: np.zeros(shape[0], np.int64) for name, shape in sizes.items()}
+
+    def _learn(self, name: str, index: np.ndarray, rows: np.ndarray, scale: float, rate: float) -> None:
+        """One Adagrad step on the rows of a table."""
+        at, grad = _sums(index, rows)
+        grad = grad / scale
+        seen = self.g[name][at] + grad * grad
+        self.g[name][at] = seen
+        getattr(self, name)[at] -= rate * grad / np.sqrt(seen)
+        self.used[name][at] += 1
+
+    def far(self, t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each token the mean of r2 over the WINDOW tokens before the last one, and the range of those tokens."""
+        here = np.arange(len(t.depth))
+        high = np.maximum(here - 1, 0)
+        low = np.maximum(here - 1 - WINDOW, here - t.depth)
+        low = np.minimum(low, high)
+        sums = np.zeros((len(here) + 1, SIZE))
+        np.cumsum(self.r2[t.context], 0, out=sums[1:], dtype=np.float64)
+        return ((sums[high] - sums[low]) / np.maximum(high - low, 1)[:, None]).astype(np.float32), low, high
+
+    def fit(self, t: Tokens, rng: np.random.Generator, rate: float) -> None:
+        """Noise-contrastive steps over the tokens in random order, in batches; r2 follows at the end."""
+        far, low, high = self.far(t)
+        pull = np.zeros_like(far)
+        edges = np.cumsum(self.noise)
+        log_kn, log_inner = np.log(NOISE * self.noise).astype(np.float32), np.log(INNER_NOISE * self.inner).astype(np.float32)
+        order = rng.permutation(len(t.unit))
+        for a in range(0, len(order), BATCH):
+            pick = order[a : a + BATCH]
+            unit, slot, before = t.unit[pick], t.slot[pick], t.before[pick]
+            h = self.r1[before] + far[pick]
+            h1 = np.concatenate([h, np.ones((len(h), 1), np.float32)], 1)
+            drawn = np.searchsorted(edges, rng.random(NOISE)).clip(max=UNITS - 1)
+            q_unit, q_drawn = self.q[unit], self.q[drawn]
+            miss = _sigmoid(np.einsum("ij,ij->i", h1, q_unit) - log_kn[unit]) - 1
+            wrong = _sigmoid(h1 @ q_drawn.T - log_kn[drawn])
+            dh = miss[:, None] * q_unit[:, :SIZE] + wrong @ q_drawn[:, :SIZE]
+            inside = np.flatnonzero(slot >= 0)
+            if len(inside):
+                kind = unit[inside] - END - 1
+                lo, hi = self.inner_edges[self.voc.slots[kind]], self.inner_edges[self.voc.slots[kind + 1]]
+                index, grads = [slot[inside]], []
+                q_slot = self.q2[index[0]]
+                m = _sigmoid(np.einsum("ij,ij->i", h1[inside], q_slot) - log_inner[index[0]]) - 1
+                dh[inside] += m[:, None] * q_slot[:, :SIZE]
+                grads.append(m[:, None] * h1[inside])
+                for _ in range(INNER_NOISE):
+                    other = np.searchsorted(self.inner_edges, lo + (hi - lo) * rng.random(len(inside)), "right") - 1
+                    other = np.clip(other, self.voc.slots[kind], self.voc.slots[kind + 1] - 1)
+                    q_other = self.q2[other]
+                    m = _sigmoid(np.einsum("ij,ij->i", h1[inside], q_other) - log_inner[other])
+                    dh[inside] += m[:, None] * q_other[:, :SIZE]
+                    index.append(other)
+                    grads.append(m[:, None] * h1[inside])
+                self._learn("q2", np.concatenate(index), np.concatenate(grads), 8.0, rate)
+            scale = float(np.sqrt(len(pick)))
+            self._learn("q", np.concatenate([unit, drawn]), np.concatenate([miss[:, None] * h1, wrong.T @ h1]), scale, rate)
+            self._learn("r1", before, dh, 8.0, rate)
+            pull[pick] = dh
+        # a token's r2 is in the means of the WINDOW tokens of its text from the second after it on
+        sums = np.zeros((len(pull) + 1, SIZE))
+        np.cumsum(pull / np.maximum(high - low, 1)[:, None], 0, out=sums[1:])
+        here, stops = np.arange(len(pull)), np.append(t.first[1:], len(pull))
+        last = np.minimum(here + 2 + WINDOW, np.repeat(stops, stops - t.first))
+        self._learn("r2", t.context, (sums[last] - sums[np.minimum(here + 2, last)]).astype(np.float32), 8.0, rate)
+
+    def log_probabilities(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """Natural log-probabilities of the tokens' units, and of their slots inside the classes (0 without)."""
+        far, _, _ = self.far(t)
+        units, inner = np.zeros(len(t.unit)), np.zeros(len(t.unit))
+        for a in range(0, len(t.unit), BLOCK):
+            part = slice(a, a + BLOCK)
+            h = np.concatenate([self.r1[t.before[part]] + far[part], np.ones((len(t.before[part]), 1), np.float32)], 1)
+            unit, slot = t.unit[part], t.slot[part]
+            units[part] = _log_softmax(h @ self.q.T, unit)
+            inside = np.flatnonzero(slot >= 0)
+            inside = inside[np.argsort(unit[inside], kind="stable")]
+            cuts = np.flatnonzero(np.diff(unit[inside])) + 1
+            for rows in np.split(inside, cuts) if len(inside) else []:
+                c = unit[rows[0]] - END - 1
+                lo, hi = self.voc.slots[c], self.voc.slots[c + 1]
+                if hi - lo > 1:
+                    for k in range(0, len(rows), BATCH):
+                        some = rows[k : k + BATCH]
+                        inner[a + some] = _log_softmax(h[some] @ self.q2[lo:hi].T, slot[some] - lo)
+        return units, inner
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def _log_softmax(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log of the softmax of each row at one column; the scores are overwritten."""
+    own = scores[np.arange(len(scores)), chosen]
+    top = scores.max(1)
+    scores -= top[:, None]
+    np.exp(scores, out=scores)
+    return own - top - np.log(scores.sum(1))
+
+
+def blocks_of_tokens(raw: np.ndarray, offsets: np.ndarray, voc: Vocabulary) -> Iterator[Tokens]:
+    """Tokens of some texts at a time, about BLOCK."""
+    for a, b in chunks(offsets, 6 * BLOCK):
+        yield tokens_of(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], voc)[0]
 
 
 def start_model(training: DataFrame, voc: Vocabulary) -> LogBilinear:
     """A model from a bounded sample of training texts: whole texts up to START_TOKENS tokens."""
-    model, rng = LogBilinear(voc.unit_counts + 1.0), np.random.default_rng(5)
+    model, rng = LogBilinear(voc), np.random.default_rng(5)
     share = min(1.0, START_TOKENS / max(voc.tokens, 1))
     sample = training.sample(share, 9) if share < 1 else training
-    tokens = F.octet_length("text").cast("long")
-    raw, offsets = buffers(sample.where(tokens <= 8 * START_TOKENS).select("text").limit(START_TOKENS // 20).toArrow()["text"].combine_chunks())
+    size = F.octet_length("text").cast("long")
+    raw, offsets = buffers(sample.where(size <= 8 * START_TOKENS).select("text").limit(START_TOKENS // 20).toArrow()["text"].combine_chunks())
     last = int(np.searchsorted(offsets, 16 * START_TOKENS, "right")) - 1
-    if last > 0:
-        unit, one, two, *_ = sequences(raw[: offsets[last]], offsets[: last + 1], voc)
-        for k in range(START_ROUNDS):
-            order = rng.permutation(len(unit))
-            model.fit(unit[order], one[order], two[order], rng, 0.3 / (1 + k))
+    for k in range(START_ROUNDS if last > 0 else 0):
+        for t in blocks_of_tokens(raw[: offsets[last]], offsets[: last + 1], voc):
+            model.fit(t, rng, 0.3 / (1 + k))
     return model
 
 
 def trained(training: DataFrame, voc: Vocabulary) -> LogBilinear:
-    """One pass over all training texts from the start, averaged over partitions by their tokens."""
+    """One pass over all training texts from the start, averaged over partitions by use."""
     start = start_model(training, voc)
-    shared = training.sparkSession.sparkContext.broadcast((voc, start.flat(), start.g))  # of fixed size
+    shared = training.sparkSession.sparkContext.broadcast((voc, {n: getattr(start, n) for n in start.PARTS}, start.g))  # bounded by OWN
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voc, flat, seen = shared.value
-        model = LogBilinear(voc.unit_counts + 1.0).load(flat)
-        model.g = [10 * x for x in seen]
-        rng, tokens = np.random.default_rng(1), 0
+        voc, values, seen = shared.value
+        model = LogBilinear(voc)
+        for n in model.PARTS:
+            setattr(model, n, values[n].copy())
+            model.g[n] = 4 * seen[n]
+        rng = np.random.default_rng(1)
         for batch in it:
-            raw, offsets = buffers(batch.column(0))
-            for a, b in chunks(offsets):
-                unit, one, two, *_ = sequences(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], voc)
-                order = rng.permutation(len(unit))
-                model.fit(unit[order], one[order], two[order], rng, 0.1)
-                tokens += len(unit)
-        if tokens:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(UNITS, dtype=np.int32)), pa.array(list(model.flat()), pa.list_(pa.float64())), pa.array(np.full(UNITS, tokens))], names=["unit", "v", "tokens"])
+            for t in blocks_of_tokens(*buffers(batch.column(0)), voc):
+                model.fit(t, rng, 0.15)
+        origin = TaskContext.get().partitionId()
+        for k, n in enumerate(model.PARTS):
+            at = np.flatnonzero(model.used[n])
+            for a in range(0, len(at), 4096):
+                some = at[a : a + 4096]
+                rows = getattr(model, n)[some]
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(some * len(model.PARTS) + k), pa.array(np.full(len(some), origin, np.int64)), pa.array(model.used[n][some]), lists], names=["key", "origin", "used", "v"])
+
+    def means(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of a key follow on each other, in order of origin."""
+        key, total, used = None, None, 0
+        out: list[tuple] = []
+
+        def made() -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) or [(), ()]
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.list_(pa.float32()))], names=["key", "v"])
 
-    cells = training.select("text").mapInArrow(batches, "unit int, v array<double>, tokens long").select("unit", "tokens", F.posexplode("v"))
-    mean = cells.groupBy("unit", "pos").agg((F.sum(F.col("col") * F.col("tokens")) / F.sum("tokens")).alias("v")).toArrow()  # of fixed size
-    flat = start.flat()
-    flat[mean["unit"].to_numpy(), mean["pos"].to_numpy()] = mean["v"].to_numpy()
-    return start.load(flat)
+        for batch in it:
+            lists = batch.column(3)
+            at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            for i, (k, n) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                if k != key:
+                    if key is not None:
+                        out.append((key, (total / used).astype(np.float32)))
+                    key, total, used = k, 0.0, 0
+                total = total + flat[at[i] : at[i + 1]].astype(np.float64) * n
+                used += n
+            yield made()
+        if key is not None:
+            out.append((key, (total / used).astype(np.float32)))
+        yield made()
+
+    rows = training.select("text").mapInArrow(batches, "key long, origin long, used long, v array<float>")
+    found = rows.repartition("key").sortWithinPartitions("key", "origin").mapInArrow(means, "key long, v array<float>").toArrow()  # bounded by OWN
+    keys, lists = found["key"].to_numpy(), found["v"].combine_chunks()
+    at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    for k, n in enumerate(start.PARTS):
+        own = np.flatnonzero(keys % len(start.PARTS) == k)
+        if len(own):
+            table = getattr(start, n)
+            table[keys[own] // len(start.PARTS)] = flat[at[own][:, None] + np.arange(table.shape[1])]
+    return start
 
 
 def score(docs: DataFrame, voc: Vocabulary, model: LogBilinear, counts: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every text."""
-    shared = docs.sparkSession.sparkContext.broadcast((voc, model.tables()))  # of fixed size
+    shared = docs.sparkSession.sparkContext.broadcast((voc, {n: getattr(model, n) for n in model.PARTS}))  # bounded by OWN and FREQUENT
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voc, (s1, s2, z) = shared.value
-        ten = np.log(10)
+        voc, values = shared.value
+        model = LogBilinear(voc)
+        for n in model.PARTS:
+            setattr(model, n, values[n])
         smooth = np.log10(voc.counts + SMOOTH)
-        below = np.where(np.arange(UNITS) > END, np.log10(voc.class_total()), 0.0)
+        below = np.log10(voc.rest_total())
         base_total, end_log = np.log10(voc.base_total), np.log10(voc.texts + SMOOTH)
         for batch in it:
             raw, offsets = buffers(batch.column(2))
             for a, b in chunks(offsets):
-                unit, one, two, first, w, at = sequences(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], voc)
-                flat_at = np.full(len(unit), -2)
-                flat_at[np.arange(len(w.hash)) + w.doc] = at
-                log_c = np.where(flat_at == -2, end_log, np.where(flat_at >= 0, smooth[flat_at] if len(smooth) else 0.0, 0.0))
-                known = np.where(flat_at == -2, voc.texts > 0, (flat_at >= 0) & (voc.counts[flat_at] > 0 if len(smooth) else False))
-                p = (s1[one, unit] + s2[two, unit] - z[one, two]).astype(np.float64) / ten
-                inside = unit > END  # words of a class: times their part of it
-                p += np.where(inside, log_c - below[unit], 0.0)
+                t, w = tokens_of(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], voc)
+                known = t.place >= 0
+                log_c = np.where(t.place == -2, end_log, 0.0)
+                log_c[known] = smooth[t.place[known]]
+                seen = t.place == -2 if voc.texts else np.zeros(len(known), bool)
+                seen[known] = voc.counts[t.place[known]] > 0
+                unit, inner = model.log_probabilities(t)
+                p = (unit + inner) / np.log(10)
+                kind = t.unit - END - 1
+                rest = np.flatnonzero((kind >= 0) & (t.slot == voc.slots[np.maximum(kind, 0) + 1] - 1))
+                p[rest] += log_c[rest] - below[kind[rest]]
                 base = log_c - base_total
-                n = np.diff(np.append(first, len(unit)))
+                n = np.diff(np.append(t.first, len(p)))
                 rid, doc_id = batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a)
                 none, empty = pa.nulls(b - a, pa.int64()), pa.nulls(b - a, pa.int64())
-                yield pa.RecordBatch.from_arrays([rid, doc_id, none, empty, pa.array(n), pa.array(np.add.reduceat(known.astype(np.int64), first)), pa.array(np.add.reduceat(base, first)), pa.array(np.add.reduceat(p, first))], names=names)
-                rare = np.flatnonzero(at < 0)
+                yield pa.RecordBatch.from_arrays([rid, doc_id, none, empty, pa.array(n), pa.array(np.add.reduceat(seen.astype(np.int64), t.first)), pa.array(np.add.reduceat(base, t.first)), pa.array(np.add.reduceat(p, t.first))], names=names)
+                rare = np.flatnonzero(t.place[np.arange(len(w.hash)) + w.doc] < 0)
                 if len(rare):
                     doc, h = w.doc[rare], w.hash[rare]
                     order = np.lexsort((h, doc))
