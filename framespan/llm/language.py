@@ -3,15 +3,17 @@
 Byte trigrams give a word's likelihood under each language, p(byte | two bytes before), with the word's borders as
 bytes.  Expectation-maximisation finds a text's language proportions from the words' likelihoods.  The languages are
 then ordered by proportion and the set of the first k is chosen by the penalised likelihood (BIC: log(words)/2 for each
-language beyond the first), each set with proportions of its own.  The language with the largest share is predicted.
+language beyond the first), each set with proportions of its own.  All k are tried, up to all languages, unless even a
+mixture that gave every word its best language could not pay the penalty.  The language with the largest share is
+predicted.
 
 Trigram counts are summed over all training rows in Spark: vectorised counts of each partition, then one sum by
 (language, trigram).  The model has at most CODES trigrams a language, whatever the input, and is sent to the tasks.
 Scoring is one pass without shuffle.
 
 Defined cases: a null text or one without a letter is `und` with score 0; with no training rows everything is `und`;
-ties go to the language first in order; repeated rows are scored each by itself; only doc_id, text and (to train) lang
-are read.
+ties go to the language first in order; very long texts are whole, one at a time; repeated rows, and rows with one
+doc_id, are scored each by itself; an empty table gives no rows; only doc_id, text and (to train) lang are read.
 """
 
 from __future__ import annotations
@@ -31,8 +33,6 @@ CLASSES = 29 + 128
 CODES = CLASSES**3
 UND = "und"
 ROUNDS = 12
-#: most languages that the mixture of one text may have
-MOST = 4
 _CLASS = np.full(256, 2, np.int64)
 _CLASS[BLANK] = 0
 _CLASS[48:58] = 1
@@ -113,34 +113,41 @@ def train(docs: DataFrame) -> Model:
     return Model(langs, counts) if langs else Model.__new__(Model)
 
 
-def mixtures(like: np.ndarray, at: np.ndarray, rounds: int = ROUNDS, most: int = MOST) -> np.ndarray:
+def mixtures(like: np.ndarray, at: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """Proportions by document (rows) and language, 0 outside the chosen set.
 
     like: log-likelihood of each word under each language; at: word offsets of the documents, none of which is empty."""
     docs, langs = len(at) - 1, like.shape[1]
     sizes = np.diff(at)
-    of = np.repeat(np.arange(docs), sizes)
-    top = like.max(1, keepdims=True)
-    p = np.exp(np.maximum(like - top, -60))
-
-    def fit(allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    # relative to each word's best language, so that no mixture has a likelihood above 0
+    p = np.exp(np.maximum(like - like.max(1, keepdims=True), -60))
+
+    def fit(of_docs: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Proportions and log-likelihoods of some documents, each with its own set of languages."""
+        own = sizes[of_docs]
+        first = np.cumsum(own) - own
+        mine = p[np.arange(own.sum()) + np.repeat(at[of_docs] - first, own)] if len(of_docs) < docs else p
+        of = np.repeat(np.arange(len(own)), own)
         share = allowed / allowed.sum(1, keepdims=True)
         for _ in range(rounds):
-            r = p * share[of]
+            r = mine * share[of]
             r /= np.maximum(r.sum(1, keepdims=True), 1e-30)
-            share = np.add.reduceat(r, at[:-1], 0) / sizes[:, None]
-        return share, np.add.reduceat(np.log(np.maximum((p * share[of]).sum(1), 1e-30)), at[:-1])
-
-    share, _ = fit(np.ones((docs, langs)))
-    order = np.argsort(-share, 1, kind="stable")
-    rank = np.argsort(order, 1, kind="stable")
-    best, value = np.zeros_like(share), np.full(docs, -np.inf)
-    for k in range(1, min(most, langs) + 1):
-        allowed = (rank < k).astype(float)
-        mine, total = fit(allowed)
-        total = total - 0.5 * (k - 1) * np.log(np.maximum(sizes, 2))
-        better = total > value + 1e-9
-        best[better], value[better] = mine[better], total[better]
+            share = np.add.reduceat(r, first, 0) / own[:, None]
+        return share, np.add.reduceat(np.log(np.maximum((mine * share[of]).sum(1), 1e-30)), first)
+
+    every = np.arange(docs)
+    whole, likelihood = fit(every, np.ones((docs, langs)))
+    rank = np.argsort(np.argsort(-whole, 1, kind="stable"), 1, kind="stable")
+    best, value = np.zeros_like(whole), np.full(docs, -np.inf)
+    price = 0.5 * np.log(np.maximum(sizes, 2))
+    for k in range(1, langs + 1):
+        live = np.flatnonzero(-(k - 1) * price > value + 1e-9)
+        if not len(live):
+            break
+        share, total = fit(live, (rank[live] < k).astype(float)) if k < langs else (whole[live], likelihood[live])
+        total = total - (k - 1) * price[live]
+        better = total > value[live] + 1e-9
+        best[live[better]], value[live[better]] = share[better], total[better]
     return best
 
 
