@@ -3,21 +3,22 @@
 A candidate is a run of 20 or more token characters with a letter and a digit.  A window of 20 characters slides over
 it; the counts of its characters and the sum of c*log2(c) are updated by the character that leaves and the one that
 enters.  A window counts when its entropy reaches the bound of its character class (hexadecimal, alphanumeric, or with
-the marks of base64).  Windows that touch are joined to one span.  Allow-listed candidates (identifiers in the 8-4-4-4-12
-form, URLs and paths, short values with a placeholder or running sequence) and the parts of a span that a pattern's span
-covers are left out.  A URL ends at a blank, quote, bracket, comma, semicolon, bar or backslash.
+the marks of base64).  Windows that touch are joined to one span.  Allow-listed candidates and the parts of a span that a
+pattern's span covers are left out.  Allowed are identifiers in the 8-4-4-4-12 form, what belongs to a URL however long it
+is, paths whose segments are all made of words, short values with a placeholder as a whole word, and published examples.
+A URL ends at a blank, quote, bracket, comma, semicolon, bar or backslash.
 
-Texts are worked on one at a time inside Arrow batches; nothing is shuffled.
+Texts are worked on one at a time inside Arrow batches, in time that grows with their length; nothing is shuffled.
 
-Defined cases: null and empty texts have no spans; repeated rows are scanned each by itself; an empty table gives no
-rows; only doc_id and text are read.
+Defined cases: null and empty texts have no spans; very long texts are scanned whole; repeated rows, and rows with one
+doc_id, are scanned each by itself; an empty table gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,14 +38,18 @@ WINDOW = 20
 #: bits a character that a window of the class needs
 BOUNDS = {"hex": 2.9, "alnum": 3.6, "base64": 3.8}
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+_PART = r"(?:[A-Z]?[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z]+)[0-9]{0,4}"
+_SEGMENT = rf"{_PART}(?:[_-]{_PART})*"
 ALLOWED = [
     re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),
-    re.compile(r"/?[A-Za-z_-]{2,}[0-9]{0,4}(/[A-Za-z_-]{2,}[0-9]{0,4})+/?|/.*/.*/.*"),
+    re.compile(rf"/?{_SEGMENT}(?:/{_SEGMENT})+/?"),
 ]
-PLACEHOLDER = re.compile(r"(?i)example|sample|placeholder|changeme|xxxx|0123456789|abcdefgh")
+PLACEHOLDER = re.compile(r"(?i)(?<![a-z0-9])(?:example|sample|placeholder|changeme|x{4,}|0123456789|abcdefgh)(?![a-z0-9])")
+#: fixed values: keys that a provider's public manual prints as examples
+EXAMPLES = frozenset({"wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"})
 #: characters of a value that a placeholder's word can excuse
 SHORT = 2 * WINDOW
-_URL = re.compile(r"""://[^\s"'`\u2018-\u201f\u00ab\u00bb()\[\]{}<>,;|\\]*\Z""")
+URL = re.compile(r"""://[^\s"'`\u2018-\u201f\u00ab\u00bb()\[\]{}<>,;|\\]*""")
 _HEX, _ALNUM = frozenset("0123456789abcdefABCDEF"), re.compile(r"[A-Za-z0-9]+")
 _CLOG = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
@@ -85,8 +90,8 @@ def placeholder(text: str) -> bool:
     return all(len(p) <= SHORT and PLACEHOLDER.search(p) for p in [value, *(n for n in names if len(n) >= WINDOW)])
 
 
-def allowed(text: str, at: int, whole: str) -> bool:
-    return any(p.fullmatch(text) for p in ALLOWED) or placeholder(text) or bool(_URL.search(whole, max(0, at - 200), at))
+def allowed(text: str) -> bool:
+    return text in EXAMPLES or any(p.fullmatch(text) for p in ALLOWED) or placeholder(text)
 
 
 def pattern_spans(text: str) -> list[tuple[int, int, int]]:
@@ -98,27 +103,50 @@ def pattern_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def uncovered(a: int, b: int, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
-    """The parts of a span outside those taken, which are in order of start."""
+def covered(taken: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The places of spans in order of start, as runs without a common place."""
+    runs: list[tuple[int, int]] = []
     for start, _, end in taken:
-        if a < end and start < b:
-            if a < start:
-                yield a, start
-            a = end
-    if a < b:
-        yield a, b
-
-
-def entropy_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of the entropy spans, without what those taken cover."""
-    found = []
+        if runs and start <= runs[-1][1]:
+            runs[-1] = (runs[-1][0], max(end, runs[-1][1]))
+        else:
+            runs.append((start, end))
+    return runs
+
+
+def outside(spans: Iterable[tuple[int, int]], runs: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of the spans outside the runs; both are in order and walked once."""
+    at = 0
+    for a, b in spans:
+        while at < len(runs) and runs[at][1] <= a:
+            at += 1
+        k = at
+        while k < len(runs) and runs[k][0] < b:
+            if a < runs[k][0]:
+                yield a, runs[k][0]
+            a = max(a, runs[k][1])
+            k += 1
+        if a < b:
+            yield a, b
+
+
+def candidate_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of high entropy of the candidates that are not allowed, in order."""
+    urls = [m.span() for m in URL.finditer(text)] if "://" in text else []
+    at = 0
     for m in CANDIDATE.finditer(text):
+        while at < len(urls) and urls[at][1] < m.start():
+            at += 1
         s = m[0]
-        if not any(map(str.isdigit, s)) or not any(map(str.isalpha, s)) or allowed(s, m.start(), text):
+        if at < len(urls) and urls[at][0] < m.start() or not any(map(str.isdigit, s)) or not any(map(str.isalpha, s)) or allowed(s):
             continue
         for a, b in windows_above(s, BOUNDS[class_of(s)]):
-            found += [(c, KINDS.index("entropy"), d) for c, d in uncovered(a + m.start(), b + m.start(), taken)]
-    return found
+            yield a + m.start(), b + m.start()
+
+
+def entropy_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of the entropy spans, without what those taken, in order of start, cover."""
+    return [(a, KINDS.index("entropy"), b) for a, b in outside(candidate_spans(text), covered(taken))]
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
