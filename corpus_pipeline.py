@@ -1,7 +1,12 @@
 """Corpus pipeline: toxicity, near duplicates, benchmark decontamination, secrets, tokens.
 
 Every stage takes (spark, docs, sf_dir) and works on all that the stage before it kept; each result is written as
-Parquet and read again.  Rows whose doc_id occurs twice in the input count as the same document."""
+Parquet and read again.
+
+Defined cases: null and empty texts are kept and give no tokens; rows repeated with doc_id and text are one document
+after the second stage, rows with one doc_id and different texts are judged each by its own text; of equal or near texts
+the row that is first by (doc_id, hash of the text) stays; very long texts are whole in every stage; extra columns of
+documents, also with the names of intermediate ones, pass through up to the last stage; an empty table gives no rows."""
 
 from __future__ import annotations
 
@@ -16,21 +21,17 @@ from framespan.llm._common import read_table, shared_folder
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose toxicity score reaches 0.5; learned as in the query, outside the held-out fold."""
-    machine = toxicity.fit_from_tables(docs, read_table(spark, sf_dir, "labels"))
-    rejected = toxicity.score(docs, machine).where("score >= 0.5").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    return toxicity.without_toxic(docs, toxicity.fit_from_tables(docs, read_table(spark, sf_dir, "labels")))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least doc_id of every group of similar ones (five words, 0.8)."""
-    kept = jaccard.similar_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"])
+    """Keeps the first document of every group of similar ones (five words, 0.8)."""
+    return jaccard.one_of_each_group(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents with a passage of the benchmark."""
-    found = decontamination.contaminated_passages(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    return decontamination.without_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
