@@ -38,3 +38,22 @@ VIEWER_TEXTS = ("sequence_id", "aligned_id", "tiff_time_iso", "video_time", "the
 VIEWER_NUMBERS = {"video_time_s": "double", "video_frame_index": "bigint", "visual_score": "double", "mask_positive_pixels": "bigint", "mask_positive_fraction": "double"}
 VIEWER_FIELDS = ("sequence_id", "aligned_id", *VIEWER_FILES, "tiff_time_iso", "video_time", *VIEWER_NUMBERS, "thermal_tiff_path", "thermal_source_path")
 SAMPLE_FILES = ("thermal.tiff", "thermal.png", "video.png", "overlay.png", "mask_80c.png")
+
+#: scores of thermal circles: prior's centre and width, weights, and factors
+#: for large circles
+RADIUS_PRIOR = (0.17, 0.11)
+THERMAL_WEIGHTS = {"support": 0.35, "coverage": 0.30, "prominence": 0.15, "contrast": 0.10, "prior": 0.07, "border": 0.03}
+LARGE_RADIUS, LARGE_FACTOR = 0.30, 0.65
+FLAT_RADIUS, FLAT_PROMINENCE, FLAT_FACTOR = 0.24, 0.03, 0.85
+#: scores of contour circles: share of the shorter side, weights, usual fill of whole and partial circles, bonus of an arc
+CONTOUR_SIDE = 0.18
+CONTOUR_WEIGHTS = {"size": 0.30, "circularity": 0.25, "support": 0.25, "area": 0.20}
+CONTOUR_FILL, PARTIAL_FILL, ARC_BONUS = 0.58, 0.30, 0.08
+#: confidence of Hough circles: base, and (weight, full value) of support and fill; partial circles lose
+HOUGH_BASE, HOUGH_SUPPORT, HOUGH_FILL, HOUGH_PARTIAL = 0.78, (0.12, 0.22), (0.08, 0.35), 0.12
+#: tracking: cost weights, least radius of a scale, gates of a seed, and gates that widen by the frame up to a limit
+COST_WEIGHTS = {"center": 2.8, "radius": 1.8, "doubt": 0.7, "no_hough": 0.35, "partial": 0.30}
+LEAST_SCALE, LEAST_PREDICTED = 24.0, 20.0
+SEED_CENTER, SEED_RATIO = 0.55, 1.55
+CENTER_GATE, CENTER_STEP, CENTER_MOST = 0.90, 0.12, 2.4
+RATIO_GATE, RATIO_STEP, RATIO_MOST = 1.48, 0.025, 2.2

@@ -70,28 +70,33 @@ def composite(geometry: Column, masked: Column, full: Column, hard_pass: Column)
 
 def thermal_circle_score(support: Column, coverage: Column, prominence: Column, contrast: Column, border: Column, radius_ratio: Column) -> tuple[Column, Column]:
     """Radius prior and score of a thermal circle from its measured features."""
-    prior = F.exp(-F.pow((radius_ratio - 0.17) / 0.11, 2))
-    score = 0.35 * support + 0.30 * coverage + 0.15 * prominence + 0.10 * contrast + 0.07 * prior + 0.03 * border
-    score = F.when(radius_ratio > 0.30, score * 0.65).otherwise(score)
-    return prior, F.when((radius_ratio > 0.24) & (prominence < 0.03), score * 0.85).otherwise(score)
+    middle, width = C.RADIUS_PRIOR
+    prior = F.exp(-F.pow((radius_ratio - middle) / width, 2))
+    parts = {"support": support, "coverage": coverage, "prominence": prominence, "contrast": contrast, "prior": prior, "border": border}
+    score = sum((w * parts[k] for k, w in C.THERMAL_WEIGHTS.items()), F.lit(0.0))
+    score = F.when(radius_ratio > C.LARGE_RADIUS, score * C.LARGE_FACTOR).otherwise(score)
+    return prior, F.when((radius_ratio > C.FLAT_RADIUS) & (prominence < C.FLAT_PROMINENCE), score * C.FLAT_FACTOR).otherwise(score)
 
 
 def contour_circle_score(radius: Column, least_side: Column, circularity: Column, support: Column, area_ratio: Column, is_partial: Column, is_arc: Column) -> Column:
     """Score of a circle found as a colour contour."""
-    size = F.least(F.lit(1.0), radius / F.greatest(least_side * 0.18, F.lit(1.0)))
-    area = F.least(F.lit(1.0), area_ratio / F.when(is_partial, 0.30).otherwise(0.58))
-    bonus = F.when(is_arc & is_partial, 0.08).otherwise(0.0)
-    return 0.30 * size + 0.25 * F.greatest(F.lit(0.0), F.least(circularity, F.lit(1.0))) + 0.25 * support + 0.20 * area + bonus
+    one = F.lit(1.0)
+    parts = {
+        "size": F.least(one, radius / F.greatest(least_side * C.CONTOUR_SIDE, one)), "circularity": F.greatest(F.lit(0.0), F.least(circularity, one)),
+        "support": support, "area": F.least(one, area_ratio / F.when(is_partial, C.PARTIAL_FILL).otherwise(C.CONTOUR_FILL)),
+    }
+    return sum((w * parts[k] for k, w in C.CONTOUR_WEIGHTS.items()), F.lit(0.0)) + F.when(is_arc & is_partial, C.ARC_BONUS).otherwise(0.0)
 
 
 def hough_confidence(support: Column, fill: Column, is_partial: Column) -> Column:
-    return 0.78 + 0.12 * F.least(F.lit(1.0), support / 0.22) + 0.08 * F.least(F.lit(1.0), fill / 0.35) - F.when(is_partial, 0.12).otherwise(0.0)
+    share = lambda c, w: w[0] * F.least(F.lit(1.0), c / w[1])
+    return C.HOUGH_BASE + share(support, C.HOUGH_SUPPORT) + share(fill, C.HOUGH_FILL) - F.when(is_partial, C.HOUGH_PARTIAL).otherwise(0.0)
 
 
 def track_cost(cx: Column, cy: Column, r: Column, confidence: Column, is_hough: Column, is_partial: Column, seed: Column) -> tuple[Column, Column, Column]:
     """Cost, center ratio and radius log error of a candidate against a predicted circle."""
-    own = F.greatest(seed["r"], F.lit(24.0))
+    own, w = F.greatest(seed["r"], F.lit(C.LEAST_SCALE)), C.COST_WEIGHTS
     center = F.sqrt(F.pow(cx - seed["cx"], 2) + F.pow(cy - seed["cy"], 2)) / own
     radius = F.abs(F.log(F.greatest(r, F.lit(1.0)) / own))
-    cost = 2.8 * center + 1.8 * radius + 0.7 * (1.0 - confidence) + F.when(is_hough, 0.0).otherwise(0.35) + F.when(is_partial, 0.30).otherwise(0.0)
+    cost = w["center"] * center + w["radius"] * radius + w["doubt"] * (1.0 - confidence) + F.when(is_hough, 0.0).otherwise(w["no_hough"]) + F.when(is_partial, w["partial"]).otherwise(0.0)
     return cost, center, radius

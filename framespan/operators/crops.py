@@ -29,7 +29,8 @@ def guided_crops(pairs: DataFrame, out_w: int = C.WIDTH, out_h: int = C.HEIGHT)
     """Crops that put a video circle on a thermal circle: sizes, aspects and shifts around the exact one, clamped to the
     video; equal crops once, in order of their first place.  pairs: pair_id, thermal, video (circles), video_w, video_h."""
     values = lambda xs: F.array(*[F.lit(x) for x in xs])
-    rows = pairs.where("thermal IS NOT NULL AND video IS NOT NULL")
+    # dealt by pair while a pair is one narrow row: its crops are then counted where they are made
+    rows = pairs.where("thermal IS NOT NULL AND video IS NOT NULL").repartition("pair_id")
     for name, xs in (("scale", C.SIZE_SCALES), ("aspect", C.ASPECT_SCALES), ("sy", C.CENTER_SHIFTS), ("sx", C.CENTER_SHIFTS)):
         rows = rows.select("*", F.posexplode(values(xs)).alias(f"n_{name}", name))
     own = F.greatest(F.col("thermal.r"), F.lit(1.0))

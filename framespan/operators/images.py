@@ -36,8 +36,9 @@ def similarity(edges_a: Column, edges_b: Column, slopes_a: Column, slopes_b: Col
     return 0.75 * cosine(edges_a, edges_b) + 0.25 * cosine(slopes_a, slopes_b)
 
 
-def _distance(circle: dict, height: int, width: int) -> np.ndarray:
-    y, x = np.divmod(np.arange(height * width), width)
+def _distance(circle: dict, grid: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Of every cell from the circle's centre; grid: the cells' rows and columns."""
+    y, x = grid
     return np.sqrt((x - circle["cx"]) ** 2 + (y - circle["cy"]) ** 2)
 
 
@@ -64,13 +65,14 @@ _ARROW = {"double": pa.float64(), "array<int>": pa.list_(pa.int32()), "int": pa.
 
 def masked_similarity(pairs: DataFrame, height: int, width: int, *, scale: float = 1.22, least: int = 32) -> DataFrame:
     """Cosine of maps a and b inside the circle's disk; of the whole maps when the disk has fewer than `least` cells."""
+    grid = np.divmod(np.arange(height * width), width)
 
     def work(a, b, circle):
         if a is None or b is None:
             return {"similarity": None}
         a, b = a.astype(float), b.astype(float)
         if circle and circle["r"] > 0:
-            inside = _distance(circle, height, width) <= circle["r"] * scale
+            inside = _distance(circle, grid) <= circle["r"] * scale
             if inside.sum() >= least:
                 a, b = a[inside], b[inside]
         norms = np.linalg.norm(a) * np.linalg.norm(b)
@@ -81,11 +83,12 @@ def masked_similarity(pairs: DataFrame, height: int, width: int, *, scale: float
 
 def ring_support(frames: DataFrame, height: int, width: int, thickness: float) -> DataFrame:
     """Share of non-zero cells of `map` on the circle's ring, max(3, r * thickness) thick; 0 without circle."""
+    grid = np.divmod(np.arange(height * width), width)
 
     def work(cells, circle):
         if cells is None or not circle or circle["r"] <= 0:
             return {"support": 0.0}
-        ring = np.abs(_distance(circle, height, width) - circle["r"]) <= max(3.0, circle["r"] * thickness)
+        ring = np.abs(_distance(circle, grid) - circle["r"]) <= max(3.0, circle["r"] * thickness)
         return {"support": float((cells[ring] > 0).mean()) if ring.any() else 0.0}
 
     return _by_row(frames, ["map", "circle"], work, "support double")

@@ -20,19 +20,36 @@ def window_scores(scores: DataFrame, keys: list[str], k: int) -> DataFrame:
     return scores.groupBy(*keys).agg(F.avg("score").alias("mean"), F.median("score").alias("median"), (F.sum(F.col("score") * weight) / F.sum(weight)).alias("weighted"), F.count(F.lit(1)).alias("n"))
 
 
-def window_rows(scores: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """One row a window: hard pass and score of the centre (least |o|, first), least and mean score, a column an offset."""
+def window_rows(scores: DataFrame, keys: list[str], k: int, means: tuple[str, ...] = ()) -> DataFrame:
+    """One row a window: hard pass and score of the centre (least |o|, first), least and mean score, the means of other
+    scores (pad geometry, masked and full visual similarity), a column an offset."""
     center = F.min_by(F.struct("hard_pass", "score"), F.struct(F.abs("o"), "o"))
     named = scores.withColumn("label", offset_label(F.col("o")))
     labels = [f"score_tiff_{'m' if o < 0 else 'p'}{abs(o)}" for o in range(-k, k + 1)]
     wide = named.groupBy(*keys).pivot("label", labels).agg(F.first("score"))
-    return scores.groupBy(*keys).agg(center.alias("c"), F.min("score").alias("least"), F.avg("score").alias("mean")).join(wide, keys).select(*keys, F.col("c.hard_pass").alias("hard_pass"), F.col("c.score").alias("center"), "least", "mean", *labels)
+    others = [f"{m}_mean" for m in means]
+    own = scores.groupBy(*keys).agg(center.alias("c"), F.min("score").alias("least"), F.avg("score").alias("mean"), *[F.avg(m).alias(name) for m, name in zip(means, others, strict=True)])
+    return own.join(wide, keys).select(*keys, F.col("c.hard_pass").alias("hard_pass"), F.col("c.score").alias("center"), "least", "mean", *others, *labels)
+
+
+def _window_order(*ties: str) -> list[Column]:
+    """Hard pass, aggregate, centre and least score, descending, distance from the anchor, then the ties in order."""
+    return [F.col("hard_pass").cast("int").desc(), F.desc("aggregate"), F.desc("center"), F.desc("least"), F.abs("distance").asc(), *map(F.asc, ties)]
 
 
 def rank_candidates(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Rank by hard pass, aggregate, centre and least score descending, distance from the anchor, search order."""
-    order = [F.col("hard_pass").cast("int").desc(), F.desc("aggregate"), F.desc("center"), F.desc("least"), F.abs("distance").asc(), F.asc("search_order")]
-    return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*_window_order("search_order"))))
+
+
+def best_strategies(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The best crop strategy of each candidate frame: window rows compared as candidates are, the first strategy on ties."""
+    return best_rows(rows, keys, _window_order("strategy"))
+
+
+def window_summary(rows: DataFrame, key: str, index: str) -> DataFrame:
+    """Number of candidates, first and last index of each key."""
+    return rows.groupBy(key).agg(F.countDistinct(index).alias("candidates"), F.min(index).alias("first"), F.max(index).alias("last"))
 
 
 def diversify(rows: DataFrame, key: str, limit: int = MOST_CROPS) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framespan import constants as C
-from framespan.functions.paths import repository_path
+from framespan.functions.paths import base_name, repository_path
 from framespan.functions.radiometry import general_12, xmp_number
 from framespan.functions.timeparse import format_video_time, parse_frame_time
 from framespan.operators.timealign import in_segments, numbered, to_video
@@ -142,6 +142,67 @@ def sample_gaps(ids: DataFrame, listing: DataFrame, files: tuple[str, ...] = C.S
     return wanted.join(listing.select("path").distinct(), "path", "left_anti")
 
 
+def sample_issues(ids: DataFrame, files: DataFrame, masks: DataFrame, required: tuple[str, ...] = C.SAMPLE_FILES) -> DataFrame:
+    """The faults of each sample (sequence_id, aligned_no), rows without a fault left out.
+
+    files: sequence_id, aligned_no, file, height, width and dtype (null for images without one); masks: sequence_id,
+    aligned_no and differing, the pixels in which the mask is not the hot pixels.  A required file is missing, has
+    another size than a thermal frame, or the thermal image another type; the mask differs or is not there."""
+    wanted = ids.select("sequence_id", "aligned_no", F.explode(F.array(*map(F.lit, required))).alias("file"))
+    here = files.select("sequence_id", "aligned_no", "file", "height", "width", "dtype", F.lit(True).alias("there"))
+    found = wanted.join(here, ["sequence_id", "aligned_no", "file"], "left")
+    bad_size = (F.col("height") != C.HEIGHT) | (F.col("width") != C.WIDTH)
+    fault = F.when(F.col("there").isNull(), "missing").when(F.coalesce(bad_size, F.lit(True)), "size").when((F.col("file") == required[0]) & ~F.col("dtype").eqNullSafe(F.lit(C.DTYPE)), "dtype")
+    faults = found.select("sequence_id", "aligned_no", "file", fault.alias("issue")).where("issue IS NOT NULL")
+    wrong = ids.select("sequence_id", "aligned_no").join(masks, ["sequence_id", "aligned_no"], "left").where("differing IS NULL OR differing > 0")
+    return faults.union(wrong.select("sequence_id", "aligned_no", F.lit(required[-1]), F.lit("mask")))
+
+
+def circle_lookup(frames: DataFrame, entries: DataFrame, value: str) -> DataFrame:
+    """Frames (path) with the value of their entry (entry_path): by base name, else by path; `missing` without one.
+
+    Of several entries of one name that of the least path counts."""
+    named = frames.withColumn("_base", base_name(F.col("path")))
+    by_name = entries.groupBy(base_name(F.col("entry_path")).alias("_base")).agg(F.min_by(value, "entry_path").alias("_by_name"))
+    by_path = entries.groupBy(F.col("entry_path").alias("path")).agg(F.min_by(value, "entry_path").alias("_by_path"))
+    found = named.join(by_name, "_base", "left").join(by_path, "path", "left").withColumn("found", F.coalesce("_by_name", "_by_path"))
+    return found.withColumn("missing", F.col("found").isNull()).drop("_base", "_by_name", "_by_path")
+
+
+def prior_review(frames: DataFrame, prior: DataFrame) -> DataFrame:
+    """Frames (tiff_name) of a new review with what an earlier one decided: selected_rank, cx, cy, r.
+
+    prior: tiff_name, selected_rank, circle and candidates (with rank).  An entry with coordinates keeps them and its rank;
+    one with a rank alone takes the circle of that candidate; frames without an entry, or with neither, stay open."""
+    c = F.col("circle")
+    whole = c["cx"].isNotNull() & c["cy"].isNotNull() & c["r"].isNotNull()
+    ranked = F.try_element_at(F.filter("candidates", lambda x: x["rank"] == F.col("selected_rank")), F.lit(1))
+    rows = frames.join(prior.select("tiff_name", "selected_rank", "circle", "candidates"), "tiff_name", "left")
+    keep = [n for n in frames.columns if n != "tiff_name"]
+    return rows.select("tiff_name", *keep, "selected_rank", *[F.when(whole, c[n]).otherwise(ranked[n]).alias(n) for n in ("cx", "cy", "r")])
+
+
+def catalog(frames: DataFrame, expected: DataFrame) -> DataFrame:
+    """Per sequence the number of raw frames, the expected number of aligned ones, and the first time."""
+    own = frames.groupBy("sequence_id").agg(F.count(F.lit(1)).alias("raw_tiff_count"), F.min("tiff_s").alias("tiff_start"))
+    return own.join(expected.withColumnRenamed("expected", "aligned_count"), "sequence_id").select(F.col("sequence_id").alias("dataset_id"), "raw_tiff_count", "aligned_count", "tiff_start")
+
+
+def last_id_checks(rows: DataFrame, bounds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """For a report: whether the last aligned_id of a sequence is the expected one (1), and the ids from the cutoff on (0).
+
+    bounds: sequence_id, last_id, cutoff."""
+    own = bounds.join(rows, "sequence_id", "left").groupBy("sequence_id", "last_id", "cutoff").agg(F.max("aligned_id").alias("last"), F.sum((F.col("aligned_id") >= F.col("cutoff")).cast("int")).alias("over"))
+    key = F.col("sequence_id").alias("key")
+    last = own.select(key, F.lit(1).alias("expected"), F.coalesce((F.col("last") == F.col("last_id")).cast("int"), F.lit(0)).alias("actual"))
+    return last, own.select(key, F.lit(0).alias("expected"), F.coalesce("over", F.lit(0)).alias("actual"))
+
+
+def total_check(expected: DataFrame, actual: DataFrame, times: int = 1) -> DataFrame:
+    """For a report: the rows of a table against those of another, `times` over."""
+    return expected.agg((F.count(F.lit(1)) * times).alias("expected")).crossJoin(actual.agg(F.count(F.lit(1)).alias("actual"))).withColumn("key", F.lit("all"))  # one row each
+
+
 def counts_report(rows: DataFrame, expected: DataFrame) -> DataFrame:
     """Rows a sequence against the expected counts, both ways."""
     n = rows.groupBy("sequence_id").agg(F.count(F.lit(1)).alias("actual"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framespan.functions.timeparse import frame_index, tiff_seconds, video_seconds
-from framespan.operators.ranges import ONE_TASK, before_and_after, place
+from framespan.operators.ranges import ONE_TASK, before_and_after, has_large_key, place
 
 
 def nearest_frames(targets: DataFrame, frames: DataFrame, *, by: str, most: int = ONE_TASK) -> DataFrame:
@@ -63,10 +63,18 @@ def numbered(frames: DataFrame, *, first: int | None = None, most: int = ONE_TAS
     return found.withColumn("aligned_id", F.concat(F.format_string("%06d", "place"), F.lit("_"), stem))
 
 
-def neighbours(frames: DataFrame, k: int) -> DataFrame:
-    """Per frame the frame_ids of the k before, itself and the k after by place, and whether the window is full."""
-    window = Window.partitionBy("sequence_id").orderBy("tiff_s", "frame_id").rowsBetween(-k, k)
-    found = frames.withColumn("neighbours", F.collect_list("frame_id").over(window))
+def neighbours(frames: DataFrame, k: int, *, most: int = ONE_TASK) -> DataFrame:
+    """Per frame the frame_ids of the k before, itself and the k after by place, and whether the window is full.
+
+    In sequences of very many frames every frame is sent to the places around its own, so that no task holds a sequence."""
+    if has_large_key(frames, "sequence_id", most):
+        placed = place(frames, "sequence_id", ["tiff_s", "frame_id"], most=0)
+        sent = placed.select("sequence_id", F.struct("place", "frame_id").alias("n"), F.explode(F.sequence(F.col("place") - k, F.col("place") + k)).alias("place"))
+        around = sent.groupBy("sequence_id", "place").agg(F.sort_array(F.collect_list("n"))["frame_id"].alias("neighbours"))  # 2k + 1 at most
+        found = placed.join(around, ["sequence_id", "place"]).drop("place")
+    else:
+        window = Window.partitionBy("sequence_id").orderBy("tiff_s", "frame_id").rowsBetween(-k, k)
+        found = frames.withColumn("neighbours", F.collect_list("frame_id").over(window))
     return found.withColumn("full", F.size("neighbours") == 2 * k + 1)
 
 

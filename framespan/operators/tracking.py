@@ -5,12 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framespan.constants import HIGH_CONFIDENCE
+from framespan import constants as C
 from framespan.functions.circles import track_cost
 
 VALUES = ("cx", "cy", "r")
@@ -42,7 +41,7 @@ def fill_gaps(track: DataFrame, window: int) -> DataFrame:
     return found.select("anchor", "frame_index", *[F.when(missing, F.col(f"_{n}")).otherwise(F.col(n)).alias(n) for n in (*VALUES, "confidence")], filled.alias("filled"))
 
 
-def smooth(track: DataFrame, window: int, *, least: float = HIGH_CONFIDENCE) -> DataFrame:
+def smooth(track: DataFrame, window: int, *, least: float = C.HIGH_CONFIDENCE) -> DataFrame:
     """Circles of low confidence, partial ones and missing ones take the value of reliable neighbours; what they were
     stays in raw_confidence and raw_partial.  Without neighbour a circle stays."""
     partial = F.coalesce(F.col("partial"), F.lit(False)) if "partial" in track.columns else F.lit(False)
@@ -60,7 +59,7 @@ def seed_circles(candidates: DataFrame, seeds: DataFrame) -> DataFrame:
     cost, center, radius = track_cost(F.col("cx"), F.col("cy"), F.col("r"), F.col("confidence"), F.col("source") == "hough_saturation", F.col("partial"), F.col("seed"))
     rows = rows.withColumns({"cost": cost, "center": center, "radius": radius})
     best = rows.withColumn("_n", F.row_number().over(Window.partitionBy("frame_id").orderBy(F.asc_nulls_last("cost"), "cand_no"))).where("_n = 1")
-    matched = F.coalesce((F.col("center") <= 0.55) & (F.col("radius") <= math.log(1.55)), F.lit(False))
+    matched = F.coalesce((F.col("center") <= C.SEED_CENTER) & (F.col("radius") <= math.log(C.SEED_RATIO)), F.lit(False))
     return best.select("frame_id", *[F.when(matched, F.col(n)).otherwise(F.col("seed")[n]).alias(n) for n in VALUES], F.when(matched, F.when(F.col("source") == "hough_saturation", "seeded_hough").otherwise("seeded_contour")).otherwise("manual_seed").alias("source"))
 
 
@@ -74,40 +73,66 @@ def propagate(candidates: DataFrame, seeds: DataFrame) -> DataFrame:
     """Tracks from a seed frame forwards and backwards with constant velocity and gates that widen with the gap.
 
     candidates: anchor, frame_index, cand_no, cx, cy, r, confidence, hough, partial (cx null: a frame without
-    candidate); seeds: anchor, seed_index, seed_cx, seed_cy, seed_r.  A track is sequential by nature and short, so
-    one anchor is one group: 90 frames and some, 12 candidates each at most."""
-
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        frames: dict[int, list[tuple]] = {}
-        for row in pdf.sort_values(["frame_index", "cand_no"])[["frame_index", *VALUES, "confidence", "hough", "partial"]].itertuples(index=False):
-            here = frames.setdefault(int(row[0]), [])
-            if not math.isnan(row[1]):
-                here.append(row[1:])
-        seed_at = int(pdf["seed_index"].iloc[0])
-        start = tuple(float(pdf[f"seed_{n}"].iloc[0]) for n in VALUES)
-        out = {seed_at: (*start, 0.0)}
-        for direction in (1, -1):
-            last, before = (seed_at, start), None
-            for at in sorted((k for k in frames if (k - seed_at) * direction > 0), reverse=direction < 0):
-                at0, (px, py, pr) = last
-                if before is not None and at0 != before[0]:
-                    step = (at - at0) / (at0 - before[0])
-                    px, py, pr = px + step * (px - before[1][0]), py + step * (py - before[1][1]), max(20.0, pr)
-                gap, own, best = max(1, abs(at - at0)), max(pr, 24.0), None
-                for cx, cy, r, confidence, hough, partial in frames[at]:
-                    center, radius = math.hypot(cx - px, cy - py) / own, abs(math.log(max(r, 1.0) / own))
-                    if center <= min(2.4, 0.90 + 0.12 * gap) and radius <= min(math.log(2.2), math.log(1.48) + 0.025 * gap):
-                        cost = 2.8 * center + 1.8 * radius + 0.7 * (1 - confidence) + (0 if hough else 0.35) + (0.30 if partial else 0)
-                        if best is None or cost < best[3]:
-                            best = (cx, cy, r, cost)
+    candidate); seeds: anchor, seed_index, seed_cx, seed_cy, seed_r.  The circle of least cost inside the gates is taken,
+    the first on ties.  Each anchor and direction is read once as a sorted stream that holds the candidates of one frame
+    and the last two circles taken, so an anchor may have any number of frames; one that dwarfs all others still takes as
+    long as its frames follow on each other."""
+    w, seed = C.COST_WEIGHTS, [f"seed_{n}" for n in VALUES]
+    near, far = math.log(C.RATIO_GATE), math.log(C.RATIO_MOST)
+
+    def best_of(frame: int, options: list[tuple], last: tuple, before: tuple | None) -> tuple | None:
+        at0, px, py, pr = last
+        if before is not None and at0 != before[0]:
+            step = (frame - at0) / (at0 - before[0])
+            px, py, pr = px + step * (px - before[1]), py + step * (py - before[2]), max(C.LEAST_PREDICTED, pr)
+        gap, own, best = max(1, abs(frame - at0)), max(pr, C.LEAST_SCALE), None
+        for cx, cy, r, confidence, hough, partial in options:
+            center, radius = math.hypot(cx - px, cy - py) / own, abs(math.log(max(r, 1.0) / own))
+            if center <= min(C.CENTER_MOST, C.CENTER_GATE + C.CENTER_STEP * gap) and radius <= min(far, near + C.RATIO_STEP * gap):
+                cost = w["center"] * center + w["radius"] * radius + w["doubt"] * (1 - confidence) + (0 if hough else w["no_hough"]) + (w["partial"] if partial else 0)
+                if best is None or cost < best[3]:
+                    best = (cx, cy, r, cost)
+        return best
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        track = at = last = before = None
+        options: list[tuple] = []
+        out: list[tuple] = []
+
+        def close() -> None:
+            nonlocal last, before, options
+            if at is not None:
+                best = best_of(at, options, last, before)
+                out.append((track[0], at, *(best or (None,) * 4)))
                 if best:
-                    out[at] = best
-                    before, last = last, (at, best[:3])
-        every = sorted(set(frames) | {seed_at})
-        rows = [out.get(k, (None,) * 4) for k in every]
-        return pd.DataFrame({"anchor": pdf["anchor"].iloc[0], "frame_index": every, **{n: pd.array([r[i] for r in rows], "Float64") for i, n in enumerate((*VALUES, "cost"))}})
+                    before, last = last, (at, *best[:3])
+            options = []
 
-    return candidates.join(seeds, "anchor").groupBy("anchor").applyInPandas(follow, "anchor long, frame_index long, cx double, cy double, r double, cost double")
+        def made() -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) or [()] * 6
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), *[pa.float64()] * 4), strict=True)], names=["anchor", "frame_index", *VALUES, "cost"])
+
+        for batch in it:
+            for anchor, ahead, frame, cx, cy, r, confidence, hough, partial, index, *start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (anchor, ahead) != track or frame != at:
+                    close()
+                    if (anchor, ahead) != track:
+                        track, last, before = (anchor, ahead), (index, *start), None
+                    at = frame
+                if cx is not None:
+                    options.append((cx, cy, r, confidence, hough, partial))
+            yield made()
+        close()
+        yield made()
+
+    rows = candidates.join(seeds, "anchor").where("frame_index <> seed_index").withColumn("ahead", F.col("frame_index") > F.col("seed_index"))
+    order = ["anchor", "ahead", F.abs(F.col("frame_index") - F.col("seed_index")), "cand_no"]
+    sorted_ = rows.repartition("anchor", "ahead").sortWithinPartitions(*order).select("anchor", "ahead", "frame_index", *VALUES, "confidence", "hough", "partial", "seed_index", *seed)
+    found = sorted_.mapInArrow(batches, "anchor long, frame_index long, cx double, cy double, r double, cost double")
+    # the seed's own row, of anchors that have frames
+    own = seeds.join(candidates.select("anchor").distinct(), "anchor", "left_semi")
+    return found.union(own.select("anchor", "seed_index", *seed, F.lit(0.0)))
 
 
 def _greedy(circles: DataFrame, order: list[Column], duplicate: Callable[[float, float, float], bool]) -> DataFrame:

@@ -43,10 +43,10 @@ def segment(v):
 
 
 @query("jn_frame_pair", f"""WITH t AS (SELECT sequence_id, frame_id, {_INDEX.format(v=_VIDEO)} AS video_frame FROM fx_frames JOIN fx_models USING (sequence_id))
-SELECT t.frame_id, t.video_frame, w.frame_id AS payload FROM t JOIN t w ON w.sequence_id = t.sequence_id AND w.video_frame = t.video_frame AND w.frame_id % 3 = 0""")
+SELECT t.frame_id, t.video_frame, w.frame_id AS payload FROM t JOIN t w ON w.sequence_id = t.sequence_id AND w.video_frame = t.video_frame""")
 def frame_pair(v):
     thermal = T.to_video(v.fx_frames, v.fx_models)
-    video = thermal.where("frame_id % 3 = 0").select("sequence_id", F.col("video_frame").alias("frame_index"), F.col("frame_id").alias("payload"))
+    video = thermal.select("sequence_id", F.col("video_frame").alias("frame_index"), F.col("frame_id").alias("payload"))
     return T.frame_pairs(thermal, video).select("frame_id", "video_frame", "payload")
 
 
@@ -65,10 +65,11 @@ def scoring_indices(v):
     return T.scoring_indices(candidates, 2, F.lit(30.0), F.lit(900))
 
 
-@query("gen_anchor_window", "SELECT o_orderkey AS anchor, unnest(range(s, s + 90)) AS frame_index FROM (SELECT o_orderkey, greatest(0, least(greatest(0, least(CAST(round_even(o_totalprice / 1024 * 30, 0) AS BIGINT), 4999)) - 45, 5000 - 90)) AS s FROM orders WHERE o_orderkey % 50 = 0)")
+@query("gen_anchor_window", "SELECT anchor, count(*) AS n, min(frame_index) AS first, max(frame_index) AS last, sum(frame_index)::BIGINT AS total FROM (SELECT o_orderkey AS anchor, unnest(range(s, s + 90)) AS frame_index FROM (SELECT o_orderkey, greatest(0, least(greatest(0, least(CAST(round_even(o_totalprice / 1024 * 30, 0) AS BIGINT), 4999)) - 45, 5000 - 90)) AS s FROM orders)) GROUP BY 1")
 def anchor_window(v):
-    anchors = v.orders.where("o_orderkey % 50 = 0").select(F.col("o_orderkey").alias("anchor"), (F.col("o_totalprice") / 1024).alias("anchor_s"), F.lit(30.0).alias("fps"), F.lit(5000).cast("long").alias("frame_count"))
-    return T.anchor_window(anchors, 3.0).select("anchor", "frame_index")
+    anchors = v.orders.select(F.col("o_orderkey").alias("anchor"), (F.col("o_totalprice") / 1024).alias("anchor_s"), F.lit(30.0).alias("fps"), F.lit(5000).cast("long").alias("frame_count"))
+    own = T.anchor_window(anchors, 3.0).groupBy("anchor")
+    return own.agg(F.count(F.lit(1)).alias("n"), F.min("frame_index").alias("first"), F.max("frame_index").alias("last"), F.sum("frame_index").alias("total"))
 
 
 @query("set_calibration_frames", """WITH c AS (SELECT sequence_id, frame_id, row_number() OVER (PARTITION BY sequence_id ORDER BY tiff_s, frame_id) AS k FROM fx_frames)
@@ -125,21 +126,49 @@ def seed(v):
     return K.seed_circles(circles, seeds)
 
 
-@query("trk_propagate")
+# three candidates a frame: the circle itself, one beside it, and a partial one that is found by Hough
+_OPTIONS = ((1, "cx", "cy", "r", "confidence", "frame_index % 3 = 0", "false"), (2, "cx + 9", "cy - 3", "r * 1.0625", "confidence - 0.125", "true", "false"), (3, "cx - 4", "cy + 2", "r * 0.9375", "confidence - 0.25", "true", "true"))
+_CANDIDATES = "".join(f" UNION ALL SELECT anchor, frame_index, {n} AS cand_no, {x} AS cx, {y} AS cy, {r} AS r, CAST({c} AS DOUBLE) AS confidence, {h} AS hough, {p} AS partial FROM fx_track" for n, x, y, r, c, h, p in _OPTIONS)[11:]
+_GATE = "sqrt(pow(c.cx - s.px, 2) + pow(c.cy - s.py, 2)) / greatest(s.pr, 24)", "abs(ln(greatest(c.r, 1) / greatest(s.pr, 24)))"
+
+
+@query("trk_propagate", f"""WITH RECURSIVE c AS ({_CANDIDATES}), z AS (SELECT anchor, min(frame_index) AS seed_index FROM fx_track WHERE cx IS NOT NULL GROUP BY 1),
+k AS (SELECT c.*, abs(c.frame_index - z.seed_index) AS step, CASE WHEN c.frame_index > z.seed_index THEN 1 ELSE -1 END AS dir FROM c JOIN z USING (anchor) WHERE c.frame_index <> z.seed_index),
+t AS (SELECT z.anchor, d.dir, CAST(0 AS BIGINT) AS step, z.seed_index AS frame_index, f.cx, f.cy, f.r, CAST(0 AS DOUBLE) AS cost, z.seed_index AS a1, f.cx AS x1, f.cy AS y1, f.r AS r1, CAST(NULL AS BIGINT) AS a0, CAST(NULL AS DOUBLE) AS x0, CAST(NULL AS DOUBLE) AS y0
+  FROM z JOIN fx_track f ON f.anchor = z.anchor AND f.frame_index = z.seed_index, (VALUES (1), (-1)) d(dir)
+  UNION ALL SELECT anchor, dir, step, frame_index, b.cx, b.cy, b.r, b.cost, CASE WHEN b IS NULL THEN a1 ELSE frame_index END, coalesce(b.cx, x1), coalesce(b.cy, y1), coalesce(b.r, r1), CASE WHEN b IS NULL THEN a0 ELSE a1 END, CASE WHEN b IS NULL THEN x0 ELSE x1 END, CASE WHEN b IS NULL THEN y0 ELSE y1 END FROM (
+    SELECT s.anchor, s.dir, s.step, s.frame_index, s.a1, s.x1, s.y1, s.r1, s.a0, s.x0, s.y0, arg_min({{'cx': c.cx, 'cy': c.cy, 'r': c.r, 'cost': 2.8 * {_GATE[0]} + 1.8 * {_GATE[1]} + CAST(0.7 AS DOUBLE) * (1 - c.confidence) + CASE WHEN c.hough THEN 0 ELSE 0.35 END + CASE WHEN c.partial THEN 0.30 ELSE 0 END}},
+      (2.8 * {_GATE[0]} + 1.8 * {_GATE[1]} + CAST(0.7 AS DOUBLE) * (1 - c.confidence) + CASE WHEN c.hough THEN 0 ELSE 0.35 END + CASE WHEN c.partial THEN 0.30 ELSE 0 END, c.cand_no))
+      FILTER (c.cx IS NOT NULL AND {_GATE[0]} <= least(CAST(2.4 AS DOUBLE), CAST(0.9 AS DOUBLE) + CAST(0.12 AS DOUBLE) * abs(s.frame_index - s.a1)) AND {_GATE[1]} <= least(ln(CAST(2.2 AS DOUBLE)), ln(CAST(1.48 AS DOUBLE)) + CAST(0.025 AS DOUBLE) * abs(s.frame_index - s.a1))) AS b
+    FROM (SELECT anchor, dir, step + 1 AS step, frame_index + dir AS frame_index, a1, x1, y1, r1, a0, x0, y0, x1 + CASE WHEN a0 IS NULL THEN 0 ELSE (frame_index + dir - a1) / CAST(a1 - a0 AS DOUBLE) * (x1 - x0) END AS px,
+      y1 + CASE WHEN a0 IS NULL THEN 0 ELSE (frame_index + dir - a1) / CAST(a1 - a0 AS DOUBLE) * (y1 - y0) END AS py, CASE WHEN a0 IS NULL THEN r1 ELSE greatest(20, r1) END AS pr FROM t) s
+    JOIN k c ON c.anchor = s.anchor AND c.dir = s.dir AND c.step = s.step GROUP BY ALL))
+SELECT anchor, frame_index, round(cx, 6) AS cx, round(cost, 6) AS cost FROM t WHERE step > 0 OR dir = 1""")
 def propagate(v):
-    c = v.fx_track.withColumns({"cand_no": F.lit(1), "hough": F.lit(True), "partial": F.lit(False)})
+    c = v.fx_track.select("anchor", "frame_index", F.inline(F.array(*[F.struct(F.lit(n).alias("cand_no"), *[F.expr(e).cast("double").alias(a) for a, e in (("cx", x), ("cy", y), ("r", r), ("confidence", q))], F.expr(h).alias("hough"), F.expr(p).alias("partial")) for n, x, y, r, q, h, p in _OPTIONS])))
     seeds = v.fx_track.where("cx IS NOT NULL").groupBy("anchor").agg(F.min(F.struct("frame_index", *K.VALUES)).alias("s")).select("anchor", F.col("s.frame_index").alias("seed_index"), *[F.col(f"s.{n}").alias(f"seed_{n}") for n in K.VALUES])
-    return K.fill_gaps(K.propagate(c, seeds).withColumn("confidence", F.lit(1.0)), 2)
+    return K.propagate(c, seeds).select("anchor", "frame_index", F.round("cx", 6).alias("cx"), F.round("cost", 6).alias("cost"))
 
 
-@query("trk_dedupe_circles")
+def _greedy_sql(order: str, same: str) -> str:
+    """Circles of each frame in order, each against the list of those kept before it."""
+    return f"""WITH RECURSIVE o AS (SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY {order}) AS n FROM fx_circles),
+t AS (SELECT frame_id, n, [{{'cand_no': cand_no, 'cx': cx, 'cy': cy, 'r': r}}] AS kept FROM o WHERE n = 1
+  UNION ALL SELECT o.frame_id, o.n, CASE WHEN len(list_filter(t.kept, lambda k: {same})) > 0 THEN t.kept ELSE list_append(t.kept, {{'cand_no': o.cand_no, 'cx': o.cx, 'cy': o.cy, 'r': o.r}}) END FROM t JOIN o ON o.frame_id = t.frame_id AND o.n = t.n + 1)
+SELECT frame_id, unnest(kept, recursive := true) FROM (SELECT frame_id, arg_max(kept, n) AS kept FROM t GROUP BY 1)"""
+
+
+_APART = "sqrt(pow(o.cx - k.cx, 2) + pow(o.cy - k.cy, 2))"
+
+
+@query("trk_dedupe_circles", _greedy_sql("confidence DESC, cand_no", f"{_APART} <= greatest(8, CAST(0.08 AS DOUBLE) * k.r) AND abs(o.r - k.r) <= greatest(6, CAST(0.08 AS DOUBLE) * k.r)"))
 def dedupe_circles(v):
-    return K.dedupe(v.fx_circles)
+    return K.dedupe(v.fx_circles).select("frame_id", "cand_no", *K.VALUES)
 
 
-@query("trk_concentric")
+@query("trk_concentric", _greedy_sql("r DESC, cand_no", f"least(o.r, k.r) > 0 AND least(o.r, k.r) / greatest(o.r, k.r) >= CAST(0.55 AS DOUBLE) AND {_APART} <= greatest(18, CAST(0.20 AS DOUBLE) * greatest(o.r, k.r))"))
 def concentric(v):
-    return K.concentric(v.fx_circles)
+    return K.concentric(v.fx_circles).select("frame_id", "cand_no", *K.VALUES)
 
 
 @query("srt_video_candidates", "SELECT frame_id, cand_no, CAST(k AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY confidence DESC, source = 'hough_saturation' DESC, r DESC, cx < 100, cand_no) AS k FROM fx_circles) WHERE k <= 3")

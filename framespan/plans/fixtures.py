@@ -76,4 +76,5 @@ def with_views(sql: str) -> str:
         return sql
     head = ", ".join(f"{name} AS ({text})" for name, text in found.items())
     body = sql.strip()
-    return f"WITH {head}, {body[5:]}" if body.upper().startswith("WITH ") else f"WITH {head} {body}"
+    first, rest = re.fullmatch(r"(WITH RECURSIVE |WITH |)(.*)", body, re.S | re.I).groups()
+    return f"{first.strip() or 'WITH'} {head}{',' if first else ''} {rest}"

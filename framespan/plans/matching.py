@@ -12,18 +12,17 @@ from framespan.plans.registry import query
 _D = "CAST({} AS DOUBLE)".format
 
 
-@query("gen_crop_grid", f"""WITH v AS (SELECT p_partkey AS video_id, 640 + p_size * 16 AS video_w, 480 + p_size * 8 AS video_h FROM part WHERE p_partkey < 200),
+@query("gen_crop_grid", f"""WITH v AS (SELECT p_partkey AS video_id, 640 + p_size * 16 AS video_w, 480 + p_size * 8 AS video_h FROM part),
 s AS (SELECT v.*, k, CAST(round_even(video_h * f, 0) AS INT) AS h FROM v, (VALUES (0, {_D(0.5)}), (1, {_D(0.75)}), (2, {_D(1.0)})) t(k, f)), q AS (SELECT *, CAST(round_even(h * {_D(1.25)}, 0) AS INT) AS w FROM s),
 c AS (SELECT *, greatest(32, CAST(round_even(least(w, h) * {_D(0.25)}, 0) AS INT)) AS step FROM q WHERE w <= video_w AND h <= video_h),
 y AS (SELECT *, unnest(list_distinct(list_append(range(0, video_h - h + 1, step), video_h - h))) AS y FROM c), x AS (SELECT *, unnest(list_distinct(list_append(range(0, video_w - w + 1, step), video_w - w))) AS x FROM y)
 SELECT video_id, CAST(row_number() OVER (PARTITION BY video_id ORDER BY k, y, x) AS INT) AS seq_no, CAST(x AS INT) AS x, CAST(y AS INT) AS y, w, h FROM x""")
 def crop_grid(v):
-    videos = v.part.where("p_partkey < 200").select(F.col("p_partkey").alias("video_id"), (640 + F.col("p_size") * 16).alias("video_w"), (480 + F.col("p_size") * 8).alias("video_h"))
+    videos = v.part.select(F.col("p_partkey").alias("video_id"), (640 + F.col("p_size") * 16).alias("video_w"), (480 + F.col("p_size") * 8).alias("video_h"))
     return G.crop_grid(videos, [0.5, 0.75, 1.0], 1.25, 0.25)
 
 
-_PAIR = "fx_circles WHERE frame_id % 20 = 0 AND cand_no <= 2"
-_GUIDED = f"""p AS (SELECT frame_id * 100 + cand_no AS pair_id, cx, cy, r, cx * 2 + 300 AS vx, cy * 2 + 200 AS vy, r * 2 AS vr FROM {_PAIR}),
+_GUIDED = f"""p AS (SELECT frame_id * 100 + cand_no AS pair_id, cx, cy, r, cx * 2 + 300 AS vx, cy * 2 + 200 AS vy, r * 2 AS vr FROM fx_circles),
 g AS (SELECT *, CAST(round_even(vr * 640 / greatest(r, 1) * s * sqrt(a), 0) AS INT) AS w, CAST(round_even(vr * 512 / greatest(r, 1) * s / sqrt(a), 0) AS INT) AS h FROM p,
  (VALUES (0, {_D(0.92)}), (1, {_D(0.97)}), (2, {_D(1.0)}), (3, {_D(1.03)}), (4, {_D(1.08)})) t1(ns, s), (VALUES (0, {_D(0.98)}), (1, {_D(1.0)}), (2, {_D(1.02)})) t2(na, a), (VALUES (0, {_D(-0.12)}), (1, {_D(0.0)}), (2, {_D(0.12)})) t3(ny, sy), (VALUES (0, {_D(-0.12)}), (1, {_D(0.0)}), (2, {_D(0.12)})) t4(nx, sx)),
 c AS (SELECT *, least(greatest(CAST(round_even(vx - cx * w / 640 + sx * vr, 0) AS INT), 0), 3840 - w) AS x, least(greatest(CAST(round_even(vy - cy * h / 512 + sy * vr, 0) AS INT), 0), 2160 - h) AS y FROM g WHERE w > 0 AND h > 0 AND w <= 3840 AND h <= 2160)"""
@@ -31,12 +30,14 @@ c AS (SELECT *, least(greatest(CAST(round_even(vx - cx * w / 640 + sx * vr, 0) A
 
 def _pairs(v):
     twice = F.struct((F.col("cx") * 2 + 300).alias("cx"), (F.col("cy") * 2 + 200).alias("cy"), (F.col("r") * 2).alias("r"))
-    return v.fx_circles.where("frame_id % 20 = 0 AND cand_no <= 2").select((F.col("frame_id") * 100 + F.col("cand_no")).alias("pair_id"), F.struct("cx", "cy", "r").alias("thermal"), twice.alias("video"), F.lit(3840).alias("video_w"), F.lit(2160).alias("video_h"))
+    return v.fx_circles.select((F.col("frame_id") * 100 + F.col("cand_no")).alias("pair_id"), F.struct("cx", "cy", "r").alias("thermal"), twice.alias("video"), F.lit(3840).alias("video_w"), F.lit(2160).alias("video_h"))
 
 
-@query("gen_guided_crops", f"WITH {_GUIDED} SELECT pair_id, x, y, w, h, CAST(min(((ns * 3 + na) * 3 + ny) * 3 + nx + 1) AS INT) AS seq_no FROM c GROUP BY ALL")
+@query("gen_guided_crops", f"WITH {_GUIDED}, k AS (SELECT pair_id, x, y, w, h, CAST(min(((ns * 3 + na) * 3 + ny) * 3 + nx + 1) AS INT) AS seq_no FROM c GROUP BY ALL) SELECT pair_id, count(*) AS crops, sum(x)::BIGINT AS x, sum(y)::BIGINT AS y, sum(w)::BIGINT AS w, sum(h)::BIGINT AS h, sum(seq_no * (x + 3 * y + 7 * w + 11 * h)::BIGINT)::BIGINT AS digest FROM k GROUP BY 1")
 def guided_crops(v):
-    return G.guided_crops(_pairs(v))
+    """All crops of all pairs, and of each pair their number, sums and a digest of places in order."""
+    weight = (F.col("x") + 3 * F.col("y") + 7 * F.col("w") + 11 * F.col("h")).cast("long")
+    return G.guided_crops(_pairs(v)).groupBy("pair_id").agg(F.count(F.lit(1)).alias("crops"), *[F.sum(c).alias(c) for c in "xywh"], F.sum(F.col("seq_no") * weight).alias("digest"))
 
 
 @query("set_unique_crops", "SELECT CAST(l_partkey % 40 AS INT) AS x, CAST(l_suppkey % 30 AS INT) AS y, min(l_orderkey) AS seq_no FROM lineitem GROUP BY 1, 2")
@@ -72,11 +73,11 @@ def composite_score(v):
     return m.select("frame_id", "cand_no", F.round(C.composite(F.col("m.geometry_score"), bell("m.center_ratio", 0.075), bell("m.radius_ratio", 0.12), F.col("m.hard_pass")), 6).alias("score"))
 
 
-_POOL = """t AS (SELECT frame_id, cand_no, cx AS tx, cy AS ty, r AS tr FROM fx_circles WHERE frame_id % 10 = 0), k AS (SELECT frame_id, cand_no AS seq_no, cx * 2 + 100 AS vx, cy * 2 + 50 AS vy, r * 2 AS vr, 1200 + cand_no * 20 AS w, 1000 AS h, 90 AS x, 60 AS y FROM fx_circles WHERE frame_id % 10 = 0), z AS (SELECT * FROM k JOIN t USING (frame_id))"""
+_POOL = """t AS (SELECT frame_id, cand_no, cx AS tx, cy AS ty, r AS tr FROM fx_circles), k AS (SELECT frame_id, cand_no AS seq_no, cx * 2 + 100 AS vx, cy * 2 + 50 AS vy, r * 2 AS vr, 1200 + cand_no * 20 AS w, 1000 AS h, 90 AS x, 60 AS y FROM fx_circles), z AS (SELECT * FROM k JOIN t USING (frame_id))"""
 
 
 def _pool(v, n=None):
-    c = v.fx_circles.where("frame_id % 10 = 0")
+    c = v.fx_circles
     video = F.struct((F.col("cx") * 2 + 100).alias("cx"), (F.col("cy") * 2 + 50).alias("cy"), (F.col("r") * 2).alias("r"))
     crops = c.select("frame_id", F.col("cand_no").alias("seq_no"), video.alias("video"), (1200 + F.col("cand_no") * 20).alias("w"), F.lit(1000).alias("h"), F.lit(90).alias("x"), F.lit(60).alias("y"))
     return G.best_circles(crops, c.select("frame_id", "cand_no", F.struct("cx", "cy", "r").alias("thermal")), n)
@@ -115,14 +116,19 @@ _O = ((-2, "m2"), (-1, "m1"), (0, "p0"), (1, "p1"), (2, "p2"))
 _WINDOW_ROW = "SELECT anchor, candidate, arg_min(hard_pass, (abs(o), o)) AS hard_pass, arg_min(score, (abs(o), o)) AS center, min(score) AS least, round(avg(score), 12) AS mean, " + ", ".join(f"max(score) FILTER (o = {o}) AS score_tiff_{n}" for o, n in _O) + " FROM fx_scores GROUP BY 1, 2"
 
 
-@query("agg_window_row", _WINDOW_ROW)
+_MEANS = {"pad_geometry": "1 - score", "masked_visual": "score / 2", "full_visual": "score * score"}
+
+
+@query("agg_window_row", _WINDOW_ROW.replace(" FROM fx_scores", "".join(f", round(avg({e}), 12) AS {m}_mean" for m, e in _MEANS.items()) + " FROM fx_scores"))
 def window_row(v):
-    return R.window_rows(v.fx_scores, ["anchor", "candidate"], 2).withColumn("mean", F.round("mean", 12))
+    scores = v.fx_scores.withColumns({m: F.expr(e) for m, e in _MEANS.items()})
+    found = R.window_rows(scores, ["anchor", "candidate"], 2, tuple(_MEANS))
+    return found.withColumns({c: F.round(c, 12) for c in ("mean", *(f"{m}_mean" for m in _MEANS))})
 
 
 @query("agg_window_summary", "SELECT anchor, count(DISTINCT candidate) AS candidates, min(candidate) AS first, max(candidate) AS last FROM fx_scores GROUP BY 1")
 def window_summary(v):
-    return v.fx_scores.groupBy("anchor").agg(F.countDistinct("candidate").alias("candidates"), F.min("candidate").alias("first"), F.max("candidate").alias("last"))
+    return R.window_summary(v.fx_scores, "anchor", "candidate")
 
 
 _RANKED = f"WITH w AS ({_WINDOW_ROW}), r AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY hard_pass DESC, mean DESC, center DESC, least DESC, abs(candidate - 5), candidate) AS n FROM w)"
@@ -144,10 +150,15 @@ def top_candidates(v):
     return _ranked(v).where("rank <= 3").select("anchor", "candidate", "rank")
 
 
-@query("win_select_crop_strategy", "SELECT anchor, candidate, o AS strategy FROM (SELECT *, row_number() OVER (PARTITION BY anchor, candidate ORDER BY hard_pass DESC, score DESC, o) AS n FROM fx_scores) WHERE n = 1")
+_STRATEGIES = "s AS (SELECT anchor, candidate // 3 AS frame, CAST(candidate % 3 AS INT) AS strategy, o, score, hard_pass FROM fx_scores), w AS (SELECT anchor, frame, strategy, arg_min(hard_pass, (abs(o), o)) AS hard_pass, arg_min(score, (abs(o), o)) AS center, min(score) AS least, round(avg(score), 12) AS mean FROM s GROUP BY 1, 2, 3)"
+
+
+@query("win_select_crop_strategy", f"WITH {_STRATEGIES} SELECT anchor, frame, strategy FROM (SELECT *, row_number() OVER (PARTITION BY anchor, frame ORDER BY hard_pass DESC, mean DESC, center DESC, least DESC, strategy) AS n FROM w) WHERE n = 1")
 def select_crop_strategy(v):
-    best = R.best_rows(v.fx_scores, ["anchor", "candidate"], [F.col("hard_pass").cast("int").desc(), F.desc("score"), F.asc("o")])
-    return best.select("anchor", "candidate", F.col("o").alias("strategy"))
+    """Three strategies a frame, each with the scores of a whole window."""
+    scores = v.fx_scores.select("anchor", F.floor(F.col("candidate") / 3).alias("frame"), (F.col("candidate") % 3).cast("int").alias("strategy"), "o", "score", "hard_pass")
+    rows = R.window_rows(scores, ["anchor", "frame", "strategy"], 2).withColumns({"aggregate": F.round("mean", 12), "distance": F.col("frame")})
+    return R.best_strategies(rows, ["anchor", "frame"]).select("anchor", "frame", "strategy")
 
 
 _SEQ = "s AS (SELECT anchor, candidate * 10 + o AS id, abs(o) AS grp, score, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, candidate, o) AS seq_no FROM fx_scores)"

@@ -33,7 +33,7 @@ def discover_sequences(v):
     return _paths(v).select("frame_id", S.sequence_of(path, "/data/raw").alias("sequence"))
 
 
-@query("src_thermal_decode", "SELECT sequence_id || '/' || CAST(frame_no AS VARCHAR) AS path, len(dn)::INT AS width, list_sum(list_transform(dn, lambda x: x::BIGINT))::BIGINT AS total FROM fx_dn_arrays WHERE frame_no % 10 = 0")
+@query("src_thermal_decode", "SELECT sequence_id || '/' || CAST(frame_no AS VARCHAR) AS path, len(dn)::INT AS width, list_sum(list_transform(dn, lambda x: x::BIGINT))::BIGINT AS total FROM fx_dn_arrays")
 def thermal_decode(v):
     """TIFF bytes are put together from the pixel table: header, pixels, and a directory of seven entries."""
     n = F.size("dn")
@@ -43,7 +43,7 @@ def thermal_decode(v):
     pixels = F.unhex(F.array_join(F.transform("dn", lambda x: F.concat(F.substring(F.lpad(F.hex(x), 4, "0"), 3, 2), F.substring(F.lpad(F.hex(x), 4, "0"), 1, 2))), ""))
     head = F.concat(F.lit(b"II*\x00"), double(8 + 2 * n), pixels, word(F.lit(7)))
     body = [entry(256, 4, n), entry(257, 4, F.lit(1)), entry(258, 3, F.lit(16)), entry(259, 3, F.lit(1)), entry(273, 4, F.lit(8)), entry(277, 3, F.lit(1)), entry(279, 4, 2 * n)]
-    made = v.fx_dn_arrays.where("frame_no % 10 = 0").select(F.concat_ws("/", "sequence_id", F.col("frame_no").cast("string")).alias("path"), F.concat(head, *body, double(F.lit(0))).alias("content"))
+    made = v.fx_dn_arrays.select(F.concat_ws("/", "sequence_id", F.col("frame_no").cast("string")).alias("path"), F.concat(head, *body, double(F.lit(0))).alias("content"))
     return S.decode_thermal(made).select("path", "width", F.aggregate("dn", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
 
 
@@ -62,18 +62,21 @@ SELECT 'f' || CAST(f.frame_id AS VARCHAR) || '.tiff' AS tiff_name, CAST(CASE WHE
 FROM f LEFT JOIN fx_circles c ON c.frame_id = f.frame_id AND c.cand_no = f.frame_id % 4""")
 def pad_circles(v):
     c = v.fx_circles.groupBy("frame_id").agg(F.min(F.struct("cand_no", "cx", "cy", "r")).alias("f"), F.collect_list(F.struct("cx", "cy", "r", F.col("cand_no").alias("rank"))).alias("candidates"))
-    entries = c.select("frame_id", "f.cx", "f.cy", "f.r", "candidates").selectExpr(_ENTRY)
-    return S.confirmed_circles(entries).select("tiff_name", "selected_rank", "cx", "r", F.col("issue").isNotNull().alias("bad"))
+    entries = c.select("frame_id", "f.cx", "f.cy", "f.r", "candidates").selectExpr("frame_id", _ENTRY)
+    documents = entries.groupBy(F.floor(F.col("frame_id") / 100)).agg(F.lit(1).alias("version"), F.lit("").alias("instructions"), F.collect_list("entry").alias("frames"))
+    folder = fresh_folder(v.spark, "circles")
+    documents.select("version", "instructions", "frames").write.json(folder)
+    return S.read_pad_circles(v.spark, folder, lines=True).select("tiff_name", "selected_rank", "cx", "r", F.col("issue").isNotNull().alias("bad"))
 
 
 @query("src_video_seeds", "SELECT frame_id, CASE WHEN cand_no = 1 THEN 'primary' ELSE 'secondary' END AS anchor, cx, CASE WHEN cx < 50 THEN 'frame_index' ELSE '' END AS issues FROM fx_circles WHERE cand_no <= 2")
 def video_seeds(v):
     seed = F.struct(F.when(F.col("cx") < 50, -1).otherwise(5).alias("frame_index"), F.lit(1.0).alias("video_time_s"), F.struct("cx", "cy", "r").alias("circle"))
     name = F.when(F.col("cand_no") == 1, "primary").when(F.col("cand_no") == 2, "secondary").otherwise("other")
-    rows = v.fx_circles.select(F.col("frame_id"), F.create_map(name, seed).alias("anchors"))
-    # the frame's id travels in the seed
-    rows = rows.withColumn("anchors", F.transform_values("anchors", lambda k, s: s.withField("video_time_s", F.col("frame_id").cast("double"))))
-    return S.seed_rows(rows).select(F.col("video_time_s").cast("long").alias("frame_id"), "anchor", "cx", F.array_join("issues", ",").alias("issues"))
+    rows = v.fx_circles.select(F.lit(1).alias("version"), F.col("frame_id").cast("string").alias("dataset"), F.create_map(name, seed).alias("anchors"))
+    folder = fresh_folder(v.spark, "seeds")
+    rows.write.json(folder)
+    return S.read_video_seeds(v.spark, folder, lines=True).select(F.col("dataset").cast("long").alias("frame_id"), "anchor", "cx", F.array_join("issues", ",").alias("issues"))
 
 
 @query("src_sequence_config", "SELECT sequence_id AS dataset_id, CAST(anchor_no AS INT) AS anchor_no, CASE anchor_no WHEN 0 THEN 'primary' ELSE 'secondary' END AS anchor, expected AS raw_tiff, 8829 AS threshold_dn FROM fx_expected, range(2) t(anchor_no)")
@@ -81,7 +84,9 @@ def sequence_config(v):
     anchors = F.array(*[F.struct(F.lit(n).alias("name"), F.lit("00:01").alias("requested"), F.lit("00:02").alias("selected")) for n in ("primary", "secondary")])
     mapping = F.struct(*[F.lit("").alias(n) for n in ("tiff_start", "tiff_end", "video_start", "video_end")], anchors.alias("anchors"))
     configs = v.fx_expected.select(F.col("sequence_id").alias("dataset_id"), F.lit("").alias("source_sequence_id"), F.lit("dual").alias("strategy"), mapping.alias("time_mapping"), F.struct(F.lit(80.0).alias("threshold_celsius"), F.lit(8829).alias("threshold_dn")).alias("mask"), F.struct(F.col("expected").alias("raw_tiff"), F.col("expected").alias("aligned")).alias("counts"))
-    return S.config_rows(configs).select("dataset_id", "anchor_no", "anchor", "raw_tiff", "threshold_dn")
+    folder = fresh_folder(v.spark, "configs")
+    configs.withColumn("file", F.col("dataset_id")).repartition("file").write.partitionBy("file").json(folder)  # one document a file
+    return S.read_configs(v.spark, folder).select("dataset_id", "anchor_no", "anchor", "raw_tiff", "threshold_dn")
 
 
 @query("src_transform_bundle", "SELECT frame_id, CASE WHEN cand_no = 1 THEN 'primary' ELSE 'secondary' END AS segment, CAST(cx AS INT) AS crop_x, cand_no = 1 OR cx >= 50 AS complete FROM fx_circles WHERE cand_no = 1 OR (cand_no = 2 AND frame_id % 2 = 0)")
@@ -92,7 +97,9 @@ def transform_bundle(v):
     side = F.struct(F.lit(0.5).alias("offset_s"), F.when(F.col("cand_no") == 1, crop).alias("selected"), F.when(F.col("cand_no") == 1, none).otherwise(crop).alias("selected_candidate"))
     rows = v.fx_circles.where("cand_no = 1 OR (cand_no = 2 AND frame_id % 2 = 0)").groupBy("frame_id").agg(F.max(F.when(F.col("cand_no") == 1, side)).alias("primary"), F.max(F.when(F.col("cand_no") == 2, side)).alias("secondary"))
     bundles = rows.select("frame_id", F.lit("single").alias("strategy"), F.lit(0.0).alias("split_tiff_s"), "primary", "secondary")
-    return S.transform_segments(bundles).select("frame_id", "segment", "crop_x", "complete")
+    folder = fresh_folder(v.spark, "transforms")
+    bundles.write.json(folder)
+    return S.read_transforms(v.spark, folder, keys="frame_id long", lines=True).select("frame_id", "segment", "crop_x", "complete")
 
 
 @query("src_checksums", "SELECT sha256(text) AS digest, 'a  b/' || CAST(doc_id AS VARCHAR) AS path FROM documents")
@@ -172,19 +179,21 @@ _LOOK = "c AS (SELECT doc_id, 'raw/' || CAST(doc_id AS VARCHAR) || '.tiff' AS pa
 
 @query("jn_circle_lookup", f"WITH {_LOOK} SELECT d.doc_id, c.quality AS found, c.quality IS NULL AS missing FROM documents d LEFT JOIN c USING (doc_id)")
 def circle_lookup(v):
-    from framespan.functions.paths import base_name
-
-    frames = v.documents.select("doc_id", F.concat(F.lit("/x/"), F.col("doc_id").cast("string"), F.lit(".tiff")).alias("path")).withColumn("base", base_name(F.col("path")))
+    frames = v.documents.select("doc_id", F.concat(F.lit("/x/"), F.col("doc_id").cast("string"), F.lit(".tiff")).alias("path"))
     entries = v.labels.select(F.concat(F.lit("raw/"), F.col("doc_id").cast("string"), F.lit(".tiff")).alias("entry_path"), "quality")
-    by_name = entries.groupBy(base_name(F.col("entry_path")).alias("base")).agg(F.first("quality").alias("q1"))
-    by_path = entries.select(F.col("entry_path").alias("path"), F.col("quality").alias("q2"))
-    found = frames.join(by_name, "base", "left").join(by_path, "path", "left").withColumn("found", F.coalesce("q1", "q2"))
-    return found.select("doc_id", "found", F.col("found").isNull().alias("missing"))
+    return R.circle_lookup(frames, entries, "quality").select("doc_id", "found", "missing")
 
 
-@query("jn_prior_review", "SELECT d.doc_id, coalesce(l.quality, -1) AS selected_rank FROM documents d LEFT JOIN labels l USING (doc_id)")
+@query("jn_prior_review", """WITH f AS (SELECT frame_id, arg_min(cx, cand_no) AS cx, arg_min(r, cand_no) AS r FROM fx_circles GROUP BY 1)
+SELECT f.frame_id, CAST(CASE WHEN f.frame_id % 5 <> 0 AND f.frame_id % 3 <> 0 THEN f.frame_id % 4 END AS INT) AS selected_rank, CASE WHEN f.frame_id % 5 = 0 THEN NULL WHEN f.frame_id % 3 = 0 THEN f.cx ELSE c.cx END AS cx, CASE WHEN f.frame_id % 5 = 0 THEN NULL WHEN f.frame_id % 3 = 0 THEN f.r ELSE c.r END AS r
+FROM f LEFT JOIN fx_circles c ON c.frame_id = f.frame_id AND c.cand_no = f.frame_id % 4""")
 def prior_review(v):
-    return v.documents.select("doc_id").join(v.labels.select("doc_id", F.col("quality").alias("prior")), "doc_id", "left").select("doc_id", F.coalesce("prior", F.lit(-1)).alias("selected_rank"))
+    """Of a fifth of the frames nothing was decided, of a third coordinates, of the others a rank."""
+    c = v.fx_circles.groupBy("frame_id").agg(F.min(F.struct("cand_no", "cx", "cy", "r")).alias("f"), F.collect_list(F.struct("cx", "cy", "r", F.col("cand_no").alias("rank"))).alias("candidates"))
+    c = c.withColumn("tiff_name", F.concat(F.lit("f"), F.col("frame_id").cast("string"), F.lit(".tiff")))
+    third = F.col("frame_id") % 3 == 0
+    prior = c.where("frame_id % 5 <> 0").select("tiff_name", F.when(~third, F.col("frame_id") % 4).cast("int").alias("selected_rank"), F.when(third, F.struct("f.cx", "f.cy", "f.r")).alias("circle"), "candidates")
+    return R.prior_review(c.select("frame_id", "tiff_name"), prior).select("frame_id", "selected_rank", "cx", "r")
 
 
 @query("jn_manifest_vs_dirs", "SELECT aligned_no, 'missing' AS state FROM fx_manifest WHERE aligned_no NOT IN (SELECT aligned_no FROM fx_listing) UNION ALL SELECT aligned_no, 'stale' FROM fx_listing WHERE aligned_no NOT IN (SELECT aligned_no FROM fx_manifest)")
@@ -198,10 +207,14 @@ def source_exists(v):
     return R.missing_paths(rows, ["path", "video"], v.fx_listing, ["aligned_no"]).select("aligned_no", "field", "path")
 
 
-@query("jn_manifest_identity", "SELECT doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing' ELSE 'stale' END AS state FROM (SELECT doc_id FROM documents WHERE doc_id % 2 = 0) d FULL JOIN (SELECT doc_id FROM documents WHERE doc_id % 3 = 0) l USING (doc_id) WHERE d.doc_id IS NULL OR l.doc_id IS NULL")
+@query("jn_manifest_identity", "SELECT aligned_no, 'missing' AS state FROM fx_manifest WHERE aligned_no % 11 = 0 UNION ALL SELECT aligned_no + 1000000, 'stale' FROM fx_manifest WHERE aligned_no % 11 = 0")
 def manifest_identity(v):
-    d = v.documents.select("doc_id")
-    return R.missing_and_stale(d.where("doc_id % 2 = 0"), d.where("doc_id % 3 = 0"), ["doc_id"])
+    """The CSV and the JSON lines of a manifest, in which every eleventh number was changed."""
+    folder, other = fresh_folder(v.spark, "manifest"), fresh_folder(v.spark, "manifest")
+    sinks.write_both(v.fx_manifest, folder)
+    sinks.write_both(v.fx_manifest.withColumn("aligned_no", F.expr("IF(aligned_no % 11 = 0, aligned_no + 1000000, aligned_no)")), other)
+    schema = v.fx_manifest.schema
+    return R.missing_and_stale(v.spark.read.schema(schema).option("header", "true").csv(f"{folder}/csv"), v.spark.read.schema(schema).json(f"{other}/jsonl"), ["aligned_no"])
 
 
 def _listed(v):
@@ -216,8 +229,7 @@ def checksum_verify(v):
 
 @query("jn_catalog", "SELECT f.sequence_id AS dataset_id, count(*) AS raw_tiff_count, any_value(e.expected) AS aligned_count, min(tiff_s) AS tiff_start FROM fx_frames f JOIN fx_expected e USING (sequence_id) GROUP BY 1")
 def catalog(v):
-    summary = v.fx_frames.groupBy(F.col("sequence_id").alias("dataset_id")).agg(F.count(F.lit(1)).alias("raw_tiff_count"), F.min("tiff_s").alias("tiff_start"))
-    return summary.join(v.fx_expected.select(F.col("sequence_id").alias("dataset_id"), F.col("expected").alias("aligned_count")), "dataset_id").select("dataset_id", "raw_tiff_count", "aligned_count", "tiff_start")
+    return R.catalog(v.fx_frames, v.fx_expected)
 
 
 @query("agg_sequence_counts", "SELECT sequence_id, count(*) AS actual, any_value(expected) AS expected, count(*) = any_value(expected) AS ok FROM fx_frames JOIN fx_expected USING (sequence_id) GROUP BY 1")
@@ -303,9 +315,25 @@ def val_mask(v):
     return R.mask_differences(v.fx_dn_arrays.withColumn("mask", mask)).select("sequence_id", "frame_no", "differing", "not_binary")
 
 
-@query("val_aligned_sample", "SELECT aligned_no, f AS file FROM fx_manifest, (VALUES ('thermal.tiff'), ('thermal.png'), ('video.png'), ('overlay.png'), ('mask_80c.png')) t(f) WHERE sequence_id || '/' || CAST(aligned_no AS VARCHAR) || '/' || f NOT IN (SELECT path FROM fx_listing)")
+_FILES = "(VALUES ('thermal.tiff'), ('thermal.png'), ('video.png'), ('overlay.png'), ('mask_80c.png')) t(f)"
+
+
+@query("val_aligned_sample", f"""SELECT aligned_no, f AS file, CASE WHEN aligned_no % 7 = 0 AND f <> 'thermal.tiff' OR aligned_no % 13 = 0 THEN 'missing' WHEN aligned_no % 17 = 0 AND f <> 'video.png' THEN 'size' ELSE 'dtype' END AS issue FROM fx_manifest, {_FILES}
+WHERE aligned_no % 7 = 0 AND f <> 'thermal.tiff' OR aligned_no % 13 = 0 OR aligned_no % 17 = 0 AND f <> 'video.png' OR aligned_no % 19 = 0 AND f = 'thermal.tiff'
+UNION ALL SELECT aligned_no, 'mask_80c.png', 'mask' FROM fx_manifest WHERE aligned_no % 7 = 0 OR aligned_no % 23 = 0""")
 def aligned_sample(v):
-    return R.sample_gaps(v.fx_manifest, v.fx_listing).select("aligned_no", "file")
+    """Headers of the PNG files are put together and read; some files are not there, or have another size or type."""
+    n = F.col("aligned_no")
+    names = F.explode(F.array(*map(F.lit, C.SAMPLE_FILES))).alias("file")
+    files = v.fx_manifest.select("sequence_id", "aligned_no", names).where(~(((n % 7 == 0) & (F.col("file") != "thermal.tiff")) | (n % 13 == 0)))
+    width = F.when((n % 17 == 0) & (F.col("file") != "video.png"), 320).otherwise(C.WIDTH)
+    header = F.unhex(F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), F.lpad(F.hex(width), 8, "0"), F.lit(f"{C.HEIGHT:08X}")))
+    w, h = S.png_size(header)
+    tiff = F.col("file") == "thermal.tiff"
+    files = files.select("sequence_id", "aligned_no", "file", F.when(tiff, C.HEIGHT).otherwise(h).alias("height"), F.when(tiff, width).otherwise(w).alias("width"), F.when(tiff, F.when(n % 19 == 0, "uint8").otherwise("uint16")).alias("dtype"))
+    dn = F.array(F.lit(C.HOT_DN - 1), F.lit(C.HOT_DN), n.cast("int"))
+    masks = v.fx_manifest.where(n % 7 != 0).select("sequence_id", "aligned_no", dn.alias("dn"), F.transform(dn, lambda x: F.when((x >= C.HOT_DN) & (n % 23 != 0), 1).otherwise(0)).alias("mask"))
+    return R.sample_issues(v.fx_manifest, files, R.mask_differences(masks).select("sequence_id", "aligned_no", "differing")).select("aligned_no", "file", "issue")
 
 
 @query("val_viewer_rows", "SELECT doc_id, array_to_string(list_filter([CASE WHEN lang = 'fr' THEN 'sequence' END, CASE WHEN doc_id % 4 = 0 THEN 'time' END, CASE WHEN doc_id % 9 = 0 THEN 'path' END], lambda x: x IS NOT NULL), ',') AS issues FROM documents")
@@ -329,10 +357,18 @@ def manifest_paths(v):
 
 @query("val_release", """SELECT 'frames' AS check_name, sequence_id AS key, any_value(expected) AS expected, count(*) AS actual, any_value(expected) = count(*) AS ok FROM fx_frames JOIN fx_expected USING (sequence_id) GROUP BY sequence_id
 UNION ALL SELECT 'files', 'all', (SELECT count(*) FROM fx_manifest), (SELECT count(*) FROM fx_listing), (SELECT count(*) FROM fx_manifest) = (SELECT count(*) FROM fx_listing)
+UNION ALL SELECT 'required_files', 'all', 5 * (SELECT count(*) FROM fx_manifest), (SELECT count(*) FROM fx_listing), 5 * (SELECT count(*) FROM fx_manifest) = (SELECT count(*) FROM fx_listing)
+UNION ALL SELECT 'checksums', 'all', (SELECT count(*) FROM fx_manifest), (SELECT count(*) FROM documents WHERE doc_id % 10 <> 0), (SELECT count(*) FROM fx_manifest) = (SELECT count(*) FROM documents WHERE doc_id % 10 <> 0)
+UNION ALL SELECT 'last_id', sequence_id, 1, CAST(max(stem) = '20240129_000000' AS INT), max(stem) = '20240129_000000' FROM (SELECT sequence_id, replace(tiff_name, '.tiff', '') AS stem FROM fx_frames) GROUP BY sequence_id
+UNION ALL SELECT 'cutoff', sequence_id, 0, count(*) FILTER (stem >= '20240120_000000'), count(*) FILTER (stem >= '20240120_000000') = 0 FROM (SELECT sequence_id, replace(tiff_name, '.tiff', '') AS stem FROM fx_frames) GROUP BY sequence_id
 UNION ALL SELECT 'pixels', sequence_id, count(*), count(*), true FROM fx_pixels GROUP BY sequence_id""")
 def val_release(v):
     counts = R.counts_report(v.fx_frames, v.fx_expected).withColumnRenamed("sequence_id", "key")
-    files = v.fx_manifest.agg(F.count(F.lit(1)).alias("expected")).crossJoin(v.fx_listing.agg(F.count(F.lit(1)).alias("actual"))).withColumn("key", F.lit("all"))  # one row each
+    files = [("files", R.total_check(v.fx_manifest, v.fx_listing)), ("required_files", R.total_check(v.fx_manifest, v.fx_listing, len(C.SAMPLE_FILES)))]
+    sums = R.checksums(v.documents.select(F.when(F.col("doc_id") % 10 == 0, "x/.cache/a").otherwise(F.col("doc_id").cast("string")).alias("path"), F.lit("").alias("content")))
+    ids = v.fx_frames.select("sequence_id", F.regexp_replace("tiff_name", r"\.tiff$", "").alias("aligned_id"))
+    bounds = v.fx_expected.select("sequence_id", F.lit("20240129_000000").alias("last_id"), F.lit("20240120_000000").alias("cutoff"))
+    last, over = R.last_id_checks(ids, bounds)
     pixels = v.fx_pixels.groupBy(F.col("sequence_id").alias("key")).agg(F.count(F.lit(1)).alias("expected"))
     binned = H.binned(H.dn_histogram(v.fx_pixels), 64).groupBy(F.col("sequence_id").alias("key")).agg(F.sum("pixel_count").alias("actual"))
-    return R.release_report([("frames", counts), ("files", files), ("pixels", pixels.join(binned, "key"))])
+    return R.release_report([("frames", counts), *files, ("checksums", R.total_check(v.fx_manifest, sums)), ("last_id", last), ("cutoff", over), ("pixels", pixels.join(binned, "key"))])

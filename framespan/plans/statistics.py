@@ -80,22 +80,25 @@ def edge_density(v):
 _DOT = "list_dot_product(CAST({} AS DOUBLE[]), CAST({} AS DOUBLE[]))"
 
 
-@query("img_similarity", f"""SELECT a.vec_id, round(CASE WHEN sqrt({_DOT.format('a.map', 'a.map')}) * sqrt({_DOT.format('b.map', 'b.map')}) <= 1e-8 THEN 0 ELSE {_DOT.format('a.map', 'b.map')} / (sqrt({_DOT.format('a.map', 'a.map')}) * sqrt({_DOT.format('b.map', 'b.map')})) END, 6) AS similarity
-FROM fx_maps a JOIN fx_maps b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 2 = 0""")
+_COS = lambda a, b: f"(CASE WHEN sqrt({_DOT.format(a, a)}) * sqrt({_DOT.format(b, b)}) <= 1e-8 THEN 0 ELSE {_DOT.format(a, b)} / (sqrt({_DOT.format(a, a)}) * sqrt({_DOT.format(b, b)})) END)"
+
+
+@query("img_similarity", f"""WITH m AS (SELECT vec_id, map AS e, list_transform(range(63), lambda k: abs(map[k + 2] - map[k + 1])) AS g FROM fx_maps)
+SELECT a.vec_id, round(CAST(0.75 AS DOUBLE) * {_COS('a.e', 'b.e')} + CAST(0.25 AS DOUBLE) * {_COS('a.g', 'b.g')}, 6) AS similarity FROM m a JOIN m b ON b.vec_id = a.vec_id + 1""")
 def similarity(v):
-    thermal = v.fx_maps.where("vec_id % 2 = 0").select("vec_id", F.col("map").alias("a"))
-    video = v.fx_maps.select((F.col("vec_id") - 1).alias("vec_id"), F.col("map").alias("b"))
-    pairs = thermal.join(video, "vec_id")
-    return pairs.select("vec_id", F.round(images.similarity(F.col("a"), F.col("b"), F.col("a"), F.col("b")), 6).alias("similarity"))
+    """Each map against the next; slopes are the steps from cell to cell."""
+    maps = v.fx_maps.select("vec_id", F.col("map").alias("e"), F.zip_with(F.slice("map", 1, 63), F.slice("map", 2, 63), lambda a, b: F.abs(b - a)).alias("g"))
+    other = maps.select((F.col("vec_id") - 1).alias("vec_id"), F.col("e").alias("e2"), F.col("g").alias("g2"))
+    return maps.join(other, "vec_id").select("vec_id", F.round(images.similarity(F.col("e"), F.col("e2"), F.col("g"), F.col("g2")), 6).alias("similarity"))
 
 
 _DISK = "list_filter(list_transform(range(64), lambda k: CASE WHEN sqrt(pow(k % 8 - 3, 2) + pow(k // 8 - 4, 2)) <= 2.5 * CAST(1.22 AS DOUBLE) THEN CAST({}[k + 1] AS DOUBLE) END), lambda x: x IS NOT NULL)"
 
 
 @query("img_masked_similarity", f"""SELECT vec_id, round(CASE WHEN len(x) < 16 THEN NULL ELSE list_dot_product(x, y) / (sqrt(list_dot_product(x, x)) * sqrt(list_dot_product(y, y))) END, 6) AS similarity FROM (
-SELECT a.vec_id, {_DISK.format('a.map')} AS x, {_DISK.format('b.map')} AS y FROM fx_maps a JOIN fx_maps b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 2 = 0)""")
+SELECT a.vec_id, {_DISK.format('a.map')} AS x, {_DISK.format('b.map')} AS y FROM fx_maps a JOIN fx_maps b ON b.vec_id = a.vec_id + 1)""")
 def masked_similarity(v):
-    thermal = v.fx_maps.where("vec_id % 2 = 0").select("vec_id", F.col("map").alias("a"))
+    thermal = v.fx_maps.select("vec_id", F.col("map").alias("a"))
     pairs = thermal.join(v.fx_maps.select((F.col("vec_id") - 1).alias("vec_id"), F.col("map").alias("b")), "vec_id")
     circle = F.struct(F.lit(3.0).alias("cx"), F.lit(4.0).alias("cy"), F.lit(2.5).alias("r"))
     return images.masked_similarity(pairs.withColumn("circle", circle), 8, 8, least=16).select("vec_id", F.round("similarity", 6).alias("similarity"))
@@ -107,7 +110,8 @@ def ring_support(v):
     return images.ring_support(maps, 8, 8, 0.06).select("vec_id", F.round("support", 6).alias("support"))
 
 
-@query("img_normalize")
+@query("img_normalize", """WITH q AS (SELECT sequence_id || '/' || CAST(frame_no AS VARCHAR) AS frame, dn, list_aggregate(list_transform(dn, lambda x: CAST(x AS DOUBLE)), 'quantile_cont', CAST(0.01 AS DOUBLE)) AS a, list_aggregate(list_transform(dn, lambda x: CAST(x AS DOUBLE)), 'quantile_cont', CAST(0.99 AS DOUBLE)) AS b FROM fx_dn_arrays)
+SELECT frame, list_transform(dn, lambda x: CASE WHEN b <= a THEN 0 ELSE CAST(round_even(least(greatest((x - a) / (b - a), 0), 1) * 255, 0) AS INT) END) AS gray FROM q""")
 def normalize(v):
     return images.normalize(v.fx_dn_arrays.select(F.concat_ws("/", "sequence_id", F.col("frame_no").cast("string")).alias("frame"), "dn")).select("frame", "gray")
 
@@ -118,7 +122,12 @@ def ring_features(v):
     return images.ring_features(maps, 8, 8)
 
 
-@query("img_affine_warp")
+_CELL = "coalesce(CASE WHEN {x} BETWEEN 0 AND 7 AND {y} BETWEEN 0 AND 7 THEN map[CAST({y} * 8 + {x} + 1 AS INT)] END, 0)"
+_SX, _SY = "(k % 12 + 1) / CAST(2 AS DOUBLE)", "(k // 12 + 1) / CAST(2 AS DOUBLE)"
+_BILINEAR = " + ".join(f"(1 - abs({_SX} - floor({_SX}) - {dx})) * (1 - abs({_SY} - floor({_SY}) - {dy})) * " + _CELL.format(x=f"(floor({_SX}) + {dx})", y=f"(floor({_SY}) + {dy})") for dy in (0, 1) for dx in (0, 1))
+
+
+@query("img_affine_warp", f"SELECT vec_id, list_transform(range(120), lambda k: CAST(round_even({_BILINEAR}, 0) AS INT)) AS warped FROM fx_maps")
 def affine_warp(v):
     matrix = F.array(F.array(F.lit(2.0), F.lit(0.0), F.lit(-1.0)), F.array(F.lit(0.0), F.lit(2.0), F.lit(-1.0)))
     return images.affine_warp(v.fx_maps.select("vec_id", F.col("map").alias("image"), matrix.alias("matrix")), 8, 8, 10, 12)

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from framespan.functions.paths import base_name
 from framespan.functions.timeparse import parse_frame_time
 
+#: pixels that are decoded before they leave a task
+PIXELS = 1 << 20
 CIRCLE = "struct<cx:double,cy:double,r:double,score:double>"
 CANDIDATE = "struct<cx:double,cy:double,r:double,source:string,score:double,edge_support:double,edge_off_support:double,edge_coverage:double,edge_prominence:double,edge_contrast:double,radius_prior:double,border_score:double,rank:int>"
 FRAMES = f"array<struct<tiff_name:string,tiff_path:string,timestamp:string,selected_rank:int,circle:{CIRCLE},candidates:array<{CANDIDATE}>>>"
@@ -75,19 +77,39 @@ def decode_thermal(files: DataFrame, *, height: int | None = None, width: int |
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            for k in range(batch.num_rows):  # one image at a time in memory
+            rows: list[tuple] = []
+            first = pixels = 0
+
+            def made(last: int) -> pa.RecordBatch:
+                columns = zip(*rows, strict=True)
+                return pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), *[pa.array(v, t) for v, t in zip(columns, (pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.string()), strict=True)]], names=["path", "height", "width", "dn", "error"])  # noqa: B023
+
+            for k in range(batch.num_rows):
                 try:
                     h, w, dn = read(batch.column(1)[k].as_py())
-                    row = [h], [w], [dn], [None]
+                    rows.append((h, w, dn, None))
+                    pixels += len(dn)
                 except (ValueError, KeyError, struct.error, TypeError) as error:
-                    row = [None], [None], [None], [str(error) or type(error).__name__]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 1), *[pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.string()), strict=True)]], names=["path", "height", "width", "dn", "error"])
+                    rows.append((None, None, None, str(error) or type(error).__name__))
+                if pixels >= PIXELS:  # a few images at a time in memory
+                    yield made(k + 1)
+                    rows, first, pixels = [], k + 1, 0
+            if rows:
+                yield made(batch.num_rows)
 
     return files.select("path", "content").mapInArrow(batches, "path string, height int, width int, dn array<int>, error string")
 
 
-def read_json(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", "true").json(path)
+def png_size(content: Column) -> tuple[Column, Column]:
+    """Width and height in the header of a PNG file; null for other contents."""
+    head = F.hex(F.substring(content, 1, 24))
+    number = lambda at: F.when(head.startswith("89504E470D0A1A0A"), F.conv(F.substring(head, at, 8), 16, 10).cast("int"))
+    return number(33), number(41)
+
+
+def read_json(spark: SparkSession, path: str | list[str], schema: str, *, lines: bool = False) -> DataFrame:
+    """Documents of JSON files below the path, one a file as published, or one a line."""
+    return spark.read.schema(schema).option("multiLine", str(not lines).lower()).option("recursiveFileLookup", "true").json(path)
 
 
 def confirmed_circles(frames: DataFrame) -> DataFrame:
@@ -103,21 +125,23 @@ def confirmed_circles(frames: DataFrame) -> DataFrame:
     return frames.select(base_name(e["tiff_name"]).alias("tiff_name"), e["tiff_path"].alias("tiff_path"), e["timestamp"].alias("timestamp"), rank.alias("selected_rank"), pick("cx"), pick("cy"), pick("r"), issue.alias("issue"))
 
 
-def read_pad_circles(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return confirmed_circles(read_json(spark, path, f"version int, instructions string, frames {FRAMES}").select(F.explode("frames").alias("entry")))
+def read_pad_circles(spark: SparkSession, path: str | list[str], *, lines: bool = False) -> DataFrame:
+    return confirmed_circles(read_json(spark, path, f"version int, instructions string, frames {FRAMES}", lines=lines).select(F.explode("frames").alias("entry")))
 
 
 def seed_rows(seeds: DataFrame) -> DataFrame:
     """Rows of the map `anchors`: primary and secondary only, with issues of unusable ones."""
-    rows = seeds.select(F.explode("anchors").alias("anchor", "s")).where("anchor IN ('primary', 'secondary')")
+    keep = [c for c in seeds.columns if c == "dataset"]
+    rows = seeds.select(*keep, F.explode("anchors").alias("anchor", "s")).where("anchor IN ('primary', 'secondary')")
     c = F.col("s.circle")
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     checks = [(F.coalesce(F.col("s.frame_index"), F.lit(-1)) < 0, "frame_index"), (~(finite(c["cx"]) & finite(c["cy"]) & finite(c["r"])), "circle"), (F.coalesce(c["r"], F.lit(0.0)) <= 0, "radius")]
-    return rows.select("anchor", "s.frame_index", "s.video_time_s", c["cx"].alias("cx"), c["cy"].alias("cy"), c["r"].alias("r"), F.filter(F.array(*[F.when(bad, F.lit(n)) for bad, n in checks]), lambda x: x.isNotNull()).alias("issues"))
+    return rows.select(*keep, "anchor", "s.frame_index", "s.video_time_s", c["cx"].alias("cx"), c["cy"].alias("cy"), c["r"].alias("r"), F.filter(F.array(*[F.when(bad, F.lit(n)) for bad, n in checks]), lambda x: x.isNotNull()).alias("issues"))
 
 
-def read_video_seeds(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return seed_rows(read_json(spark, path, f"version int, dataset string, notes string, anchors map<string,{SEED}>"))
+def read_video_seeds(spark: SparkSession, path: str | list[str], *, lines: bool = False) -> DataFrame:
+    """dataset, anchor, the seed's values and issues."""
+    return seed_rows(read_json(spark, path, f"version int, dataset string, notes string, anchors map<string,{SEED}>", lines=lines))
 
 
 def config_rows(configs: DataFrame) -> DataFrame:
@@ -125,6 +149,15 @@ def config_rows(configs: DataFrame) -> DataFrame:
     return configs.select("dataset_id", "source_sequence_id", "strategy", "time_mapping.tiff_start", "time_mapping.tiff_end", "time_mapping.video_start", "time_mapping.video_end", "mask.threshold_dn", "counts.raw_tiff", "counts.aligned", F.posexplode_outer("time_mapping.anchors").alias("anchor_no", "a")).select("*", F.col("a.name").alias("anchor"), F.col("a.requested").alias("requested"), F.col("a.selected").alias("selected")).drop("a")
 
 
+def read_configs(spark: SparkSession, path: str | list[str], *, lines: bool = False) -> DataFrame:
+    return config_rows(read_json(spark, path, CONFIG, lines=lines))
+
+
+def read_transforms(spark: SparkSession, path: str | list[str], *, keys: str = "", lines: bool = False) -> DataFrame:
+    """The segments of transform files; keys: further fields of the documents, that tell them apart."""
+    return transform_segments(read_json(spark, path, f"{keys}{', ' * bool(keys)}{TRANSFORM}", lines=lines))
+
+
 def transform_segments(bundles: DataFrame) -> DataFrame:
     """One row a segment of each transform; dual when the strategy says so or both anchors are there."""
     dual = F.col("strategy").contains("dual") | (F.col("primary").isNotNull() & F.col("secondary").isNotNull())
