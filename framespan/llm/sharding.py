@@ -105,3 +105,38 @@ def shard_manifest(sharded: DataFrame, dims: list[str]) -> DataFrame:
 def op8_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_documents(read_documents(spark, sf_dir))
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert")
+
+
+#: the checksum byte by byte from its table, the curve by Skilling's steps for every cell that occurs
+ORACLE_SQL = """
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text, source, lang FROM documents
+), parts AS (
+  SELECT row_id, 't' AS part, text AS value FROM texts UNION ALL SELECT row_id, 's', source FROM texts UNION ALL SELECT row_id, 'l', lang FROM texts
+), sums AS (
+  SELECT row_id, part, xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(value)), '..'), lambda p: CAST('0x' || p AS BIGINT))), lambda c, x: xor(c >> 8, crc[xor(c & 255, x) + 1])), 4294967295)::BIGINT AS c
+  FROM parts, tab WHERE value IS NOT NULL
+), rows AS (
+  SELECT doc_id, octet_length(encode(text))::BIGINT + 8 AS size, t.c AS text_crc32, coalesce(s.c % 31 + 1, 0)::INT AS a, coalesce(l.c % 31 + 1, 0)::INT AS b,
+         least(31, floor(2 * log2(octet_length(encode(text)) + 8) - 6))::INT AS z
+  FROM texts JOIN sums t ON t.row_id = texts.row_id AND t.part = 't' LEFT JOIN sums s ON s.row_id = texts.row_id AND s.part = 's' LEFT JOIN sums l ON l.row_id = texts.row_id AND l.part = 'l'
+), undo AS (
+  SELECT a, b, z, 0 AS k, a AS x0, b AS x1, z AS x2 FROM (SELECT DISTINCT a, b, z FROM rows)
+  UNION ALL
+  SELECT a, b, z, k + 1, CASE WHEN xi & q <> 0 THEN xor(x0, q - 1) ELSE xor(x0, xor(x0, xi) & (q - 1)) END,
+         CASE WHEN k % 3 = 1 AND xi & q = 0 THEN xor(x1, xor(x0, xi) & (q - 1)) ELSE x1 END, CASE WHEN k % 3 = 2 AND xi & q = 0 THEN xor(x2, xor(x0, xi) & (q - 1)) ELSE x2 END
+  FROM (SELECT *, 16 >> (k // 3) AS q, CASE k % 3 WHEN 0 THEN x0 WHEN 1 THEN x1 ELSE x2 END AS xi FROM undo WHERE k < 12)
+), gray AS (
+  SELECT a, b, z, x0 AS y0, xor(x0, x1) AS y1, xor(xor(x0, x1), x2) AS y2 FROM undo WHERE k = 12
+), flipped AS (
+  SELECT a, b, z, xor(y0, t) AS y0, xor(y1, t) AS y1, xor(y2, t) AS y2
+  FROM (SELECT *, xor(xor(CASE WHEN y2 & 16 <> 0 THEN 15 ELSE 0 END, CASE WHEN y2 & 8 <> 0 THEN 7 ELSE 0 END), xor(CASE WHEN y2 & 4 <> 0 THEN 3 ELSE 0 END, CASE WHEN y2 & 2 <> 0 THEN 1 ELSE 0 END)) AS t FROM gray)
+), curve AS (
+  SELECT a, b, z, list_sum(list_transform(range(5), lambda p: (((y0 >> p) & 1) << (3 * p + 2)) + (((y1 >> p) & 1) << (3 * p + 1)) + (((y2 >> p) & 1) << (3 * p))))::BIGINT AS hilbert FROM flipped
+), ranked AS (
+  SELECT doc_id, size, text_crc32, hilbert, row_number() OVER (ORDER BY hilbert, doc_id, text_crc32, size) - 1 AS r, count(*) OVER () AS n FROM rows JOIN curve USING (a, b, z)
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (r * 24 // n)::INT AS shard, (r - ((r * 24 // n) * n + 23) // 24)::BIGINT AS slot, CAST(NULL AS INT) AS grown_shard, hilbert FROM ranked
+"""

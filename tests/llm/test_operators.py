@@ -610,6 +610,27 @@ def test_hilbert_neighbours(spark):
     assert all(abs(a.x - b.x) + abs(a.y - b.y) == 1 for a, b in zip(rows, rows[1:], strict=False))
 
 
+def test_hilbert_neighbours_in_three_dimensions(spark):
+    """All cells of the cube once, each next to the one before it."""
+    cells = spark.range(8**3).select(*[F.expr(f"cast(id div {8**k} % 8 as int)").alias(c) for k, c in enumerate("xyz")])
+    rows = cells.withColumn("h", sharding.hilbert_index([F.col(c) for c in "xyz"], 3)).orderBy("h").collect()
+    assert [r.h for r in rows] == list(range(512))
+    assert all(abs(a.x - b.x) + abs(a.y - b.y) + abs(a.z - b.z) == 1 for a, b in zip(rows, rows[1:], strict=False))
+
+
+@pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
+def test_queries_against_sql(name, spark, folder):
+    """Also with nulls, empty texts and repeated rows."""
+    import duckdb
+
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder[0]}/documents.parquet/*.parquet'")
+    found = Q.queries()[name](spark, folder[0])
+    columns = sorted(found.columns)
+    expected = connection.sql(f"SELECT {', '.join(columns)} FROM ({Q.oracle_sql()[name]})").fetchall()
+    assert sorted(map(repr, (tuple(r) for r in found.select(*columns).collect()))) == sorted(map(repr, expected))
+
+
 def test_shards(docs, rows):
     out = sharding.shard_documents(docs, shards=7)
     found = out.collect()
