@@ -374,3 +374,17 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, h
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(read_documents(spark, sf_dir))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: all windows as rows; repeated ones joined to spans, and what lies between spans put together
+ORACLE_SQL = """
+WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT row_id, unnest(range(1, octet_length(b) - 198)) AS i FROM d WHERE octet_length(b) >= 200),
+v AS (SELECT w.row_id, i, b[i:i + 199] AS s FROM w JOIN d USING (row_id)),
+r AS (SELECT row_id, i FROM (SELECT row_id, i, count(*) OVER (PARTITION BY s) AS n FROM v) WHERE n > 1),
+e AS (SELECT row_id, i, sum(fresh) OVER (PARTITION BY row_id ORDER BY i) AS g FROM (SELECT row_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY row_id ORDER BY i) <= 200 THEN 0 ELSE 1 END AS fresh FROM r)),
+p AS (SELECT row_id, g, min(i) AS a, max(i) + 199 AS z FROM e GROUP BY ALL),
+k AS (SELECT row_id, a, z, coalesce(lag(z) OVER (PARTITION BY row_id ORDER BY a), 0) AS before FROM p),
+x AS (SELECT d.row_id, count(*) AS n_spans, sum(z - a + 1) AS n_removed, unhex(string_agg(hex(b[before + 1:a - 1]), '' ORDER BY a)) || (any_value(b))[max(z) + 1:] AS kept FROM k JOIN d USING (row_id) GROUP BY 1)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(coalesce(kept, b)) AS kept_sha256 FROM d LEFT JOIN x USING (row_id)
+"""
