@@ -209,3 +209,46 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return found.select("doc_id", *map(count, KINDS[:3]), F.sha2(text("base").cast("binary"), 256).alias("base_sha256"), text("spans").alias("spans"))
+
+
+def _placed(name: str, pattern: str) -> str:
+    """SQL of a table of the pattern's matches in every text: row_id, start, stop and m."""
+    pattern = pattern.replace("'", "''")
+    return f"""{name}_all AS (SELECT row_id, string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}') AS ms FROM d WHERE regexp_matches(t, '{pattern}')),
+{name} AS (SELECT row_id, start, start + length(m) AS stop, m FROM (SELECT row_id, unnest(ms) AS m, unnest(list_transform(range(1, len(ms) + 1), lambda j: list_sum(list_transform(gaps[1:j], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:j - 1], lambda x: length(x))), 0)))::BIGINT AS start FROM {name}_all))"""
+
+
+def _oracle_sql() -> str:
+    """Spans by regular expressions and their places; entropy from the counts of every window's characters."""
+    either = lambda word: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+    names = "|".join(either(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+    blank = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+    url = rf"""://[^{blank}"'`\x{{2018}}-\x{{201f}}\x{{ab}}\x{{bb}}()\[\]{{}}<>,;|\\]*"""
+    word = "(?i)(^|[^a-z0-9])(?:example|sample|placeholder|changeme|x{4,}|0123456789|abcdefgh)($|[^a-z0-9])"
+    tables = [
+        _placed("assign", rf"""(?:{names})["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""), _placed("access", "AKIA[A-Z0-9]+"), _placed("hex", "[0-9a-f]{24,}"),
+        _placed("candidate", CANDIDATE.pattern), _placed("url", url),
+    ]
+    value = rf"""^(?:{names})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)$""".replace("'", "''")
+    examples = ", ".join(f"'{x}'" for x in EXAMPLES)
+    shapes = " OR ".join(f"regexp_full_match(m, '{p.pattern}')" for p in ALLOWED)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS t FROM documents), {", ".join(tables)},
+base AS (SELECT row_id, start, 0 AS kind, stop FROM assign WHERE length(regexp_extract(m, '{value}', 1)) >= 6
+  UNION ALL SELECT row_id, start, 1, stop FROM access WHERE length(m) >= 20 UNION ALL SELECT row_id, start, 2, stop FROM hex),
+open AS (SELECT c.*, string_split(rtrim(m, '='), '=') AS parts FROM candidate c WHERE regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') AND m NOT IN ({examples}) AND NOT ({shapes})
+  AND NOT EXISTS (SELECT 1 FROM url u WHERE u.row_id = c.row_id AND u.start < c.start AND u.stop >= c.start)),
+judged AS (SELECT row_id, start, m, CASE WHEN regexp_full_match(m, '[0-9a-fA-F]+') THEN {BOUNDS["hex"]} WHEN regexp_full_match(m, '[A-Za-z0-9]+') THEN {BOUNDS["alnum"]} ELSE {BOUNDS["base64"]} END AS bound FROM open
+  WHERE len(list_filter(parts, lambda p, i: (i = len(parts) OR length(p) >= {WINDOW}) AND NOT (length(p) <= {SHORT} AND regexp_matches(p, '{word}')))) > 0),
+windows AS (SELECT row_id, start AS origin, bound, unnest(range(length(m) - {WINDOW - 1})) AS i, m FROM judged),
+hits AS (SELECT row_id, origin, origin + i AS place FROM windows WHERE list_sum(list_transform(map_values(list_histogram(string_split(substr(m, i + 1, {WINDOW}), ''))), lambda c: c * log2(c))) <= {WINDOW} * (log2({WINDOW}) - CAST(bound AS DOUBLE)) + 1e-9),
+cells AS (SELECT row_id, origin, island, unnest(range(min(place), max(place) + {WINDOW})) AS place FROM (SELECT *, sum(fresh) OVER (PARTITION BY row_id, origin ORDER BY place) AS island FROM (SELECT *, CASE WHEN place - lag(place) OVER (PARTITION BY row_id, origin ORDER BY place) <= {WINDOW} THEN 0 ELSE 1 END AS fresh FROM hits)) GROUP BY row_id, origin, island),
+bare AS (SELECT * FROM cells c WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.row_id = c.row_id AND b.start <= c.place AND b.stop > c.place)),
+high AS (SELECT row_id, min(place) AS start, 3 AS kind, max(place) + 1 AS stop FROM (SELECT *, place - row_number() OVER (PARTITION BY row_id, origin, island ORDER BY place) AS run FROM bare) GROUP BY row_id, origin, island, run),
+both_ AS (SELECT *, ['{"', '".join(KINDS)}'][kind + 1] || ':' || start || ':' || stop AS span FROM (SELECT * FROM base UNION ALL SELECT * FROM high)),
+listed AS (SELECT row_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex, string_agg(span, ',' ORDER BY start, kind, stop) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY start, kind, stop) AS spans FROM both_ GROUP BY 1)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN listed USING (row_id)
+"""
+
+
+ORACLE_SQL = _oracle_sql()
