@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framespan import constants as C
@@ -27,23 +29,38 @@ def crop_grid(videos: DataFrame, fractions: list[float], aspect: float, step_fra
 
 def guided_crops(pairs: DataFrame, out_w: int = C.WIDTH, out_h: int = C.HEIGHT) -> DataFrame:
     """Crops that put a video circle on a thermal circle: sizes, aspects and shifts around the exact one, clamped to the
-    video; equal crops once, in order of their first place.  pairs: pair_id, thermal, video (circles), video_w, video_h."""
-    values = lambda xs: F.array(*[F.lit(x) for x in xs])
-    # dealt by pair while a pair is one narrow row: its crops are then counted where they are made
-    rows = pairs.where("thermal IS NOT NULL AND video IS NOT NULL").repartition("pair_id")
-    for name, xs in (("scale", C.SIZE_SCALES), ("aspect", C.ASPECT_SCALES), ("sy", C.CENTER_SHIFTS), ("sx", C.CENTER_SHIFTS)):
-        rows = rows.select("*", F.posexplode(values(xs)).alias(f"n_{name}", name))
-    own = F.greatest(F.col("thermal.r"), F.lit(1.0))
-    rows = rows.withColumn("w", F.rint(F.col("video.r") * out_w / own * F.col("scale") * F.sqrt("aspect")).cast("int"))
-    rows = rows.withColumn("h", F.rint(F.col("video.r") * out_h / own * F.col("scale") / F.sqrt("aspect")).cast("int")).where("w > 0 AND h > 0 AND w <= video_w AND h <= video_h")
+    video; equal crops once, in order of their first place.  pairs: pair_id, thermal, video (circles), video_w, video_h.
 
-    def place(axis: str, size: str, out: int, whole: str, shift: str):
-        at = F.col(f"video.{axis}") - F.col(f"thermal.{axis}") * F.col(size) / out
-        return F.least(F.greatest(F.rint(at + F.col(shift) * F.col("video.r")).cast("int"), F.lit(0)), F.col(whole) - F.col(size))
-
-    rows = rows.withColumns({"x": place("cx", "w", out_w, "video_w", "sx"), "y": place("cy", "h", out_h, "video_h", "sy")})
-    seq = ((F.col("n_scale") * 3 + F.col("n_aspect")) * 3 + F.col("n_sy")) * 3 + F.col("n_sx") + 1
-    return rows.groupBy("pair_id", "x", "y", "w", "h").agg(F.min(seq).alias("seq_no"))
+    Places of one size are the product of a few columns and rows, so equal crops have equal sizes and equal columns and
+    rows: each is left out where it is made, and crops are not grouped.  Pairs are dealt to all shuffle partitions first,
+    as one narrow row becomes up to 135."""
+    own = F.greatest(F.col("thermal.r"), F.lit(1.0))
+    scales = [(s, a) for s in C.SIZE_SCALES for a in C.ASPECT_SCALES]
+    either = lambda checks: reduce(Column.__or__, checks, F.lit(False))
+
+    def size(scale: Column, aspect: Column) -> tuple[Column, Column]:
+        w = F.rint(F.col("video.r") * out_w / own * scale * F.sqrt(aspect)).cast("int")
+        return w, F.rint(F.col("video.r") * out_h / own * scale / F.sqrt(aspect)).cast("int")
+
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = pairs.where("thermal IS NOT NULL AND video IS NOT NULL").repartition(parts)
+    rows = rows.withColumn("_z", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(s).alias("s"), F.lit(a).alias("a")) for k, (s, a) in enumerate(scales)])))
+    w, h = size(F.col("_z.s"), F.col("_z.a"))
+    rows = rows.withColumns({"w": w, "h": h}).where("w > 0 AND h > 0 AND w <= video_w AND h <= video_h")
+    before = [(F.col("_z.k") > k) & (size(F.lit(s), F.lit(a))[0] == F.col("w")) & (size(F.lit(s), F.lit(a))[1] == F.col("h")) for k, (s, a) in enumerate(scales[:-1])]
+    rows = rows.where(~either(before))
+
+    def shifted(rows: DataFrame, name: str, axis: str, side: str, out: int, whole: str) -> DataFrame:
+        """A row for each different place of the shifts, with the number of the first shift of each."""
+        at = F.col(f"video.{axis}") - F.col(f"thermal.{axis}") * F.col(side) / out
+        place = lambda s: F.least(F.greatest(F.rint(at + s * F.col("video.r")).cast("int"), F.lit(0)), F.col(whole) - F.col(side))
+        rows = rows.withColumn(f"_{name}", F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.lit(s).alias("s")) for n, s in enumerate(C.CENTER_SHIFTS)])))
+        rows = rows.withColumn(name, place(F.col(f"_{name}.s")))
+        return rows.where(~either([(F.col(f"_{name}.n") > n) & (place(F.lit(s)) == F.col(name)) for n, s in enumerate(C.CENTER_SHIFTS[:-1])]))
+
+    rows = shifted(shifted(rows, "y", "cy", "h", out_h, "video_h"), "x", "cx", "w", out_w, "video_w")
+    n = len(C.CENTER_SHIFTS)
+    return rows.select("pair_id", "x", "y", "w", "h", ((F.col("_z.k") * n + F.col("_y.n")) * n + F.col("_x.n") + 1).alias("seq_no"))
 
 
 def crop_metrics(rows: DataFrame, out_w: int = C.WIDTH, out_h: int = C.HEIGHT) -> DataFrame:
