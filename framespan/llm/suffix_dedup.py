@@ -34,13 +34,14 @@ from pyspark.sql import functions as F
 
 from framespan.llm._common import discard, read_documents, written
 from framespan.llm._vec import _BYTES, buffers, chunks, mix, powers
+from framespan.llm.decontamination import bloom, passes
 
 LENGTH, GRAM = 200, 50
 #: bytes of a long text's piece
 PIECE = 1 << 21
 #: surroundings of one anchor that are compared in one task
 HOT = 2000
-#: repeated anchors that are broadcast; more are joined by shuffle
+#: repeated anchors that are broadcast; more are joined by shuffle, behind a Bloom filter
 BROADCAST_ROWS = 1_000_000
 #: texts whose surroundings a task remembers, to skip copies
 MET = 1_000_000
@@ -82,10 +83,11 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tup
     return doc[new], start[new], last, place[new], hashes[place[new]]
 
 
-def surroundings(docs: DataFrame, *, length: int, gram: int, with_bytes: bool) -> DataFrame:
+def surroundings(docs: DataFrame, *, length: int, gram: int, with_bytes: bool, among: tuple[np.ndarray, int] | None = None) -> DataFrame:
     """h, k1, k2, first places, the anchor's offset and (if asked for) the bytes of each anchor's windows.
 
-    Equal surroundings of one text are one row with several places.  Copies of a text met in a task are skipped."""
+    Equal surroundings of one text are one row with several places.  Copies of a text met in a task are skipped, and so
+    are anchors that the Bloom filter `among` does not hold."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[tuple[int, int]] = set()
@@ -114,6 +116,10 @@ def surroundings(docs: DataFrame, *, length: int, gram: int, with_bytes: bool) -
     def rows(part, at, base, d0, keys, fresh) -> Iterator[pa.RecordBatch]:
         doc, first, last, place, hashes = anchors(part, at, length, gram)
         keep = fresh[d0 + doc]
+        if among:
+            held = np.zeros(len(keep), bool)
+            held[passes(*among, hashes)] = True
+            keep &= held
         doc, first, last, place, hashes = doc[keep], first[keep], last[keep], place[keep], hashes[keep]
         if not len(doc):
             return
@@ -360,7 +366,9 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, h
     repeated = places.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("k1").alias("a"), F.max("k1").alias("b"), F.min("s").alias("c"), F.max("s").alias("d"), F.max("many").alias("m")).where("a < b OR c < d OR m").select("h", "n")
     repeated = written(repeated)
     few = repeated.count() <= BROADCAST_ROWS
-    around = surroundings(keyed, length=length, gram=gram, with_bytes=True).join(F.broadcast(repeated) if few else repeated, "h")
+    # where they are too many to be sent to every task, a filter of bounded size drops most others before bytes are moved
+    among = None if few else bloom(repeated.select(F.col("h").alias("seed")))
+    around = surroundings(keyed, length=length, gram=gram, with_bytes=True, among=among).join(F.broadcast(repeated) if few else repeated, "h")
     around = written(around.withColumn("many", F.lit(False)))
     tables = [grouped_spans(around.where(F.col("n") <= hot), length)]
     if repeated.where(F.col("n") > hot).limit(1).count():

@@ -246,6 +246,12 @@ def test_suffix_dedup_hot_anchor(spark):
     assert collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == removed(data, 40)
 
 
+def test_suffix_dedup_without_broadcast(docs, rows, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_ROWS", 0)
+    found = suffix_dedup.remove_repeats(docs, length=24, gram=8).collect()
+    assert collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == removed(rows, 24)
+
+
 def test_suffix_dedup_pieces(docs, rows, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "chunks", lambda offsets: ((k, k + 1) for k in range(len(offsets) - 1)))
     monkeypatch.setattr(suffix_dedup, "PIECE", 300)
