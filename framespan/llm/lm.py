@@ -2,9 +2,10 @@
 
 Tokens are words, lower-cased A-Z, and one end a text.  Own words are the training words with LEAST_COUNT occurrences or
 more, OWN at most, the most frequent first.  The model first chooses a unit: one of the SINGLES most frequent words, the
-end, or one of CLASSES classes that hold the other words by their last two bytes; then, inside a class, one of its own
-words or "rest", by vectors of their own; then a word of the rest by its count:
-p(w) = p(class | context) p(rest | class, context) (c + 0.1) / (N_rest + 0.1 (V_rest + 1)).  The probabilities of all
+end, or one of the units of CLASSES classes that hold the other words by their last two bytes (a class of many own words is
+several units of INNER words at most); then, inside the unit, one of its own words or the class's "rest", by vectors of
+their own; then a word of the rest by its count:
+p(w) = p(unit | context) p(rest | unit, context) (c + 0.1) / (N_rest + 0.1 (V_rest + 1)).  The probabilities of all
 words and of one unseen word a class add to one.
 
 A choice is linear in the context's vector: (r1[word before] + mean of r2[the WINDOW words before that]) . q[choice] +
@@ -40,16 +41,19 @@ from pyspark.sql import functions as F
 from framespan.llm._common import read_documents, remainder, written
 from framespan.llm._vec import LOWER, buffers, chunks, mix, words
 
-#: own words with vectors: most of them, and the occurrences that one needs
-OWN, LEAST_COUNT = 1 << 15, 10
+#: own words with vectors: most of them (with classes under 2**16), and the occurrences that one needs
+OWN, LEAST_COUNT = 1 << 14, 10
 SINGLES, CLASSES, FREQUENT = 63, 128, 1 << 17
+#: most inner choices of a unit: larger classes are several units, the first with the rest
+INNER = 96
 END = SINGLES  # the unit of the end; classes come after it
-UNITS = SINGLES + 1 + CLASSES
 SIZE, WINDOW = 16, 16
 #: noise units that a batch shares, noise words of each token in a class, tokens of a batch and of a block
 NOISE, INNER_NOISE, BATCH, BLOCK = 16, 1, 4096, 1 << 15
+#: tokens whose scores are held at a time
+SCORED = 2048
 #: tokens of the start on the driver
-START_TOKENS, START_ROUNDS = 300_000, 4
+START_TOKENS, START_ROUNDS = 300_000, 8
 SMOOTH = 0.1
 
 
@@ -96,8 +100,8 @@ def count_words(docs: DataFrame, train: Column) -> DataFrame:
 class Vocabulary:
     """Frequent words in order of hash: training count, place among the own words or -1, class; and totals.
 
-    Own words are numbered: singles first, then class by class; `slots` is the first slot of each class among the inner
-    choices, whose last slot is its rest."""
+    Own words are numbered: singles first, then class by class; `slots` is the first slot of each unit after END among the
+    inner choices; rest_unit and rest_slot say where a class's other words are, rest_class whose rest a slot is, or -1."""
 
     hashes: np.ndarray
     counts: np.ndarray
@@ -112,6 +116,9 @@ class Vocabulary:
     slot_of: np.ndarray
     slot_counts: np.ndarray
     unit_of: np.ndarray
+    rest_unit: np.ndarray
+    rest_slot: np.ndarray
+    rest_class: np.ndarray
 
     @property
     def base_total(self) -> float:
@@ -160,24 +167,30 @@ def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
     rest_tokens, rest_distinct = np.zeros(CLASSES), np.zeros(CLASSES)
     rest_tokens[sums["class"].to_numpy()], rest_distinct[sums["class"].to_numpy()] = sums["n"].to_numpy(), sums["v"].to_numpy()
     tokens, distinct = int(rest_tokens.sum()) + texts, int(rest_distinct.sum()) + (texts > 0)
-    unit_counts = np.zeros(UNITS)
-    unit_counts[: len(singles)], unit_counts[END] = n[singles], texts
-    np.subtract.at(rest_tokens, kind[singles], n[singles])
-    np.subtract.at(rest_distinct, kind[singles], 1)
-    unit_counts[END + 1 :] = rest_tokens
-    np.subtract.at(rest_tokens, kind[others], n[others])
-    np.subtract.at(rest_distinct, kind[others], 1)
-    sizes = np.bincount(kind[others], minlength=CLASSES) + 1
+    np.subtract.at(rest_tokens, kind[order], n[order])
+    np.subtract.at(rest_distinct, kind[order], 1)
+    # units of each class: the first has its rest as the last inner choice
+    members = np.bincount(kind[others], minlength=CLASSES)
+    first = np.cumsum(members) - members
+    place = np.arange(len(others)) - first[kind[others]]
+    part = (place + 1) // INNER
+    parts = members // INNER + 1
+    rest_unit = END + 1 + np.cumsum(parts) - parts
+    unit_of = np.concatenate([np.arange(len(singles)), rest_unit[kind[others]] + part])
+    slot_of = np.concatenate([np.full(len(singles), -1), np.arange(len(others)) + kind[others] + (part > 0)])
+    rest_slot = first + np.arange(CLASSES) + np.minimum(members, INNER - 1)
+    sizes = np.bincount(np.concatenate([unit_of[len(singles) :], rest_unit]) - END - 1, minlength=parts.sum())
     slots = np.concatenate([[0], np.cumsum(sizes)])
-    # own words of class c stand before its rest, so c rests come before its first slot
-    slot_of = np.concatenate([np.full(len(singles), -1), np.arange(len(others)) + kind[others]])
-    slot_counts = np.zeros(slots[-1])
-    slot_counts[slot_of[len(singles) :]], slot_counts[slots[1:] - 1] = n[others], rest_tokens
+    slot_counts, rest_class = np.zeros(slots[-1]), np.full(slots[-1], -1)
+    slot_counts[slot_of[len(singles) :]], slot_counts[rest_slot] = n[others], rest_tokens
+    rest_class[rest_slot] = np.arange(CLASSES)
+    unit_counts = np.zeros(END + 1 + len(sizes))
+    unit_counts[: len(singles)], unit_counts[END] = n[singles], texts
+    unit_counts[END + 1 :] = np.add.reduceat(slot_counts, slots[:-1])
     number = np.full(len(h), -1)
     number[np.concatenate([singles, others])] = np.arange(len(order))
-    unit_of = np.concatenate([np.arange(len(singles)), END + 1 + kind[others]])
     by_hash = np.argsort(h)
-    return Vocabulary(h[by_hash], n[by_hash], number[by_hash], tokens, distinct, texts, rest_tokens, rest_distinct, unit_counts, slots, slot_of, slot_counts, unit_of)
+    return Vocabulary(h[by_hash], n[by_hash], number[by_hash], tokens, distinct, texts, rest_tokens, rest_distinct, unit_counts, slots, slot_of, slot_counts, unit_of, rest_unit, rest_slot, rest_class)
 
 
 @dataclass
@@ -202,7 +215,7 @@ def tokens_of(raw: np.ndarray, offsets: np.ndarray, voc: Vocabulary):
     number = np.where(at >= 0, number, -1)
     kind = class_of(raw, w.start, w.end)
     own = number >= 0
-    unit, slot = END + 1 + kind, voc.slots[kind + 1] - 1
+    unit, slot = voc.rest_unit[kind], voc.rest_slot[kind]
     unit[own], slot[own] = voc.unit_of[number[own]], voc.slot_of[number[own]]
     n_own = len(voc.unit_of)
     docs = len(offsets) - 1
@@ -221,7 +234,8 @@ def tokens_of(raw: np.ndarray, offsets: np.ndarray, voc: Vocabulary):
 
 def _sums(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The indices in order and the sum of the rows of each."""
-    order = np.argsort(index, kind="stable")
+    # contexts, units and slots fit in 16 bits, which are sorted by radix
+    order = np.argsort(index.astype(np.uint16), kind="stable")
     at = index[order]
     starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, np.int64)
     return at[starts], np.add.reduceat(rows[order], starts, 0) if len(at) else rows[:0]
@@ -242,7 +256,7 @@ class LogBilinear:
         per_class = np.add.reduceat(inner, voc.slots[:-1])
         self.inner = inner / np.repeat(per_class, np.diff(voc.slots))
         # the last column of q and q2 is the bias
-        sizes = {"r1": (voc.contexts, SIZE), "r2": (voc.contexts, SIZE), "q": (UNITS, SIZE + 1), "q2": (len(inner), SIZE + 1)}
+        sizes = {"r1": (voc.contexts, SIZE), "r2": (voc.contexts, SIZE), "q": (len(noise), SIZE + 1), "q2": (len(inner), SIZE + 1)}
         for name, shape in sizes.items():
             setattr(self, name, rng.normal(0, 0.1, shape).astype(np.float32))
         self.q[:, SIZE], self.q2[:, SIZE] = np.log(self.noise), np.log(self.inner)
@@ -280,15 +294,15 @@ class LogBilinear:
             unit, slot, before = t.unit[pick], t.slot[pick], t.before[pick]
             h = self.r1[before] + far[pick]
             h1 = np.concatenate([h, np.ones((len(h), 1), np.float32)], 1)
-            drawn = np.searchsorted(edges, rng.random(NOISE)).clip(max=UNITS - 1)
+            drawn = np.searchsorted(edges, rng.random(NOISE)).clip(max=len(edges) - 1)
             q_unit, q_drawn = self.q[unit], self.q[drawn]
             miss = _sigmoid(np.einsum("ij,ij->i", h1, q_unit) - log_kn[unit]) - 1
             wrong = _sigmoid(h1 @ q_drawn.T - log_kn[drawn])
             dh = miss[:, None] * q_unit[:, :SIZE] + wrong @ q_drawn[:, :SIZE]
             inside = np.flatnonzero(slot >= 0)
             if len(inside):
-                kind = unit[inside] - END - 1
-                lo, hi = self.inner_edges[self.voc.slots[kind]], self.inner_edges[self.voc.slots[kind + 1]]
+                group = unit[inside] - END - 1
+                lo, hi = self.inner_edges[self.voc.slots[group]], self.inner_edges[self.voc.slots[group + 1]]
                 index, grads = [slot[inside]], []
                 q_slot = self.q2[index[0]]
                 m = _sigmoid(np.einsum("ij,ij->i", h1[inside], q_slot) - log_inner[index[0]]) - 1
@@ -296,7 +310,7 @@ class LogBilinear:
                 grads.append(m[:, None] * h1[inside])
                 for _ in range(INNER_NOISE):
                     other = np.searchsorted(self.inner_edges, lo + (hi - lo) * rng.random(len(inside)), "right") - 1
-                    other = np.clip(other, self.voc.slots[kind], self.voc.slots[kind + 1] - 1)
+                    other = np.clip(other, self.voc.slots[group], self.voc.slots[group + 1] - 1)
                     q_other = self.q2[other]
                     m = _sigmoid(np.einsum("ij,ij->i", h1[inside], q_other) - log_inner[other])
                     dh[inside] += m[:, None] * q_other[:, :SIZE]
@@ -318,21 +332,18 @@ class LogBilinear:
         """Natural log-probabilities of the tokens' units, and of their slots inside the classes (0 without)."""
         far, _, _ = self.far(t)
         units, inner = np.zeros(len(t.unit)), np.zeros(len(t.unit))
-        for a in range(0, len(t.unit), BLOCK):
-            part = slice(a, a + BLOCK)
-            h = np.concatenate([self.r1[t.before[part]] + far[part], np.ones((len(t.before[part]), 1), np.float32)], 1)
-            unit, slot = t.unit[part], t.slot[part]
-            units[part] = _log_softmax(h @ self.q.T, unit)
-            inside = np.flatnonzero(slot >= 0)
-            inside = inside[np.argsort(unit[inside], kind="stable")]
-            cuts = np.flatnonzero(np.diff(unit[inside])) + 1
-            for rows in np.split(inside, cuts) if len(inside) else []:
-                c = unit[rows[0]] - END - 1
-                lo, hi = self.voc.slots[c], self.voc.slots[c + 1]
-                if hi - lo > 1:
-                    for k in range(0, len(rows), BATCH):
-                        some = rows[k : k + BATCH]
-                        inner[a + some] = _log_softmax(h[some] @ self.q2[lo:hi].T, slot[some] - lo)
+        h = np.concatenate([self.r1[t.before] + far, np.ones((len(far), 1), np.float32)], 1)
+        for a in range(0, len(h), SCORED):
+            units[a : a + SCORED] = _log_softmax(h[a : a + SCORED] @ self.q.T, t.unit[a : a + SCORED])
+        inside = np.flatnonzero(t.slot >= 0)
+        inside = inside[np.argsort(t.unit[inside], kind="stable")]
+        cuts = np.flatnonzero(np.diff(t.unit[inside])) + 1
+        for rows in np.split(inside, cuts) if len(inside) else []:
+            unit = t.unit[rows[0]] - END - 1
+            lo, hi = self.voc.slots[unit], self.voc.slots[unit + 1]
+            for k in range(0, len(rows), SCORED) if hi - lo > 1 else ():
+                some = rows[k : k + SCORED]
+                inner[some] = _log_softmax(h[some] @ self.q2[lo:hi].T, t.slot[some] - lo)
         return units, inner
 
 
@@ -343,10 +354,9 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def _log_softmax(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Log of the softmax of each row at one column; the scores are overwritten."""
     own = scores[np.arange(len(scores)), chosen]
-    top = scores.max(1)
-    scores -= top[:, None]
-    np.exp(scores, out=scores)
-    return own - top - np.log(scores.sum(1))
+    top = scores.max(1, keepdims=True) if len(scores) and scores.max() > 60 else np.zeros((1, 1), np.float32)
+    np.exp(scores - top, out=scores)
+    return own - top[:, 0] - np.log(scores.sum(1))
 
 
 def blocks_of_tokens(raw: np.ndarray, offsets: np.ndarray, voc: Vocabulary) -> Iterator[Tokens]:
@@ -365,7 +375,7 @@ def start_model(training: DataFrame, voc: Vocabulary) -> LogBilinear:
     last = int(np.searchsorted(offsets, 16 * START_TOKENS, "right")) - 1
     for k in range(START_ROUNDS if last > 0 else 0):
         for t in blocks_of_tokens(raw[: offsets[last]], offsets[: last + 1], voc):
-            model.fit(t, rng, 0.3 / (1 + k))
+            model.fit(t, rng, 0.4 / (1 + k / 2))
     return model
 
 
@@ -383,7 +393,7 @@ def trained(training: DataFrame, voc: Vocabulary) -> LogBilinear:
         rng = np.random.default_rng(1)
         for batch in it:
             for t in blocks_of_tokens(*buffers(batch.column(0)), voc):
-                model.fit(t, rng, 0.15)
+                model.fit(t, rng, 0.2)
         origin = TaskContext.get().partitionId()
         for k, n in enumerate(model.PARTS):
             at = np.flatnonzero(model.used[n])
@@ -453,8 +463,8 @@ def score(docs: DataFrame, voc: Vocabulary, model: LogBilinear, counts: DataFram
                 seen[known] = voc.counts[t.place[known]] > 0
                 unit, inner = model.log_probabilities(t)
                 p = (unit + inner) / np.log(10)
-                kind = t.unit - END - 1
-                rest = np.flatnonzero((kind >= 0) & (t.slot == voc.slots[np.maximum(kind, 0) + 1] - 1))
+                kind = np.where(t.slot >= 0, voc.rest_class[t.slot], -1)
+                rest = np.flatnonzero(kind >= 0)
                 p[rest] += log_c[rest] - below[kind[rest]]
                 base = log_c - base_total
                 n = np.diff(np.append(t.first, len(p)))

@@ -523,19 +523,22 @@ def by_hand(model, voc, tokens, i, c, place_of):
 
     w = tokens[i]
     if w == "\n":
-        return chosen(model.q, range(lm.UNITS), lm.END)
+        return chosen(model.q, range(len(model.q)), lm.END)
     if place_of.get(w, lm.SINGLES) < lm.SINGLES:
-        return chosen(model.q, range(lm.UNITS), place_of[w])
+        return chosen(model.q, range(len(model.q)), place_of[w])
     g = kind(w)
-    members = [x for x in place_of if place_of[x] >= lm.SINGLES and kind(x) == g]
-    members.sort(key=place_of.get)
-    slots = list(range(voc.slots[g], voc.slots[g + 1]))
-    assert len(slots) == len(members) + 1
-    p = chosen(model.q, range(lm.UNITS), lm.END + 1 + g)
-    if w in members:
+    # own words of the class in order, in units of INNER choices, of which the first has the rest at its end
+    own = sorted((x for x in place_of if place_of[x] >= lm.SINGLES and kind(x) == g), key=place_of.get)
+    cut = [[*own[: lm.INNER - 1], None], *(own[k : k + lm.INNER] for k in range(lm.INNER - 1, len(own), lm.INNER))]
+    k = next(k for k, members in enumerate(cut) if (w if w in place_of else None) in members)
+    unit, members = voc.rest_unit[g] + k, cut[k]
+    slots = list(range(voc.slots[unit - lm.END - 1], voc.slots[unit - lm.END]))
+    assert len(slots) == len(members)
+    p = chosen(model.q, range(len(model.q)), unit)
+    if w in place_of:
         return p + chosen(model.q2, slots, members.index(w))
     others = {x: n for x, n in c.items() if x != "\n" and x not in place_of and kind(x) == g}
-    return p + chosen(model.q2, slots, len(members)) + math.log((c[w] + 0.1) / (sum(others.values()) + 0.1 * (len(others) + 1)))
+    return p + chosen(model.q2, slots, members.index(None)) + math.log((c[w] + 0.1) / (sum(others.values()) + 0.1 * (len(others) + 1)))
 
 
 @pytest.fixture
@@ -544,7 +547,7 @@ def small_lm(monkeypatch):
     monkeypatch.setattr(lm, "SINGLES", 6)
     monkeypatch.setattr(lm, "END", 6)
     monkeypatch.setattr(lm, "CLASSES", 4)
-    monkeypatch.setattr(lm, "UNITS", 11)
+    monkeypatch.setattr(lm, "INNER", 5)
     monkeypatch.setattr(lm, "LEAST_COUNT", 14)
 
 
@@ -569,8 +572,8 @@ def test_lm_against_definition(spark, docs, rows, small_lm):
         tokens = [*words(text), "\n"]
         for i in rnd.sample(range(len(tokens)), min(8, len(tokens))):
             p = unit[i] + inner[i]
-            if t.unit[i] > lm.END and t.slot[i] == voc.slots[t.unit[i] - lm.END] - 1:
-                g = t.unit[i] - lm.END - 1
+            g = voc.rest_class[t.slot[i]] if t.slot[i] >= 0 else -1
+            if g >= 0:
                 p += math.log(c[tokens[i]] + 0.1) - math.log(voc.rest_total()[g])
             assert abs(p - by_hand(model, voc, tokens, i, c, place_of)) < 1e-3
     # all words, one unseen word a class and the end add to one, after any words
