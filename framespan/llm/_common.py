@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a maximal run of characters other than the six ASCII blanks.
@@ -73,6 +73,20 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ranked(rows: DataFrame, *keys: Column, name: str) -> DataFrame:
+    """Adds the rank of every row in the order of keys, from 1; the rows are sorted in the shared folder by ranges.
+
+    Ranks inside a range plus the number of rows before it: no task holds more than a range, and a hot key is split where
+    a later key differs.  The offsets have one row a partition."""
+    part = free_name(rows, "range_no")
+    ranged = written(rows.repartitionByRange(*keys).withColumn(part, F.spark_partition_id()))
+    counts = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    before, own = free_name(ranged, "before"), free_name(ranged, "range_of")
+    offsets = counts.select(F.col(part).alias(own), (F.sum("n").over(Window.orderBy(part)) - F.col("n")).alias(before))
+    place = F.row_number().over(Window.partitionBy(part).orderBy(*keys))
+    return ranged.join(F.broadcast(offsets), F.col(part) == F.col(own)).withColumn(name, F.col(before) + place).drop(part, own, before)
+
+
 #: ids and hashes that are sent to every task; more are joined by shuffle
 BROADCAST_ROWS = 1_000_000
 
