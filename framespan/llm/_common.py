@@ -73,7 +73,7 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def ranked(rows: DataFrame, *keys: Column, name: str) -> DataFrame:
+def ranked(rows: DataFrame, *keys: Column | str, name: str) -> DataFrame:
     """Adds the rank of every row in the order of keys, from 1; the rows are sorted in the shared folder by ranges.
 
     Ranks inside a range plus the number of rows before it: no task holds more than a range, and a hot key is split where
