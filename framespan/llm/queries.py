@@ -19,6 +19,7 @@ _MODULES = {
     "sharding": "op8_hilbert_sharding",
     "secrets": "op9_secret_scan",
     "jaccard": "op10_jaccard_join",
+    "mixing": "op11_source_mix",
     "conversations": "op12_conversation_repair",
     "resampling": "op13_importance_resampling",
 }
