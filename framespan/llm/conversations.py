@@ -510,3 +510,49 @@ def repaired_turns(turns: DataFrame) -> DataFrame:
 
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damage(read_table(spark, sf_dir, "conversations")))
+
+
+#: the cheapest edits turn by turn, the least (cost, audit) a state; inserts before a turn and the edit are two small tables
+ORACLE_SQL = r"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))), '..'), lambda p: CAST('0x' || p AS BIGINT))), lambda c, x: xor(c >> 8, crc[xor(c & 255, x) + 1])), 4294967295) % 20 AS kind
+  FROM conversations, tab
+), kept AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM given WHERE kind <> 0
+), turns AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS i, row_number() OVER o AS k, lag(left(role, 1)) OVER o AS b, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+         right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS z
+  FROM kept WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), faults AS (
+  SELECT *, z = '' AS blank, z <> '' AND again AS duplicate, z <> '' AND NOT again AND z NOT IN ('.', '!', '?') AS truncated FROM turns
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate, count(*) FILTER (WHERE truncated) AS truncated,
+         count(*) FILTER (WHERE b IS NOT NULL AND b || i NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id
+), inserts(p, m, c, a, l) AS (
+  VALUES (0, 0, 0, '', []::VARCHAR[]), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []), (0, 2, 2, 'I', ['user:']), (1, 2, 2, 'I', ['user:']), (3, 2, 2, 'I', ['user:']), (2, 3, 2, 'I', ['assistant:']), (0, 3, 4, 'II', ['user:', 'assistant:']), (1, 3, 4, 'II', ['user:', 'assistant:'])
+), moves(m, q, r, name) AS (
+  VALUES (0, 1, 's', NULL), (0, 2, 'u', 'user'), (1, 2, 'u', 'user'), (3, 2, 'u', 'user'), (2, 3, 'a', 'assistant')
+), edits AS (
+  SELECT conv_id, k, m, m AS q, 3 AS c, 'D' AS a, []::VARCHAR[] AS l FROM faults, (SELECT unnest(range(4)) AS m)
+  UNION ALL SELECT conv_id, k, m, q, truncated::INT, 'K', [role || ':' || text] FROM faults JOIN moves ON r = i WHERE NOT blank AND NOT duplicate
+  UNION ALL SELECT conv_id, k, m, q, 2 + truncated::INT, 'R', [name || ':' || text] FROM faults, moves WHERE name IS NOT NULL AND NOT blank AND NOT duplicate
+), states AS (
+  SELECT DISTINCT conv_id, 0 AS k, 0 AS q, lpad('0', 10, '0') AS best, []::VARCHAR[] AS lines FROM conversations
+  UNION ALL
+  SELECT conv_id, k, q, min(best), arg_min(lines, best) FROM (
+    SELECT s.conv_id, s.k + 1 AS k, e.q, lpad((left(best, 10)::INT + n.c + e.c)::VARCHAR, 10, '0') || substr(best, 11) || n.a || e.a AS best, list_concat(list_concat(lines, n.l), e.l) AS lines
+    FROM states s JOIN inserts n ON n.p = s.q JOIN edits e ON e.conv_id IS NOT DISTINCT FROM s.conv_id AND e.k = s.k + 1 AND e.m = n.m
+  ) GROUP BY conv_id, k, q
+), ended AS (
+  SELECT conv_id, min(best) AS best, arg_min(lines, best) AS lines FROM (
+    SELECT s.conv_id, lpad((left(best, 10)::INT + n.c)::VARCHAR, 10, '0') || substr(best, 11) || n.a AS best, list_concat(lines, n.l) AS lines
+    FROM states s JOIN (SELECT conv_id, max(k) AS k FROM states GROUP BY conv_id) x ON x.conv_id IS NOT DISTINCT FROM s.conv_id AND x.k = s.k JOIN inserts n ON n.p = s.q AND n.m IN (0, 3)
+  ) GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, left(best, 10)::BIGINT AS cost, substr(best, 11) AS audit, sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+FROM ended e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""

@@ -9,8 +9,8 @@ documents.
 Then documents are selected.  The items of a pattern (every copy of a document, once a repetition) stand in a line ordered
 by a seeded digest; its flow covers whole lines and a part of the last.  The positions where the flow to one source ends
 are found by sums over ranges of the digest and by order only inside the range that holds the position, so no task sees
-a pattern's documents; an item belongs to the cut it ends before.  One more item, the one that fits the rest best, follows the last cut.
-A source's words differ from its quota by the size of one document at most, and by less where small ones are left.
+a pattern's documents.  An item across such a position gives its first words to the source before and the rest to the next
+one, or to none after the last, so every source gets its flow to the word.
 
 Copies of one row (same doc_id, sources and size) are one row with a count from the start until the end, where they are
 written out in runs.
@@ -23,12 +23,13 @@ rows repeated in full are items of their own; very long texts count whole; an em
 from __future__ import annotations
 
 import heapq
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from framespan.llm._common import BROADCAST_ROWS, WORD, ranked, read_documents, written
+from framespan.llm._common import BROADCAST_ROWS, WORD, discard, ranked, read_documents, written
 from framespan.llm._graph import components
 
 MOST_TIMES = 3
@@ -120,8 +121,11 @@ def targets(sources: DataFrame, total: int, *, most_times: int) -> DataFrame:
 def flows(patterns: DataFrame, sources: DataFrame, *, most_times: int) -> DataFrame:
     """pattern, no, tokens: what each pattern (pattern, nos, capacity) sends to each source (no, target)."""
     links = patterns.where(F.size("nos") > 1).select(F.col("nos")[0].alias("a"), F.explode("nos").alias("b"))
-    roots = components(links)
-    first = patterns.select("pattern", "nos", "capacity", F.col("nos")[0].alias("node")).join(roots, "node", "left").withColumn("part", F.coalesce("root", "node"))
+    first = patterns.select("pattern", "nos", "capacity", F.col("nos")[0].alias("node"))
+    if links.limit(1).count():
+        first = first.join(components(links), "node", "left").withColumn("part", F.coalesce("root", "node"))
+    else:
+        first = first.withColumn("part", F.col("node"))
     rows = first.select("part", "pattern", "capacity", F.explode("nos").alias("no")).join(sources.select("no", "target"), "no")
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
@@ -137,25 +141,22 @@ def flows(patterns: DataFrame, sources: DataFrame, *, most_times: int) -> DataFr
     return rows.groupBy("part").applyInPandas(solve, "pattern long, no long, tokens long")
 
 
-def few(table: DataFrame) -> DataFrame:
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
-
-
-def cut_points(items: DataFrame, cuts: DataFrame, ranges: int) -> DataFrame:
-    """Adds to cuts (pattern, cut, pos) the first item that does not end before pos: cut_h, cut_id, cut_size and cut_copy, of its copies,
-    and before, the words of the items before it.  A cut at the end of the line has nulls."""
+def cut_points(items: DataFrame, cuts: DataFrame, ranges: int, small: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """pattern, cut and first of cuts (pattern, cut, pos): h, at and copy of the first item that ends behind pos, and before,
+    the words of the items ahead of it.  And the table that this reads."""
     width = -(-(16**DIGITS) // ranges)
     items = items.withColumn("range", F.expr(f"h div {width}"))
     sums = items.groupBy("pattern", "range").agg(F.sum(F.col("size") * F.col("n")).alias("words"))
     line = Window.partitionBy("pattern").orderBy("range")  # one row a range
     sums = sums.withColumn("start", F.sum("words").over(line) - F.col("words"))
-    holding = cuts.join(few(written(sums)), "pattern").where("pos >= start AND pos < start + words")
-    inside = items.join(few(written(holding.select("pattern", "range").distinct())), ["pattern", "range"])
+    holding = written(sums.join(small(cuts), "pattern").where("pos >= start AND pos < start + words"))
+    inside = items.join(small(holding.select("pattern", "range").distinct()), ["pattern", "range"])
     order = Window.partitionBy("pattern", "range").orderBy("h", "doc_id", "size")
     inside = inside.where("size > 0").withColumn("own", F.sum(F.col("size") * F.col("n")).over(order) - F.col("size") * F.col("n"))
-    found = holding.join(inside, ["pattern", "range"]).where(F.col("start") + F.col("own") + F.col("size") * F.col("n") > F.col("pos"))
+    found = inside.join(small(holding), ["pattern", "range"]).where(F.col("start") + F.col("own") + F.col("size") * F.col("n") > F.col("pos"))
     copies = F.expr("(pos - start - own) div size")
-    return found.groupBy("pattern", "cut").agg(F.min(F.struct("h", F.struct("doc_id", "size").alias("at"), F.greatest(copies, F.lit(0)).alias("copy"), (F.col("start") + F.col("own") + F.greatest(copies, F.lit(0)) * F.col("size")).alias("before"))).alias("first"))
+    first = found.groupBy("pattern", "cut").agg(F.min(F.struct("h", F.struct("doc_id", "size").alias("at"), F.greatest(copies, F.lit(0)).alias("copy"), (F.col("start") + F.col("own") + F.greatest(copies, F.lit(0)) * F.col("size")).alias("before"))).alias("first"))
+    return first, holding
 
 
 def mix(docs: DataFrame, *, sources: str = "sources", weights: tuple[int, ...] = WEIGHTS, most_times: int = MOST_TIMES, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
@@ -168,49 +169,43 @@ def mix(docs: DataFrame, *, sources: str = "sources", weights: tuple[int, ...] =
     rows = docs.select("doc_id", F.array_sort(F.array_distinct(F.coalesce(F.col(sources), F.array().cast("array<string>")))).alias("sources"), word_count(F.col("text")).alias("size"))
     rows = written(rows.groupBy("doc_id", "sources", "size").agg(F.count(F.lit(1)).alias("n")))
     words = F.sum(F.col("size") * F.col("n"))
-    sums = written(rows.groupBy("sources").agg(words.alias("capacity")))
-    total = int(sums.agg(F.sum("capacity")).first()[0] or 0)
+    sums = written(rows.groupBy("sources").agg(words.alias("capacity"), F.count(F.lit(1)).alias("rows")))
+    whole = sums.agg(F.sum("capacity").alias("words"), F.sum("rows").alias("rows"), F.sum(F.size("sources")).alias("cuts")).first()
+    small = F.broadcast if (whole["cuts"] or 0) <= BROADCAST_ROWS else lambda table: table
     named = sums.select(F.explode("sources").alias("source"), "capacity").groupBy("source").agg(F.sum("capacity").alias("source_size"))
     named = ranked(named, F.asc_nulls_last("source"), name="no").withColumn("no", F.col("no").cast("long"))
     cycle = F.array(*map(F.lit, weights))
-    sized = written(targets(written(named.withColumn("weight", F.element_at(cycle, F.pmod(F.col("no") - 1, F.lit(len(weights))).cast("int") + 1))), total, most_times=most_times))
+    listed = written(named.withColumn("weight", F.element_at(cycle, F.pmod(F.col("no") - 1, F.lit(len(weights))).cast("int") + 1)))
+    sized = written(targets(listed, int(whole["words"] or 0), most_times=most_times))
     coded = sums.select("sources", "capacity", F.monotonically_increasing_id().alias("pattern"), F.explode("sources").alias("source"))
-    coded = coded.join(few(sized.select(F.col("source").alias("named"), "no")), F.col("source").eqNullSafe(F.col("named")))
+    coded = coded.join(small(sized.select(F.col("source").alias("named"), "no")), F.col("source").eqNullSafe(F.col("named")))
     patterns = written(coded.groupBy("pattern", "sources", "capacity").agg(F.array_sort(F.collect_list("no")).alias("nos")))
     sent = written(flows(patterns, sized, most_times=most_times))
 
     # every flow ends at a cut: so many whole lines and a position in the next
-    line = Window.partitionBy("pattern").orderBy("no")
+    line = Window.partitionBy("pattern").orderBy("no")  # one row a source of the pattern
     cuts = sent.join(patterns.select("pattern", "capacity"), "pattern").withColumn("end", F.sum("tokens").over(line))
-    cuts = cuts.withColumn("last", F.lead("no").over(line).isNull()).selectExpr("pattern", "no", "last", "no AS cut", "tokens", "end div capacity AS lines", "end % capacity AS pos")
-    items = rows.join(few(patterns.select(F.col("sources").alias("of"), "pattern")), F.expr("sources <=> of")).drop("of").withColumn("h", h)
-    items = written(items)
-    ranges = 1 << max(0, (rows.count() // RANGE_ROWS).bit_length())
-    at = cut_points(items, cuts.where("pos > 0"), ranges)
-    cuts = written(cuts.join(at, ["pattern", "cut"], "left"))
-
-    # the item behind the last cut that fits the rest best, if it comes nearer than none
-    key = F.struct("h", F.struct("doc_id", "size").alias("at"))
-    ends = cuts.where("last AND first IS NOT NULL AND first.before < pos").select("pattern", (F.col("pos") - F.col("first.before")).alias("rest"), F.struct("first.h", "first.at").alias("behind"), "first.copy")
-    able = items.where("size > 0").join(few(written(ends)), "pattern").where((key > F.col("behind")) | ((key == F.col("behind")) & (F.col("copy") < F.col("n"))))
-    gap = F.abs(F.col("rest") - F.col("size"))
-    best = able.where(gap < F.col("rest")).groupBy("pattern").agg(F.min(F.struct(gap.alias("gap"), "h", F.struct("doc_id", "size").alias("at"), F.when(key == F.col("behind"), F.col("copy")).otherwise(0).alias("copy"))).alias("extra"))
-
-    plan = cuts.groupBy("pattern").agg(F.array_sort(F.collect_list(F.struct("no", "lines", F.struct("first.h", "first.at", "first.copy").alias("item"), F.col("first").isNotNull().alias("inside")))).alias("cuts"))
-    plan = written(plan.join(best.select("pattern", F.struct("extra.h", "extra.at", "extra.copy").alias("extra")), "pattern", "left"))
-
-    runs = items.join(few(plan), "pattern", "left").withColumn("run", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {RUN}"))))
+    cuts = cuts.selectExpr("pattern", "no", "no AS cut", "end div capacity AS lines", "end % capacity AS pos")
+    items = rows.join(small(patterns.select(F.col("sources").alias("of"), "pattern")), F.expr("sources <=> of")).drop("of").withColumn("h", h)
+    ranges = 1 << ((whole["rows"] or 0) // RANGE_ROWS).bit_length()
+    at, holding = cut_points(items, cuts.where("pos > 0"), ranges, small)
+    cuts = cuts.join(at, ["pattern", "cut"], "left")
+    part = F.col("pos") - F.col("first.before")
+    plan = cuts.groupBy("pattern").agg(F.array_sort(F.collect_list(F.struct("no", "lines", F.struct("first.h", "first.at", "first.copy").alias("item"), part.alias("part")))).alias("cuts"))
+    plan = written(plan)
+    discard(sums, listed, sent, holding)
+
+    runs = items.join(small(plan), "pattern", "left").withColumn("run", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {RUN}"))))
     if rows.where(F.col("n") > RUN).limit(1).count():
         runs = runs.repartition("pattern", "doc_id", "size", "run")
     each = runs.withColumn("copy", F.explode(F.sequence(F.col("run") * RUN, F.least(F.col("n"), (F.col("run") + 1) * RUN) - 1)))
     me = F.struct(F.col("h"), F.struct("doc_id", "size").alias("at"), F.col("copy").cast("long").alias("copy"))
-    # repetitions of this item that end before each cut; those of a source are the difference of neighbours
-    before = F.transform("cuts", lambda c: c["lines"] + F.when(c["inside"] & (me < c["item"]), 1).otherwise(0))
-    reps = F.transform("before", lambda b, k: b - F.when(k > 0, F.col("before")[k - 1]).otherwise(0) + F.when((k == F.size("before") - 1) & F.coalesce(me == F.col("extra"), F.lit(False)), 1).otherwise(0))
-    routed = each.withColumn("before", before).withColumn("reps", reps)
-    routes = F.filter(F.transform("cuts", lambda c, k: F.struct(c["no"].alias("no"), (F.col("reps")[k] * F.col("size")).alias("words"))), lambda r: r["words"] > 0)
-    taken = F.coalesce(F.aggregate("reps", F.lit(0).cast("long"), lambda a, r: a + r), F.lit(0)) * F.col("size")
-    out = routed.select("doc_id", "size", "sources", F.coalesce(routes, F.array().cast("array<struct<no:bigint,words:bigint>>")).alias("routes"), taken.cast("long").alias("taken"))
+    # words of this item before each cut; those of a source are the difference of neighbours
+    begun = lambda c: F.when(c["part"].isNull() | (me > c["item"]), 0).when(me == c["item"], c["part"]).otherwise(F.col("size"))
+    routed = each.withColumn("before", F.transform("cuts", lambda c: c["lines"] * F.col("size") + begun(c)))
+    words = F.transform("cuts", lambda c, k: F.struct(c["no"].alias("no"), (F.col("before")[k] - F.when(k > 0, F.col("before")[k - 1]).otherwise(0)).alias("words")))
+    routes = F.coalesce(F.filter(words, lambda r: r["words"] > 0), F.array().cast("array<struct<no:bigint,words:bigint>>"))
+    out = routed.select("doc_id", "size", "sources", routes.alias("routes"), F.coalesce(F.element_at("before", -1), F.lit(0)).cast("long").alias("taken"))
     lost = rows.where(F.size("sources") == 0).select("doc_id", "size", "sources", F.array().cast("array<struct<no:bigint,words:bigint>>").alias("routes"), F.lit(0).cast("long").alias("taken"), F.explode(F.sequence(F.lit(1), F.col("n")))).drop("col")
     return out.unionByName(lost), sized
 
@@ -219,7 +214,8 @@ def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir).select("doc_id", "text", F.array("source").alias("sources"))
     mixed, sized = mix(docs)
     sized = sized.select(F.col("source").alias("named"), "source_size", "target")
-    joined = mixed.withColumn("source", F.col("sources")[0]).join(few(sized), F.col("source").eqNullSafe(F.col("named")))
+    sized = F.broadcast(sized) if sized.count() <= BROADCAST_ROWS else sized
+    joined = mixed.withColumn("source", F.col("sources")[0]).join(sized, F.col("source").eqNullSafe(F.col("named")))
     return joined.select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -243,14 +239,8 @@ WITH RECURSIVE d AS (
   FROM s, (SELECT rest, weight FROM shared ORDER BY k DESC LIMIT 1)
 ), line AS (
   SELECT d.*, source_size, target, CASE WHEN source_size = 0 THEN 0 ELSE floor(target + 0.5)::BIGINT // source_size END AS lines,
-         CASE WHEN source_size = 0 THEN 0 ELSE floor(target + 0.5)::BIGINT % source_size END AS pos, row_number() OVER o AS k, sum(size) OVER (o ROWS UNBOUNDED PRECEDING) AS ends
+         CASE WHEN source_size = 0 THEN 0 ELSE floor(target + 0.5)::BIGINT % source_size END AS pos, sum(size) OVER (o ROWS UNBOUNDED PRECEDING) AS ends
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source WINDOW o AS (PARTITION BY d.source ORDER BY h, doc_id NULLS FIRST, size)
-), gaps AS (
-  SELECT *, pos - coalesce(max(ends) FILTER (WHERE ends <= pos) OVER (PARTITION BY source), 0) AS rest FROM line
-), fits AS (
-  SELECT *, ends > pos AND size > 0 AND abs(rest - size) < rest AS fit FROM gaps
-), picked AS (
-  SELECT *, fit AND row_number() OVER (PARTITION BY source ORDER BY fit DESC, abs(rest - size), h, doc_id NULLS FIRST, size, k) = 1 AS extra FROM fits
 )
-SELECT doc_id, size, source_size, target, (size * (lines + (ends <= pos)::INT + extra::INT))::BIGINT AS taken FROM picked
+SELECT doc_id, size, source_size, target, (size * lines + greatest(0, least(size, pos - (ends - size))))::BIGINT AS taken FROM line
 """
