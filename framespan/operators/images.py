@@ -42,7 +42,7 @@ def _distance(circle: dict, grid: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     return np.sqrt((x - circle["cx"]) ** 2 + (y - circle["cy"]) ** 2)
 
 
-def _by_row(frames: DataFrame, needs: list[str], work: Callable[..., dict], schema: str) -> DataFrame:
+def by_row(frames: DataFrame, needs: list[str], work: Callable[..., dict], schema: str) -> DataFrame:
     """Adds the results of work(*values of the needed columns) to the other columns."""
     keep = [c for c in frames.columns if c not in needs]
     kept = ", ".join(f"`{c}` {frames.schema[c].dataType.simpleString()}" for c in keep)
@@ -60,7 +60,7 @@ def _by_row(frames: DataFrame, needs: list[str], work: Callable[..., dict], sche
     return frames.select(*keep, *needs).mapInArrow(batches, f"{kept}, {schema}" if keep else schema)
 
 
-_ARROW = {"double": pa.float64(), "array<int>": pa.list_(pa.int32()), "int": pa.int32(), "string": pa.string()}
+_ARROW = {"double": pa.float64(), "array<int>": pa.list_(pa.int32()), "array<double>": pa.list_(pa.float64()), "int": pa.int32(), "string": pa.string()}
 
 
 def masked_similarity(pairs: DataFrame, height: int, width: int, *, scale: float = 1.22, least: int = 32) -> DataFrame:
@@ -78,7 +78,7 @@ def masked_similarity(pairs: DataFrame, height: int, width: int, *, scale: float
         norms = np.linalg.norm(a) * np.linalg.norm(b)
         return {"similarity": float(a @ b / norms) if norms > 1e-8 else 0.0}
 
-    return _by_row(pairs, ["a", "b", "circle"], work, "similarity double")
+    return by_row(pairs, ["a", "b", "circle"], work, "similarity double")
 
 
 def ring_support(frames: DataFrame, height: int, width: int, thickness: float) -> DataFrame:
@@ -91,7 +91,7 @@ def ring_support(frames: DataFrame, height: int, width: int, thickness: float) -
         ring = np.abs(_distance(circle, grid) - circle["r"]) <= max(3.0, circle["r"] * thickness)
         return {"support": float((cells[ring] > 0).mean()) if ring.any() else 0.0}
 
-    return _by_row(frames, ["map", "circle"], work, "support double")
+    return by_row(frames, ["map", "circle"], work, "support double")
 
 
 def normalize(frames: DataFrame) -> DataFrame:
@@ -110,7 +110,7 @@ def normalize(frames: DataFrame) -> DataFrame:
             return {"gray": np.zeros(len(x), np.int32)}
         return {"gray": np.rint(np.clip((x - low) / (high - low), 0, 1) * 255).astype(np.int32)}
 
-    return _by_row(frames, ["dn"], work, "gray array<int>")
+    return by_row(frames, ["dn"], work, "gray array<int>")
 
 
 def ring_features(frames: DataFrame, height: int, width: int) -> DataFrame:
@@ -158,7 +158,7 @@ def ring_features(frames: DataFrame, height: int, width: int) -> DataFrame:
         border = min(1.0, max(0.0, min(cx, width - cx, cy, height - cy) / max(r, 1.0)))
         return dict(zip(names, map(float, (on.mean(), off.mean(), on.reshape(36, 10).any(1).mean(), max(0.0, on.mean() - off.mean()), contrast, border)), strict=True))
 
-    return _by_row(frames, ["gray", "edges", "circle"], work, ", ".join(f"{n} double" for n in names))
+    return by_row(frames, ["gray", "edges", "circle"], work, ", ".join(f"{n} double" for n in names))
 
 
 def affine_warp(frames: DataFrame, height: int, width: int, out_height: int, out_width: int) -> DataFrame:
@@ -180,4 +180,4 @@ def affine_warp(frames: DataFrame, height: int, width: int, out_height: int, out
                 value += weight * grid[np.clip(py + 1, 0, height + 1).astype(int), np.clip(px + 1, 0, width + 1).astype(int)]
         return {"warped": np.rint(value).astype(np.int32)}
 
-    return _by_row(frames, ["image", "matrix"], work, "warped array<int>")
+    return by_row(frames, ["image", "matrix"], work, "warped array<int>")
