@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framespan import constants as C
@@ -12,6 +13,9 @@ from framespan.functions.paths import base_name, repository_path
 from framespan.functions.radiometry import general_12, xmp_number
 from framespan.functions.timeparse import format_video_time, parse_frame_time
 from framespan.operators.timealign import in_segments, numbered, to_video
+from framespan.sources.files import checksum_lines, list_files
+from framespan.sources.ranged import digests
+from framespan.sources.sinks import write_checksums
 
 
 def issues(*checks: tuple[Column, str]) -> Column:
@@ -108,8 +112,41 @@ def manifest_path_issues(rows: DataFrame, *, folder: str = "processed/aligned")
 
 def checksums(files: DataFrame) -> DataFrame:
     """digest and path of files (path, content), without the list itself, caches and system files."""
-    kept = files.where(~F.col("path").rlike(r"(^|/)(checksums\.sha256|\.DS_Store)$|(^|/)\.cache/"))
-    return kept.select(F.sha2(F.col("content").cast("binary"), 256).alias("digest"), "path")
+    return listed_files(files).select(F.sha2(F.col("content").cast("binary"), 256).alias("digest"), "path")
+
+
+def below(path: Column, root: str) -> Column:
+    """A path or URI relative to a folder that may be written with or without its scheme."""
+    bare = re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", root).rstrip("/")
+    return F.regexp_replace(F.regexp_replace(path, r"^[A-Za-z][\w+.-]*:(//[^/]*)?", ""), rf"^\Q{bare}\E/+", "")
+
+
+def listed_files(files: DataFrame) -> DataFrame:
+    """Files (path) that a list of digests names: without the list itself, caches and system files."""
+    return files.where(~F.col("path").rlike(r"(^|/)(checksums\.sha256|\.DS_Store)$|(^|/)\.cache/"))
+
+
+def hashed_files(spark: SparkSession, root: str, chosen: DataFrame | None = None) -> DataFrame:
+    """digest and path (below root) of the files of a folder, or of the chosen paths alone; read in tasks block by block."""
+    paths = listed_files(list_files(spark, root)) if chosen is None else chosen.select(F.concat(F.lit(f"{root.rstrip('/')}/"), "path").alias("path"))
+    return digests(paths).select("digest", below(F.col("path"), root).alias("path"), "error")
+
+
+def refresh_checksum_list(spark: SparkSession, root: str, old: str, chosen: DataFrame, new: str) -> None:
+    """Writes to `new` the sorted list in `old` with the digests of the chosen paths (path) made anew; others are not read.
+
+    A chosen file that cannot be read keeps its old entry, and has none if it is new."""
+    fresh = hashed_files(spark, root, chosen).where("error IS NULL").select("digest", "path")
+    write_checksums(upserted_checksums(checksum_lines(spark.read.text(old)), fresh), new)
+
+
+def verified_files(spark: SparkSession, root: str, expected: DataFrame) -> DataFrame:
+    """path and state of listed files (digest, path) that are missing, cannot be read, or whose digest differs."""
+    there = list_files(spark, root).select(below(F.col("path"), root).alias("path"), F.lit(True).alias("there"))
+    found = expected.join(there, "path", "left")
+    actual = hashed_files(spark, root, found.where("there").select("path")).withColumnRenamed("digest", "actual")
+    state = F.when(F.col("there").isNull(), "missing").when(F.col("error").isNotNull(), "unreadable").when(~F.col("actual").eqNullSafe(F.col("digest")), "changed")
+    return found.join(actual, "path", "left").withColumn("state", state).where("state IS NOT NULL").select("path", "state")
 
 
 def verified_checksums(expected: DataFrame, files: DataFrame) -> DataFrame:

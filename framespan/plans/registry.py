@@ -12,7 +12,7 @@ from framespan.plans.fixtures import Views, with_views
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
 _sql: dict[str, str] = {}
-MODULES = ("scalars", "statistics", "alignment", "matching", "releases", "pixels")
+MODULES = ("scalars", "statistics", "alignment", "matching", "releases", "pixels", "files")
 
 
 def query(name: str, sql: str | None = None):

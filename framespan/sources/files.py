@@ -5,13 +5,13 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framespan.functions.paths import base_name
 from framespan.functions.timeparse import parse_frame_time
+from framespan.sources.codecs import read_tiff
 
 #: pixels that are decoded before they leave a task
 PIXELS = 1 << 20
@@ -45,35 +45,8 @@ def sequence_of(path: Column, root: str) -> Column:
 def decode_thermal(files: DataFrame, *, height: int | None = None, width: int | None = None) -> DataFrame:
     """path, height, width, dn and error of 16-bit TIFF contents (path, content).
 
-    Reads uncompressed baseline TIFF in strips, both byte orders, the first channel; others give an error text.  A file
-    is one value of a row, so files are dealt to tasks by Spark's reader."""
-
-    def read(data: bytes) -> tuple[int, int, np.ndarray]:
-        order = {b"II": "<", b"MM": ">"}.get(bytes(data[:2]))
-        if order is None or struct.unpack_from(order + "H", data, 2)[0] != 42:
-            raise ValueError("not a TIFF")
-        at = struct.unpack_from(order + "I", data, 4)[0]
-        tags = {}
-        for k in range(struct.unpack_from(order + "H", data, at)[0]):
-            tag, kind, n = struct.unpack_from(order + "HHI", data, at + 2 + 12 * k)
-            code = {1: "B", 3: "H", 4: "I"}.get(kind)
-            if code:
-                size = struct.calcsize(order + code) * n
-                place = at + 10 + 12 * k if size <= 4 else struct.unpack_from(order + "I", data, at + 10 + 12 * k)[0]
-                tags[tag] = struct.unpack_from(f"{order}{n}{code}", data, place)
-        following = struct.unpack_from(order + "I", data, at + 2 + 12 * struct.unpack_from(order + "H", data, at)[0])[0]
-        if following:
-            raise ValueError("more than one page")
-        w, h = tags[256][0], tags[257][0]
-        if set(tags.get(258, (1,))) != {16}:
-            raise ValueError("not 16 bits a sample")
-        if tags.get(259, (1,))[0] != 1:
-            raise ValueError("compressed")
-        if (height and h != height) or (width and w != width):
-            raise ValueError(f"shape {h}x{w}")
-        strips = b"".join(data[o : o + n] for o, n in zip(tags[273], tags[279], strict=True))
-        samples = tags.get(277, (1,))[0]
-        return h, w, np.frombuffer(strips, order + "u2", h * w * samples)[::samples].astype(np.int32)
+    Layouts and compressions as in codecs.read_tiff, the first channel; other and damaged files give an error text.  A
+    file is one value of a row, so files are dealt to tasks by Spark's reader."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -86,10 +59,10 @@ def decode_thermal(files: DataFrame, *, height: int | None = None, width: int |
 
             for k in range(batch.num_rows):
                 try:
-                    h, w, dn = read(batch.column(1)[k].as_py())
+                    h, w, dn = read_tiff(batch.column(1)[k].as_py() or b"", height, width)
                     rows.append((h, w, dn, None))
                     pixels += len(dn)
-                except (ValueError, KeyError, struct.error, TypeError) as error:
+                except (ValueError, KeyError, IndexError, OSError, struct.error, TypeError) as error:
                     rows.append((None, None, None, str(error) or type(error).__name__))
                 if pixels >= PIXELS:  # a few images at a time in memory
                     yield made(k + 1)
