@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from framespan import constants as C
 from framespan.operators.releases import page_issues
 from framespan.sources.codecs import read_index_png, read_tiff, write_palette_png
-from framespan.sources.files import list_files
-from framespan.sources.ranged import facts, page_tags
+from framespan.sources.ranged import facts, page_tags, walk_files
 from framespan.sources.shared import fresh_folder
 from framespan.sources.sinks import put_file
 
@@ -55,9 +54,10 @@ def preflight(spark: SparkSession, root: str, *, threshold: int = C.HOT_DN, cont
             raise ValueError("not indices of black and white")
         return {"held": _signed(cells)}
 
-    images = list_files(spark, root, THERMAL)
+    tree = walk_files(spark, root)
+    images = tree.where(F.col("path").endswith(f"/{THERMAL}"))
     found = facts(images, judged, "positive long, total long, signature string").withColumn("folder", folder_of("path"))
-    masks = facts(list_files(spark, root, MASK), held, "held string").select(folder_of("path").alias("folder"), "held", F.col("error").alias("mask_error"), F.lit(True).alias("there"))
+    masks = facts(tree.where(F.col("path").endswith(f"/{MASK}")), held, "held string").select(folder_of("path").alias("folder"), "held", F.col("error").alias("mask_error"), F.lit(True).alias("there"))
     if contract:
         bad = page_issues(page_tags(images)).where(F.size("issues") > 0).select("path", F.concat(F.lit("page: "), F.array_join("issues", ", ")).alias("bad"))
         found = found.join(bad, "path", "left").withColumn("error", F.coalesce("error", "bad")).drop("bad")

@@ -13,8 +13,8 @@ from framespan.functions.paths import base_name, repository_path
 from framespan.functions.radiometry import general_12, xmp_number
 from framespan.functions.timeparse import format_video_time, parse_frame_time
 from framespan.operators.timealign import in_segments, numbered, to_video
-from framespan.sources.files import checksum_lines, list_files
-from framespan.sources.ranged import digests
+from framespan.sources.files import checksum_lines
+from framespan.sources.ranged import digests, walk_files
 from framespan.sources.sinks import write_checksums
 
 
@@ -128,7 +128,7 @@ def listed_files(files: DataFrame) -> DataFrame:
 
 def hashed_files(spark: SparkSession, root: str, chosen: DataFrame | None = None) -> DataFrame:
     """digest and path (below root) of the files of a folder, or of the chosen paths alone; read in tasks block by block."""
-    paths = listed_files(list_files(spark, root)) if chosen is None else chosen.select(F.concat(F.lit(f"{root.rstrip('/')}/"), "path").alias("path"))
+    paths = listed_files(walk_files(spark, root)) if chosen is None else chosen.select(F.concat(F.lit(f"{root.rstrip('/')}/"), "path").alias("path"))
     return digests(paths).select("digest", below(F.col("path"), root).alias("path"), "error")
 
 
@@ -142,7 +142,7 @@ def refresh_checksum_list(spark: SparkSession, root: str, old: str, chosen: Data
 
 def verified_files(spark: SparkSession, root: str, expected: DataFrame) -> DataFrame:
     """path and state of listed files (digest, path) that are missing, cannot be read, or whose digest differs."""
-    there = list_files(spark, root).select(below(F.col("path"), root).alias("path"), F.lit(True).alias("there"))
+    there = walk_files(spark, root).select(below(F.col("path"), root).alias("path"), F.lit(True).alias("there"))
     found = expected.join(there, "path", "left")
     actual = hashed_files(spark, root, found.where("there").select("path")).withColumnRenamed("digest", "actual")
     state = F.when(F.col("there").isNull(), "missing").when(F.col("error").isNotNull(), "unreadable").when(~F.col("actual").eqNullSafe(F.col("digest")), "changed")

@@ -10,10 +10,13 @@ import hashlib
 import re
 import struct
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from framespan.sources.shared import fresh_folder
 
 #: bytes read at a time
 BLOCK = 8 << 20
@@ -66,6 +69,31 @@ def facts(files: DataFrame, work: Callable[[pa.NativeFile, str], dict], schema:
     return files.select("path").distinct().repartition(parts, "path").mapInArrow(batches, f"path string, {schema}, error string")
 
 
+def walk_files(spark: SparkSession, root: str) -> DataFrame:
+    """path and length of all files below a folder, hidden and empty ones too, which Spark's own listing leaves out.
+
+    Folders are listed in tasks, one level of the tree after the other; a level's names are a table in the shared folder."""
+
+    def listed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for path in batch.column(0).to_pylist():
+                system, inside = located(path)
+                head = path[: len(path) - len(inside)] if path.endswith(inside) else path.split(":")[0] + "://"
+                found = system.get_file_info(fs.FileSelector(inside))
+                columns = [[head + f.path for f in found], [f.size for f in found], [f.type == fs.FileType.Directory for f in found]]
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, (pa.string(), pa.int64(), pa.bool_()), strict=True)], names=["path", "length", "inner"])
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    level, levels = spark.createDataFrame([(root.rstrip("/"),)], "path string"), []
+    while True:
+        folder = fresh_folder(spark, "listing")
+        level.repartition(parts, "path").mapInArrow(listed, "path string, length long, inner boolean").write.parquet(folder)
+        levels.append(spark.read.parquet(folder))
+        level = levels[-1].where("inner").select("path")
+        if not level.limit(1).count():
+            return reduce(DataFrame.unionByName, levels).where("NOT inner").select("path", "length")
+
+
 def digests(files: DataFrame, *, block: int = BLOCK) -> DataFrame:
     """path, length, digest (SHA-256, hex) and error of files (path), a block in memory at a time."""
 
