@@ -72,10 +72,12 @@ def crop_metrics(rows: DataFrame, out_w: int = C.WIDTH, out_h: int = C.HEIGHT) -
 def best_circles(crops: DataFrame, circles: DataFrame, n: int | None = None) -> DataFrame:
     """The best thermal circle of each crop by geometry, first on ties, and of those the first n crops a frame.
 
-    crops: frame_id, seq_no, x, y, w, h, video; circles: frame_id, cand_no, thermal.  One equality join on the frame."""
+    crops: frame_id, seq_no, x, y, w, h, video; circles: frame_id, cand_no, thermal.  One equality join on the frame.  Scores
+    are compared at twelve places, so that what differs in the last bits only is a tie."""
     scored = crop_metrics(crops.join(circles, "frame_id"))
-    one = F.row_number().over(Window.partitionBy("frame_id", "seq_no").orderBy(F.desc("m.geometry_score"), "cand_no"))
+    level = F.round("m.geometry_score", 12)
+    one = F.row_number().over(Window.partitionBy("frame_id", "seq_no").orderBy(level.desc(), "cand_no"))
     best = scored.withColumn("_n", one).where("_n = 1").drop("_n")
-    rank = F.row_number().over(Window.partitionBy("frame_id").orderBy(F.desc("m.geometry_score"), "seq_no"))
+    rank = F.row_number().over(Window.partitionBy("frame_id").orderBy(level.desc(), "seq_no"))
     best = best.withColumn("rank", rank)
     return best.where(F.col("rank") <= n) if n else best

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from framespan import constants as C
 from framespan.functions.radiometry import celsius
+from framespan.sources.shared import fresh_folder
 
 ALL = "all"
 
@@ -25,6 +26,17 @@ def dn_histogram(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy("sequence_id", "dn").agg(F.count(F.lit(1)).alias("pixel_count"))
 
 
+def pixel_counts(pixels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The histogram (sequence_id, dn, pixel_count) and the frames of each sequence (sequence_id, tiff_count), from one
+    read of the pixels (sequence_id, frame_no, dn): one grouping by level and one by frame, whose sums become a table."""
+    sets = pixels.groupingSets([["sequence_id", "dn"], ["sequence_id", "frame_no"]], "sequence_id", "dn", "frame_no")
+    folder = fresh_folder(pixels.sparkSession, "counts")
+    sets.agg(F.count(F.lit(1)).alias("pixel_count"), F.grouping("dn").alias("of_frame")).write.partitionBy("of_frame").parquet(folder)
+    counts = pixels.sparkSession.read.parquet(folder)
+    frames = counts.where("of_frame = 1").groupBy("sequence_id").agg(F.count("frame_no").alias("tiff_count"))
+    return counts.where("of_frame = 0").select("sequence_id", "dn", "pixel_count"), frames
+
+
 def array_histogram(frames: DataFrame) -> DataFrame:
     """From frames (sequence_id not null, dn array): each task counts its frames, tasks' counts are summed.
 

@@ -12,10 +12,10 @@ from framespan import constants as C
 from framespan.functions.paths import base_name, repository_path
 from framespan.functions.radiometry import general_12, xmp_number
 from framespan.functions.timeparse import format_video_time, parse_frame_time
-from framespan.operators.timealign import in_segments, numbered, to_video
+from framespan.operators.timealign import in_segments, numbered, with_video
 from framespan.sources.files import checksum_lines
 from framespan.sources.ranged import digests, walk_files
-from framespan.sources.sinks import write_checksums
+from framespan.sources.sinks import write_checksums, write_ordered
 
 
 def issues(*checks: tuple[Column, str]) -> Column:
@@ -57,11 +57,56 @@ def boundary_report(rows: DataFrame, bounds: DataFrame) -> DataFrame:
     return bounds.join(kept, "sequence_id", "left").withColumn("ok", F.coalesce((F.col("first") == F.col("first_stem")) & (F.col("last") == F.col("last_stem")) & (F.col("n") == F.col("expected")), F.lit(False)))
 
 
-def manifest(frames: DataFrame, models: DataFrame, segments: DataFrame, *, folder: str = "processed/aligned") -> DataFrame:
-    """Manifest rows of all frames: id, times, video frame, segment and paths."""
-    rows = in_segments(to_video(numbered(frames), models), segments)
+def refreshed_manifest(rows: DataFrame, other: DataFrame, folders: DataFrame, bounds: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """An existing release cut to its boundaries: the kept rows, the kept rows of the other form in the same order, the
+    folders that no kept row names, and the faults, with which nothing may be written.
+
+    rows and other (of the CSV and of the JSON lines): sequence_id, aligned_id, stem; rows also place, their order in a
+    sequence.  folders: sequence_id, aligned_id; bounds: sequence_id, first_stem, last_stem, expected.  Faults are ids that
+    one form alone has, ids without a folder, and sequences with another first or last row or another count."""
+    keys = ["sequence_id", "aligned_id"]
+    kept, also = (within_boundary(t, bounds.select("sequence_id", "first_stem", "last_stem")).drop("first_stem", "last_stem") for t in (rows, other))
+    ordered = also.join(kept.select(*keys, "place"), keys)
+    apart = missing_and_stale(kept, also, keys).withColumn("state", F.when(F.col("state") == "missing", "not in the lines").otherwise("not in the table"))
+    against = missing_and_stale(kept, folders, keys)
+    wrong = boundary_report(rows, bounds).where("NOT ok").select("sequence_id", F.lit(None).cast("string").alias("aligned_id"), F.lit("boundary").alias("state"))
+    faults = apart.union(against.where("state = 'missing'").withColumn("state", F.lit("no folder"))).union(wrong)
+    return kept, ordered, against.where("state = 'stale'").drop("state"), faults
+
+
+def write_refreshed(kept: DataFrame, ordered: DataFrame, folder: str) -> None:
+    """The manifest's CSV rows and JSON lines, both sorted by sequence and place over all files, so that line k of one is line
+    k of the other; the place itself is not written."""
+    order = ["sequence_id", "place"]
+    for table, name, form in ((kept, "csv", F.to_csv), (ordered, "jsonl", F.to_json)):
+        options = {"ignoreNullFields": "false"} if name == "jsonl" else {"emptyValue": ""}
+        write_ordered(table, form(F.struct(*[c for c in table.columns if c != "place"]), options), order, f"{folder}/{name}")
+
+
+def manifest(frames: DataFrame, models: DataFrame, segments: DataFrame, *, scores: DataFrame | None = None, masks: DataFrame | None = None, folder: str = "processed/aligned") -> DataFrame:
+    """Manifest rows of all frames, with the published fields: id, times, video frame, paths, scores, anchor and mask.
+
+    segments: sequence_id, segment, from_s, to_s, seg_offset and, where there are anchors, requested_s, selected_s and
+    center_tiff; scores: frame_id, visual_score, thermal_edge_density, video_edge_density; masks: frame_id, positive, total.
+    A frame's video time follows the offset of its segment."""
+    rows = in_segments(numbered(frames), segments).join(models.withColumnRenamed("offset_s", "own_offset"), "sequence_id")
+    rows = with_video(rows.withColumn("offset_s", F.coalesce("seg_offset", "own_offset")))
+    for table in (scores, masks):
+        rows = rows if table is None else rows.join(table, "frame_id", "left")
+    here = lambda c, kind: F.col(c) if c in rows.columns else F.lit(None).cast(kind)
     path = lambda name: F.concat_ws("/", F.lit(folder), "aligned_id", F.lit(name))
-    return rows.select("sequence_id", "frame_id", "aligned_id", F.lit("exported").alias("status"), "tiff_name", parse_frame_time(F.col("tiff_name")).cast("string").alias("tiff_time_iso"), "video_s", format_video_time(F.col("video_s")).alias("video_time"), "video_frame", "segment", F.concat(F.lit("raw/thermal/"), "tiff_name").alias("thermal_source_path"), *[path(name).alias(field) for field, name in C.MANIFEST_PATHS.items()])
+    asked, chosen = here("requested_s", "double"), here("selected_s", "double")
+    positive, total = here("positive", "long"), here("total", "long")
+    fields = {
+        "status": F.lit("exported"), "tiff_name": F.col("tiff_name"), "tiff_time_iso": parse_frame_time(F.col("tiff_name")).cast("string"),
+        "video_time_s": F.col("video_s"), "video_time": format_video_time(F.col("video_s")), "video_frame_index": F.col("video_frame"),
+        "thermal_source_path": F.concat(F.lit("raw/thermal/"), "tiff_name"), **{field: path(name) for field, name in C.MANIFEST_PATHS.items()},
+        **{c: here(c, "double") for c in ("visual_score", "thermal_edge_density", "video_edge_density")}, "anchor_segment": F.col("segment"),
+        "anchor_requested_video_time_s": asked, "anchor_requested_video_time": F.when(asked.isNotNull(), format_video_time(asked)),
+        "anchor_selected_video_time_s": chosen, "anchor_selected_video_time": F.when(chosen.isNotNull(), format_video_time(chosen)),
+        "anchor_center_tiff": here("center_tiff", "string"), "mask_positive_pixels": positive, "mask_positive_fraction": positive / total,
+    }
+    return rows.select("sequence_id", "frame_id", "aligned_id", *[c.alias(n) for n, c in fields.items()])
 
 
 def normalized_manifest(rows: DataFrame, masks: DataFrame) -> DataFrame:
@@ -219,10 +264,16 @@ def prior_review(frames: DataFrame, prior: DataFrame) -> DataFrame:
     return rows.select("tiff_name", *keep, "selected_rank", *[F.when(whole, c[n]).otherwise(ranked[n]).alias(n) for n in ("cx", "cy", "r")])
 
 
-def catalog(frames: DataFrame, expected: DataFrame) -> DataFrame:
-    """Per sequence the number of raw frames, the expected number of aligned ones, and the first time."""
-    own = frames.groupBy("sequence_id").agg(F.count(F.lit(1)).alias("raw_tiff_count"), F.min("tiff_s").alias("tiff_start"))
-    return own.join(expected.withColumnRenamed("expected", "aligned_count"), "sequence_id").select(F.col("sequence_id").alias("dataset_id"), "raw_tiff_count", "aligned_count", "tiff_start")
+def catalog(configs: DataFrame, stats: DataFrame) -> DataFrame:
+    """One row a sequence: what its configuration says, with the selected times of its anchors, and its statistics.
+
+    configs: dataset_id, source_sequence_id, strategy, counts (raw_tiff, aligned), time_mapping (tiff_start, tiff_end,
+    anchors); stats: rows of mask_stats, of which that of all sequences is left out."""
+    own = configs.select(
+        "dataset_id", "source_sequence_id", "strategy", F.col("counts.raw_tiff").alias("raw_tiff_count"), F.col("counts.aligned").alias("aligned_count"),
+        "time_mapping.tiff_start", "time_mapping.tiff_end", F.array_join(F.col("time_mapping.anchors")["selected"], " / ").alias("anchors"),
+    )
+    return own.join(stats, "dataset_id").select(*own.columns, *[c for c in stats.columns if c != "dataset_id"])
 
 
 def last_id_checks(rows: DataFrame, bounds: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -38,8 +38,13 @@ def frames_between(frames: DataFrame, bounds: DataFrame) -> DataFrame:
 
 def to_video(frames: DataFrame, models: DataFrame) -> DataFrame:
     """Adds video_s, video_frame and tiff_back_s (the inverse) by the sequence's time model."""
+    return with_video(frames.join(models, "sequence_id"))
+
+
+def with_video(joined: DataFrame) -> DataFrame:
+    """As to_video, for rows that have the values of their model."""
     model = [F.col(c) for c in ("start_s", "end_s", "video_start", "video_end", "offset_s")]
-    joined = frames.join(models, "sequence_id").withColumn("video_s", video_seconds(F.col("tiff_s"), *model))
+    joined = joined.withColumn("video_s", video_seconds(F.col("tiff_s"), *model))
     return joined.withColumns({"video_frame": frame_index(F.col("video_s"), F.col("fps"), F.col("frame_count")), "tiff_back_s": tiff_seconds(F.col("video_s"), *model)})
 
 

@@ -205,7 +205,7 @@ def fit_circles(points: DataFrame) -> DataFrame:
     z = u * u + v * v
     s = points.join(mean, "frame_id").groupBy("frame_id", "n", "mx", "my").agg(F.sum(u * u).alias("uu"), F.sum(u * v).alias("uv"), F.sum(v * v).alias("vv"), F.sum(u * z).alias("uz"), F.sum(v * z).alias("vz"), F.sum(z).alias("z"))
     det = F.col("uu") * F.col("vv") - F.col("uv") * F.col("uv")
-    a, b = (F.col("uz") * F.col("vv") - F.col("vz") * F.col("uv")) / (2 * det), (F.col("vz") * F.col("uu") - F.col("uz") * F.col("uv")) / (2 * det)
+    a, b = F.try_divide(F.col("uz") * F.col("vv") - F.col("vz") * F.col("uv"), 2 * det), F.try_divide(F.col("vz") * F.col("uu") - F.col("uz") * F.col("uv"), 2 * det)
     usable = (F.col("n") >= 6) & (det > 1e-9 * F.col("uu") * F.col("vv"))
     radius = F.sqrt(F.when(usable, a * a + b * b + F.col("z") / F.col("n")))
     return s.select("frame_id", "n", F.when(usable, F.col("mx") + a).alias("cx"), F.when(usable, F.col("my") + b).alias("cy"), radius.alias("r"))

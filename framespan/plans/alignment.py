@@ -200,8 +200,8 @@ def seed_substitution(v):
 
 @query("agg_circle_fit", """WITH p AS (SELECT l_orderkey AS frame_id, CAST(l_partkey AS DOUBLE) AS x, CAST(l_suppkey AS DOUBLE) AS y FROM lineitem), m AS (SELECT frame_id, count(*) AS n, avg(x) AS mx, avg(y) AS my FROM p GROUP BY 1),
 s AS (SELECT frame_id, n, mx, my, sum(u * u) AS uu, sum(u * v) AS uv, sum(v * v) AS vv, sum(u * z) AS uz, sum(v * z) AS vz, sum(z) AS z FROM (SELECT *, u * u + v * v AS z FROM (SELECT m.*, x - mx AS u, y - my AS v FROM p JOIN m USING (frame_id))) GROUP BY ALL),
-f AS (SELECT *, n >= 6 AND uu * vv - uv * uv > 1e-9 * uu * vv AS ok, (uz * vv - vz * uv) / (2 * (uu * vv - uv * uv)) AS a, (vz * uu - uz * uv) / (2 * (uu * vv - uv * uv)) AS b FROM s WHERE n >= 6)
+f AS (SELECT *, n >= 6 AND uu * vv - uv * uv > 1e-9 * uu * vv AS ok, (uz * vv - vz * uv) / (2 * (uu * vv - uv * uv)) AS a, (vz * uu - uz * uv) / (2 * (uu * vv - uv * uv)) AS b FROM s)
 SELECT frame_id, n, round(CASE WHEN ok THEN mx + a END, 3) AS cx, round(CASE WHEN ok THEN my + b END, 3) AS cy, round(CASE WHEN ok THEN sqrt(a * a + b * b + z / n) END, 3) AS r FROM f""")
 def circle_fit(v):
     points = v.lineitem.select(F.col("l_orderkey").alias("frame_id"), F.col("l_partkey").cast("double").alias("x"), F.col("l_suppkey").cast("double").alias("y"))
-    return K.fit_circles(points).where("n >= 6").select("frame_id", "n", *[F.round(n, 3).alias(n) for n in K.VALUES])
+    return K.fit_circles(points).select("frame_id", "n", *[F.round(n, 3).alias(n) for n in K.VALUES])

@@ -83,14 +83,17 @@ def _pool(v, n=None):
     return G.best_circles(crops, c.select("frame_id", "cand_no", F.struct("cx", "cy", "r").alias("thermal")), n)
 
 
-@query("agg_best_circle", f"WITH {_POOL}, {_metrics_sql('z', 'frame_id, seq_no, cand_no')} SELECT frame_id, seq_no, round(max(score), 6) AS score FROM m GROUP BY 1, 2")
+_BEST = f"WITH {_POOL}, {_metrics_sql('z', 'frame_id, seq_no, cand_no')}, b AS (SELECT *, row_number() OVER (PARTITION BY frame_id, seq_no ORDER BY round(score, 12) DESC, cand_no) AS i FROM m)"
+
+
+@query("agg_best_circle", f"{_BEST} SELECT frame_id, seq_no, cand_no, round(score, 6) AS score FROM b WHERE i = 1")
 def best_circle(v):
-    return _pool(v).select("frame_id", "seq_no", F.round("m.geometry_score", 6).alias("score"))
+    return _pool(v).select("frame_id", "seq_no", "cand_no", F.round("m.geometry_score", 6).alias("score"))
 
 
-@query("geo_spatial_pool", f"WITH {_POOL}, {_metrics_sql('z', 'frame_id, seq_no, cand_no')}, b AS (SELECT frame_id, seq_no, max(score) AS score FROM m GROUP BY 1, 2) SELECT frame_id, CAST(n AS INT) AS rank, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY score DESC, seq_no) AS n FROM b) WHERE n <= 3")
+@query("geo_spatial_pool", f"{_BEST} SELECT frame_id, CAST(n AS INT) AS rank, seq_no, cand_no, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY round(score, 12) DESC, seq_no) AS n FROM b WHERE i = 1) WHERE n <= 3")
 def spatial_pool(v):
-    return _pool(v, 3).select("frame_id", "rank", F.round("m.geometry_score", 6).alias("score"))
+    return _pool(v, 3).select("frame_id", "rank", "seq_no", "cand_no", F.round("m.geometry_score", 6).alias("score"))
 
 
 @query("geo_circle_scores", f"""WITH z AS (SELECT *, r / 512 AS q, confidence AS sup, cx / 640 AS cov, cy / 4096 AS prom FROM fx_circles), s AS (SELECT *, exp(-pow((q - {_D(0.17)}) / {_D(0.11)}, 2)) AS prior FROM z)

@@ -227,9 +227,24 @@ def checksum_verify(v):
     return R.verified_checksums(_listed(v), files)
 
 
-@query("jn_catalog", "SELECT f.sequence_id AS dataset_id, count(*) AS raw_tiff_count, any_value(e.expected) AS aligned_count, min(tiff_s) AS tiff_start FROM fx_frames f JOIN fx_expected e USING (sequence_id) GROUP BY 1")
+_C = "{} * CAST(0.04 AS DOUBLE) - CAST(273.15 AS DOUBLE)".format
+_Q = "quantile_cont(dn, CAST({} AS DOUBLE))".format
+
+
+@query("jn_catalog", f"""SELECT sequence_id AS dataset_id, 'src_' || sequence_id AS source_sequence_id, 'dual_anchor_window_90' AS strategy, count(DISTINCT frame_no) AS raw_tiff_count, count(DISTINCT frame_no) - 1 AS aligned_count, CAST(min(frame_no) AS VARCHAR) AS tiff_start, CAST(max(frame_no) AS VARCHAR) AS tiff_end, '4:52.500 / 12:00.567' AS anchors,
+count(DISTINCT frame_no) AS tiff_count, count(*) AS pixel_count, round({_C('min(dn)')}, 6) AS min_celsius, round({_C(_Q(0.01))}, 6) AS p01_celsius, round({_C(_Q(0.5))}, 6) AS median_celsius, round({_C(_Q(0.99))}, 6) AS p99_celsius, round({_C('max(dn)')}, 6) AS max_celsius, round({_C('avg(dn)')}, 6) AS mean_celsius, round(stddev_pop(dn) * CAST(0.04 AS DOUBLE), 5) AS std_celsius,
+count(*) FILTER (dn >= 8829) AS mask_positive_pixels, round(count(*) FILTER (dn >= 8829) / CAST(count(*) AS DOUBLE), 9) AS mask_positive_fraction FROM fx_pixels GROUP BY 1""")
 def catalog(v):
-    return R.catalog(v.fx_frames, v.fx_expected)
+    """Configurations made of the pixel table, as files; statistics of its pixels."""
+    frames = v.fx_pixels.groupBy(F.col("sequence_id").alias("dataset_id")).agg(F.countDistinct("frame_no").alias("n"), F.min("frame_no").cast("string").alias("low"), F.max("frame_no").cast("string").alias("high"))
+    anchors = F.array(*[F.struct(F.lit(n).alias("name"), F.lit("").alias("requested"), F.lit(t).alias("selected")) for n, t in (("primary", "4:52.500"), ("secondary", "12:00.567"))])
+    mapping = F.struct(F.col("low").alias("tiff_start"), F.col("high").alias("tiff_end"), F.lit("").alias("video_start"), F.lit("").alias("video_end"), anchors.alias("anchors"))
+    counts = F.struct(F.col("n").alias("raw_tiff"), (F.col("n") - 1).alias("aligned"))
+    folder = fresh_folder(v.spark, "configs")
+    frames.select("dataset_id", F.concat(F.lit("src_"), "dataset_id").alias("source_sequence_id"), F.lit("dual_anchor_window_90").alias("strategy"), mapping.alias("time_mapping"), counts.alias("counts")).write.json(folder)
+    found = R.catalog(S.read_json(v.spark, folder, S.CONFIG, lines=True), H.mask_stats(*H.pixel_counts(v.fx_pixels)))
+    places = {"std_celsius": 5, "mask_positive_fraction": 9}
+    return found.select(*[F.round(c, places.get(c, 6)).alias(c) if kind == "double" else F.col(c) for c, kind in found.dtypes])
 
 
 @query("agg_sequence_counts", "SELECT sequence_id, count(*) AS actual, any_value(expected) AS expected, count(*) = any_value(expected) AS ok FROM fx_frames JOIN fx_expected USING (sequence_id) GROUP BY 1")
@@ -242,15 +257,38 @@ def duplicate_identity(v):
     return R.duplicates(v.lineitem, ["l_orderkey", "l_linenumber"])
 
 
-_VS = "video_start + (tiff_s - start_s) * ((video_end - video_start) / (end_s - start_s)) + offset_s"
+_VS = "video_start + (tiff_s - start_s) * ((video_end - video_start) / (end_s - start_s)) + seg_offset"
 _MANIFEST = f"""n AS (SELECT *, lpad(CAST(row_number() OVER (PARTITION BY sequence_id ORDER BY tiff_s, frame_id) AS VARCHAR), 6, '0') || '_' || replace(tiff_name, '.tiff', '') AS aligned_id FROM fx_frames),
-m AS (SELECT n.*, {_VS} AS v, fps, frame_count, segment FROM n JOIN fx_models USING (sequence_id) JOIN fx_segments s ON s.sequence_id = n.sequence_id AND tiff_s >= from_s AND tiff_s < to_s)"""
+m AS (SELECT n.*, {_VS} AS v, fps, frame_count, segment, from_s FROM n JOIN fx_models USING (sequence_id) JOIN fx_segments s ON s.sequence_id = n.sequence_id AND tiff_s >= from_s AND tiff_s < to_s)"""
+_CLOCK = "printf('%02d:%02d:%02d', {0} // 3600, {0} // 60 % 60, {0} % 60)".format
+_FIELDS = f"""SELECT sequence_id, frame_id, aligned_id, 'exported' AS status, tiff_name, strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(tiff_s), '%Y-%m-%d %H:%M:%S') AS tiff_time_iso, round(v, 6) AS video_time_s,
+CAST(greatest(0, least(round_even(greatest(0, least(v, frame_count / fps)) * fps, 0), frame_count - 1)) AS BIGINT) AS video_frame_index, 'raw/thermal/' || tiff_name AS thermal_source_path, 'processed/aligned/' || aligned_id || '/thermal.tiff' AS thermal_tiff_path, 'processed/aligned/' || aligned_id || '/mask_80c.png' AS mask_80c_path,
+frame_id % 1024 / CAST(1024 AS DOUBLE) AS visual_score, frame_id % 256 / CAST(256 AS DOUBLE) AS thermal_edge_density, frame_id % 128 / CAST(128 AS DOUBLE) AS video_edge_density, segment AS anchor_segment, CAST(from_s AS DOUBLE) AS anchor_requested_video_time_s, {_CLOCK('from_s')} AS anchor_requested_video_time,
+from_s + CAST(0.5 AS DOUBLE) AS anchor_selected_video_time_s, {_CLOCK('from_s')} || '.500' AS anchor_selected_video_time, segment || '.tiff' AS anchor_center_tiff, frame_id % 100 AS mask_positive_pixels, frame_id % 100 / CAST(128 AS DOUBLE) AS mask_positive_fraction FROM m"""
 
 
-@query("rel_manifest", f"""WITH {_MANIFEST} SELECT frame_id, aligned_id, 'exported' AS status, tiff_name, round(v, 6) AS video_s, CAST(greatest(0, least(round_even(greatest(0, least(v, frame_count / fps)) * fps, 0), frame_count - 1)) AS BIGINT) AS video_frame, segment, 'raw/thermal/' || tiff_name AS thermal_source_path, 'processed/aligned/' || aligned_id || '/mask_80c.png' AS mask_80c_path FROM m""")
+def _whole_manifest(v):
+    n = F.col("frame_id")
+    scores = v.fx_frames.select("frame_id", *[(n % k / k).alias(c) for c, k in (("visual_score", 1024), ("thermal_edge_density", 256), ("video_edge_density", 128))])
+    masks = v.fx_frames.select("frame_id", (n % 100).alias("positive"), F.lit(128).cast("long").alias("total"))
+    segments = v.fx_segments.withColumns({"requested_s": F.col("from_s").cast("double"), "selected_s": F.col("from_s") + F.lit(0.5), "center_tiff": F.concat("segment", F.lit(".tiff"))})
+    return R.manifest(v.fx_frames, v.fx_models, segments, scores=scores, masks=masks)
+
+
+@query("rel_manifest", f"WITH {_MANIFEST} {_FIELDS}")
 def rel_manifest(v):
-    found = R.manifest(v.fx_frames, v.fx_models, v.fx_segments)
-    return found.select("frame_id", "aligned_id", "status", "tiff_name", F.round("video_s", 6).alias("video_s"), "video_frame", "segment", "thermal_source_path", "mask_80c_path")
+    """All fields but the video's time as text and three of the paths, which are made as those that are compared."""
+    found = _whole_manifest(v).drop("video_time", "thermal_png_path", "video_png_path", "overlay_png_path")
+    return found.withColumn("video_time_s", F.round("video_time_s", 6))
+
+
+@query("rel_manifest_viewer", f"WITH {_MANIFEST} SELECT sequence_id, aligned_id, sequence_id || '/processed/aligned/' || aligned_id || '/overlay.png' AS overlay_file_name, frame_id % 1024 / CAST(1024 AS DOUBLE) AS visual_score, frame_id % 100 AS mask_positive_pixels, '' AS issues FROM m")
+def manifest_viewer(v):
+    """The manifest as viewer rows, and these judged: no row has an issue."""
+    rows = _whole_manifest(v)
+    names = [r[0] for r in v.fx_expected.select("sequence_id").collect()]  # one a sequence
+    found = R.viewer_issues(R.viewer_rows(rows), names)
+    return found.select("sequence_id", "aligned_id", "overlay_file_name", "visual_score", "mask_positive_pixels", F.array_join("issues", ",").alias("issues"))
 
 
 _ID = "CAST(frame_no AS VARCHAR) || sequence_id"
@@ -309,6 +347,25 @@ def refresh_manifest(v):
     return kept.join(v.fx_frames.where("frame_id % 2 = 0").select("frame_id"), "frame_id", "left_semi").select("frame_id", "stem")
 
 
+_REFRESH = f"WITH {_BOUNDS}, r AS (SELECT sequence_id, frame_id, stem, lpad(CAST(frame_id AS VARCHAR), 9, '0') AS aligned_id FROM k)"
+
+
+@query("inc_refresh_release", f"""{_REFRESH} SELECT 'kept' AS part, sequence_id, aligned_id FROM r UNION ALL SELECT 'lines', sequence_id, aligned_id FROM r WHERE frame_id % 41 <> 0 UNION ALL SELECT 'stale', s.sequence_id, lpad(CAST(s.frame_id AS VARCHAR), 9, '0') FROM s WHERE frame_id % 43 <> 0 AND frame_id NOT IN (SELECT frame_id FROM r)
+UNION ALL SELECT 'not in the lines', sequence_id, aligned_id FROM r WHERE frame_id % 41 = 0 UNION ALL SELECT 'no folder', sequence_id, aligned_id FROM r WHERE frame_id % 43 = 0 UNION ALL SELECT 'boundary', sequence_id, NULL FROM fx_expected""")
+def refresh_release(v):
+    """A release in which some lines and folders are missing, and no sequence ends at its boundary."""
+    rows, bounds = _stems(v)
+    rows = rows.withColumns({"aligned_id": F.lpad(F.col("frame_id").cast("string"), 9, "0"), "place": F.col("frame_id")})
+    lines, folders = rows.where("frame_id % 41 <> 0").drop("place"), rows.where("frame_id % 43 <> 0").select("sequence_id", "aligned_id")
+    kept, ordered, stale, faults = R.refreshed_manifest(rows, lines, folders, bounds)
+    folder = fresh_folder(v.spark, "refreshed")
+    R.write_refreshed(kept.select("sequence_id", "aligned_id", "place"), ordered.select("sequence_id", "aligned_id", "place"), folder)
+    schema = "sequence_id string, aligned_id string"
+    part = lambda rows, name: rows.select(F.lit(name).alias("part"), "sequence_id", "aligned_id")
+    read = v.spark.read.schema(schema)
+    return part(read.csv(f"{folder}/csv"), "kept").union(part(read.json(f"{folder}/jsonl"), "lines")).union(part(stale, "stale")).union(faults.select(F.col("state").alias("part"), "sequence_id", "aligned_id"))
+
+
 @query("val_mask", "SELECT sequence_id, frame_no, CAST(CASE WHEN frame_no % 9 = 0 THEN len(list_filter(dn, lambda x: x >= 8829)) ELSE 0 END AS INT) AS differing, 0 AS not_binary FROM fx_dn_arrays")
 def val_mask(v):
     mask = F.transform("dn", lambda x: F.when((x >= 8829) & (F.col("frame_no") % 9 != 0), 1).otherwise(0))

@@ -8,6 +8,7 @@ from framespan.operators import histogram as H
 from framespan.operators import images
 from framespan.plans.registry import query
 
+_D = "CAST({} AS DOUBLE)".format
 _HIST = "h AS (SELECT sequence_id, dn, count(*) AS n FROM fx_pixels GROUP BY ALL), b AS (SELECT * FROM h UNION ALL SELECT 'all', dn, sum(n)::BIGINT FROM h GROUP BY dn), p AS (SELECT l_returnflag || l_linestatus AS sequence_id, dn FROM (SELECT *, CAST(least(CAST(floor(l_extendedprice / 8) AS INT), 11568) AS INT) AS dn FROM lineitem)), q AS (SELECT * FROM p UNION ALL SELECT 'all', dn FROM p)"
 _PCT = ("0.1", "1", "5", "25", "50", "75", "95", "99", "99.9")
 _q = lambda p: f"quantile_cont(dn, CAST({p} AS DOUBLE) / 100)"
@@ -49,8 +50,7 @@ def distribution_stats(v):
   CASE WHEN q.sequence_id <> 'all' THEN {_c('avg(dn)')} END AS mean_celsius, CASE WHEN q.sequence_id <> 'all' THEN round(stddev_pop(dn) * CAST(0.04 AS DOUBLE), 5) END AS std_celsius, count(*) FILTER (dn >= 8829) AS mask_positive_pixels, round(count(*) FILTER (dn >= 8829) / CAST(count(*) AS DOUBLE), 9) AS mask_positive_fraction
   FROM q JOIN g USING (sequence_id) GROUP BY 1""")
 def temperature_mask_stats(v):
-    frames = v.fx_pixels.groupBy("sequence_id").agg(F.countDistinct("frame_no").alias("tiff_count"))
-    found = H.mask_stats(H.dn_histogram(v.fx_pixels), frames)
+    found = H.mask_stats(*H.pixel_counts(v.fx_pixels))
     places = {"std_celsius": 5, "mask_positive_fraction": 9}
     return found.select(*[F.round(c, places.get(c, 6)).alias(c) if kind == "double" else F.col(c) for c, kind in found.dtypes])
 
@@ -116,10 +116,37 @@ def normalize(v):
     return images.normalize(v.fx_dn_arrays.select(F.concat_ws("/", "sequence_id", F.col("frame_no").cast("string")).alias("frame"), "dn")).select("frame", "gray")
 
 
-@query("img_ring_features")
+_LEVEL = "map[CAST(({y}) // 8 * 8 + ({x}) // 8 + 1 AS INT)]"
+_IN = "({x}) BETWEEN {a} AND {b} AND ({y}) BETWEEN {a} AND {b}"
+
+
+def _near(x: str, y: str) -> str:
+    """Whether an edge is within two cells: the corners of that square lie in all the blocks it touches."""
+    corners = [(f"{y} + {dy}", f"{x} + {dx}") for dy in (-2, 2) for dx in (-2, 2)]
+    return "(" + " OR ".join(f"CASE WHEN {_IN.format(x=cx, y=cy, a=0, b=63)} THEN {_LEVEL.format(x=cx, y=cy)} > 128 ELSE false END" for cy, cx in corners) + ")"
+
+
+def _hit(k: str) -> str:
+    return f"CASE WHEN {_IN.format(x=f'x{k}', y=f'y{k}', a=2, b=61)} THEN {_near(f'x{k}', f'y{k}')} ELSE false END"
+
+
+_AT = ", ".join(f"CAST(round_even(cx + ({d} + {_D(16)}) * c, 0) AS INT) AS x{n}, CAST(round_even(cy + ({d} + {_D(16)}) * s, 0) AS INT) AS y{n}" for n, d in (("0", 0), ("m12", -12), ("p12", 12), ("m8", -8), ("p8", 8)))
+_RING = f"""WITH a AS (SELECT k, cos(k * (2 * pi() / 360)) AS c, sin(k * (2 * pi() / 360)) AS s FROM range(360) t(k)), p AS (SELECT vec_id, map, k, c, s, cx, 32 AS cy, {_AT} FROM (SELECT *, 32 + vec_id % 2 * 20 AS cx FROM fx_maps), a),
+q AS (SELECT *, cx + 16 * c >= 2 AND cx + 16 * c < 62 AND cy + 16 * s >= 2 AND cy + 16 * s < 62 AS ok FROM p),
+h AS (SELECT vec_id, cx, k, ok AND {_near('least(greatest(x0, 0), 63)', 'least(greatest(y0, 0), 63)')} AS onr, ok AND ({_hit('m12')} OR {_hit('p12')}) AS offr, CASE WHEN ok AND {_IN.format(x='xm8', y='ym8', a=0, b=63)} THEN {_LEVEL.format(x='xm8', y='ym8')} END AS lo, CASE WHEN ok AND {_IN.format(x='xp8', y='yp8', a=0, b=63)} THEN {_LEVEL.format(x='xp8', y='yp8')} END AS hi FROM q),
+f AS (SELECT vec_id, any_value(cx) AS cx, avg(onr::INT) AS support, avg(offr::INT) AS off_support, count(DISTINCT k // 10) FILTER (onr) / {_D(36)} AS coverage, coalesce(abs(avg(lo) - avg(hi)) / 255, 0) AS contrast FROM h GROUP BY 1)
+SELECT vec_id, round(support, 9) AS support, round(off_support, 9) AS off_support, round(coverage, 9) AS coverage, round(greatest(0, support - off_support), 9) AS prominence, round(contrast, 9) AS contrast, round(least(1, least(cx, 64 - cx, 32) / {_D(16)}), 9) AS border FROM f"""
+
+
+@query("img_ring_features", _RING)
 def ring_features(v):
-    maps = v.fx_maps.select("vec_id", F.col("map").alias("gray"), F.transform("map", lambda x: F.greatest(x - 128, F.lit(0))).alias("edges"), F.struct(F.lit(4.0).alias("cx"), F.lit(4.0).alias("cy"), F.lit(2.0).alias("r")).alias("circle"))
-    return images.ring_features(maps, 8, 8)
+    """Maps of 64x64 cells, each cell of a small map a block of them; half of the circles reach over the border."""
+    cells = F.sequence(F.lit(0), F.lit(4095))
+    blocks = F.transform(F.array("map"), lambda m: F.transform(cells, lambda k: m[(F.floor(k / 512) * 8 + F.floor(k % 64 / 8)).cast("int")]))[0]  # the map is made once a row
+    circle = F.struct((32 + F.col("vec_id") % 2 * 20).cast("double").alias("cx"), F.lit(32.0).alias("cy"), F.lit(16.0).alias("r"))
+    maps = v.fx_maps.select("vec_id", blocks.alias("gray"), circle.alias("circle")).withColumn("edges", F.transform("gray", lambda x: F.greatest(x - 128, F.lit(0))))
+    found = images.ring_features(maps, 64, 64)
+    return found.select("vec_id", *[F.round(c, 9).alias(c) for c in found.columns if c != "vec_id"])
 
 
 _CELL = "coalesce(CASE WHEN {x} BETWEEN 0 AND 7 AND {y} BETWEEN 0 AND 7 THEN map[CAST({y} * 8 + {x} + 1 AS INT)] END, 0)"
