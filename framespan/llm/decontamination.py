@@ -12,7 +12,9 @@ fixed places around it.  In a stretch that holds the seed the places beside it m
 one pair at least is equal, and no overlap that holds the seed is lost (`second_places`).  Before the join a Bloom filter
 drops windows that no benchmark window can equal; it has 32 places a seed within fixed bounds (FILTER_BITS), so a very
 large benchmark makes it let more pass but not grow.  What is joined then are the hits alone, on both sides by hash, so
-neither side has to fit in one place.
+neither side has to fit in one place.  Hits of a document that follow on each other form regions of a bounded length, and of a
+region each pair takes with it the words beside its item alone, so a document that holds the whole benchmark costs in
+proportion to its length.
 
 Defined cases: null and empty texts and items have no words and meet nothing; an item of fewer than 5 words is met by a
 document that has its words and no others; equal items under several ids are all reported; rows with one doc_id and
@@ -39,6 +41,8 @@ SHARE = 0.7
 #: bits of a place in the Bloom filter in front of the join: least, most (2**28 places are 32 MB)
 FILTER_BITS = (22, 28)
 PROBES = 3
+#: words from the first hit of a region to its last, at most
+REGION = 1024
 #: windows of the benchmark that a seed may have by itself
 HOT = 64
 
@@ -182,7 +186,7 @@ def bloom(seeds: DataFrame) -> tuple[np.ndarray, int]:
 def document_hits(docs: DataFrame, keys: tuple[np.ndarray, int], hot: tuple[np.ndarray, int] | None, masks: tuple[str, ...], reach: int) -> DataFrame:
     """Windows of the documents that the filter of keys lets pass; for seeds in the filter `hot` also those with two more words.
 
-    Hits that lie within `reach` words of each other form a region.  A region gives one row with the hashes of its
+    Hits that lie within `reach` words of each other form a region, a new one every REGION words.  A region gives one row with the hashes of its
     words and `reach` more on both sides (seed null), and one row for each hit (words null)."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +215,8 @@ def document_hits(docs: DataFrame, keys: tuple[np.ndarray, int], hot: tuple[np.n
                 order = np.argsort(place, kind="stable")
                 seed, place = seed[order], place[order]
                 doc = np.searchsorted(w.at, place, "right") - 1
-                new = np.r_[True, (doc[1:] != doc[:-1]) | (np.diff(place) > reach)]
+                piece = (place - w.at[doc]) // REGION
+                new = np.r_[True, (doc[1:] != doc[:-1]) | (np.diff(place) > reach) | (piece[1:] != piece[:-1])]
                 region = np.cumsum(new) - 1
                 starts = np.flatnonzero(new)
                 ends = np.r_[starts[1:], len(seed)]
@@ -230,11 +235,11 @@ def document_hits(docs: DataFrame, keys: tuple[np.ndarray, int], hot: tuple[np.n
     return docs.select("doc_id", text_hash().alias("th"), "text").mapInArrow(batches, "doc_id long, th long, region long, seed long, pos long, words array<long>")
 
 
-def overlaps(candidates: DataFrame, stretch: int, share: float) -> DataFrame:
-    """Compares region and item at their offset; keeps pairs whose best stretch has the share of equal words.
+def overlaps(pairs: DataFrame, regions: DataFrame, items: DataFrame, stretch: int, share: float) -> DataFrame:
+    """Compares region and item of pairs at their offset; keeps pairs whose best stretch has the share of equal words.
 
     Regions hold at least `stretch` words around each hit, so every stretch that holds the hit is seen.  Only the part of
-    an item that lies in the region is moved."""
+    a region that lies beside the item, and of the item that lies in the region, is moved."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -251,15 +256,18 @@ def overlaps(candidates: DataFrame, stretch: int, share: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*part.columns[:5], pa.array(equal, pa.int64()), part.column(5)], names=["doc_id", "th", "item_id", "region", "offset", "equal", "compared"])
 
     skip_mine, skip_theirs = F.greatest(F.lit(0), F.col("offset")), F.greatest(F.lit(0), -F.col("offset"))
-    common = F.least(F.size("words") - skip_mine, F.size("item") - skip_theirs)
-    cut_ = candidates.where(common > 0).select("doc_id", "th", "item_id", "region", "offset", F.least(F.lit(stretch), F.size("item")).cast("long").alias("n"), F.slice("words", (skip_mine + 1).cast("int"), common.cast("int")).alias("mine"), F.slice("item", (skip_theirs + 1).cast("int"), common.cast("int")).alias("theirs"))
+    common = F.least(F.size("words") - skip_mine, F.col("item_size") - skip_theirs)
+    mine = pairs.join(items.select("item_key", "item_size"), "item_key").join(regions, ["doc_id", "th", "region"]).where(common > 0)
+    mine = mine.select("doc_id", "th", "region", "item_key", "offset", "item_size", F.slice("words", (skip_mine + 1).cast("int"), common.cast("int")).alias("mine"))
+    theirs = F.slice("item", (skip_theirs + 1).cast("int"), F.size("mine"))
+    cut_ = mine.join(items.select("item_key", "item_id", "item"), "item_key").select("doc_id", "th", "item_id", "region", "offset", F.least(F.lit(stretch), F.col("item_size")).cast("long").alias("n"), "mine", theirs.alias("theirs"))
     return cut_.mapInArrow(batches, "doc_id long, th long, item_id long, region long, offset long, equal long, compared long")
 
 
 def contaminated_passages(docs: DataFrame, benchmark: DataFrame, *, masks: tuple[str, ...] = MASKS, stretch: int = STRETCH, share: float = SHARE) -> DataFrame:
     """doc_id, th (hash of the text), item_id, first word in the document (offset + region), equal and compared words of
     each verified overlap."""
-    items = written(benchmark_items(benchmark))
+    items = written(benchmark_items(benchmark).withColumn("item_size", F.size("item")))
     often = written(item_seeds(items, masks, stretch).groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("seed"))
     hot = bloom(often) if two_seeds(masks, stretch, share) and often.limit(1).count() else None
     seeds = written(item_seeds(items, masks, stretch, hot))
@@ -268,7 +276,7 @@ def contaminated_passages(docs: DataFrame, benchmark: DataFrame, *, masks: tuple
     pairs = hits.where("seed IS NOT NULL").select("doc_id", "th", "region", "seed", "pos").join(F.broadcast(seeds) if few else seeds, "seed")
     pairs = pairs.select("doc_id", "th", "region", "item_key", (F.col("pos") - F.col("item_pos")).alias("offset")).distinct()
     regions = hits.where("seed IS NULL").select("doc_id", "th", "region", "words").distinct()
-    found = written(overlaps(pairs.join(regions, ["doc_id", "th", "region"]).join(items, "item_key"), stretch, share))
+    found = written(overlaps(pairs, regions, items, stretch, share))
     discard(items, often, seeds, hits)
     return found
 

@@ -248,9 +248,12 @@ def star(links: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
     return [(k, find(k)) for k in range(n) if find(k) != k]
 
 
-def compared(docs: DataFrame, places: DataFrame, *, width: int, percent: int) -> DataFrame:
+def compared(docs: DataFrame, places: DataFrame, *, width: int, percent: int, repeated: DataFrame | None = None) -> DataFrame:
     """Links (a, b) between classes, stars within each list; places: doc_id and th of a class's text, cls, the task and list it is compared in,
-    and side (0 and 1 are only compared with each other, 2 with all)."""
+    and side (0 and 1 are only compared with each other, 2 with all).
+
+    repeated: doc_id and th of rows that are in docs more than once, if any: of these one row a class is left, in each task
+    and then of all, before its words are made, so that copies of a row weigh nothing afterwards."""
     keys = ["cls", "task", "list", "side"]
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +266,12 @@ def compared(docs: DataFrame, places: DataFrame, *, width: int, percent: int) ->
     # a class's places become one row, so that its text is cut into words once
     texts = places.groupBy("doc_id", "th", "cls").agg(F.collect_list(F.struct("task", "list", "side")).alias("at"))
     few = places.select("doc_id").count() <= BROADCAST_ROWS
-    found = docs.join(F.broadcast(texts) if few else texts, ["doc_id", "th"]).select("cls", "at", "text")
+    texts = F.broadcast(texts) if few else texts
+    found = docs.join(texts, ["doc_id", "th"]).select("cls", "at", "text")
+    if repeated is not None:
+        key = ["doc_id", "th"]
+        once = docs.join(texts.join(repeated, key, "left_anti"), key).select("cls", "at", "text")
+        found = once.union(docs.join(texts.join(repeated, key, "left_semi"), key).groupBy("cls").agg(F.first("at").alias("at"), F.first("text").alias("text")))
     at = "at array<struct<task:long,list:long,side:int>>"
     sets = found.mapInArrow(batches, f"cls long, {at}, tokens binary").select("cls", F.explode("at").alias("at"), "tokens")
     sets = sets.select("cls", "at.task", "at.list", "at.side", "tokens")
@@ -271,7 +279,6 @@ def compared(docs: DataFrame, places: DataFrame, *, width: int, percent: int) ->
     def links(group: pd.DataFrame) -> pd.DataFrame:
         a, b = [], []
         for _, part in group.sort_values(["list", "cls"]).groupby("list", sort=False):
-            part = part.drop_duplicates("cls")  # repeated rows of one text
             side = part["side"].tolist()
             if len(part) > 1 and (2 in side or len(set(side)) > 1):
                 tokens, ids = [np.frombuffer(x, np.uint64) for x in part["tokens"]], part["cls"].to_numpy()
@@ -354,10 +361,12 @@ def groups(docs: DataFrame, *, width: int, percent: int) -> DataFrame:
     classes = written(classes.select(*key, F.col("head.rid").alias("cls"), "head.doc_id", "head.th"))
     firsts = table.join(classes.select(F.col("cls").alias("rid")), "rid").select(F.col("rid").alias("cls"), "n", "prefix")
     kept = written(second_prefix(firsts, percent))
-    near = written(compared(docs, pivot_places(kept, classes), width=width, percent=percent))
+    repeated = written(table.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id", "th"))
+    copies = repeated if repeated.limit(1).count() else None
+    near = written(compared(docs, pivot_places(kept, classes), width=width, percent=percent, repeated=copies))
     places, read = open_places(kept, components(near), classes)
-    roots = components(near.union(compared(docs, places, width=width, percent=percent))).select(F.col("node").alias("cls"), "root")
-    discard(kept, near, *read)
+    roots = components(near.union(compared(docs, places, width=width, percent=percent, repeated=copies))).select(F.col("node").alias("cls"), "root")
+    discard(kept, near, repeated, *read)
     named = written(classes.join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls")))
     least = named.groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("first"))
     named = named.join(least, "root").select(*key, F.col("first.doc_id").alias("component_id"), F.col("first.th").alias("head_th"))

@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from framespan.llm import conversations, mixing, resampling
+from framespan.llm import conversations, decontamination, jaccard, mixing, resampling
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -300,3 +300,33 @@ def test_mix_of_overlapping_sources(spark):
     assert sum(taken.values()) == pytest.approx(total, abs=len(number))
     for no, r in number.items():
         assert abs(taken[no] - r.target) <= 0.5, r
+
+
+# hot rows and long documents of the earlier operators
+
+
+def test_jaccard_copies_of_one_row(spark):
+    """Thirty thousand copies of a row, near texts beside it, and copies of a near text: one component, one set each."""
+    base = [f"w{k}" for k in range(80)]
+    near = [" ".join([*base[:k], "new", *base[k + 1 :]]) for k in (0, 1, 78, 79)]
+    rows = [(5, " ".join(base))] * 30_000 + [(10 + k, t) for k, t in enumerate(near)] + [(3, near[2])] * 200 + [(2, "other words of its own")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = collections.Counter((r.doc_id, r.component_id) for r in jaccard.similar_groups(docs, width=4, percent=85).collect())
+    assert found == {(5, 3): 30_000, **{(10 + k, 3): 1 for k in range(4)}, (3, 3): 200, (2, 2): 50}
+    kept = sorted(tuple(r) for r in jaccard.one_of_each_group(docs, width=4, percent=85).collect())
+    assert kept == [(2, "other words of its own"), (3, near[2])]
+
+
+def test_a_document_that_holds_the_benchmark(spark, monkeypatch):
+    rnd = random.Random(6)
+    items = [" ".join(f"w{rnd.randrange(3000)}" for _ in range(rnd.choice([12, 30, 90]))) for _ in range(120)]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(items)), (2, " ".join(items[:3]) + " x" * 5000 + " " + items[50]), (3, "nothing of it " * 900), (4, " ".join(items[9].split()[4:] + ["end"] * 40))], "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plain = sorted(map(tuple, decontamination.flag_documents(docs, benchmark).collect()))
+    monkeypatch.setattr(decontamination, "REGION", 10**9)
+    assert sorted(map(tuple, decontamination.flag_documents(docs, benchmark).collect())) == plain
+    monkeypatch.setattr(decontamination, "REGION", 100)
+    assert sorted(map(tuple, decontamination.flag_documents(docs, benchmark).collect())) == plain
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [r[2] for r in plain] == [120, 4, 0, 1]
