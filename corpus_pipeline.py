@@ -10,13 +10,11 @@ documents, also with the names of intermediate ones, pass through up to the last
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framespan.llm import bpe, decontamination, jaccard, secrets, toxicity
-from framespan.llm._common import read_table, shared_folder
+from framespan.llm._common import discard, read_table, written
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,11 +55,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows.  Of the tables between the stages only the one that they read stays."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            path = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
+        found = stage(spark, docs, sf_dir)
+        if k == len(STAGES) - 1:
+            return found
+        found = written(found)
+        if k:
+            discard(docs)
+        docs = found
     return docs

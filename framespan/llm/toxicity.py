@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framespan.llm._common import read_documents, read_table, remainder
+from framespan.llm._common import read_documents, read_table, remainder, text_hash
 from framespan.llm._vec import LOWER, buffers, chunks, mix, words
 
 BITS = 22
@@ -208,11 +208,17 @@ def without_toxic(docs: DataFrame, machine: FactorizationMachine, bound: float =
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text and toxic of labelled documents outside the held-out fold, one row a document and label."""
+    """doc_id, text and toxic of labelled documents outside the held-out fold, in a fixed order; TRAIN_ROWS at most.
+
+    Labels are chosen first and then, of the texts under their ids, as many again, both by hash and from ids and hashes
+    alone; rows repeated with doc_id and text are one, left out in each task before texts are moved."""
     wanted = labels.where(F.col("toxic").isNotNull() & (remainder("doc_id", 5) != 0)).select("doc_id", "toxic")
     # the sample is taken before texts are joined: ids alone are sorted
     chosen = wanted.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(TRAIN_ROWS)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by TRAIN_ROWS
+    order = [F.xxhash64("doc_id"), "doc_id", "toxic", "th"]
+    named = docs.select("doc_id", text_hash().alias("th")).join(F.broadcast(chosen), "doc_id").distinct().orderBy(*order).limit(TRAIN_ROWS)
+    rows = docs.select("doc_id", "text", text_hash().alias("th")).join(F.broadcast(named), ["doc_id", "th"])  # bounded by TRAIN_ROWS
+    return rows.dropDuplicates(["doc_id", "th", "toxic"]).orderBy(*order).drop("th")
 
 
 def fit_from_tables(docs: DataFrame, labels: DataFrame) -> FactorizationMachine:
