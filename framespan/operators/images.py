@@ -60,7 +60,7 @@ def by_row(frames: DataFrame, needs: list[str], work: Callable[..., dict], schem
     return frames.select(*keep, *needs).mapInArrow(batches, f"{kept}, {schema}" if keep else schema)
 
 
-_ARROW = {"double": pa.float64(), "array<int>": pa.list_(pa.int32()), "array<double>": pa.list_(pa.float64()), "int": pa.int32(), "string": pa.string()}
+_ARROW = {"double": pa.float64(), "array<int>": pa.list_(pa.int32()), "array<double>": pa.list_(pa.float64()), "int": pa.int32(), "long": pa.int64(), "string": pa.string()}
 
 
 def masked_similarity(pairs: DataFrame, height: int, width: int, *, scale: float = 1.22, least: int = 32) -> DataFrame:

@@ -106,3 +106,29 @@ def anchor_window(v):
     video = maps.select(F.lit("all").alias("sequence_id"), f.alias("frame_index"), F.col("map").alias("gray"), circle(f % 4 != 0, F.lit(4), 3 + f % 2, F.lit(2.5)).alias("circle"))
     found = S.anchor_search(candidates, thermal, crops, video, k=1, size=(4, 4), video_size=(8, 8), full=(4, 4), features=S.level_features, mask_least=4)
     return found.select("anchor", "candidate", "strategy", "hard_pass", *[F.round(c, 6).alias(c) for c in ("aggregate", "center", "full_visual_mean")], "rank")
+
+
+_VOTES = """WITH c AS (SELECT vec_id, k FROM (SELECT vec_id, unnest(map) AS x, unnest(range(64)) AS k FROM fx_maps) WHERE x > 150), t AS (SELECT unnest(range(64)) AS k),
+o AS (SELECT dy, dx, floor(sqrt(dy * dy + dx * dx) + 0.5)::INT AS r FROM (SELECT unnest(range(-4, 5)) AS dy), (SELECT unnest(range(-4, 5)) AS dx)), n AS (SELECT r, count(*) AS n FROM o WHERE r BETWEEN 2 AND 3 GROUP BY 1),
+v AS (SELECT vec_id, r, c.k + 8 * dy + dx AS k, count(*) AS votes FROM c, o WHERE r BETWEEN 2 AND 3 AND c.k // 8 + dy BETWEEN 0 AND 7 AND c.k % 8 + dx BETWEEN 0 AND 7 GROUP BY ALL),
+b AS (SELECT v.*, row_number() OVER (PARTITION BY vec_id ORDER BY votes / n::DOUBLE DESC, r, k) AS i FROM v JOIN n USING (r))
+SELECT vec_id, sum(votes * (r * 64 + k))::BIGINT AS digest, max(k % 8) FILTER (i = 1)::DOUBLE AS cx, max(k // 8) FILTER (i = 1)::DOUBLE AS cy, max(r) FILTER (i = 1)::DOUBLE AS r, max(votes) FILTER (i = 1)::INT AS votes FROM b GROUP BY 1"""
+
+
+@query("img_circle_votes", _VOTES)
+def circle_votes(v):
+    """Votes of all bright cells for circles of two and three cells' radius, and the best circle of each map."""
+    edges = v.fx_maps.select("vec_id", F.transform("map", lambda x: (x > 150).cast("int")).alias("edges"))
+    found = P.vote_circles(edges, 8, 8, (2, 3), least=0.0, apart=1, most=1)
+    sums = P.vote_sums(edges, 8, 8, (2, 3)).where("total > 0")
+    return sums.join(found, "vec_id").select("vec_id", F.col("total").alias("digest"), *[F.col(c)[0].alias(c) for c in ("cx", "cy", "r", "votes")])
+
+
+@query("img_region_features", """WITH RECURSIVE c AS (SELECT vec_id, k FROM (SELECT vec_id, unnest(map) AS x, unnest(range(64)) AS k FROM fx_maps) WHERE x > 120),
+r AS (SELECT vec_id, k, k AS to_k FROM c UNION SELECT r.vec_id, r.k, c.k FROM r JOIN c ON c.vec_id = r.vec_id AND abs(c.k // 8 - r.to_k // 8) <= 1 AND abs(c.k % 8 - r.to_k % 8) <= 1),
+l AS (SELECT vec_id, k, min(to_k) AS label FROM r GROUP BY 1, 2) SELECT vec_id, label::INT AS label, count(*)::INT AS area FROM l GROUP BY 1, 2 HAVING count(*) >= 3""")
+def region_features(v):
+    """Regions of three cells and more; their boundaries and circles are compared with drawn shapes in the tests."""
+    masks = v.fx_maps.select("vec_id", F.transform("map", lambda x: (x > 120).cast("int")).alias("mask"))
+    found = P.region_features(masks, 8, 8, least_area=3)
+    return found.select("vec_id", F.explode(F.arrays_zip("label", "area")).alias("z")).select("vec_id", "z.label", "z.area")

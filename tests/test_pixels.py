@@ -159,3 +159,77 @@ def test_missing_images_and_empty_tables(planted, spark):
         assert ranked([t.limit(0) if i == k else t for i, t in enumerate(planted)]) == []
     twice = ranked((candidates, thermal, crops.union(crops), video))
     assert [(r.candidate, r.strategy, r.aggregate) for r in twice] == [(r.candidate, r.strategy, r.aggregate) for r in ranked(planted)]
+
+
+def test_drawn_circles_win_the_votes(spark):
+    y, x = np.mgrid[:90, :110]
+    circles = [(30, 35, 14), (60, 80, 20), (25, 88, 9)]
+    edges = np.zeros((90, 110), int)
+    for cy, cx, r in circles:
+        edges |= (np.abs(np.hypot(y - cy, x - cx) - r) < 0.6).astype(int)
+    edges[:, 55] = 1  # a line is no circle
+    rows = spark.createDataFrame([(1, edges.ravel().tolist()), (2, [0] * 9900), (3, None)], "id int, edges array<int>")
+    found = {r.id: r for r in pixels.vote_circles(rows, 90, 110, (7, 24), least=0.6).collect()}
+    assert sorted(zip(found[1].cy, found[1].cx, found[1].r, strict=True)) == sorted(circles)
+    assert found[2].cx == [] and found[3].cx is None
+    votes = pixels.circle_votes(edges > 0, range(7, 25))
+    a, b, k = 33, 41, 5
+    assert votes[k, a, b] == sum(round(np.hypot(i - a, j - b)) == 7 + k for i, j in np.argwhere(edges))
+
+
+def test_regions_have_boundaries_and_circles(spark):
+    y, x = np.mgrid[:80, :120]
+    mask = (np.hypot(y - 40, x - 30) <= 20).astype(int)
+    mask[10:31, 60:101] = 1
+    mask[70, 70] = 1
+    mask[75, 60:66] = 1  # a line has no inside
+    mask[45:56, 80:91] = 1
+    mask[48:53, 83:88] = 0  # a hole does not change the outer boundary
+    row = pixels.region_features(spark.createDataFrame([(mask.ravel().tolist(),)], "mask array<int>"), 80, 120).first()
+    features = {n: (area, *rest) for n, area, *rest in zip(row.label, row.area, row.cx, row.cy, row.r, row.circularity, row.fill, strict=True)}
+    disk = features[20 * 120 + 30]
+    assert disk[0] == mask[20:61, :60].sum() and disk[1:4] == pytest.approx((30, 40, 20), abs=0.2) and disk[4] > 0.85 and disk[5] > 0.9
+    box = features[10 * 120 + 60]
+    assert box[0] == 21 * 41 and box[1:4] == pytest.approx((80, 20, np.hypot(10, 20))) and box[4] == pytest.approx(4 * np.pi * 800 / 120**2) and box[5] == pytest.approx(800 / (np.pi * 500))
+    assert features[70 * 120 + 70] == (1, 70, 70, 0, 0, 0) and features[75 * 120 + 60] == (6, 62.5, 75, 2.5, 0, 0)
+    holed = features[45 * 120 + 80]
+    assert holed[0] == 96 and holed[4] == pytest.approx(4 * np.pi * 100 / 40**2)
+
+
+def test_boundaries_walk_every_outer_cell_once():
+    rnd = np.random.default_rng(7)
+    for _ in range(60):
+        cells = rnd.random((9, 11)) < 0.55
+        labels = flood(cells)
+        for label in set(labels.ravel()) - {-1}:
+            own = labels == label
+            path = pixels.boundary(own, divmod(int(label), 11))
+            assert all(own[p] for p in path) and len(path) <= 4 * own.sum()
+            assert all(max(abs(a[0] - b[0]), abs(a[1] - b[1])) <= 1 for a, b in zip(path, path[1:] + path[:1], strict=True))
+            outside = flood(np.pad(~own, 1, constant_values=True)) == 0  # cells that the border reaches over eight neighbours
+            edge = {(i, j) for i, j in np.argwhere(own) if any(outside[i + 1 + a, j + 1 + b] for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0)))}
+            assert set(path) <= {(i, j) for i, j in np.argwhere(own)} and {p for p in edge if _four(own, p)} <= set(path)
+
+
+def _four(own, p):
+    """Whether a side of the cell is reached from outside over four neighbours."""
+    free = np.pad(~own, 1, constant_values=True)
+    seen, todo = {(0, 0)}, [(0, 0)]
+    while todo:
+        a, b = todo.pop()
+        for c, d in ((a, b + 1), (a + 1, b), (a, b - 1), (a - 1, b)):
+            if 0 <= c < free.shape[0] and 0 <= d < free.shape[1] and free[c, d] and (c, d) not in seen:
+                seen.add((c, d))
+                todo.append((c, d))
+    return any((p[0] + 1 + a, p[1] + 1 + b) in seen for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0)))
+
+
+def test_least_circles_around_points():
+    rnd = np.random.default_rng(5)
+    for n in (1, 2, 3, 8, 40):
+        points = rnd.integers(0, 30, (n, 2))
+        cy, cx, r = pixels.enclosing_radius(points)
+        away = np.hypot(points[:, 0] - cy, points[:, 1] - cx)
+        assert away.max() <= r + 1e-6
+        tried = [np.hypot(points[:, 0] - a, points[:, 1] - b).max() for a, b in rnd.uniform(0, 30, (3000, 2))]
+        assert r <= min(tried) + 1e-6
