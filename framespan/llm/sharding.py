@@ -1,6 +1,6 @@
 """Sharding along a Hilbert curve.
 
-Several metadata dimensions are quantised to cells, each row gets the index of its cell on a Hilbert curve, rows
+Several metadata dimensions are quantised to cells in the order of their values, each row gets the index of its cell on a Hilbert curve, rows
 are ordered by that index and the order is cut into runs.  Rows near each other in all dimensions share a shard, so
 a file's minima and maxima of each dimension stay narrow and readers can skip files on any of them.
 
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from framespan.llm._common import cut, read_documents
+from framespan.llm._common import BROADCAST_ROWS, cut, free_name, ranked, read_documents
 
 SHARDS = 24
 BITS = 5
@@ -64,9 +64,21 @@ def hilbert_index(cells: list[Column], bits: int) -> Column:
     )[0]
 
 
-def value_cell(value: Column, bits: int) -> Column:
-    """Cell of a categorical value: 1 to 2**bits - 1 by checksum, 0 for null."""
-    return F.coalesce(F.pmod(F.crc32(value.cast("string").cast("binary")), F.lit((1 << bits) - 1)) + 1, F.lit(0)).cast("int")
+def value_cells(rows: DataFrame, column: str, bits: int) -> tuple[DataFrame, int]:
+    """value and cell of the distinct values of a column, and their number: cells 1 to 2**bits - 1 in the order of the values,
+    as many values in each as in the others, so that a shard's least and greatest value tell which values it can hold."""
+    ranks = ranked(rows.where(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct(), "value", name="rank")
+    n = ranks.count()
+    return ranks.select("value", F.expr(f"1 + ((rank - 1) * {(1 << bits) - 1}) div {max(n, 1)}").cast("int").alias("cell")), n
+
+
+def with_cell(rows: DataFrame, column: str, name: str, bits: int) -> DataFrame:
+    """Adds the cell of a column's value under a name; 0 for null."""
+    cells, n = value_cells(rows, column, bits)
+    value, cell = free_name(rows, "value"), free_name(rows, "cell")
+    cells = cells.select(F.col("value").alias(value), F.col("cell").alias(cell))
+    joined = rows.join(F.broadcast(cells) if n <= BROADCAST_ROWS else cells, F.col(column) == F.col(value), "left")
+    return joined.withColumn(name, F.coalesce(cell, F.lit(0))).drop(value, cell)
 
 
 def size_cell(size: Column, bits: int) -> Column:
@@ -92,7 +104,8 @@ def curve_order(rows: DataFrame, index: str, ties: list[str], *, shards: int) ->
 def shard_documents(docs: DataFrame, *, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     """doc_id, size, text_crc32, hilbert, shard and slot of every document under the law `rows`."""
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8
-    narrow = docs.select("doc_id", size.alias("size"), F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"), value_cell(F.col("source"), bits).alias("_s"), value_cell(F.col("lang"), bits).alias("_l"))
+    narrow = docs.select("doc_id", size.alias("size"), F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"), "source", "lang")
+    narrow = with_cell(with_cell(narrow, "source", "_s", bits), "lang", "_l", bits)
     narrow = narrow.select("doc_id", "size", "text_crc32", hilbert_index([F.col("_s"), F.col("_l"), size_cell(F.col("size"), bits)], bits).alias("hilbert"))
     return curve_order(narrow, "hilbert", ["doc_id", "text_crc32", "size"], shards=shards)
 
@@ -114,14 +127,17 @@ WITH RECURSIVE tab AS (
 ), texts AS (
   SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text, source, lang FROM documents
 ), parts AS (
-  SELECT row_id, 't' AS part, text AS value FROM texts UNION ALL SELECT row_id, 's', source FROM texts UNION ALL SELECT row_id, 'l', lang FROM texts
+  SELECT row_id, 't' AS part, text AS value FROM texts
+), cells AS (
+  SELECT part, value, 1 + (row_number() OVER (PARTITION BY part ORDER BY value) - 1) * 31 // count(*) OVER (PARTITION BY part) AS c
+  FROM (SELECT DISTINCT 's' AS part, source AS value FROM texts WHERE source IS NOT NULL UNION ALL SELECT DISTINCT 'l', lang FROM texts WHERE lang IS NOT NULL)
 ), sums AS (
   SELECT row_id, part, xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(value)), '..'), lambda p: CAST('0x' || p AS BIGINT))), lambda c, x: xor(c >> 8, crc[xor(c & 255, x) + 1])), 4294967295)::BIGINT AS c
   FROM parts, tab WHERE value IS NOT NULL
 ), rows AS (
-  SELECT doc_id, octet_length(encode(text))::BIGINT + 8 AS size, t.c AS text_crc32, coalesce(s.c % 31 + 1, 0)::INT AS a, coalesce(l.c % 31 + 1, 0)::INT AS b,
+  SELECT doc_id, octet_length(encode(text))::BIGINT + 8 AS size, t.c AS text_crc32, coalesce(s.c, 0)::INT AS a, coalesce(l.c, 0)::INT AS b,
          least(31, floor(2 * log2(octet_length(encode(text)) + 8) - 6))::INT AS z
-  FROM texts JOIN sums t ON t.row_id = texts.row_id AND t.part = 't' LEFT JOIN sums s ON s.row_id = texts.row_id AND s.part = 's' LEFT JOIN sums l ON l.row_id = texts.row_id AND l.part = 'l'
+  FROM texts JOIN sums t ON t.row_id = texts.row_id AND t.part = 't' LEFT JOIN cells s ON s.value = texts.source AND s.part = 's' LEFT JOIN cells l ON l.value = texts.lang AND l.part = 'l'
 ), undo AS (
   SELECT a, b, z, 0 AS k, a AS x0, b AS x1, z AS x2 FROM (SELECT DISTINCT a, b, z FROM rows)
   UNION ALL

@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from framespan.llm import conversations, decontamination, jaccard, mixing, resampling
+from framespan.llm import conversations, decontamination, jaccard, mixing, resampling, sharding
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -330,3 +330,22 @@ def test_a_document_that_holds_the_benchmark(spark, monkeypatch):
     assert sorted(map(tuple, decontamination.flag_documents(docs, benchmark).collect())) == plain
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert [r[2] for r in plain] == [120, 4, 0, 1]
+
+
+def test_shards_are_skipped_by_least_and_greatest_value(spark):
+    """A lookup opens hardly more shards, by their least and greatest values, than hold the value."""
+    rnd = random.Random(8)
+    rows = [(k, "w " * int(2 ** rnd.uniform(0, 12)), rnd.choice([f"src{s}" for s in range(20)]), rnd.choice(["de", "en", "es", "fr", None]), 1, 1) for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, value int, cell int").repartition(5)
+    out = sharding.shard_documents(docs)
+    named = out.join(docs.select("doc_id", "source", "lang"), "doc_id")
+    edges = {r.shard: r for r in sharding.shard_manifest(named, ["source", "lang"]).collect()}
+    held = collections.defaultdict(set)
+    for r in named.collect():
+        held["source", r.source].add(r.shard)
+        held["lang", r.lang].add(r.shard)
+    for dim in ("source", "lang"):
+        values = [v for d, v in held if d == dim and v is not None]
+        opened = sum(r[f"min_{dim}"] is not None and r[f"min_{dim}"] <= v <= r[f"max_{dim}"] for v in values for r in edges.values())
+        need = sum(len(held[dim, v]) for v in values)
+        assert need <= opened <= 1.15 * need < 0.6 * len(values) * len(edges), dim
