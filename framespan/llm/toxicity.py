@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framespan.llm._common import read_documents, read_table, remainder, text_hash
+from framespan.llm._common import cut, read_documents, read_table, remainder, text_hash
 from framespan.llm._vec import LOWER, buffers, chunks, mix, words
 
 BITS = 22
@@ -162,8 +162,11 @@ def screened(x: np.ndarray, at: np.ndarray, y: np.ndarray, least: float = LEAST_
     return known[(hit - n * rate) ** 2 >= least * np.maximum(spread, 1e-9)]
 
 
-def train_on(sample: DataFrame, label: str) -> FactorizationMachine:
+def train_on(sample: DataFrame, label: str, order: tuple[str, ...] = ()) -> FactorizationMachine:
+    """Fits a machine on terms and label of a sample; sorted by the columns `order`, so that a run repeats another."""
     found = sample.toArrow()  # bounded by the sample
+    if order:
+        found = found.sort_by([(c, "ascending") for c in order])
     lists = found["terms"].combine_chunks()
     y = found[label].to_numpy().astype(float)
     if not len(y) or y.min() == y.max():
@@ -208,21 +211,24 @@ def without_toxic(docs: DataFrame, machine: FactorizationMachine, bound: float =
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text and toxic of labelled documents outside the held-out fold, in a fixed order; TRAIN_ROWS at most.
+    """doc_id, text, toxic and the hash of the text of labelled documents outside the held-out fold; TRAIN_ROWS at most.
 
     Labels are chosen first and then, of the texts under their ids, as many again, both by hash and from ids and hashes
-    alone; rows repeated with doc_id and text are one, left out in each task before texts are moved."""
+    alone.  Texts stay in the tasks that read them; only where rows are repeated with doc_id and text they are moved, one
+    a task, to leave one of them."""
     wanted = labels.where(F.col("toxic").isNotNull() & (remainder("doc_id", 5) != 0)).select("doc_id", "toxic")
     # the sample is taken before texts are joined: ids alone are sorted
     chosen = wanted.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(TRAIN_ROWS)
     order = [F.xxhash64("doc_id"), "doc_id", "toxic", "th"]
-    named = docs.select("doc_id", text_hash().alias("th")).join(F.broadcast(chosen), "doc_id").distinct().orderBy(*order).limit(TRAIN_ROWS)
-    rows = docs.select("doc_id", "text", text_hash().alias("th")).join(F.broadcast(named), ["doc_id", "th"])  # bounded by TRAIN_ROWS
-    return rows.dropDuplicates(["doc_id", "th", "toxic"]).orderBy(*order).drop("th")
+    named = docs.select("doc_id", text_hash().alias("th")).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "th", "toxic").agg(F.count(F.lit(1)).alias("c"))
+    named = cut(named.orderBy(*order).limit(TRAIN_ROWS))
+    rows = docs.select("doc_id", "text", text_hash().alias("th")).join(F.broadcast(named.drop("c")), ["doc_id", "th"])  # bounded by TRAIN_ROWS
+    return rows.dropDuplicates(["doc_id", "th", "toxic"]) if named.where("c > 1").limit(1).count() else rows
 
 
 def fit_from_tables(docs: DataFrame, labels: DataFrame) -> FactorizationMachine:
-    return train_on(term_arrays(training_rows(docs, labels), "toxic"), "toxic")
+    rows = training_rows(docs, labels).withColumn("place", F.xxhash64("doc_id"))
+    return train_on(term_arrays(rows, "place", "doc_id", "toxic", "th"), "toxic", order=("place", "doc_id", "toxic", "th"))
 
 
 def op3_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
