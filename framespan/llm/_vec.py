@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,6 +44,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def release() -> None:
+    """Gives free memory of a Python worker, which serves one stage after another, back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text or binary column and the offsets of its rows; nulls are empty."""
     if column.null_count:

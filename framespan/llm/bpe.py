@@ -28,6 +28,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from framespan.llm._common import read_documents
+from framespan.llm._vec import release
 
 #: states of the transducer and remembered matches (of each of two generations), before they are dropped; a state takes
 #: about 350 bytes, a match about 250
@@ -267,6 +268,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *keep: str) -
     key = (len(ranks), pattern, hash(frozenset(ranks.items())))
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()  # of what earlier stages left in this worker, before the tables are made
         encoder = _encoder(key, shared.value, pattern)
         for batch in it:
             for first in range(0, batch.num_rows, 256):
