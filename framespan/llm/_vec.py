@@ -44,9 +44,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def release() -> None:
-    """Gives free memory of a Python worker, which serves one stage after another, back to the machine."""
-    gc.collect()
+#: tables that operators keep in a Python worker from task to task
+KEPT: list[dict] = []
+
+
+def release(own: dict | None = None) -> None:
+    """Gives memory of a Python worker, which serves one stage after another, back to the machine: what is free, and the
+    tables that operators other than the caller have kept."""
+    others = [x for x in KEPT if x and x is not own]
+    for table in others:
+        table.clear()
+    if others:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

@@ -11,8 +11,8 @@ Texts are split by the public pattern and every match is encoded by itself; matc
 table.  Documents are encoded and decoded inside Arrow batches: no shuffle, and the vocabulary (fixed size) is
 broadcast.
 
-Defined cases: null and empty texts have no tokens; repeated rows are encoded each by itself; an empty table gives no
-rows; only doc_id and text are read.
+Defined cases: null and empty texts have no tokens; very long texts are encoded whole; repeated rows are encoded each by
+itself, and there are no ties; an empty table gives no rows; only doc_id, text and the columns to keep are read.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from framespan.llm._common import read_documents
-from framespan.llm._vec import release
+from framespan.llm._vec import KEPT, release
 
 #: states of the transducer and remembered matches (of each of two generations), before they are dropped; a state takes
 #: about 350 bytes, a match about 250
@@ -180,8 +180,8 @@ class Transducer:
 class Encoder:
     """Splits a text by the pattern and encodes every match; two generations of a table remember matches."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most_matches: int = MOST_MATCHES):
-        self.transducer = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most_states: int = MOST_STATES, most_matches: int = MOST_MATCHES):
+        self.transducer = Transducer(ranks, most_states)
         self.split = regex.compile(pattern).findall
         self.seen: dict[str, tuple[int, ...]] = {}
         self.before: dict[str, tuple[int, ...]] = {}
@@ -252,24 +252,27 @@ def decode_stream(ids: Iterable[int], tokens: dict[int, bytes], block: int = 409
 
 
 _encoders: dict[tuple, Encoder] = {}
+KEPT.append(_encoders)
 
 
-def _encoder(key: tuple, ranks: dict[bytes, int], pattern: str) -> Encoder:
-    """One encoder a worker process, so that its states serve all batches."""
+def _encoder(key: tuple, ranks: dict[bytes, int], pattern: str, share: int = 1) -> Encoder:
+    """One encoder a worker process, so that its states serve all batches; tasks of other operators drop it."""
+    release(_encoders)  # what earlier stages left in this worker, before the tables are made
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(ranks, pattern)
+        _encoders[key] = Encoder(ranks, pattern, MOST_STATES // share, MOST_MATCHES // share)
     return _encoders[key]
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *keep: str) -> DataFrame:
-    """The kept columns and the ids of every text."""
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *keep: str, share: int = 1) -> DataFrame:
+    """The kept columns and the ids of every text.
+
+    Tables of states and matches take 1 / share of their usual bounds; the ids do not depend on it."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # the vocabulary: of fixed size
-    key = (len(ranks), pattern, hash(frozenset(ranks.items())))
+    key = (len(ranks), pattern, hash(frozenset(ranks.items())), share)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()  # of what earlier stages left in this worker, before the tables are made
-        encoder = _encoder(key, shared.value, pattern)
+        encoder = _encoder(key, shared.value, pattern, share)
         for batch in it:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framespan.llm._common import BROADCAST_ROWS, discard, read_documents, read_table, text_hash, without, written
-from framespan.llm._vec import Words, buffers, chunks, mix, words
+from framespan.llm._vec import Words, buffers, chunks, mix, release, words
 
 #: fixed seed masks: 1 is compared, 0 is ignored
 MASKS = ("11111", "1101011", "110010011", "101100101", "10010110001")
@@ -110,6 +110,7 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
     """item_key (a number of its own), item_id and the word hashes of every item."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in it:
             raw, offsets = buffers(batch.column(1))
             for a, b in chunks(offsets):
@@ -126,6 +127,7 @@ def item_seeds(items: DataFrame, masks: tuple[str, ...], stretch: int, hot: tupl
     stretch, with two more words each."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in it:
             keys, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
             at = lists.offsets.to_numpy().astype(np.int64)
@@ -171,6 +173,7 @@ def bloom(seeds: DataFrame) -> tuple[np.ndarray, int]:
     bits = min(max(int(np.ceil(np.log2(32 * n + 1))), FILTER_BITS[0]), FILTER_BITS[1])
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in it:
             found = np.unique(np.concatenate([probe(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), k, bits) for k in range(PROBES)]))
             word, start = np.unique(found >> 6, return_index=True)
@@ -190,6 +193,7 @@ def document_hits(docs: DataFrame, keys: tuple[np.ndarray, int], hot: tuple[np.n
     words and `reach` more on both sides (seed null), and one row for each hit (words null)."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in it:
             raw, offsets = buffers(batch.column(2))
             ids, hashes = batch.column(0), batch.column(1)
@@ -242,6 +246,7 @@ def overlaps(pairs: DataFrame, regions: DataFrame, items: DataFrame, stretch: in
     a region that lies beside the item, and of the item that lies in the region, is moved."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in it:
             kept, equal = [], []
             for k, (n, mine, theirs) in enumerate(zip(batch.column(5).to_pylist(), batch.column(6), batch.column(7), strict=True)):

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from framespan.llm._common import BROADCAST_ROWS, discard, free_name, read_documents, text_hash, without, written
 from framespan.llm._graph import components
-from framespan.llm._vec import buffers, chunks, mix, runs, words
+from framespan.llm._vec import buffers, chunks, mix, release, runs, words
 
 #: documents of the sample that the token order is taken from; it changes the work, never the links
 ORDER_SAMPLE = 5000
@@ -105,6 +105,7 @@ def common_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     total = docs.count()
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in it:
             raw, offsets = buffers(batch.column(0))
             for a, b in chunks(offsets):
@@ -123,6 +124,7 @@ def signatures(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], *, width:
     shared = docs.sparkSession.sparkContext.broadcast(common)  # bounded by COMMON
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         tokens, often = shared.value
         for batch in it:
             raw, offsets = buffers(batch.column(2))
@@ -257,6 +259,7 @@ def compared(docs: DataFrame, places: DataFrame, *, width: int, percent: int, re
     keys = ["cls", "task", "list", "side"]
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in it:
             raw, offsets = buffers(batch.column(2))
             for a, b in chunks(offsets):

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framespan.llm._common import read_documents
+from framespan.llm._vec import release
 
 KINDS = ("assign", "access", "hex", "entropy")
 #: pattern, group whose length counts, least length
@@ -157,6 +158,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """doc_id and the spans of each text: base and all, as arrays of (kind, start, end), in order of start and kind."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         for batch in it:
             base, every = [], []
@@ -176,6 +178,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     at = names.index("text")
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in it:
             texts = []
             for value in batch.column(at):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framespan.llm._common import cut, read_documents, read_table, remainder, text_hash
-from framespan.llm._vec import LOWER, buffers, chunks, mix, words
+from framespan.llm._vec import LOWER, buffers, chunks, mix, release, words
 
 BITS = 22
 FACTORS = 8
@@ -61,6 +61,7 @@ def term_arrays(docs: DataFrame, *keep: str) -> DataFrame:
     names = [*keep, "text"]
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in it:
             raw, offsets = buffers(batch.column(len(keep)))
             for a, b in chunks(offsets):
@@ -192,6 +193,7 @@ def score(docs: DataFrame, machine: FactorizationMachine) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(machine)  # bounded by the sample's terms
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in it:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(batch_scores(shared.value, batch.column(1)))], names=["doc_id", "score"])
 
@@ -204,6 +206,7 @@ def without_toxic(docs: DataFrame, machine: FactorizationMachine, bound: float =
     at = docs.columns.index("text")
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in it:
             yield batch.filter(pa.array(batch_scores(shared.value, batch.column(at)) < bound))
 

@@ -434,9 +434,21 @@ def test_utf8_stream():
     assert stream.feed(b"\xffa\xe6\xbc") + stream.close() == "�a�"
 
 
+def test_bpe_tables_are_dropped_by_other_operators():
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256}
+    first = bpe._encoder(("small",), ranks, r"\w+|\W+")
+    assert bpe._encoder(("small",), ranks, r"\w+|\W+") is first  # a task of the same operator finds it again
+    _vec.release()
+    assert not bpe._encoders
+    smaller = bpe._encoder(("small", 3), ranks, r"\w+|\W+", 3)
+    assert (smaller.most, smaller.transducer.most) == (bpe.MOST_MATCHES // 3, bpe.MOST_STATES // 3)
+    assert smaller("ab ba") == first("ab ba") == [256, 32, 98, 97]
+    _vec.release()
+
+
 def test_bpe_round_trip(docs, rows):
     ranks, pattern = bpe.public_vocabulary()
-    back = bpe.decode(bpe.encode(docs, ranks, pattern, "doc_id"), ranks, "doc_id")
+    back = bpe.decode(bpe.encode(docs, ranks, pattern, "doc_id", share=3), ranks, "doc_id")
     assert collections.Counter((r.doc_id, r.text) for r in back.collect()) == collections.Counter((r[0], r[1] or "") for r in rows)
 
 
