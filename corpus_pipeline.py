@@ -39,7 +39,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids and number of tokens of what is left."""
-    encoded = bpe.encode(docs, *bpe.public_vocabulary(), "doc_id", "lang", "source")
+    # smaller tables than the query's: an executor has the other stages' Python workers too
+    encoded = bpe.encode(docs, *bpe.public_vocabulary(), "doc_id", "lang", "source", share=3)
     return encoded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
