@@ -23,8 +23,8 @@ pairs of a text and a rarer word, is joined with the counts by word and summed b
 hashes.
 
 Defined cases: null and empty texts are one end; without training rows N and V are 0 and all words are unseen; very long
-texts are worked on alone, as a whole; repeated rows, and rows with one doc_id, are scored each by itself; an empty table
-gives no rows; only doc_id and text are read.
+texts are worked on alone, as a whole; repeated rows, and rows with one doc_id, are scored each by itself; words of equal
+count come in the order of their hash; an empty table gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations

@@ -8,8 +8,9 @@ Only built-in Spark expressions are used.  The global rank comes from a range pa
 (index, doc_id, checksum, size): ranks inside a partition plus the partition's offset; no stage holds all rows in one
 task, and a hot cell is spread over partitions because doc_id is part of the sort key.
 
-Defined cases: a null text has size 8 and checksum 0; null dimensions fall in cell 0; rows repeated in full get
-ranks of their own; an empty table gives no rows; other columns of the input are ignored.
+Defined cases: a null text has size 8 and checksum 0; null dimensions fall in cell 0; very long texts are
+read for size and checksum alone; rows in one cell of the curve are in the order of doc_id, checksum and size, and rows
+repeated in full get ranks of their own; an empty table gives no rows; other columns of the input are ignored.
 """
 
 from __future__ import annotations

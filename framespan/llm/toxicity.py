@@ -13,8 +13,9 @@ Adagrad.  Scoring is one pass over all rows without shuffle; what is broadcast a
 the terms of the sample.
 
 Defined cases: null and empty texts have no term and score sigmoid(b); without labelled rows of both classes every score
-is the share of toxic labels, or 0; repeated words count once; repeated rows are scored each by itself; an empty table
-gives no rows.
+is the share of toxic labels, or 0; repeated words count once; very long texts are worked on alone, as a whole;
+repeated rows are scored each by itself; training rows of equal hash come in the order of doc_id and label; only doc_id,
+text and toxic are read, and dropping documents keeps all columns, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
