@@ -415,6 +415,31 @@ def test_bpe_against_library(encoder):
         assert small.encode(text.encode()) == encoder.transducer.encode(text.encode())
 
 
+def test_long_text_of_tokens_and_toxicity(encoder):
+    import public_tokenizers
+    import pyarrow as pa
+    import tiktoken
+
+    rnd = random.Random(31)
+    pool = [t for t in texts() if t and t.strip()]
+    long = "\n".join(rnd.choice(pool) for _ in range(6000))[: _vec.CHUNK + 300_000]
+    assert len(long.encode()) > _vec.CHUNK
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=encoder.transducer.ranks, special_tokens={})
+    assert encoder(long) == own.encode_ordinary(long)
+
+    found, _ = toxicity.terms(*_vec.buffers(pa.array([long])))
+    machine = toxicity.FactorizationMachine(np.unique(found)[::2].astype(np.int64))
+    machine.w[:] = np.random.default_rng(1).normal(size=len(machine.w)) / 50
+    machine.v[:] = np.random.default_rng(2).normal(size=machine.v.shape) / 50
+    column = [pool[0], None, long, "", pool[1]]
+    alone = [toxicity.batch_scores(machine, pa.array([t], pa.string()))[0] for t in column]
+    assert toxicity.batch_scores(machine, pa.array(column)) == pytest.approx(alone)
+    places = np.searchsorted(machine.known, np.intersect1d(found, machine.known))
+    rows = machine.v[places].astype(float)
+    pairs = ((rows @ rows.T).sum() - (rows**2).sum()) / 2  # every pair of different terms of the whole text
+    assert alone[2] == pytest.approx(1 / (1 + math.exp(-(machine.bias + machine.w[places].sum() + pairs))), rel=1e-4)
+
+
 def test_bpe_emits_early(encoder):
     machine = encoder.transducer
     state, out = machine.start, []
