@@ -8,8 +8,10 @@ mixture that gave every word its best language could not pay the penalty.  The l
 predicted.
 
 Trigram counts are summed over all training rows in Spark: vectorised counts of each partition, then one sum by
-(language, trigram).  The model has at most CODES trigrams a language, whatever the input, and is sent to the tasks.
-Scoring is one pass without shuffle.
+(language, trigram).  The model keeps the trigrams that were seen, for HELD languages at a time, and what the shorter
+contexts give all others: 0.2 MB a language, and 4 bytes for each of its range's trigrams.  It grows with the languages'
+spellings and not with the input, and is sent to the tasks.  Scoring is one pass without shuffle; a task has the sums of
+HELD languages at a time, and the words of one block or one longer text under all languages.
 
 Defined cases: a null text or one without a letter is `und` with score 0; with no training rows everything is `und`;
 ties go to the language first in order; very long texts are whole, one at a time; repeated rows, and rows with one
@@ -30,7 +32,10 @@ from framespan.llm._vec import BLANK, buffers, chunks, spans
 
 #: byte classes: 0 blank, 1 digit, 2 other ASCII, 3-28 letters, then bytes from 128 on
 CLASSES = 29 + 128
+SQUARE = CLASSES**2
 CODES = CLASSES**3
+#: languages with a dense table at a time, when trigrams are counted and when they are looked up
+HELD = 8
 UND = "und"
 ROUNDS = 12
 _CLASS = np.full(256, 2, np.int64)
@@ -68,11 +73,14 @@ def count_trigrams(docs: DataFrame) -> DataFrame:
                 codes, c = trigrams(part, at)
                 which = np.repeat(of[a:b], np.diff(at))
                 for k in np.unique(of[a:b]):
-                    n = np.bincount(codes[which == k], minlength=1)
-                    have = totals.get(names[k])
-                    if have is None:
+                    mine, have = codes[which == k], totals.get(names[k])
+                    if have is None and len(totals) < HELD:
                         have = totals[names[k]] = np.zeros(CODES, np.int32)
-                    have[: len(n)] += n.astype(np.int32)
+                    if have is None:  # further languages are counted block by block and summed in the grouping
+                        yield row(names[k], *np.unique(mine, return_counts=True))
+                    else:
+                        n = np.bincount(mine, minlength=1)
+                        have[: len(n)] += n.astype(np.int32)
             if sum(int(x.max(initial=0)) > 1 << 30 for x in totals.values()):
                 yield from rows(totals)
                 totals = {}
@@ -81,36 +89,69 @@ def count_trigrams(docs: DataFrame) -> DataFrame:
     def rows(totals: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for name, n in totals.items():
             code = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(code), pa.string()), pa.array(code.astype(np.int32)), pa.array(n[code].astype(np.int64))], names=["lang", "code", "n"])
+            yield row(name, code, n[code])
+
+    def row(name: str, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(name, pa.string()), len(code)), pa.array(code.astype(np.int32)), pa.array(n.astype(np.int64))], names=["lang", "code", "n"])
 
     return docs.select("lang", "text").mapInArrow(batches, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
 class Model:
-    """log p(byte | two before) of each language, additive smoothing with the shorter context."""
-
-    def __init__(self, langs: list[str], counts: np.ndarray):
-        self.langs = langs
-        three = counts.reshape(len(langs), CLASSES, CLASSES, CLASSES).astype(np.float64)
-        two = three.sum(1)
-        one = two.sum(1)
-        p1 = (one + 0.5) / (one.sum(-1, keepdims=True) + 0.5 * CLASSES)
-        p2 = (two + 4 * p1[:, None, :]) / (two.sum(-1, keepdims=True) + 4)
-        self.log = np.empty((len(langs), CODES), np.float32)
-        for k in range(len(langs)):
-            p3 = (three[k] + 4 * p2[k][None]) / (three[k].sum(-1, keepdims=True) + 4)
-            self.log[k] = np.log(p3).ravel()
+    """log p(byte | two before) of each language, additive smoothing with the shorter context.
+
+    ranges: for HELD languages at a time the codes that one of them has, in order, with a column of logarithms a language;
+    a code that none has gets back[its last two bytes] - context[its first two]."""
+
+    def __init__(self, langs: list[str], lang: np.ndarray, code: np.ndarray, n: np.ndarray):
+        """lang, code and n: the place in langs, the trigram and its count, each pair once."""
+        self.langs: list[str] = langs
+        self.ranges: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        order = np.argsort(lang, kind="stable")
+        code, n, cuts = code[order], n[order], np.searchsorted(lang[order], np.arange(len(langs) + 1))
+        for first in range(0, len(langs), HELD):
+            some = range(first, min(first + HELD, len(langs)))
+            codes = np.unique(code[cuts[some[0]] : cuts[some[-1] + 1]])
+            log = np.empty((len(codes), len(some)), np.float32)
+            back, context = np.empty((SQUARE, len(some)), np.float32), np.empty((SQUARE, len(some)), np.float32)
+            for column, k in enumerate(some):
+                flat = np.zeros(CODES)
+                flat[code[cuts[k] : cuts[k + 1]]] = n[cuts[k] : cuts[k + 1]]
+                three = flat.reshape(CLASSES, CLASSES, CLASSES)
+                two = three.sum(0)
+                one = two.sum(0)
+                p1 = (one + 0.5) / (one.sum() + 0.5 * CLASSES)
+                p2 = ((two + 4 * p1) / (two.sum(-1, keepdims=True) + 4)).ravel()
+                total = three.sum(-1).ravel() + 4
+                log[:, column] = np.log((flat[codes] + 4 * p2[codes % SQUARE]) / total[codes // CLASSES])
+                back[:, column], context[:, column] = np.log(4 * p2), np.log(total)
+            self.ranges.append((codes, log, back, context))
+
+    def likelihoods(self, codes: np.ndarray, first: np.ndarray, last: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Log-likelihood of each word, from the byte first to before last, under each language.
+
+        place: CODES numbers -1, used inside and left as they were."""
+        like, at = np.empty((len(first), len(self.langs))), 0
+        for known, log, back, context in self.ranges:
+            place[known] = np.arange(len(known))
+            rows = place[codes]
+            place[known] = -1
+            logs, new = log[rows], np.flatnonzero(rows < 0)
+            logs[new] = back[codes[new] % SQUARE] - context[codes[new] // CLASSES]
+            sums = np.zeros((len(codes) + 1, log.shape[1]))
+            np.cumsum(logs, 0, out=sums[1:])
+            like[:, at : at + log.shape[1]] = sums[last] - sums[first]
+            at += log.shape[1]
+        return like
 
 
 def train(docs: DataFrame) -> Model:
     """Learns from text and lang of the rows whose lang is not null."""
-    found = count_trigrams(docs.where("lang IS NOT NULL")).toArrow()  # at most CODES rows a language
-    names, codes, n = found["lang"].to_pylist(), found["code"].to_numpy(), found["n"].to_numpy()
-    langs = sorted(set(names))
-    place = {x: k for k, x in enumerate(langs)}
-    counts = np.zeros((len(langs), CODES))
-    counts[np.array([place[x] for x in names], np.int64), codes.astype(np.int64)] = n
-    return Model(langs, counts) if langs else Model.__new__(Model)
+    found = count_trigrams(docs.where("lang IS NOT NULL")).toArrow()  # the trigrams seen, at most CODES a language
+    names = pa.array(found["lang"].to_pylist(), pa.string()).dictionary_encode()
+    langs = sorted(names.dictionary.to_pylist())
+    place = np.array([langs.index(x) for x in names.dictionary.to_pylist()], np.int64)
+    return Model(langs, place[names.indices.to_numpy()], found["code"].to_numpy().astype(np.int64), found["n"].to_numpy())
 
 
 def mixtures(like: np.ndarray, at: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
@@ -153,26 +194,25 @@ def mixtures(like: np.ndarray, at: np.ndarray, rounds: int = ROUNDS) -> np.ndarr
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score and the chosen languages with their proportions."""
-    if not getattr(model, "langs", None):
+    if not model.langs:
         return docs.select("doc_id", F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit("").alias("mixture"))
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.log))  # bounded by CODES
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the trigrams of the languages
+    block = (1 << 19) * HELD // max(HELD, len(model.langs))
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, log = shared.value
-        log = np.ascontiguousarray(log.T)
+        model, place = shared.value, np.full(CODES, -1, np.int32)
+        langs = model.langs
         for batch in it:
             raw, offsets = buffers(batch.column(1))
             n = len(batch.column(0))
             pred, score, mixture = [UND] * n, np.zeros(n), [""] * n
-            for a, b in chunks(offsets, 1 << 19):
+            for a, b in chunks(offsets, block):
                 part, at = raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 first, last, words_at = spans(part, at)
                 if not len(first):
                     continue
                 codes, _ = trigrams(part, at)
-                sums = np.zeros((len(part) + 1, len(langs)))
-                np.cumsum(log[codes], 0, out=sums[1:])
-                like = sums[last] - sums[first]
+                like = model.likelihoods(codes, first, last, place)
                 some = np.flatnonzero(np.diff(words_at))
                 shares = mixtures(like, np.append(words_at[:-1][some], words_at[-1]))
                 best = shares.argmax(1)

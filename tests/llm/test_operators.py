@@ -537,6 +537,43 @@ def test_language_mixture_by_hand():
     assert max((share > 0.05).sum() for share in got) >= 5
 
 
+def test_language_of_many(spark):
+    """More languages than are held at a time: counts, likelihoods and predictions by their definition."""
+    rnd = random.Random(11)
+    make = {f"l{k:02}": ["".join(rnd.choice("abcdefghijklmnoprstuvéß") for _ in range(3)) for _ in range(8)] for k in range(2 * language.HELD + 3)}
+    text = lambda l, n: " ".join("".join(rnd.choice(make[l]) for _ in range(2)) for _ in range(n))
+    rows_ = [(k, text(l, 40), l) for k, l in enumerate(list(make) * 3)]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, lang string").repartition(2)
+    seen = {l: np.zeros(language.CODES) for l in make}
+    for _, t, l in rows_:
+        raw = np.frombuffer(t.encode(), np.uint8)
+        np.add.at(seen[l], language.trigrams(raw, np.array([0, len(raw)]))[0], 1)
+    counted = language.count_trigrams(docs).collect()
+    assert len(counted) == sum(map(np.count_nonzero, seen.values())) and all(seen[r.lang][r.code] == r.n for r in counted)
+
+    model = language.train(docs)
+    assert model.langs == sorted(make) and [log.shape[1] for _, log, _, _ in model.ranges] == [language.HELD, language.HELD, 3]
+    raw = np.frombuffer((text("l03", 5) + " zzz 9! " + text("l18", 5)).encode(), np.uint8)
+    codes, _ = language.trigrams(raw, np.array([0, len(raw)]))
+    place = np.full(language.CODES, -1, np.int32)
+    every = np.arange(len(raw))
+    got = model.likelihoods(codes, every, every + 1, place)
+    assert (place == -1).all()
+    c = language.CLASSES
+    for k, l in enumerate(model.langs):
+        three = seen[l].reshape(c, c, c)
+        for i, code in enumerate(codes):
+            two, one, last = code // c // c, code // c % c, code % c
+            p1 = (three[:, :, last].sum() + 0.5) / (three.sum() + 0.5 * c)
+            p2 = (three[:, one, last].sum() + 4 * p1) / (three[:, one].sum() + 4)
+            assert abs(got[i, k] - math.log((three[two, one, last] + 4 * p2) / (three[two, one].sum() + 4))) < 1e-4
+    cases = [(k, text(l, 40)) for k, l in enumerate(make)]
+    found = {r.doc_id: r.lang_pred for r in language.predict(spark.createDataFrame(cases, "doc_id long, text string"), model).collect()}
+    assert [found[k] for k in range(len(make))] == list(make)
+    nothing = language.train(docs.where("false"))
+    assert {r.lang_pred for r in language.predict(spark.createDataFrame(cases, "doc_id long, text string"), nothing).collect()} == {"und"}
+
+
 def by_hand(model, voc, tokens, i, c, place_of):
     """Natural log-probability of token i of a text by the definition: all sums word by word."""
     n_own = len(voc.unit_of)
