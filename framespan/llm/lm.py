@@ -30,7 +30,7 @@ count come in the order of their hash; an empty table gives no rows; only doc_id
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -47,11 +47,14 @@ SINGLES, CLASSES, FREQUENT = 63, 128, 1 << 17
 #: most inner choices of a unit: larger classes are several units, the first with the rest
 INNER = 96
 END = SINGLES  # the unit of the end; classes come after it
-SIZE, WINDOW = 16, 16
+SIZE, WINDOW = 16, 16  # WINDOW is a power of two
 #: noise units that a batch shares, noise words of each token in a class, tokens of a batch and of a block
 NOISE, INNER_NOISE, BATCH, BLOCK = 16, 1, 4096, 1 << 15
 #: tokens whose scores are held at a time
 SCORED = 2048
+#: bits of a hash that the directory of frequent words is read by
+FIRST_BITS = 18
+SHIFT = np.uint64(64 - FIRST_BITS)
 #: tokens of the start on the driver
 START_TOKENS, START_ROUNDS = 300_000, 8
 SMOOTH = 0.1
@@ -119,6 +122,8 @@ class Vocabulary:
     rest_unit: np.ndarray
     rest_slot: np.ndarray
     rest_class: np.ndarray
+    #: the hashes, and where those start that have the same first bits
+    first: tuple[np.ndarray, np.ndarray] | None = field(default=None, init=False, repr=False, compare=False)
 
     @property
     def base_total(self) -> float:
@@ -136,8 +141,19 @@ class Vocabulary:
         """Place of each word among the frequent ones, or -1."""
         if not len(self.hashes):
             return np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, at, -1)
+        if self.first is None or self.first[0] is not self.hashes:
+            self.first = self.hashes, np.searchsorted(self.hashes, np.arange(1 << FIRST_BITS, dtype=np.uint64) << SHIFT)
+        # hashes are spread evenly: few have the same first bits, so few words are still smaller after a step or two
+        last = len(self.hashes) - 1
+        at = np.minimum(self.first[1].take((h >> SHIFT).view(np.int64)), last)
+        found = self.hashes.take(at)
+        more = np.flatnonzero(found < h)
+        while len(more):
+            at[more] += 1
+            more = more[at[more] <= last]
+            found[more] = self.hashes.take(at[more])
+            more = more[found[more] < h[more]]
+        return np.where(found == h, at, -1)
 
 
 def most_frequent(counts: DataFrame) -> DataFrame:
@@ -236,9 +252,34 @@ def _sums(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The indices in order and the sum of the rows of each."""
     # contexts, units and slots fit in 16 bits, which are sorted by radix
     order = np.argsort(index.astype(np.uint16), kind="stable")
-    at = index[order]
-    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, np.int64)
-    return at[starts], np.add.reduceat(rows[order], starts, 0) if len(at) else rows[:0]
+    at = index.take(order)
+    if not len(at):
+        return at, rows[:0]
+    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    sizes = np.diff(np.append(starts, len(at)))
+    sums = rows.take(order.take(starts), 0)
+    # most have one row or two, which reduceat would take one by one
+    pairs = np.flatnonzero(sizes == 2)
+    sums[pairs] += rows.take(order.take(starts.take(pairs) + 1), 0)
+    many = np.flatnonzero(sizes > 2)
+    if len(many):
+        inside = np.repeat(sizes > 2, sizes)
+        lengths = sizes.take(many)
+        sums[many] = np.add.reduceat(rows.take(order[inside], 0), np.cumsum(lengths) - lengths, 0)
+    return at.take(starts), sums
+
+
+def window_sums(rows: np.ndarray, depth: np.ndarray) -> np.ndarray:
+    """For each row the sum of the WINDOW rows of its text that end with it, or of all there are: sums of 2 rows, of 4 and
+    so on.  depth: how many rows of the text come before it."""
+    width = 1
+    while width < WINDOW:
+        wider = np.empty_like(rows)
+        np.add(rows[width:], rows[:-width], out=wider[width:])
+        edge = np.flatnonzero(depth < width)
+        wider[edge] = rows.take(edge, 0)
+        rows, width = wider, 2 * width
+    return rows
 
 
 class LogBilinear:
@@ -267,74 +308,86 @@ class LogBilinear:
         """One Adagrad step on the rows of a table."""
         at, grad = _sums(index, rows)
         grad = grad / scale
-        seen = self.g[name][at] + grad * grad
+        seen = self.g[name].take(at, 0) + grad * grad
         self.g[name][at] = seen
-        getattr(self, name)[at] -= rate * grad / np.sqrt(seen)
+        table = getattr(self, name)
+        grad *= rate
+        grad /= np.sqrt(seen, out=seen)
+        table[at] = table.take(at, 0) - grad
         self.used[name][at] += 1
 
-    def far(self, t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each token the mean of r2 over the WINDOW tokens before the last one, and the range of those tokens."""
-        here = np.arange(len(t.depth))
-        high = np.maximum(here - 1, 0)
-        low = np.maximum(here - 1 - WINDOW, here - t.depth)
-        low = np.minimum(low, high)
-        sums = np.zeros((len(here) + 1, SIZE))
-        np.cumsum(self.r2[t.context], 0, out=sums[1:], dtype=np.float64)
-        return ((sums[high] - sums[low]) / np.maximum(high - low, 1)[:, None]).astype(np.float32), low, high
+    def far(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """For each token the mean of r2 over the WINDOW tokens before the last one, then a one for the bias; and one part
+        of that mean (0: no such token)."""
+        part = np.where(t.depth > 1, 1 / np.clip(t.depth - 1, 1, WINDOW), 0).astype(np.float32)
+        far = np.zeros((len(part), SIZE + 1), np.float32)
+        np.multiply(window_sums(self.r2.take(t.context, 0), t.depth)[:-2], part[2:, None], out=far[2:, :SIZE])
+        far[:, SIZE] = 1
+        return far, part
 
     def fit(self, t: Tokens, rng: np.random.Generator, rate: float) -> None:
         """Noise-contrastive steps over the tokens in random order, in batches; r2 follows at the end."""
-        far, low, high = self.far(t)
-        pull = np.zeros_like(far)
+        far, part = self.far(t)
+        pull = np.zeros((len(far), SIZE), np.float32)
         edges = np.cumsum(self.noise)
         log_kn, log_inner = np.log(NOISE * self.noise).astype(np.float32), np.log(INNER_NOISE * self.inner).astype(np.float32)
         order = rng.permutation(len(t.unit))
         for a in range(0, len(order), BATCH):
             pick = order[a : a + BATCH]
-            unit, slot, before = t.unit[pick], t.slot[pick], t.before[pick]
-            h = self.r1[before] + far[pick]
-            h1 = np.concatenate([h, np.ones((len(h), 1), np.float32)], 1)
+            unit, slot, before = t.unit.take(pick), t.slot.take(pick), t.before.take(pick)
+            h1 = far.take(pick, 0)
+            h1[:, :SIZE] += self.r1.take(before, 0)
             drawn = np.searchsorted(edges, rng.random(NOISE)).clip(max=len(edges) - 1)
-            q_unit, q_drawn = self.q[unit], self.q[drawn]
-            miss = _sigmoid(np.einsum("ij,ij->i", h1, q_unit) - log_kn[unit]) - 1
+            q_unit, q_drawn = self.q.take(unit, 0), self.q[drawn]
+            miss = _sigmoid(np.einsum("ij,ij->i", h1, q_unit) - log_kn.take(unit)) - 1
             wrong = _sigmoid(h1 @ q_drawn.T - log_kn[drawn])
-            dh = miss[:, None] * q_unit[:, :SIZE] + wrong @ q_drawn[:, :SIZE]
+            dh = wrong @ q_drawn[:, :SIZE]
+            q_unit *= miss[:, None]
+            dh += q_unit[:, :SIZE]
             inside = np.flatnonzero(slot >= 0)
             if len(inside):
-                group = unit[inside] - END - 1
-                lo, hi = self.inner_edges[self.voc.slots[group]], self.inner_edges[self.voc.slots[group + 1]]
-                index, grads = [slot[inside]], []
-                q_slot = self.q2[index[0]]
-                m = _sigmoid(np.einsum("ij,ij->i", h1[inside], q_slot) - log_inner[index[0]]) - 1
-                dh[inside] += m[:, None] * q_slot[:, :SIZE]
-                grads.append(m[:, None] * h1[inside])
+                h_inside = h1.take(inside, 0)
+                group = unit.take(inside) - END - 1
+                first, stop = self.voc.slots.take(group), self.voc.slots.take(group + 1)
+                lo, hi = self.inner_edges.take(first), self.inner_edges.take(stop)
+                index = [slot.take(inside)]
+                q_slot = self.q2.take(index[0], 0)
+                m = _sigmoid(np.einsum("ij,ij->i", h_inside, q_slot) - log_inner.take(index[0])) - 1
+                q_slot *= m[:, None]
+                grads = [m[:, None] * h_inside]
                 for _ in range(INNER_NOISE):
                     other = np.searchsorted(self.inner_edges, lo + (hi - lo) * rng.random(len(inside)), "right") - 1
-                    other = np.clip(other, self.voc.slots[group], self.voc.slots[group + 1] - 1)
-                    q_other = self.q2[other]
-                    m = _sigmoid(np.einsum("ij,ij->i", h1[inside], q_other) - log_inner[other])
-                    dh[inside] += m[:, None] * q_other[:, :SIZE]
+                    other = np.clip(other, first, stop - 1)
+                    q_other = self.q2.take(other, 0)
+                    m = _sigmoid(np.einsum("ij,ij->i", h_inside, q_other) - log_inner.take(other))
+                    q_other *= m[:, None]
+                    q_slot += q_other
                     index.append(other)
-                    grads.append(m[:, None] * h1[inside])
+                    grads.append(m[:, None] * h_inside)
+                dh[inside] += q_slot[:, :SIZE]
                 self._learn("q2", np.concatenate(index), np.concatenate(grads), 8.0, rate)
             scale = float(np.sqrt(len(pick)))
-            self._learn("q", np.concatenate([unit, drawn]), np.concatenate([miss[:, None] * h1, wrong.T @ h1]), scale, rate)
+            wrong = wrong.T @ h1
+            h1 *= miss[:, None]
+            self._learn("q", np.concatenate([unit, drawn]), np.concatenate([h1, wrong]), scale, rate)
             self._learn("r1", before, dh, 8.0, rate)
             pull[pick] = dh
         # a token's r2 is in the means of the WINDOW tokens of its text from the second after it on
-        sums = np.zeros((len(pull) + 1, SIZE))
-        np.cumsum(pull / np.maximum(high - low, 1)[:, None], 0, out=sums[1:])
-        here, stops = np.arange(len(pull)), np.append(t.first[1:], len(pull))
-        last = np.minimum(here + 2 + WINDOW, np.repeat(stops, stops - t.first))
-        self._learn("r2", t.context, (sums[last] - sums[np.minimum(here + 2, last)]).astype(np.float32), 8.0, rate)
+        pull *= part[:, None]
+        left = np.repeat(np.append(t.first[1:], len(pull)), np.diff(np.append(t.first, len(pull)))) - np.arange(len(pull)) - 1
+        sums = np.zeros_like(pull)
+        sums[:-2] = window_sums(pull[::-1], left[::-1])[::-1][2:]
+        sums[left < 2] = 0
+        self._learn("r2", t.context, sums, 8.0, rate)
 
     def log_probabilities(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
         """Natural log-probabilities of the tokens' units, and of their slots inside the classes (0 without)."""
-        far, _, _ = self.far(t)
+        h, _ = self.far(t)
+        h[:, :SIZE] += self.r1.take(t.before, 0)
         units, inner = np.zeros(len(t.unit)), np.zeros(len(t.unit))
-        h = np.concatenate([self.r1[t.before] + far, np.ones((len(far), 1), np.float32)], 1)
+        held = np.empty(SCORED * max(len(self.q), int(np.diff(self.voc.slots).max())), np.float32)
         for a in range(0, len(h), SCORED):
-            units[a : a + SCORED] = _log_softmax(h[a : a + SCORED] @ self.q.T, t.unit[a : a + SCORED])
+            units[a : a + SCORED] = _log_softmax(h[a : a + SCORED], self.q, t.unit[a : a + SCORED], held)
         inside = np.flatnonzero(t.slot >= 0)
         inside = inside[np.argsort(t.unit[inside], kind="stable")]
         cuts = np.flatnonzero(np.diff(t.unit[inside])) + 1
@@ -343,7 +396,7 @@ class LogBilinear:
             lo, hi = self.voc.slots[unit], self.voc.slots[unit + 1]
             for k in range(0, len(rows), SCORED) if hi - lo > 1 else ():
                 some = rows[k : k + SCORED]
-                inner[some] = _log_softmax(h[some] @ self.q2[lo:hi].T, t.slot[some] - lo)
+                inner[some] = _log_softmax(h.take(some, 0), self.q2[lo:hi], t.slot.take(some) - lo, held)
         return units, inner
 
 
@@ -351,12 +404,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _log_softmax(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Log of the softmax of each row at one column; the scores are overwritten."""
+def _log_softmax(h: np.ndarray, table: np.ndarray, chosen: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Log of the softmax of h . table's rows at one row for each h; held: room for all scores."""
+    scores = held[: len(h) * len(table)].reshape(len(h), len(table))
+    np.matmul(h, table.T, out=scores)
     own = scores[np.arange(len(scores)), chosen]
-    top = scores.max(1, keepdims=True) if len(scores) and scores.max() > 60 else np.zeros((1, 1), np.float32)
-    np.exp(scores - top, out=scores)
-    return own - top[:, 0] - np.log(scores.sum(1))
+    top = scores.max(1, keepdims=True) if scores.max() > 60 else None
+    if top is not None:
+        scores -= top
+        own = own - top[:, 0]
+    np.exp(scores, out=scores)
+    return own - np.log(scores @ np.ones(len(table), np.float32))
 
 
 def blocks_of_tokens(raw: np.ndarray, offsets: np.ndarray, voc: Vocabulary) -> Iterator[Tokens]:

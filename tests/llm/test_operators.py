@@ -7,6 +7,8 @@ import hashlib
 import math
 import random
 import re
+import time
+import timeit
 import zlib
 
 import numpy as np
@@ -686,6 +688,86 @@ def test_lm_query_columns(spark, docs, rows):
     assert all(np.array_equal(getattr(model, n), getattr(again, n)) for n in model.PARTS)
 
 
+def test_lm_places_and_windows():
+    """As by binary search and by running sums in doubles, which took most of the time of a token, and well below their time."""
+    rng = np.random.default_rng(4)
+    hashes = np.unique(rng.integers(0, 2**63, lm.FREQUENT, dtype=np.int64).astype(np.uint64) * np.uint64(2))
+    hashes[-40:] = hashes[-1] - np.arange(40, dtype=np.uint64)[::-1]  # also many with the same first bits
+    hashes[:3] = 0, 1, 2
+    none = np.zeros(0)
+    voc = lm.Vocabulary(hashes, none, none, 0, 0, 0, *[none] * 10)
+    h = np.concatenate([rng.choice(hashes, 1 << 17), rng.integers(0, 2**63, 1 << 16, dtype=np.int64).astype(np.uint64), hashes[:3], hashes[-40:], hashes[-1:] + np.uint64(1)])
+
+    def searched():
+        at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+        return np.where(hashes[at] == h, at, -1)
+
+    def seconds(work):
+        return min(timeit.repeat(work, timer=time.process_time, number=1, repeat=7))
+
+    assert np.array_equal(voc.place(h), searched())
+    assert seconds(lambda: voc.place(h)) < 0.7 * seconds(searched)
+    voc.hashes = hashes[::2]  # the directory follows
+    assert np.array_equal(voc.place(hashes), np.where(np.arange(len(hashes)) % 2, -1, np.arange(len(hashes)) // 2))
+    assert voc.place(h[:0]).tolist() == []
+    voc.hashes = hashes
+    sizes = rng.choice([1, 2, 3, lm.WINDOW - 1, lm.WINDOW, lm.WINDOW + 1, 300], 3000)
+    depth = np.concatenate([np.arange(n) for n in sizes])
+    rows = rng.normal(size=(len(depth), lm.SIZE)).astype(np.float32)
+
+    def summed():
+        sums = np.zeros((len(rows) + 1, lm.SIZE))
+        np.cumsum(rows, 0, out=sums[1:], dtype=np.float64)
+        here = np.arange(len(rows))
+        return (sums[here + 1] - sums[here + 1 - np.minimum(depth + 1, lm.WINDOW)]).astype(np.float32)
+
+    assert np.allclose(lm.window_sums(rows, depth), summed(), atol=1e-5)
+
+    assert seconds(lambda: lm.window_sums(rows, depth)) < 0.7 * seconds(summed)
+
+
+def test_lm_sums_of_rows():
+    """Rows that come once, twice and more often."""
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 3, 500):
+        index = (rng.pareto(0.7, n).astype(np.int64) + 1) % 60000
+        rows = rng.normal(size=(n, 5)).astype(np.float32)
+        at, sums = lm._sums(index, rows)
+        assert at.tolist() == sorted(set(index.tolist()))
+        assert all(np.allclose(s, rows[index == k].sum(0), atol=1e-4) for k, s in zip(at, sums, strict=True))
+
+
+def test_lm_steps_by_the_definition(monkeypatch):
+    """The step of r2, whose rows are in the means of later tokens, against sums token by token."""
+    hashes = np.arange(1, 5, dtype=np.uint64) << np.uint64(60)
+    one = np.array([3])
+    monkeypatch.setattr(lm, "CLASSES", 1)
+    voc = lm.Vocabulary(hashes, np.full(4, 9), np.arange(4), 36, 4, 3, one, one, np.full(lm.END + 2, 3.0), np.array([0, 1]), np.full(4, -1), np.ones(1), np.arange(4), np.array([lm.END + 1]), np.array([0]), np.array([0]))
+    rng = np.random.default_rng(6)
+    sizes = [1, 2, 3, 40, 18]
+    total, first = sum(sizes), np.cumsum([0, *sizes[:-1]])
+    depth = np.concatenate([np.arange(n) for n in sizes])
+    context = rng.integers(0, voc.contexts, total)
+    before = np.where(depth > 0, np.roll(context, 1), 4)
+    t = lm.Tokens(rng.integers(0, lm.END, total), np.full(total, -1), context, before, depth, first, np.zeros(total, np.int64))
+    model = lm.LogBilinear(voc)
+    got = {}
+    monkeypatch.setattr(model, "_learn", lambda name, index, rows, scale, rate: got.setdefault(name, []).append((index.copy(), rows.copy())))
+    far, part = model.far(t)
+    model.fit(t, np.random.default_rng(7), 0.1)
+    order = np.random.default_rng(7).permutation(total)
+    dh = np.zeros((total, lm.SIZE))
+    dh[order] = got["r1"][0][1]
+    expected = np.zeros((total, lm.SIZE))
+    for i in range(total):
+        window = [k for k in range(i - 1 - lm.WINDOW, i - 1) if k >= i - depth[i]]
+        mean = np.mean([model.r2[context[k]] for k in window], 0) if window else np.zeros(lm.SIZE)
+        assert np.allclose(far[i], [*mean, 1], atol=1e-6) and np.isclose(part[i], 1 / len(window) if window else 0)
+        for k in window:
+            expected[k] += dh[i] / len(window)
+    assert np.array_equal(got["r2"][0][0], context) and np.allclose(got["r2"][0][1], expected, atol=1e-5)
+
+
 def test_hilbert_neighbours(spark):
     cells = spark.range(16 * 16).select((F.col("id") % 16).cast("int").alias("x"), F.expr("cast(id div 16 as int)").alias("y"))
     rows = cells.withColumn("h", sharding.hilbert_index([F.col("x"), F.col("y")], 4)).orderBy("h").collect()
