@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framespan import constants as C
 from framespan.functions.circles import map_circle, pad_metrics
 
+#: pairs whose crops are held at a time
+PAIRS = 1024
+
 
 def crop_grid(videos: DataFrame, fractions: list[float], aspect: float, step_fraction: float) -> DataFrame:
     """Crops x, y, w, h of each video (w, h in video_w, video_h) on a grid of several sizes, the last row and column flush
@@ -27,40 +32,86 @@ def crop_grid(videos: DataFrame, fractions: list[float], aspect: float, step_fra
     return grid.withColumn("seq_no", F.row_number().over(Window.partitionBy("video_id").orderBy("size_no", "y", "x"))).select("video_id", "seq_no", "x", "y", "w", "h")
 
 
+def _guided(own: np.ndarray, tx: np.ndarray, ty: np.ndarray, vx: np.ndarray, vy: np.ndarray, vr: np.ndarray, whole_w: np.ndarray, whole_h: np.ndarray, out_w: int, out_h: int) -> tuple[np.ndarray, ...]:
+    """x, y, w and h of all crops of some pairs, by size, row, column and pair, and which of them count: those of a size that
+    fits, and of equal ones the first.
+
+    Places of one size are the product of a few columns and rows, so equal crops have equal sizes and equal columns and
+    rows, and each is found where it is made."""
+    scales = [(s, np.sqrt(a)) for s in C.SIZE_SCALES for a in C.ASPECT_SCALES]
+    w = np.rint(np.stack([vr * out_w / own * s * root for s, root in scales]))
+    h = np.rint(np.stack([vr * out_h / own * s / root for s, root in scales]))
+    kept = (w > 0) & (h > 0) & (w <= whole_w) & (h <= whole_h)
+    for k in range(1, len(scales)):
+        kept[k] &= ~((w[:k] == w[k]) & (h[:k] == h[k])).any(0)
+
+    def places(video: np.ndarray, thermal: np.ndarray, side: np.ndarray, out: int, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each size the places of the shifts, and whether a place is the first of its kind."""
+        at = video - thermal * side / out
+        found = np.stack([np.minimum(np.maximum(np.rint(at + s * vr), 0), whole - side) for s in C.CENTER_SHIFTS], 1)
+        first = np.ones(found.shape, bool)
+        for n in range(1, found.shape[1]):
+            first[:, n] = ~(found[:, :n] == found[:, n : n + 1]).any(1)
+        return found, first
+
+    y, first_y = places(vy, ty, h, out_h, whole_h)
+    x, first_x = places(vx, tx, w, out_w, whole_w)
+    counts = kept[:, None, None] & first_y[:, :, None] & first_x[:, None]
+    return *np.broadcast_arrays(x[:, None], y[:, :, None], w[:, None, None], h[:, None, None]), counts
+
+
+def _by_pair(pairs: DataFrame, made: Callable[..., list[pa.Array]], schema: str, out_w: int, out_h: int) -> DataFrame:
+    """Columns made(pair ids, x, y, w, h, which count) for some pairs at a time; pairs with a null among their values have no crops."""
+    names = [part.split()[0] for part in schema.split(", ")]
+    values = {"own": F.greatest(F.col("thermal.r"), F.lit(1.0)), "tx": F.col("thermal.cx"), "ty": F.col("thermal.cy"), "vx": F.col("video.cx"), "vy": F.col("video.cy"), "vr": F.col("video.r"), "whole_w": F.col("video_w"), "whole_h": F.col("video_h")}
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in it:
+            for start in range(0, whole.num_rows, PAIRS):
+                batch = whole.slice(start, PAIRS)
+                crops = _guided(*(c.to_numpy() for c in batch.columns[1:]), out_w, out_h)
+                yield pa.RecordBatch.from_arrays(made(batch.column(0), *crops), names=names)
+
+    flat = pairs.where("thermal IS NOT NULL AND video IS NOT NULL").select("pair_id", *[v.cast("double").alias(n) for n, v in values.items()])
+    return flat.dropna(subset=list(values)).mapInArrow(batches, schema)
+
+
+def _orders(shape: tuple[int, ...]) -> np.ndarray:
+    """seq_no of the crops of one pair, from 1."""
+    return np.arange(1.0, np.prod(shape[:-1]) + 1).reshape(*shape[:-1], 1)
+
+
 def guided_crops(pairs: DataFrame, out_w: int = C.WIDTH, out_h: int = C.HEIGHT) -> DataFrame:
     """Crops that put a video circle on a thermal circle: sizes, aspects and shifts around the exact one, clamped to the
     video; equal crops once, in order of their first place.  pairs: pair_id, thermal, video (circles), video_w, video_h.
 
-    Places of one size are the product of a few columns and rows, so equal crops have equal sizes and equal columns and
-    rows: each is left out where it is made, and crops are not grouped.  Pairs are dealt to all shuffle partitions first,
-    as one narrow row becomes up to 135."""
-    own = F.greatest(F.col("thermal.r"), F.lit(1.0))
-    scales = [(s, a) for s in C.SIZE_SCALES for a in C.ASPECT_SCALES]
-    either = lambda checks: reduce(Column.__or__, checks, F.lit(False))
+    Pairs are dealt to all shuffle partitions first, as one narrow row becomes up to 135."""
 
-    def size(scale: Column, aspect: Column) -> tuple[Column, Column]:
-        w = F.rint(F.col("video.r") * out_w / own * scale * F.sqrt(aspect)).cast("int")
-        return w, F.rint(F.col("video.r") * out_h / own * scale / F.sqrt(aspect)).cast("int")
+    def made(ids, x, y, w, h, counts):
+        numbers, pairs_ = (np.broadcast_to(v, counts.shape)[counts] for v in (_orders(counts.shape), np.arange(counts.shape[-1])))
+        return [ids.take(pa.array(pairs_)), *[pa.array(v.astype(np.int32)) for v in (*(v[counts] for v in (x, y, w, h)), numbers)]]
 
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = pairs.where("thermal IS NOT NULL AND video IS NOT NULL").repartition(parts)
-    rows = rows.withColumn("_z", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(s).alias("s"), F.lit(a).alias("a")) for k, (s, a) in enumerate(scales)])))
-    w, h = size(F.col("_z.s"), F.col("_z.a"))
-    rows = rows.withColumns({"w": w, "h": h}).where("w > 0 AND h > 0 AND w <= video_w AND h <= video_h")
-    before = [(F.col("_z.k") > k) & (size(F.lit(s), F.lit(a))[0] == F.col("w")) & (size(F.lit(s), F.lit(a))[1] == F.col("h")) for k, (s, a) in enumerate(scales[:-1])]
-    rows = rows.where(~either(before))
-
-    def shifted(rows: DataFrame, name: str, axis: str, side: str, out: int, whole: str) -> DataFrame:
-        """A row for each different place of the shifts, with the number of the first shift of each."""
-        at = F.col(f"video.{axis}") - F.col(f"thermal.{axis}") * F.col(side) / out
-        place = lambda s: F.least(F.greatest(F.rint(at + s * F.col("video.r")).cast("int"), F.lit(0)), F.col(whole) - F.col(side))
-        rows = rows.withColumn(f"_{name}", F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.lit(s).alias("s")) for n, s in enumerate(C.CENTER_SHIFTS)])))
-        rows = rows.withColumn(name, place(F.col(f"_{name}.s")))
-        return rows.where(~either([(F.col(f"_{name}.n") > n) & (place(F.lit(s)) == F.col(name)) for n, s in enumerate(C.CENTER_SHIFTS[:-1])]))
-
-    rows = shifted(shifted(rows, "y", "cy", "h", out_h, "video_h"), "x", "cx", "w", out_w, "video_w")
-    n = len(C.CENTER_SHIFTS)
-    return rows.select("pair_id", "x", "y", "w", "h", ((F.col("_z.k") * n + F.col("_y.n")) * n + F.col("_x.n") + 1).alias("seq_no"))
+    kind = pairs.schema["pair_id"].dataType.simpleString()
+    return _by_pair(pairs.repartition(parts), made, f"pair_id {kind}, x int, y int, w int, h int, seq_no int", out_w, out_h)
+
+
+def guided_crop_sums(pairs: DataFrame, out_w: int = C.WIDTH, out_h: int = C.HEIGHT) -> DataFrame:
+    """Of each pair that has crops: their number, the sums of x, y, w and h, and a digest, the sum of seq_no times
+    x + 3y + 7w + 11h.  All crops of guided_crops are made, and summed in the task that makes them."""
+
+    def made(ids, x, y, w, h, counts):
+        some, sums = counts.any((0, 1, 2)), np.zeros((6, counts.shape[-1]))
+        for size, of_size in enumerate(counts):  # one size at a time stays in the processor's cache
+            held = of_size.astype(float)
+            number = _orders(counts.shape)[size]
+            xs, ys, ws, hs = (v[size] for v in (x, y, w, h))
+            for k, v in enumerate((1, xs, ys, ws, hs, (xs + 3 * ys + 7 * ws + 11 * hs) * number)):
+                sums[k] += (v * held).sum((0, 1))
+        return [ids.filter(pa.array(some)), *[pa.array(v[some].astype(np.int64)) for v in sums]]
+
+    kind = pairs.schema["pair_id"].dataType.simpleString()
+    return _by_pair(pairs, made, f"pair_id {kind}, crops long, x long, y long, w long, h long, digest long", out_w, out_h)
 
 
 def crop_metrics(rows: DataFrame, out_w: int = C.WIDTH, out_h: int = C.HEIGHT) -> DataFrame:

@@ -36,8 +36,7 @@ def _pairs(v):
 @query("gen_guided_crops", f"WITH {_GUIDED}, k AS (SELECT pair_id, x, y, w, h, CAST(min(((ns * 3 + na) * 3 + ny) * 3 + nx + 1) AS INT) AS seq_no FROM c GROUP BY ALL) SELECT pair_id, count(*) AS crops, sum(x)::BIGINT AS x, sum(y)::BIGINT AS y, sum(w)::BIGINT AS w, sum(h)::BIGINT AS h, sum(seq_no * (x + 3 * y + 7 * w + 11 * h)::BIGINT)::BIGINT AS digest FROM k GROUP BY 1")
 def guided_crops(v):
     """All crops of all pairs, and of each pair their number, sums and a digest of places in order."""
-    weight = (F.col("x") + 3 * F.col("y") + 7 * F.col("w") + 11 * F.col("h")).cast("long")
-    return G.guided_crops(_pairs(v)).groupBy("pair_id").agg(F.count(F.lit(1)).alias("crops"), *[F.sum(c).alias(c) for c in "xywh"], F.sum(F.col("seq_no") * weight).alias("digest"))
+    return G.guided_crop_sums(_pairs(v))
 
 
 @query("set_unique_crops", "SELECT CAST(l_partkey % 40 AS INT) AS x, CAST(l_suppkey % 30 AS INT) AS y, min(l_orderkey) AS seq_no FROM lineitem GROUP BY 1, 2")
