@@ -49,12 +49,15 @@ def place(rows: DataFrame, key: str, order: list[str], *, most: int = ONE_TASK)
 
 
 def before_and_after(rows: DataFrame, key: str, order: list[str], value: Column, *, most: int = ONE_TASK) -> DataFrame:
-    """Adds before and after: the last value that is not null up to the row in its key's order, and the first from it on."""
+    """Adds before and after: the last value that is not null up to the row in its key's order, and the first from it on.
+
+    What comes after is found in the reversed order: a frame that reaches to the end of its key is walked anew for every row."""
     back, ahead = Window.unboundedPreceding, Window.unboundedFollowing
 
     def nearest(frame: DataFrame, keys: list[str]) -> DataFrame:
-        own = Window.partitionBy(*keys).orderBy(*order)
-        return frame.withColumn("before", F.last(value, True).over(own.rowsBetween(back, 0))).withColumn("after", F.first(value, True).over(own.rowsBetween(0, ahead)))
+        own = Window.partitionBy(*keys)
+        up, down = own.orderBy(*map(F.asc, order)), own.orderBy(*map(F.desc, order))
+        return frame.withColumn("before", F.last(value, True).over(up.rowsBetween(back, 0))).withColumn("after", F.last(value, True).over(down.rowsBetween(back, 0)))
 
     if not has_large_key(rows, key, most):
         return nearest(rows, [key])

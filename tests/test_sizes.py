@@ -2,9 +2,10 @@
 
 import duckdb
 import numpy as np
+from pyspark.sql import functions as F
 
 from framespan import constants as C
-from framespan.operators import crops
+from framespan.operators import crops, ranges, timealign
 from framespan.plans import registry
 
 
@@ -56,3 +57,24 @@ def test_sums_of_crops_are_those_of_the_crops(spark):
     assert len(found) == len(expected) and set(found) == expected
     assert {r.pair_id: list(r[1:]) for r in crops.guided_crop_sums(pairs).collect()} == sums
     assert 0 < min(v[0] for v in sums.values()) < max(v[0] for v in sums.values()) and len(sums) < len(rows)
+
+
+def test_no_frame_is_walked_anew_for_every_row(spark):
+    """A window to the end of its key costs the square of the key's rows."""
+    rows = spark.range(1000).selectExpr("1 AS k", "id AS t", "IF(id % 7 = 3, id, NULL) AS v")
+    for most in (ranges.ONE_TASK, 0):
+        found = ranges.before_and_after(rows, "k", ["t"], F.col("v"), most=most)
+        assert "unboundedfollowing" not in found._jdf.queryExecution().optimizedPlan().toString().lower().replace("rowframe, 1, unboundedfollowing", "")
+        place = lambda t, step: next((x for x in range(t, 1000 if step > 0 else -1, step) if x % 7 == 3), None)
+        assert {(r.t, r.before, r.after) for r in found.collect()} == {(t, place(t, -1), place(t, 1)) for t in range(1000)}
+    frames = spark.createDataFrame([("a", k, t) for k, t in enumerate([1, 4, 4, 6, 10, 15, 30])] + [("b", 9, 5), ("c", 10, None)], "sequence_id string, frame_id long, t long")
+    bounds = spark.createDataFrame([("a", 12, 5), ("b", -3, 100), ("c", 1, 2), ("d", 1, 2)], "sequence_id string, low long, high long")
+    found = timealign.frames_between(frames, bounds)
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.frame_id for r in found.collect()) == [1, 2, 3, 4, 9]  # 4 of the two at one distance, and 10
+
+
+def test_frames_between_two_days(spark, tmp_path):
+    """Many frames of one second."""
+    events = "SELECT k::BIGINT AS event_id, TIMESTAMP '2024-01-02 00:00:00' + to_seconds((k * 7919 % 9973) * 41) AS ts, (k % 5)::BIGINT AS user_id, ['view', 'click', 'error'][1 + k % 3] AS event_type, k / 4 AS value FROM range(30000) t(k)"
+    assert against_sql(spark, "flt_frames_between", made(tmp_path, events=events))
