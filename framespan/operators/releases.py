@@ -83,13 +83,13 @@ def write_refreshed(kept: DataFrame, ordered: DataFrame, folder: str) -> None:
         write_ordered(table, form(F.struct(*[c for c in table.columns if c != "place"]), options), order, f"{folder}/{name}")
 
 
-def manifest(frames: DataFrame, models: DataFrame, segments: DataFrame, *, scores: DataFrame | None = None, masks: DataFrame | None = None, folder: str = "processed/aligned") -> DataFrame:
+def manifest(frames: DataFrame, models: DataFrame, segments: DataFrame, *, scores: DataFrame | None = None, masks: DataFrame | None = None, folder: str = "processed/aligned", six: bool = False) -> DataFrame:
     """Manifest rows of all frames, with the published fields: id, times, video frame, paths, scores, anchor and mask.
 
     segments: sequence_id, segment, from_s, to_s, seg_offset and, where there are anchors, requested_s, selected_s and
     center_tiff; scores: frame_id, visual_score, thermal_edge_density, video_edge_density; masks: frame_id, positive, total.
-    A frame's video time follows the offset of its segment."""
-    rows = in_segments(numbered(frames), segments).join(models.withColumnRenamed("offset_s", "own_offset"), "sequence_id")
+    A frame's video time follows the offset of its segment.  six: as in numbered."""
+    rows = in_segments(numbered(frames, six=six), segments).join(models.withColumnRenamed("offset_s", "own_offset"), "sequence_id")
     rows = with_video(rows.withColumn("offset_s", F.coalesce("seg_offset", "own_offset")))
     for table in (scores, masks):
         rows = rows if table is None else rows.join(table, "frame_id", "left")

@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from framespan import constants as C
-from framespan.operators import crops, ranges, timealign
+from framespan.operators import crops, ranges, releases, timealign
 from framespan.plans import registry
 
 
@@ -86,3 +86,12 @@ def test_numbers_of_seven_digits(spark):
     last = F.col("frame_id") >= 999_998
     assert [r.aligned_id for r in timealign.numbered(frames).where(last).orderBy("frame_id").collect()] == ["999999_x", "1000000_x", "1000001_x", "1000002_x", "1000003_x"]
     assert [r.aligned_id for r in timealign.numbered(frames, six=True).where(last).orderBy("frame_id").collect()] == ["999999_x", *["100000_x"] * 4]
+
+
+def test_paths_of_seven_digits(spark):
+    frames = spark.range(1_000_001).selectExpr("'a' AS sequence_id", "id AS frame_id", "id AS tiff_s", "'x.tiff' AS tiff_name")
+    models = spark.sql("SELECT 'a' AS sequence_id, 0L AS start_s, 1000000L AS end_s, 0D AS video_start, 1000000D AS video_end, 0D AS offset_s, 30D AS fps, 30000000L AS frame_count")
+    segments = spark.sql("SELECT 'a' AS sequence_id, 'primary' AS segment, 999999L AS from_s, 1000001L AS to_s, 0D AS seg_offset")
+    path = lambda six: [r[0] for r in releases.manifest(frames, models, segments, six=six).orderBy("frame_id").select("thermal_tiff_path").collect()]
+    assert path(False) == ["processed/aligned/1000000_x/thermal.tiff", "processed/aligned/1000001_x/thermal.tiff"]
+    assert path(True) == ["processed/aligned/100000_x/thermal.tiff"] * 2
