@@ -33,8 +33,20 @@ def union_rows(*parts: DataFrame) -> DataFrame:
 
 
 def stats_text(rows: DataFrame) -> DataFrame:
-    """Doubles with nine places, half-even; other columns as they are."""
-    return rows.select(*[F.format_string("%.9f", F.bround(c, 9)).alias(c) if kind in ("double", "float") else F.col(c) for c, kind in rows.dtypes])
+    """Doubles with nine places of their exact value, half-even; other columns as they are.
+
+    Spark's and Java's forms round the shortest decimal that gives the double back, which has other digits from about
+    10,000,000 on."""
+    doubles = [c for c, kind in rows.dtypes if kind in ("double", "float")]
+    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name in doubles else f for f in rows.schema.fields])
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            texts = lambda values: pa.array([None if x is None else f"{x:.9f}" for x in values.to_pylist()], pa.string())
+            columns = [texts(values) if name in doubles else values for name, values in zip(batch.schema.names, batch.columns, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return rows.mapInArrow(batches, schema)
 
 
 def write_viewer(rows: DataFrame, folder: str, order: list[str], sort: list[str]) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from framespan import constants as C
 from framespan.operators import crops, ranges, releases, timealign
 from framespan.plans import registry
+from framespan.sources import sinks
 
 
 def against_sql(spark, name: str, folder) -> list[tuple]:
@@ -95,3 +96,12 @@ def test_paths_of_seven_digits(spark):
     path = lambda six: [r[0] for r in releases.manifest(frames, models, segments, six=six).orderBy("frame_id").select("thermal_tiff_path").collect()]
     assert path(False) == ["processed/aligned/1000000_x/thermal.tiff", "processed/aligned/1000001_x/thermal.tiff"]
     assert path(True) == ["processed/aligned/100000_x/thermal.tiff"] * 2
+
+
+def test_texts_of_large_doubles(spark, tmp_path):
+    """Nine places of the exact value, as printf gives them."""
+    values = [8113669238.15918, 35056257521.2041, 59476865696.637695, 0.0009765625, 0.0029296875, 5e-10, -1.5, None]
+    rows = spark.createDataFrame([(k, x) for k, x in enumerate(values)], "n int, x double")
+    assert [tuple(r) for r in sinks.stats_text(rows).orderBy("n").collect()] == [(k, None if x is None else "%.9f" % x) for k, x in enumerate(values)]
+    price = "SELECT k::BIGINT AS l_orderkey, 'A' AS l_returnflag, 'F' AS l_linestatus, 89999.0 + k % 3 AS l_extendedprice FROM range(4000007) t(k)"
+    assert against_sql(spark, "sink_stats_csv", made(tmp_path, lineitem=price))
