@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: images that are held as arrays at a time inside a batch
 ROWS = 128
+#: cells whose levels are made at a time
+CELLS = 1 << 18
 
 
 def density(cells: Column) -> Column:
@@ -94,23 +96,65 @@ def ring_support(frames: DataFrame, height: int, width: int, thickness: float) -
     return by_row(frames, ["map", "circle"], work, "support double")
 
 
-def normalize(frames: DataFrame) -> DataFrame:
-    """gray: the DN stretched from their 1st to their 99th percentile to 0-255, half-even; zeros for a constant image.
+def _fused(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """a * b + c, rounded once: the product and the sum with their errors."""
+
+    def halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        wide = x * 134217729.0  # 2**27 + 1
+        high = wide - (wide - x)
+        return high, x - high
 
-    Where the percentiles agree, least and greatest value take their places."""
+    product, (a1, a2), (b1, b2) = a * b, halves(a), halves(b)
+    lost = ((a1 * b1 - product) + a1 * b2 + a2 * b1) + a2 * b2
+    total = product + c
+    part = total - product
+    return total + (((product - (total - part)) + (c - part)) + lost)
 
-    def work(dn):
-        if dn is None or not len(dn):
-            return {"gray": None if dn is None else []}
-        x = dn.astype(np.float32)
-        low, high = np.percentile(x, [1, 99])
-        if high <= low:
-            low, high = x.min(), x.max()
-        if high <= low:
-            return {"gray": np.zeros(len(x), np.int32)}
-        return {"gray": np.rint(np.clip((x - low) / (high - low), 0, 1) * 255).astype(np.int32)}
 
-    return by_row(frames, ["dn"], work, "gray array<int>")
+def normalize(frames: DataFrame, *, ends: bool = True) -> DataFrame:
+    """gray: the DN stretched from their 1st to their 99th percentile to 0-255, half-even; zeros for a constant image.
+
+    Where the percentiles agree, least and greatest value take their places, or all is zero without `ends`.  Levels are
+    made in doubles, as quantile_cont and SQL make them, so that halves fall alike.  Many images are worked on at a time, CELLS at most or one; a cell without a value has none."""
+    keep = [c for c in frames.columns if c != "dn"]
+    kept = "".join(f"`{c}` {frames.schema[c].dataType.simpleString()}, " for c in keep)
+
+    def levels(lists: pa.Array) -> pa.Array:
+        lengths = lists.value_lengths().fill_null(0).to_numpy()
+        cells, of = lists.flatten(), np.repeat(np.arange(len(lists)), lengths)
+        x, there = cells.cast(pa.float64()).fill_null(0.0).to_numpy(), cells.is_valid().to_numpy(zero_copy_only=False)
+        held = np.bincount(of[there], minlength=len(lists))
+        ordered = x[there][np.lexsort((x[there], of[there]))] if there.any() else np.zeros(1)
+        first = np.minimum(np.cumsum(held) - held, len(ordered) - 1)
+        last = np.maximum(held - 1, 0)
+
+        def percentile(share: float) -> np.ndarray:
+            at = last * share
+            part = at - np.floor(at)
+            below, above = ordered[first + np.floor(at).astype(int)], ordered[first + np.ceil(at).astype(int)]
+            return _fused(below, 1 - part, above * part)
+
+        low, high = percentile(0.01), percentile(0.99)
+        if ends:
+            low, high = np.where(high <= low, ordered[first], low), np.where(high <= low, ordered[first + last], high)
+        flat = high <= low
+        share = (x - low[of]) / np.where(flat, 1.0, high - low)[of]
+        gray = np.where(flat[of], 0, np.rint(np.clip(share, 0, 1) * 255)).astype(np.int32)
+        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(gray, mask=~there), mask=lists.is_null())
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in it:
+            reach = np.cumsum(whole.column(0).value_lengths().fill_null(0).to_numpy(), dtype=np.int64)
+            start = 0
+            while start < whole.num_rows:
+                done = reach[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(reach, done + CELLS, "right")))
+                batch = whole.slice(start, stop - start)
+                yield pa.RecordBatch.from_arrays([*batch.columns[1:], levels(batch.column(0))], names=[*keep, "gray"])
+                start = stop
+
+    return frames.select("dn", *keep).mapInArrow(batches, f"{kept}gray array<int>")
 
 
 def ring_features(frames: DataFrame, height: int, width: int) -> DataFrame:

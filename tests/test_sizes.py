@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from framespan import constants as C
-from framespan.operators import crops, ranges, releases, timealign
+from framespan.operators import crops, images, ranges, releases, timealign
 from framespan.plans import registry
 from framespan.sources import sinks
 
@@ -105,3 +105,16 @@ def test_texts_of_large_doubles(spark, tmp_path):
     assert [tuple(r) for r in sinks.stats_text(rows).orderBy("n").collect()] == [(k, None if x is None else "%.9f" % x) for k, x in enumerate(values)]
     price = "SELECT k::BIGINT AS l_orderkey, 'A' AS l_returnflag, 'F' AS l_linestatus, 89999.0 + k % 3 AS l_extendedprice FROM range(4000007) t(k)"
     assert against_sql(spark, "sink_stats_csv", made(tmp_path, lineitem=price))
+
+
+def test_levels_of_images_on_the_half(spark, tmp_path):
+    """Small images whose levels lie on halves; large ones, of which some have one value but for a cell."""
+    rng = np.random.default_rng(5)
+    made(tmp_path, lineitem="SELECT (k // 3)::BIGINT AS l_orderkey, 'A' AS l_returnflag, 'F' AS l_linestatus, 8 * (4000 + CASE k % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 + k // 3 % 97 ELSE 100 + k // 3 % 300 END)::DOUBLE AS l_extendedprice FROM range(60000) t(k) UNION ALL SELECT 100000 + k % 3, 'A', 'F', CASE WHEN k < 3 THEN 900.0 ELSE 8000.0 + k % 3 * (k // 3) END FROM range(3000) t(k) UNION ALL SELECT 100009, 'A', 'F', 9535 * 8.0 UNION ALL SELECT 100009, 'A', 'F', 9561 * 8.0 UNION ALL SELECT 100009, 'A', 'F', 9691 * 8.0")
+    assert against_sql(spark, "img_normalize", tmp_path)
+    whole = [int(x) for x in rng.integers(0, 65536, 300_000)]
+    rows = [(1, whole), (2, [7] * 500 + [9]), (3, []), (4, None), (5, [3, None, 5, None]), (6, [5] * 9)]
+    found = {r.id: r.gray for r in images.normalize(spark.createDataFrame(rows, "id int, dn array<int>")).collect()}
+    low, high = np.percentile(whole, [1, 99])
+    assert found.pop(1) == np.rint(np.clip((np.array(whole) - low) / (high - low), 0, 1) * 255).astype(int).tolist()
+    assert found == {2: [0] * 500 + [255], 3: [], 4: None, 5: [0, None, 255, None], 6: [0] * 9}
