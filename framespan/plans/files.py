@@ -55,11 +55,15 @@ def page_tags(v):
 _BUNDLES = "b AS (SELECT source || '/' || CAST(doc_id // 20 AS VARCHAR) || '.txt' AS path, string_agg(text, chr(10) ORDER BY doc_id) AS text FROM documents GROUP BY 1)"
 
 
+def _contents(v):
+    """name and text of files of twenty documents each."""
+    name = F.concat_ws("/", "source", F.concat(F.floor(F.col("doc_id") / 20).cast("string"), F.lit(".txt")))
+    return v.documents.groupBy(name.alias("name")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda t: t["text"]), "\n").alias("text"))
+
+
 def _bundles(v, folder):
     """Files of twenty documents each, and one that no list may name; their paths below the folder."""
-    name = F.concat_ws("/", "source", F.concat(F.floor(F.col("doc_id") / 20).cast("string"), F.lit(".txt")))
-    texts = v.documents.groupBy(name.alias("name")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda t: t["text"]), "\n").alias("text"))
-    rows = texts.select(F.concat(F.lit(f"{folder}/"), "name").alias("path"), F.col("text").cast("binary").alias("content"))
+    rows = _contents(v).select(F.concat(F.lit(f"{folder}/"), "name").alias("path"), F.col("text").cast("binary").alias("content"))
     skipped = v.spark.createDataFrame([(f"{folder}/.cache/x.txt", b"x"), (f"{folder}/a/.DS_Store", b"x")], "path string, content binary")
     sinks.write_files(rows.union(skipped)).count()
     return R.hashed_files(v.spark, folder)
@@ -75,14 +79,14 @@ def checksum_list(v):
 
 @query("inc_checksum_files", f"WITH {_BUNDLES} SELECT CASE WHEN len(path) % 2 = 0 THEN sha256(text || '!') ELSE sha256(text) END AS digest, path FROM b UNION ALL SELECT sha256('new'), 'z/' || source FROM (SELECT DISTINCT source FROM documents)")
 def checksum_files(v):
-    """A sorted list in which the entries of changed and new files are made anew; the other files are not read."""
+    """A sorted list in which the entries of changed and new files are made anew; the other files are not read.
+
+    Changed files are written from the table and not from themselves, so that a task that runs again writes the same."""
     folder, old, new = (fresh_folder(v.spark, n) for n in ("payload", "list", "list"))
     sinks.write_checksums(_bundles(v, folder), old)
     listed = S.checksum_lines(v.spark.read.text(old))
     changed = listed.where(F.length("path") % 2 == 0).select("path")
-    texts = v.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(folder)
-    inside = R.below(F.col("path"), folder)
-    again = texts.select(F.col("path"), F.concat("content", F.lit(b"!")).alias("content"), inside.alias("inside")).join(changed.withColumnRenamed("path", "inside"), "inside").drop("inside")
+    again = _contents(v).where(F.length("name") % 2 == 0).select(F.concat(F.lit(f"{folder}/"), "name").alias("path"), F.concat("text", F.lit("!")).cast("binary").alias("content"))
     added = v.documents.select("source").distinct().select(F.concat(F.lit(f"{folder}/z/"), "source").alias("path"), F.lit(b"new").alias("content"))
     sinks.write_files(again.unionByName(added)).count()
     chosen = changed.union(added.select(R.below(F.col("path"), folder)))

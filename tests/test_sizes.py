@@ -118,3 +118,10 @@ def test_levels_of_images_on_the_half(spark, tmp_path):
     low, high = np.percentile(whole, [1, 99])
     assert found.pop(1) == np.rint(np.clip((np.array(whole) - low) / (high - low), 0, 1) * 255).astype(int).tolist()
     assert found == {2: [0] * 500 + [255], 3: [], 4: None, 5: [0, None, 255, None], 6: [0] * 9}
+
+
+def test_changed_files_that_are_empty(spark, tmp_path):
+    """Spark's own listing leaves empty files out."""
+    documents = "SELECT k::BIGINT AS doc_id, CASE WHEN k < 200 THEN '' ELSE 'text ' || k END AS text, 'en' AS lang, ['web', 'news', 'code'][1 + k % 3] AS source, 0::BIGINT AS n_chars FROM range(0, 2500, 10) t(k)"
+    rows = against_sql(spark, "inc_checksum_files", made(tmp_path, documents=documents))
+    assert len(rows) > 100
