@@ -125,3 +125,12 @@ def test_changed_files_that_are_empty(spark, tmp_path):
     documents = "SELECT k::BIGINT AS doc_id, CASE WHEN k < 200 THEN '' ELSE 'text ' || k END AS text, 'en' AS lang, ['web', 'news', 'code'][1 + k % 3] AS source, 0::BIGINT AS n_chars FROM range(0, 2500, 10) t(k)"
     rows = against_sql(spark, "inc_checksum_files", made(tmp_path, documents=documents))
     assert len(rows) > 100
+
+
+def test_tags_without_a_listing_on_the_driver(spark, tmp_path, monkeypatch):
+    def fails(*_):
+        raise AssertionError("the driver lists a file a document")
+
+    monkeypatch.setattr("framespan.sources.files.list_files", fails)
+    documents = "SELECT k::BIGINT AS doc_id, 'x' AS text, 'en' AS lang, 'a' AS source, k % 7 AS n_chars FROM range(0, 300) t(k)"
+    assert len(against_sql(spark, "src_page_tags", made(tmp_path, documents=documents))) == 300
