@@ -14,6 +14,8 @@ from framespan.functions.circles import map_circle, pad_metrics
 
 #: pairs whose crops are held at a time
 PAIRS = 1024
+#: candidate numbers whose circles are one list, and crops that are scored against their lists at a time
+BLOCK, ROWS = 256, 2048
 
 
 def crop_grid(videos: DataFrame, fractions: list[float], aspect: float, step_fraction: float) -> DataFrame:
@@ -120,15 +122,75 @@ def crop_metrics(rows: DataFrame, out_w: int = C.WIDTH, out_h: int = C.HEIGHT) -
     return rows.withColumn("mapped", mapped).withColumn("m", pad_metrics(F.col("thermal"), F.col("mapped"))).drop("mapped")
 
 
+def _scored(mapped: list[np.ndarray], thermal: list[np.ndarray], there: np.ndarray) -> dict[str, np.ndarray]:
+    """pad_metrics of pairs: mapped cx, cy, r, rx, ry and thermal cx, cy, r; the defaults where a circle is not there."""
+    mx, my, mr, rx, ry = mapped
+    tx, ty, tr = thermal
+    own = np.maximum(tr, 1.0)
+    error = np.sqrt((mx - tx) ** 2 + (my - ty) ** 2)
+    center, radius, anisotropy = error / own, np.abs(mr - tr) / own, np.abs(rx - ry) / np.maximum(mr, 1.0)
+    bell = lambda v, width: np.exp(-(v / width) * (v / width))
+    scores = {"center": bell(center, C.CENTER_WIDTH), "radius": bell(radius, C.RADIUS_WIDTH), "anisotropy": bell(anisotropy, C.ANISOTROPY_WIDTH)}
+    scores["ring"] = scores["center"] * scores["radius"]
+    total = sum((weight * scores[k] for k, weight in C.GEOMETRY_WEIGHTS.items()), 0.0)
+    passed = (center <= C.CENTER_LIMIT) & (radius <= C.RADIUS_LIMIT) & (anisotropy <= C.ANISOTROPY_LIMIT)
+    found = {"center_error_px": (error, np.inf), "center_ratio": (center, 1.0), "radius_ratio": (radius, 1.0), "anisotropy": (anisotropy, 1.0), "ring_iou": (scores["ring"], 0.0), "geometry_score": (total, 0.0), "hard_pass": (passed, False)}
+    return {name: np.where(there, v, default) for name, (v, default) in found.items()}
+
+
+def _best_of_lists(crops: DataFrame, keep: list[str]) -> DataFrame:
+    """Adds cand_no, thermal, m and _level of the best circle of _circles against _mapped to the columns to keep."""
+    kinds = {f.name: f.dataType.simpleString() for f in crops.schema.fields}
+    number = crops.schema["_circles"].dataType.elementType["cand_no"].dataType.simpleString()
+    metrics = "struct<center_error_px:double,center_ratio:double,radius_ratio:double,anisotropy:double,ring_iou:double,geometry_score:double,hard_pass:boolean>"
+    schema = "".join(f"`{c}` {kinds[c]}, " for c in keep) + f"cand_no {number}, thermal struct<cx:double,cy:double,r:double>, m {metrics}, _level double"
+    sides = ("cx", "cy", "r")
+
+    def doubles(struct: pa.StructArray, names: tuple[str, ...]) -> list[np.ndarray]:
+        return [struct.field(n).cast(pa.float64()).to_numpy(zero_copy_only=False) for n in names]
+
+    def part(batch: pa.RecordBatch) -> pa.RecordBatch:
+        mapped, lists = batch.column(0), batch.column(1)
+        lengths = lists.value_lengths().to_numpy()
+        circles, of = lists.flatten(), np.repeat(np.arange(len(lists)), lengths)
+        starts = np.cumsum(lengths) - lengths
+        thermal = doubles(circles, sides)
+        there = circles.field("there").to_numpy(zero_copy_only=False) & mapped.is_valid().to_numpy(zero_copy_only=False)[of]
+        with np.errstate(all="ignore"):
+            m = _scored([v[of] for v in doubles(mapped, (*sides, "rx", "ry"))], thermal, there & (thermal[2] > 0))
+            level = np.trunc(m["geometry_score"] * 1e12 + 0.5) / 1e12
+        order = np.where(np.isnan(level), -1.0, level)  # a score that is not known comes last
+        numbers = circles.field("cand_no").to_numpy(zero_copy_only=False)
+        top = order == np.maximum.reduceat(order, starts)[of]
+        first = np.minimum.reduceat(np.where(top, numbers, np.iinfo(numbers.dtype).max), starts)
+        chosen = np.flatnonzero(top & (numbers == first[of]))
+        chosen = chosen[np.unique(of[chosen], return_index=True)[1]]
+        got = lambda v: pa.array(v[chosen], mask=np.isnan(v[chosen]) if v.dtype.kind == "f" else None)
+        circle = pa.StructArray.from_arrays([got(v) for v in thermal], names=list(sides), mask=pa.array(~circles.field("there").to_numpy(zero_copy_only=False)[chosen]))
+        best = [circles.field("cand_no").take(pa.array(chosen)), circle, pa.StructArray.from_arrays([got(v) for v in m.values()], names=list(m)), got(level)]
+        return pa.RecordBatch.from_arrays([*batch.columns[2:], *best], names=[*keep, "cand_no", "thermal", "m", "_level"])
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in it:
+            for start in range(0, whole.num_rows, ROWS):
+                yield part(whole.slice(start, ROWS))
+
+    return crops.select("_mapped", "_circles", *keep).mapInArrow(batches, schema)
+
+
 def best_circles(crops: DataFrame, circles: DataFrame, n: int | None = None) -> DataFrame:
     """The best thermal circle of each crop by geometry, first on ties, and of those the first n crops a frame.
 
-    crops: frame_id, seq_no, x, y, w, h, video; circles: frame_id, cand_no, thermal.  One equality join on the frame.  Scores
-    are compared at twelve places, so that what differs in the last bits only is a tie."""
-    scored = crop_metrics(crops.join(circles, "frame_id"))
-    level = F.round("m.geometry_score", 12)
-    one = F.row_number().over(Window.partitionBy("frame_id", "seq_no").orderBy(level.desc(), "cand_no"))
+    crops: frame_id, seq_no, x, y, w, h, video; circles: frame_id, cand_no, thermal.  Scores are compared at twelve places,
+    so that what differs in the last bits only is a tie.  A frame's circles are lists of BLOCK numbers each, joined with its
+    crops by one equality, so that pairs are no rows; every pair is scored, and one row a crop and list leaves the task."""
+    t = F.col("thermal")
+    circle = F.struct("cand_no", *[t[c].cast("double").alias(c) for c in ("cx", "cy", "r")], t.isNotNull().alias("there"))
+    lists = circles.groupBy("frame_id", F.floor(F.col("cand_no") / BLOCK).alias("_block")).agg(F.collect_list(circle).alias("_circles")).drop("_block")
+    mapped = map_circle(*(F.col(c) for c in "xywh"), F.lit(float(C.WIDTH)), F.lit(float(C.HEIGHT)), F.col("video"))
+    scored = _best_of_lists(crops.withColumn("_mapped", mapped).join(lists, "frame_id"), crops.columns)
+    one = F.row_number().over(Window.partitionBy("frame_id", "seq_no").orderBy(F.col("_level").desc(), "cand_no"))
     best = scored.withColumn("_n", one).where("_n = 1").drop("_n")
-    rank = F.row_number().over(Window.partitionBy("frame_id").orderBy(level.desc(), "seq_no"))
-    best = best.withColumn("rank", rank)
+    rank = F.row_number().over(Window.partitionBy("frame_id").orderBy(F.col("_level").desc(), "seq_no"))
+    best = best.withColumn("rank", rank).drop("_level")
     return best.where(F.col("rank") <= n) if n else best

@@ -134,3 +134,30 @@ def test_tags_without_a_listing_on_the_driver(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("framespan.sources.files.list_files", fails)
     documents = "SELECT k::BIGINT AS doc_id, 'x' AS text, 'en' AS lang, 'a' AS source, k % 7 AS n_chars FROM range(0, 300) t(k)"
     assert len(against_sql(spark, "src_page_tags", made(tmp_path, documents=documents))) == 300
+
+
+def test_best_circles_are_those_of_all_pairs(spark):
+    """A frame of 700 circles, ties, a crop without a video circle, circles that are missing or empty; pairs are no rows."""
+    rng = np.random.default_rng(3)
+    circle = "struct<cx:double,cy:double,r:double>"
+    frames = [(1, 700), (2, 3), (3, 1), (4, 0)]
+    near = lambda: (float(300 + rng.integers(12)), float(250 + rng.integers(12)), float(60 + rng.integers(8)))
+    rows = [(f, k, near()) for f, n in frames for k in range(n)] + [(2, 7, None), (2, 8, (1.0, 1.0, 0.0)), (5, 1, None)]
+    circles = spark.createDataFrame(rows, f"frame_id long, cand_no int, thermal {circle}")
+    crops_ = [(f, k, 90, 60, 1280 + 16 * (k % 3), 1024, None if k == 4 else (700.0, 560.0, 128.0)) for f in range(1, 7) for k in range(6)]
+    crops_ = spark.createDataFrame(crops_, f"frame_id long, seq_no int, x int, y int, w int, h int, video {circle}")
+    pairs = crops.crop_metrics(crops_.join(circles, "frame_id")).select("frame_id", "seq_no", "cand_no", "m").collect()
+    best: dict = {}
+    for p in sorted(pairs, key=lambda p: (-round(p.m.geometry_score, 12), p.cand_no)):
+        best.setdefault((p.frame_id, p.seq_no), p)
+    found = crops.best_circles(crops_, circles)
+    assert "collect_list" in found._jdf.queryExecution().optimizedPlan().toString()
+    found = {(r.frame_id, r.seq_no): r for r in found.collect()}
+    assert found.keys() == best.keys() and len(best) == 24
+    for key, p in best.items():
+        assert found[key].cand_no == p.cand_no and found[key].m.hard_pass == p.m.hard_pass
+        assert np.allclose(list(found[key].m), list(p.m), rtol=1e-12)
+    assert {r.thermal for r in found.values() if r.frame_id == 5} == {None}
+    ranked = crops.best_circles(crops_, circles, 2).collect()
+    expected = [key for f in (1, 2, 3, 5) for key in sorted((k for k in best if k[0] == f), key=lambda k: (-round(best[k].m.geometry_score, 12), k[1]))[:2]]
+    assert {(r.frame_id, r.seq_no) for r in ranked} == set(expected) and {r.rank for r in ranked} == {1, 2}
